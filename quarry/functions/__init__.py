@@ -6,6 +6,7 @@ from quarry.functions.numeric import exact, ratio, round_half_even, round_half_u
 from quarry.functions.parsing import (
     epoch_year,
     field,
+    java_trim,
     last_field,
     middle_join,
     split_fields,
@@ -16,7 +17,7 @@ from quarry.functions.parsing import (
 from quarry.functions.text import PIG_DELIMITERS, tokenize
 
 __all__ = [
-    "PIG_DELIMITERS", "bucketize", "epoch_year", "exact", "field", "last_field",
+    "PIG_DELIMITERS", "bucketize", "epoch_year", "exact", "field", "java_trim", "last_field",
     "middle_join", "ratio", "round_half_even", "round_half_up", "split_fields",
     "strict_number", "to_timestamp_any", "tokenize", "try_number",
 ]

@@ -34,15 +34,21 @@ def split_fields(line: ColumnOrName, sep: str = ",", drop_trailing_empty: bool =
     return F.when(_col(line) == "", parts).otherwise(F.slice(parts, 1, keep))
 
 
+def java_trim(value: ColumnOrName) -> Column:
+    """Java ``String.trim``: strips every character up to U+0020 (tabs, CR, ...)
+    from both ends, not only spaces."""
+    return F.regexp_replace(_col(value), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def field(parts: ColumnOrName, index: int, trim: bool = False) -> Column:
     """0-based field; null when the line is too short."""
     v = F.try_element_at(_col(parts), F.lit(index + 1))
-    return F.trim(v) if trim else v
+    return java_trim(v) if trim else v
 
 
 def last_field(parts: ColumnOrName, trim: bool = False) -> Column:
     v = F.try_element_at(_col(parts), F.lit(-1))
-    return F.trim(v) if trim else v
+    return java_trim(v) if trim else v
 
 
 def middle_join(parts: ColumnOrName, sep: str = ",") -> Column:

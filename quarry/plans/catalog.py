@@ -62,3 +62,199 @@ GROUP BY p_name
 """)
 def q_item_rating_stats(spark: SparkSession, d: str) -> DataFrame:
     return R.item_rating_stats(_line_ratings(spark, d), _parts(spark, d), item_key="item_id")
+
+
+_STATS_CTE = f"""WITH s AS (
+  SELECT p_name AS title, {_AVG_QTY} AS avg_rating, COUNT(l_quantity) AS n_ratings
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+  WHERE l_quantity IS NOT NULL
+  GROUP BY p_name)"""
+
+ORACLE_SQL["q_item_rating_stats"] = f"""{_STATS_CTE}
+SELECT title, avg_rating, n_ratings FROM s"""
+
+
+@register("q_best_item", f"""{_STATS_CTE}
+SELECT title, avg_rating, n_ratings FROM s WHERE n_ratings >= 5
+ORDER BY avg_rating DESC, title ASC LIMIT 1
+""")
+def q_best_item(spark, d):
+    """N2 with min_count 5."""
+    return R.best_item(q_item_rating_stats(spark, d), min_count=5)
+
+
+# Java split of p_name on ' ' (trailing empty fields dropped), each tag Java-trimmed.
+_JAVA_TAGS = ("CASE WHEN p_name <> '' AND rtrim(p_name, ' ') = '' THEN []::VARCHAR[] "
+              "ELSE string_split(rtrim(p_name, ' '), ' ') END")
+_JTRIM = "regexp_replace(tag, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
+
+@register("q_tag_rating_stats", f"""
+SELECT {_JTRIM} AS tag, {_AVG_QTY} AS avg_rating, COUNT(l_quantity) AS n_ratings
+FROM lineitem
+JOIN (SELECT p_partkey, unnest({_JAVA_TAGS}) AS tag FROM part WHERE p_name IS NOT NULL) t
+  ON l_partkey = p_partkey
+WHERE l_quantity IS NOT NULL
+GROUP BY 1
+""")
+def q_tag_rating_stats(spark, d):
+    """tags = words of p_name."""
+    items = table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("tags"))
+    return R.tag_rating_stats(_line_ratings(spark, d), items, item_key="item_id", tags="tags", sep=" ",
+                              tag_out="tag")
+
+
+_AVG_VAL = "CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(value)"
+
+
+def _cond_avg(label, name):
+    return (f"COALESCE(CAST(SUM(CASE WHEN grp = '{label}' THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE)"
+            f" / NULLIF(COUNT(CASE WHEN grp = '{label}' THEN value END), 0), 0.0) AS {name}")
+
+
+@register("q_item_by_two_groups", f"""
+WITH j AS (
+  SELECT e.event_type AS item_id, upper(c.c_mktsegment) AS grp, e.value
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey
+  WHERE e.value IS NOT NULL AND upper(c.c_mktsegment) IN ('BUILDING', 'MACHINERY'))
+SELECT item_id, {_cond_avg('BUILDING', 'avg_building')}, {_cond_avg('MACHINERY', 'avg_machinery')}
+FROM j GROUP BY item_id
+""")
+def q_item_by_two_groups(spark, d):
+    """item = event_type, two listed groups of c_mktsegment (others ignored)."""
+    return R.item_by_two_groups(_event_ratings(spark, d), _customers(spark, d), None, item_key="item_id",
+                                group="c_mktsegment", groups=("BUILDING", "MACHINERY"),
+                                names=("avg_building", "avg_machinery"))
+
+
+# Fixed values of the account-balance bins used for the two bucketing queries.
+ACCT_EDGES_RIGHT = (1000, 3000, 6000)
+ACCT_LABELS_RIGHT = ("le_1000", "1000_3000", "3000_6000", "gt_6000")
+ACCT_EDGES_LEFT = (0, 2000, 4000, 6000, 8000)
+ACCT_LABELS_LEFT = ("<0", "0-2000", "2000-4000", "4000-6000", "6000-8000", "8000+")
+
+
+@register("q_item_by_bucket", f"""
+WITH j AS (
+  SELECT e.event_type AS item_id, e.value,
+         CASE WHEN c.c_acctbal <= 1000 THEN 'le_1000' WHEN c.c_acctbal <= 3000 THEN '1000_3000'
+              WHEN c.c_acctbal <= 6000 THEN '3000_6000' WHEN c.c_acctbal IS NOT NULL THEN 'gt_6000' END AS grp
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey
+  WHERE e.value IS NOT NULL)
+SELECT item_id, {_cond_avg('le_1000', 'avg_le_1000')}, {_cond_avg('1000_3000', 'avg_1000_3000')},
+       {_cond_avg('3000_6000', 'avg_3000_6000')}, {_cond_avg('gt_6000', 'avg_gt_6000')}
+FROM j WHERE grp IS NOT NULL GROUP BY item_id
+""")
+def q_item_by_bucket(spark, d):
+    """Right-closed bins of c_acctbal (1000, 3000, 6000)."""
+    return R.item_by_bucket(_event_ratings(spark, d), _customers(spark, d), None, item_key="item_id",
+                            value="c_acctbal", value_type="double", edges=ACCT_EDGES_RIGHT,
+                            labels=ACCT_LABELS_RIGHT, names=tuple("avg_" + x for x in ACCT_LABELS_RIGHT))
+
+
+MIN_RATINGS_BY_ID = 30
+
+_BY_ID = f"""WITH s AS (
+  SELECT l_partkey AS item_id, {_AVG_QTY} AS avg_rating, COUNT(l_quantity) AS n_ratings
+  FROM lineitem WHERE l_quantity IS NOT NULL
+  GROUP BY l_partkey HAVING COUNT(l_quantity) >= {MIN_RATINGS_BY_ID}),
+b AS (SELECT s.item_id, p.p_name AS title, s.avg_rating, s.n_ratings FROM s JOIN part p ON s.item_id = p.p_partkey)"""
+
+
+@register("q_item_stats_min_ratings", f"""{_BY_ID}
+SELECT item_id, title, avg_rating, n_ratings FROM b""")
+def q_item_stats_min_ratings(spark, d):
+    """Per l_partkey, kept when it has at least 30 line items."""
+    return R.item_stats_min_ratings(_line_ratings(spark, d), _parts(spark, d), item_key="item_id",
+                                    min_count=MIN_RATINGS_BY_ID)
+
+
+@register("q_best_item_by_id", f"""{_BY_ID}
+SELECT item_id, title, avg_rating, n_ratings FROM b ORDER BY avg_rating DESC, item_id ASC LIMIT 1""")
+def q_best_item_by_id(spark, d):
+    """N15."""
+    return R.best_item_by_id(q_item_stats_min_ratings(spark, d), item_key="item_id")
+
+
+@register("q_tag_avg_sorted", f"""
+SELECT tag, {_AVG_QTY} AS avg_rating
+FROM lineitem
+JOIN (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS tag FROM part WHERE p_name IS NOT NULL) t
+  ON l_partkey = p_partkey
+WHERE l_quantity IS NOT NULL
+GROUP BY tag ORDER BY avg_rating DESC, tag ASC
+""")
+def q_tag_avg_sorted(spark, d):
+    """Python split of p_name on ' ', untrimmed."""
+    items = table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("tags"))
+    return R.tag_avg_sorted(_line_ratings(spark, d), items, item_key="item_id", tags="tags", sep=" ", tag_out="tag")
+
+
+@register("q_item_by_group_long", f"""
+SELECT e.event_type AS item_id, c.c_mktsegment, {_AVG_VAL} AS avg_rating
+FROM events e JOIN customer c ON e.user_id = c.c_custkey
+WHERE e.value IS NOT NULL
+GROUP BY 1, 2 ORDER BY 1, 2
+""")
+def q_item_by_group_long(spark, d):
+    """(event_type, c_mktsegment) long form."""
+    return R.item_by_group_long(_event_ratings(spark, d), _customers(spark, d), None, item_key="item_id",
+                                group="c_mktsegment", numeric_item=False)
+
+
+@register("q_item_by_bin_long", f"""
+SELECT e.event_type AS item_id,
+       CASE WHEN c.c_acctbal < 0 THEN '<0' WHEN c.c_acctbal < 2000 THEN '0-2000'
+            WHEN c.c_acctbal < 4000 THEN '2000-4000' WHEN c.c_acctbal < 6000 THEN '4000-6000'
+            WHEN c.c_acctbal < 8000 THEN '6000-8000' WHEN c.c_acctbal IS NOT NULL THEN '8000+'
+            ELSE 'Unknown' END AS acct_group,
+       {_AVG_VAL} AS avg_rating
+FROM events e JOIN customer c ON e.user_id = c.c_custkey
+WHERE e.value IS NOT NULL
+GROUP BY 1, 2 ORDER BY 1, 2
+""")
+def q_item_by_bin_long(spark, d):
+    """Six half-open bins of c_acctbal, unparsable -> Unknown."""
+    return R.item_by_bin_long(_event_ratings(spark, d), _customers(spark, d), None, item_key="item_id",
+                              value="c_acctbal", value_type="double", edges=ACCT_EDGES_LEFT,
+                              labels=ACCT_LABELS_LEFT, group_out="acct_group", numeric_item=False)
+
+
+@register("q_occupation_stats", f"""
+WITH u AS (
+  SELECT e.value, COALESCE(c.c_nationkey, -1) AS occ
+  FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+  WHERE e.value IS NOT NULL)
+SELECT COALESCE(n.n_name, 'Unknown') AS occupation, {_AVG_VAL} AS avg_rating, COUNT(value) AS n_ratings
+FROM u LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 0) n ON u.occ = n.n_nationkey
+GROUP BY 1 ORDER BY avg_rating DESC, occupation ASC
+""")
+def q_occupation_stats(spark, d):
+    """User -> c_nationkey (default -1) -> n_name of nations outside region 0 (default Unknown)."""
+    users = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"),
+                                                F.col("c_nationkey").alias("occupation_id"))
+    occ = (table(spark, d, "nation").where(F.col("n_regionkey") != 0)
+           .select(F.col("n_nationkey").alias("occupation_id"), F.col("n_name").alias("occupation")))
+    return R.occupation_stats(_event_ratings(spark, d), users, occ, missing_key=-1)
+
+
+def epoch_seconds_text(ts):
+    """Epoch-seconds text of a zone-less timestamp (the ratings files' format)."""
+    c = F.col(ts)
+    secs = (F.unix_date(F.to_date(c)).cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+            + F.floor(F.second(c)))
+    return secs.cast("string")
+
+
+@register("q_year_stats", """
+SELECT CAST(year(DATE '1970-01-01' + CAST(floor(epoch(o_orderdate) / 86400) AS INTEGER)) AS INTEGER) AS year,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS avg_rating,
+       COUNT(o_totalprice) AS n_ratings
+FROM orders WHERE o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL
+GROUP BY 1 ORDER BY 1
+""")
+def q_year_stats(spark, d):
+    """Orders as ratings (o_totalprice) stamped with the epoch-seconds text of o_orderdate."""
+    o = table(spark, d, "orders").select(epoch_seconds_text("o_orderdate").alias("ts"),
+                                         F.col("o_totalprice").alias("rating"))
+    return R.year_stats(o)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.binning import bucketize
-from quarry.functions.parsing import epoch_year, split_fields
+from quarry.functions.parsing import epoch_year, java_trim, split_fields
 from quarry.operators.aggregates import CNT, SUM, finish_avg, merge_partials, partial_sums, pivot_avg
 from quarry.operators.joins import lookup_inner, lookup_with_default
 from quarry.operators.ranking import argmax_row
@@ -61,7 +61,7 @@ def tag_rating_stats(ratings: DataFrame, items: DataFrame, item_key: str = "movi
     parts = split_fields(tags, sep, drop_trailing_empty=drop_trailing_empty)
     exploded = tagged.select(F.explode(parts).alias(tag_out), SUM, CNT)
     if trim:
-        exploded = exploded.withColumn(tag_out, F.trim(tag_out))
+        exploded = exploded.withColumn(tag_out, java_trim(tag_out))
     return finish_avg(merge_partials(exploded, [tag_out]))
 
 
