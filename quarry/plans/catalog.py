@@ -258,3 +258,158 @@ def q_year_stats(spark, d):
     o = table(spark, d, "orders").select(epoch_seconds_text("o_orderdate").alias("ts"),
                                          F.col("o_totalprice").alias("rating"))
     return R.year_stats(o)
+
+
+# ------------------------------------------------------------------ reviews
+# documents as reviews: id = doc_id, comment = text, dim3 = lang, dim4 = source;
+# sentiment from labels (quality 1 = positive, 0 = negative).
+
+# The stop list used on the documents (function words of the
+# four languages; one two-word entry that can never match a single token and
+# one repeated entry, as in the original list).
+DOC_STOP_WORDS = (
+    "the", "of", "and", "to", "in", "a", "is", "that", "it", "for", "on", "was", "as", "with",
+    "be", "by", "this", "are", "at", "an", "from",
+    "de", "la", "le", "les", "des", "et", "en", "un", "que", "du",
+    "der", "die", "das", "und", "den", "ist", "es",
+    "el", "los", "y", "las", "del",
+    "of the", "the",
+)
+FREQUENT_THRESHOLD = 500
+TOP_K = 5
+
+from quarry.plans import reviews as V  # noqa: E402
+
+
+def _stop(spark):
+    # A list fixed in code: bounded by construction, so it is broadcast.
+    return F.broadcast(spark.createDataFrame([(w,) for w in DOC_STOP_WORDS], "stopword string"))
+
+
+def _stop_sql():
+    vals = ", ".join("('" + w.replace("'", "''") + "')" for w in DOC_STOP_WORDS)
+    return f"(VALUES {vals}) AS stop(stopword)"
+
+
+_TOKENS = "unnest(list_filter(string_split_regex(lower(text), '[ \",()*]+'), lambda x: x <> ''))"
+
+
+def _documents(spark, d, *cols):
+    return table(spark, d, "documents").select(*cols)
+
+
+def _label_counts(spark, d, only: str | None = None):
+    """labels pre-aggregated to (doc_id, sentiment, n): a document with many
+    label rows becomes a weight instead of many copies of its text."""
+    lab = table(spark, d, "labels")
+    s = (F.when(F.col("quality") == 1, F.lit("positive"))
+          .when(F.col("quality") == 0, F.lit("negative")))
+    counted = lab.groupBy("doc_id", s.alias("sentiment")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("sentiment") == only) if only else counted
+
+
+_SENT_SQL = "CASE WHEN l.quality = 1 THEN 'positive' WHEN l.quality = 0 THEN 'negative' END"
+
+
+@register("q_clean_tokens", f"""
+WITH t AS (SELECT doc_id, {_TOKENS} AS word FROM documents)
+SELECT doc_id, word FROM t
+WHERE NOT EXISTS (SELECT 1 FROM {_stop_sql()} WHERE stop.stopword = t.word)
+""")
+def q_clean_tokens(spark, d):
+    """(doc_id, word) for every non-stop token of every document."""
+    return V.clean_tokens(_documents(spark, d, "doc_id", "text"), _stop(spark), id_col="doc_id", text_col="text")
+
+
+@register("q_frequent_words", f"""
+WITH t AS (SELECT doc_id, {_TOKENS} AS word FROM documents)
+SELECT word, COUNT(doc_id) AS word_count FROM t
+WHERE NOT EXISTS (SELECT 1 FROM {_stop_sql()} WHERE stop.stopword = t.word)
+GROUP BY word HAVING COUNT(doc_id) > {FREQUENT_THRESHOLD}
+""")
+def q_frequent_words(spark, d):
+    """Non-stop words seen more than 500 times."""
+    return V.frequent_words(q_clean_tokens(spark, d), FREQUENT_THRESHOLD, id_col="doc_id")
+
+
+@register("q_docs_per_source", """
+SELECT source, COUNT(DISTINCT doc_id) AS num_docs FROM documents GROUP BY source
+""")
+def q_docs_per_source(spark, d):
+    """N8 (4th column -> source)."""
+    return V.comments_per_value(_documents(spark, d, "doc_id", "source"), "source", "doc_id", out="num_docs")
+
+
+@register("q_docs_per_lang", """
+SELECT lang, COUNT(DISTINCT doc_id) AS num_docs FROM documents GROUP BY lang
+""")
+def q_docs_per_lang(spark, d):
+    """N9 (3rd column -> lang)."""
+    return V.comments_per_value(_documents(spark, d, "doc_id", "lang"), "lang", "doc_id", out="num_docs")
+
+
+@register("q_top_source_by_sentiment", f"""
+WITH c AS (
+  SELECT {_SENT_SQL} AS sentiment, d.source, COUNT(d.doc_id) AS total
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+  WHERE {_SENT_SQL} IN ('positive', 'negative')
+  GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY total DESC, source ASC NULLS FIRST) AS rn FROM c)
+SELECT sentiment, source, total FROM r WHERE rn = 1
+""")
+def q_top_source_by_sentiment(spark, d):
+    """The source with most positive rows and the one with most negative rows."""
+    docs = _documents(spark, d, "doc_id", "source").join(_label_counts(spark, d), "doc_id")
+    return V.top_value_by_sentiment(docs, "source", "sentiment", "doc_id", weight="n")
+
+
+def _top_words_sql(where: str, join: str) -> str:
+    return f"""
+WITH t AS (SELECT d.lang, {_TOKENS} AS word FROM documents d {join} {where}),
+c AS (SELECT lang, word, COUNT(lang) AS cnt FROM t
+      WHERE NOT EXISTS (SELECT 1 FROM {_stop_sql()} WHERE stop.stopword = t.word)
+      GROUP BY lang, word),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY cnt DESC, word ASC) AS rn FROM c)
+SELECT lang, word, cnt FROM r WHERE rn <= {TOP_K}"""
+
+
+def _labelled(spark, d, sentiment):
+    docs = _documents(spark, d, "doc_id", "text", "lang")
+    return docs.join(_label_counts(spark, d, sentiment), "doc_id")
+
+
+@register("q_top_words_positive", _top_words_sql("WHERE l.quality = 1", "JOIN labels l ON d.doc_id = l.doc_id"))
+def q_top_words_positive(spark, d):
+    """Per lang, top 5 words of positively labelled documents."""
+    counts = V.word_counts(_labelled(spark, d, "positive"), _stop(spark), "lang", "sentiment", "text", weight="n")
+    return V.top_words(None, None, "lang", "positive", TOP_K, counts=counts)
+
+
+@register("q_top_words_negative", _top_words_sql("WHERE l.quality = 0", "JOIN labels l ON d.doc_id = l.doc_id"))
+def q_top_words_negative(spark, d):
+    """Per lang, top 5 words of negatively labelled documents."""
+    counts = V.word_counts(_labelled(spark, d, "negative"), _stop(spark), "lang", "sentiment", "text", weight="n")
+    return V.top_words(None, None, "lang", "negative", TOP_K, counts=counts)
+
+
+@register("q_top_words", _top_words_sql("", ""))
+def q_top_words(spark, d):
+    """Per lang, top 5 words of all documents."""
+    return V.top_words(_documents(spark, d, "text", "lang"), _stop(spark), "lang", None, TOP_K, text_col="text")
+
+
+@register("q_nested_top_words", f"""
+WITH t AS (SELECT lang, {_TOKENS} AS word FROM documents),
+c AS (SELECT lang, word, COUNT(lang) AS cnt FROM t
+      WHERE NOT EXISTS (SELECT 1 FROM {_stop_sql()} WHERE stop.stopword = t.word)
+      GROUP BY lang, word),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY cnt DESC, word ASC) AS rn FROM c)
+SELECT lang || ',{{' || string_agg('(' || lang || ',' || word || ',' || CAST(cnt AS VARCHAR) || ')', ',' ORDER BY rn) || '}}' AS line
+FROM r WHERE rn <= {TOP_K} GROUP BY lang
+""")
+def q_nested_top_words(spark, d):
+    """N13 in its nested-bag text form: ``lang,{(lang,word,cnt),...}``."""
+    from quarry.sinks.text import nested_bag_text
+    nested = V.top_words_nested(_documents(spark, d, "text", "lang"), _stop(spark), "lang", None, TOP_K,
+                                text_col="text")
+    return nested_bag_text(nested, "lang", "top_words", ["lang", "word", "cnt"])
