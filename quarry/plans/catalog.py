@@ -413,3 +413,182 @@ def q_nested_top_words(spark, d):
     nested = V.top_words_nested(_documents(spark, d, "text", "lang"), _stop(spark), "lang", None, TOP_K,
                                 text_col="text")
     return nested_bag_text(nested, "lang", "top_words", ["lang", "word", "cnt"])
+
+
+# ----------------------------------------------------------------- commerce
+# The star-schema tables seen as the e-commerce tables:
+#   Orders        Order_ID = o_orderkey, Customer_Trx_ID = o_custkey,
+#                 Order_Purchase_Timestamp = o_orderdate, expected delivery = o_orderdate + 30 days
+#   Order_Items   Order_ID = l_orderkey, Order_Item_ID = l_linenumber, Product_ID = l_partkey,
+#                 Seller_ID = l_suppkey, Price = l_extendedprice, Freight_Value = l_extendedprice * l_tax
+#                 (exact decimals), actual delivery = l_shipdate
+#   Products      Product_ID = p_partkey, Product_Category_Name = p_type
+#   Customer_List Customer_Trx_ID = c_custkey, Customer_Country = n_name
+#   Order_Reviews Order_ID = event_id, Review_Score = the text of props.k
+
+from quarry.plans import commerce as C  # noqa: E402
+
+REVENUE_YEAR = 1998
+SEGMENT_VIP_MIN_AVG = 50000
+
+_PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+_REV = f"({_PRICE} + {_PRICE} * CAST(l_tax AS DECIMAL(18,2)))"
+_SCORE = "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)"
+
+
+def _ec_orders(spark, d):
+    o = table(spark, d, "orders")
+    return o.select(F.col("o_orderkey").alias("Order_ID"), F.col("o_custkey").alias("Customer_Trx_ID"),
+                    F.col("o_orderdate").alias("Order_Purchase_Timestamp"))
+
+
+def _ec_items(spark, d):
+    li = table(spark, d, "lineitem")
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    return li.select(F.col("l_orderkey").alias("Order_ID"), F.col("l_linenumber").alias("Order_Item_ID"),
+                     F.col("l_partkey").alias("Product_ID"), F.col("l_suppkey").alias("Seller_ID"),
+                     price.alias("Price"), (price * F.col("l_tax").cast("decimal(18,2)")).alias("Freight_Value"))
+
+
+def _ec_products(spark, d):
+    return table(spark, d, "part").select(F.col("p_partkey").alias("Product_ID"),
+                                          F.col("p_type").alias("Product_Category_Name"))
+
+
+def _ec_customers(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_custkey").alias("Customer_Trx_ID"),
+                                                             F.col("n_name").alias("Customer_Country"))
+
+
+def _ec_reviews(spark, d):
+    e = table(spark, d, "events")
+    return e.select(F.col("event_id").alias("Order_ID"),
+                    F.get_json_object("props", "$.k").alias("Review_Score"))
+
+
+@register("q_entity_totals", """
+SELECT (SELECT COUNT(DISTINCT o_orderkey) + MAX(CASE WHEN o_orderkey IS NULL THEN 1 ELSE 0 END) FROM orders) AS total_orders,
+       (SELECT COUNT(DISTINCT c_custkey) + MAX(CASE WHEN c_custkey IS NULL THEN 1 ELSE 0 END) FROM customer) AS total_customers,
+       (SELECT COUNT(DISTINCT l_suppkey) + MAX(CASE WHEN l_suppkey IS NULL THEN 1 ELSE 0 END) FROM lineitem) AS total_sellers
+""")
+def q_entity_totals(spark, d):
+    """Distinct orders, customers and sellers (null counted as a value)."""
+    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("Customer_Trx_ID"))
+    return C.entity_totals(_ec_orders(spark, d), customers, _ec_items(spark, d))
+
+
+@register("q_orders_by_country", """
+SELECT n.n_name AS country, COUNT(DISTINCT o.o_orderkey) AS total_orders
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY n.n_name ORDER BY total_orders DESC, country ASC
+""")
+def q_orders_by_country(spark, d):
+    """N23."""
+    return C.orders_by_country(_ec_orders(spark, d), _ec_customers(spark, d))
+
+
+@register("q_orders_by_year_month", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       COUNT(o_orderkey) AS total_orders
+FROM orders GROUP BY 1, 2 ORDER BY year ASC NULLS FIRST, month DESC NULLS LAST
+""")
+def q_orders_by_year_month(spark, d):
+    """N24."""
+    return C.orders_by_year_month(_ec_orders(spark, d))
+
+
+@register("q_review_average", f"""
+SELECT CAST(ROUND(CAST(CAST(SUM(s) AS DOUBLE) / NULLIF(COUNT(s), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS average_score
+FROM (SELECT {_SCORE} AS s FROM events) WHERE s BETWEEN 1 AND 5
+""")
+def q_review_average(spark, d):
+    """scores = props.k kept when an integer in 1..5."""
+    return C.review_average(_ec_reviews(spark, d))
+
+
+@register("q_review_distribution", f"""
+SELECT s AS score, COUNT(*) AS total_reviews
+FROM (SELECT {_SCORE} AS s FROM events) WHERE s BETWEEN 1 AND 5
+GROUP BY s ORDER BY s
+""")
+def q_review_distribution(spark, d):
+    """N26."""
+    return C.review_distribution(_ec_reviews(spark, d))
+
+
+@register("q_revenue_by_category", f"""
+SELECT p.p_type AS category, CAST(SUM({_REV}) AS DOUBLE) AS total_revenue
+FROM lineitem l
+JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN part p ON l.l_partkey = p.p_partkey
+WHERE o.o_orderdate >= TIMESTAMP '{REVENUE_YEAR}-01-01' AND o.o_orderdate < TIMESTAMP '{REVENUE_YEAR + 1}-01-01'
+GROUP BY p.p_type ORDER BY total_revenue DESC, category ASC
+""")
+def q_revenue_by_category(spark, d):
+    """N27 for purchases in 1998."""
+    return C.revenue_by_category(_ec_items(spark, d), _ec_orders(spark, d), _ec_products(spark, d),
+                                 year=REVENUE_YEAR)
+
+
+@register("q_category_sales_and_score", f"""
+WITH r AS (SELECT event_id, {_SCORE} AS s FROM events),
+rc AS (SELECT event_id, s FROM r WHERE s BETWEEN 1 AND 5),
+j AS (SELECT p.p_type, l.l_linenumber, rc.s
+      FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+      LEFT JOIN rc ON l.l_orderkey = rc.event_id)
+SELECT p_type AS category, COUNT(l_linenumber) AS total_orders,
+       CAST(ROUND(CAST(CAST(SUM(s) AS DOUBLE) / NULLIF(COUNT(s), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS average_review_score
+FROM j GROUP BY p_type ORDER BY total_orders DESC, category ASC
+""")
+def q_category_sales_and_score(spark, d):
+    """Items x products, left-joined to the cleaned scores of their order."""
+    return C.category_sales_and_score(_ec_items(spark, d), _ec_products(spark, d), _ec_reviews(spark, d))
+
+
+@register("q_delivery_performance", """
+SELECT l.l_orderkey AS order_id, l.l_partkey AS product_id, l.l_shipdate AS actual_date,
+       o.o_orderdate + INTERVAL 30 DAY AS expected_date,
+       CAST(date_diff('day', CAST(o.o_orderdate + INTERVAL 30 DAY AS DATE), CAST(l.l_shipdate AS DATE)) AS INTEGER) AS delivery_diff_days,
+       CASE WHEN date_diff('day', CAST(o.o_orderdate + INTERVAL 30 DAY AS DATE), CAST(l.l_shipdate AS DATE)) > 0
+            THEN 'Late' ELSE 'On Time / Early' END AS delivery_status
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+WHERE l.l_shipdate IS NOT NULL
+""")
+def q_delivery_performance(spark, d):
+    """actual = l_shipdate, expected = o_orderdate + 30 days."""
+    orders = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("Order_ID"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("Shipping_Limit_Date"))
+    items = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("Order_ID"),
+                                               F.col("l_partkey").alias("Product_ID"),
+                                               F.col("l_shipdate").alias("Order_Delivered_Carrier_Date"))
+    return C.delivery_performance(orders, items)
+
+
+@register("q_customer_segments", f"""
+WITH j AS (SELECT o.o_custkey, o.o_orderkey, {_REV} AS v
+           FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey),
+s AS (SELECT o_custkey AS customer_id, COUNT(DISTINCT o_orderkey) AS total_orders,
+             CAST(ROUND(CAST(CAST(SUM(v) AS DOUBLE) / NULLIF(COUNT(v), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_order_value
+      FROM j GROUP BY o_custkey)
+SELECT customer_id, total_orders, avg_order_value,
+       CASE WHEN total_orders >= 10 AND avg_order_value >= {SEGMENT_VIP_MIN_AVG} THEN 'VIP Customer'
+            WHEN total_orders >= 5 THEN 'Frequent Customer' ELSE 'Regular Customer' END AS customer_group
+FROM s
+""")
+def q_customer_segments(spark, d):
+    """N30 with the VIP average set to 50,000 (the rule's 500 scaled to these prices)."""
+    return C.customer_segments(_ec_orders(spark, d), _ec_items(spark, d), vip_min_avg=SEGMENT_VIP_MIN_AVG)
+
+
+@register("q_seller_ranking", f"""
+SELECT l_suppkey AS seller_id, CAST(ROUND(SUM({_REV}), 2) AS DOUBLE) AS total_revenue,
+       COUNT(DISTINCT l_orderkey) AS total_orders
+FROM lineitem GROUP BY l_suppkey
+ORDER BY total_revenue DESC, total_orders DESC, seller_id ASC
+""")
+def q_seller_ranking(spark, d):
+    """N31."""
+    return C.seller_ranking(_ec_items(spark, d))
