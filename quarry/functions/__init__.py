@@ -14,10 +14,10 @@ from quarry.functions.parsing import (
     to_timestamp_any,
     try_number,
 )
-from quarry.functions.text import PIG_DELIMITERS, tokenize
+from quarry.functions.text import PIG_DELIMITERS, explode_tokens, tokenize
 
 __all__ = [
-    "PIG_DELIMITERS", "bucketize", "epoch_year", "exact", "field", "java_trim", "last_field",
+    "PIG_DELIMITERS", "bucketize", "explode_tokens", "epoch_year", "exact", "field", "java_trim", "last_field",
     "middle_join", "ratio", "round_half_even", "round_half_up", "split_fields",
     "strict_number", "to_timestamp_any", "tokenize", "try_number",
 ]

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import PIG_DELIMITERS, tokenize
+from quarry.functions.text import PIG_DELIMITERS, explode_tokens
 from quarry.operators.joins import anti_join_words
 from quarry.operators.ranking import nested_top_k, top_k_per_group
 
@@ -35,7 +35,7 @@ NEGATIVE = "negative"
 def tokens(reviews: DataFrame, keep: Sequence[str], text_col: str = "comment",
            delimiters: str = PIG_DELIMITERS) -> DataFrame:
     """``keep`` columns + one ``word`` row per token of the lower-cased text."""
-    return reviews.select(*keep, F.explode(tokenize(text_col, delimiters)).alias("word"))
+    return explode_tokens(reviews, keep, text_col, delimiters)
 
 
 def clean_tokens(reviews: DataFrame, stop: DataFrame, id_col: str = "id", text_col: str = "comment",
@@ -85,21 +85,27 @@ def word_counts(reviews: DataFrame, stop: DataFrame, category_col: str = "dim3",
                 sentiment_col: str | None = "sentiment", text_col: str = "comment",
                 stop_col: str = "stopword", delimiters: str = PIG_DELIMITERS,
                 weight: str | None = None) -> DataFrame:
-    """(sentiment, category, word, cnt) with sentiment lower-cased: the one
-    table the three top-words reports are cut from.  ``weight``: each input
+    """(sentiment, category, word, cnt) with sentiment lower-cased -- the one
+    table the three top-words reports are cut from -- or (category, word, cnt)
+    when ``sentiment_col`` is None.  ``weight``: each input
     row stands for that many identical rows."""
-    keep = [F.col(category_col).alias("_cat"),
-            (F.lower(F.col(sentiment_col)) if sentiment_col else F.lit(None).cast("string")).alias("sentiment")]
+    keep = [F.col(category_col).alias("_cat")]
+    keys = ["_cat", "word"]
+    if sentiment_col:
+        keep.append(F.lower(F.col(sentiment_col)).alias("sentiment"))
+        keys.insert(0, "sentiment")
     if weight:
         keep.append(F.col(weight).alias("_w"))
-    words = reviews.select(*keep, F.explode(tokenize(text_col, delimiters)).alias("word"))
+    words = explode_tokens(reviews, keep, text_col, delimiters)
     clean = anti_join_words(words, stop, "word", stop_col)
-    return (clean.groupBy("sentiment", "_cat", "word").agg(_count("_cat", "_w" if weight else None).alias("cnt"))
+    return (clean.groupBy(*keys).agg(_count("_cat", "_w" if weight else None).alias("cnt"))
                  .withColumnRenamed("_cat", category_col))
 
 
 def _pick(counts: DataFrame, category_col: str, sentiment: str | None) -> DataFrame:
     if sentiment is None:
+        if "sentiment" not in counts.columns:
+            return counts
         return counts.groupBy(category_col, "word").agg(F.sum("cnt").alias("cnt"))
     return counts.where(F.col("sentiment") == sentiment).select(category_col, "word", "cnt")
 
