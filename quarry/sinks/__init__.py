@@ -2,10 +2,11 @@
 
 from quarry.sinks.text import (
     nested_bag_text,
+    ordered,
     report_lines,
     write_delimited,
     write_kv_text,
     write_lines,
 )
 
-__all__ = ["nested_bag_text", "report_lines", "write_delimited", "write_kv_text", "write_lines"]
+__all__ = ["nested_bag_text", "ordered", "report_lines", "write_delimited", "write_kv_text", "write_lines"]

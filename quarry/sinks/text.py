@@ -34,41 +34,48 @@ def nested_bag_text(df: DataFrame, group_col: str, bag_col: str, fields: Sequenc
                               F.array_join(F.transform(bag_col, tup), ","), F.lit("}")).alias(out))
 
 
-def report_lines(df: DataFrame, sort_cols: Sequence[str], line: Column, header: str | None = None,
-                 section_col: str | None = None, separator: str | None = None,
-                 footer: DataFrame | None = None) -> DataFrame:
-    """A formatted report as rows (sort keys..., _rank, line).
-
-    One data line per row; when ``section_col`` is given, a ``separator``
-    line is emitted before each new section value (one extra row per distinct
-    value, ranked before that section's data lines).  ``header`` becomes the
-    first line, ``footer`` (a DataFrame with a ``line`` column) the last ones.
-    No driver collect and no global window: order is restored by ``orderBy``
-    at write time (``write_lines``).
+def report_lines(df: DataFrame, keys: Sequence[Column], line: Column, header: str | None = None,
+                 separator: str | None = None, footer: Sequence[Column] | None = None,
+                 footer_df: DataFrame | None = None) -> DataFrame:
+    """A formatted report as rows (_part, _k0.._kn, _rank, line).
+
+    One data line per row of ``df``, ordered by the ``keys`` expressions
+    (ascending; negate a number for descending).  With ``separator``, one
+    separator line precedes each new value of the first key (one extra row per
+    distinct value, ranked before that section's data lines).  ``header`` is
+    the first line; ``footer`` expressions, evaluated on ``footer_df`` (one row,
+    e.g. a best-item result), become the last lines in the given order.
+    No driver collect and no global window: ``write_lines`` restores the order
+    with a distributed sort at write time.
     """
-    keys = list(sort_cols)
-    data = df.select(*[F.col(k) for k in keys], F.lit(1).alias("_part"), F.lit(1).alias("_rank"),
-                     line.alias("line"))
+    names = [f"_k{i}" for i in range(len(keys))]
+    keyed = df.select(*[k.alias(n) for k, n in zip(keys, names)], line.alias("line"))
+    data = keyed.select(F.lit(1).alias("_part"), *names, F.lit(1).alias("_rank"), "line")
     parts = [data]
-    if section_col is not None and separator is not None:
-        firsts = df.groupBy(section_col).agg(*[F.min(k).alias(k) for k in keys if k != section_col])
-        seps = firsts.select(*[F.col(k) for k in keys], F.lit(1).alias("_part"), F.lit(0).alias("_rank"),
-                             F.lit(separator).alias("line"))
-        parts.append(seps)
-    nulls = [F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys]
+    if separator is not None:
+        firsts = keyed.groupBy(names[0]).agg(*[F.min(n).alias(n) for n in names[1:]])
+        parts.append(firsts.select(F.lit(1).alias("_part"), *names, F.lit(0).alias("_rank"),
+                                   F.lit(separator).alias("line")))
+    nulls = [F.lit(None).cast(keyed.schema[n].dataType).alias(n) for n in names]
     if header is not None:
-        spark = df.sparkSession
-        parts.append(spark.range(1).select(*nulls, F.lit(0).alias("_part"), F.lit(0).alias("_rank"),
-                                           F.lit(header).alias("line")))
-    if footer is not None:
-        parts.append(footer.select(*nulls, F.lit(2).alias("_part"), F.lit(0).alias("_rank"), F.col("line")))
+        parts.append(df.sparkSession.range(1).select(F.lit(0).alias("_part"), *nulls, F.lit(0).alias("_rank"),
+                                                     F.lit(header).alias("line")))
+    if footer:
+        src = footer_df if footer_df is not None else df
+        lines = src.select(F.posexplode(F.array(*footer)).alias("_rank", "line"))
+        parts.append(lines.select(F.lit(2).alias("_part"), *nulls, F.col("_rank").cast("int").alias("_rank"), "line"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def write_lines(report: DataFrame, sort_cols: Sequence[str], path: str, mode: str = "errorifexists") -> None:
-    """Write ``report_lines`` output in order."""
-    order = ["_part"] + list(sort_cols) + ["_rank"]
-    report.orderBy(*order).select("line").write.mode(mode).text(path)
+def ordered(report: DataFrame) -> DataFrame:
+    """The report's lines in report order (a distributed sort)."""
+    keys = sorted(c for c in report.columns if c.startswith("_k"))
+    return report.orderBy("_part", *keys, "_rank").select("line")
+
+
+def write_lines(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write ``report_lines`` output in order (part files in key order)."""
+    ordered(report).write.mode(mode).text(path)
