@@ -72,7 +72,11 @@ def distinct_totals(parts: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     (partial distinct per entity, one shuffle on (entity, key)) computes all
     counts; the result is folded to one row without any join.
     """
-    longs = [df.select(F.lit(name).alias("_entity"), F.col(col).cast("string").alias("_key"))
+    types = {df.schema[col].dataType for _, df, col in parts}
+    # Keep the native key type when all agree (narrower rows to shuffle).
+    cast = None if len(types) == 1 else "string"
+    longs = [df.select(F.lit(name).alias("_entity"),
+                       (F.col(col).cast(cast) if cast else F.col(col)).alias("_key"))
              for name, df, col in parts]
     unioned = longs[0]
     for other in longs[1:]:

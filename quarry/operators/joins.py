@@ -16,7 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# The estimate of a parquet scan is its compressed size; in memory the side is
+# several times larger, so the hint limit stays well under executor memory.
+DEFAULT_BROADCAST_LIMIT = 32 * 1024 * 1024
 
 
 def estimated_size(df: DataFrame) -> int | None:

@@ -282,8 +282,10 @@ from quarry.plans import reviews as V  # noqa: E402
 
 
 def _stop(spark):
-    # A list fixed in code: bounded by construction, so it is broadcast.
-    return F.broadcast(spark.createDataFrame([(w,) for w in DOC_STOP_WORDS], "stopword string"))
+    # A list fixed in code: bounded by construction, so it is broadcast.  Built
+    # as a literal relation on the JVM side (no Python-backed scan).
+    words = spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in DOC_STOP_WORDS])).alias("stopword"))
+    return F.broadcast(words)
 
 
 def _stop_sql():
