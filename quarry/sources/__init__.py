@@ -6,6 +6,7 @@ from quarry.sources.ratings_text import (
     JAVA,
     PYTHON,
     read_movies,
+    parse_ratings,
     read_occupations,
     read_ratings,
     read_users,
@@ -14,6 +15,6 @@ from quarry.sources.schema import schema_report
 from quarry.sources.tables import table
 
 __all__ = [
-    "JAVA", "PYTHON", "read_csv", "read_delimited", "read_movies", "read_occupations",
+    "JAVA", "PYTHON", "parse_ratings", "read_csv", "read_delimited", "read_movies", "read_occupations",
     "read_ratings", "read_users", "read_wordlist", "schema_report", "table",
 ]

@@ -37,15 +37,18 @@ def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(paths)
 
 
+def _split(lines: DataFrame, dialect: str) -> DataFrame:
+    return lines.select(split_fields("value", ",", drop_trailing_empty=dialect == JAVA).alias("p"))
+
+
 def _parts(spark, paths, dialect):
-    trimmed = dialect == JAVA
-    lines = _lines(spark, paths)
-    return lines.select(split_fields("value", ",", drop_trailing_empty=trimmed).alias("p")), trimmed
+    return _split(_lines(spark, paths), dialect), dialect == JAVA
 
 
-def read_ratings(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
-    """user_id, movie_id, rating (double), ts (string)."""
-    df, trimmed = _parts(spark, paths, dialect)
+def parse_ratings(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
+    """Rating lines (a ``value`` column, batch or streaming) -> user_id,
+    movie_id, rating (double), ts (string)."""
+    df = _split(lines, dialect)
     if dialect == JAVA:
         df = df.where(F.size("p") >= 3)
         out = df.select(field("p", 0, True).alias("user_id"), field("p", 1, True).alias("movie_id"),
@@ -56,6 +59,11 @@ def read_ratings(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
                      F.trim(field("p", 3)).alias("ts"))
 
 
+def read_ratings(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
+    """user_id, movie_id, rating (double), ts (string)."""
+    return parse_ratings(_lines(spark, paths), dialect)
+
+
 def read_movies(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
     """movie_id, title, genres (raw text of the last field)."""
     df, _ = _parts(spark, paths, dialect)
