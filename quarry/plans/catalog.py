@@ -594,3 +594,141 @@ ORDER BY total_revenue DESC, total_orders DESC, seller_id ASC
 def q_seller_ranking(spark, d):
     """N31."""
     return C.seller_ranking(_ec_items(spark, d))
+
+
+# ------------------------------------------------------ operator-level queries
+
+from quarry.operators.sets import union_all  # noqa: E402
+from quarry.plans import reports as P  # noqa: E402
+from quarry.sinks.text import ordered  # noqa: E402
+from quarry.sources.ratings_text import JAVA, PYTHON, parse_movies, parse_ratings  # noqa: E402
+
+
+def _rating_lines(spark, d, sep):
+    """lineitem rendered as rating text lines: user, item, rating, epoch seconds."""
+    li = table(spark, d, "lineitem")
+    return li.select(F.concat_ws(sep, "l_orderkey", "l_partkey", F.col("l_quantity").cast("string"),
+                                 epoch_seconds_text("l_shipdate")).alias("value"))
+
+
+def _movie_lines(spark, d, sep):
+    """part rendered as movie text lines: id, title, '|'-joined words of the name."""
+    p = table(spark, d, "part")
+    return p.select(F.concat_ws(sep, "p_partkey", "p_name", F.regexp_replace("p_name", " ", "|")).alias("value"))
+
+
+_JT = "regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
+
+@register("q_item_rating_stats_text", f"""
+WITH r AS (SELECT string_split(concat_ws(', ', l_orderkey, l_partkey, CAST(l_quantity AS VARCHAR)), ',') AS f
+           FROM lineitem),
+rp AS (SELECT {_JT.format(x='f[2]')} AS movie_id, TRY_CAST({_JT.format(x='f[3]')} AS DOUBLE) AS rating
+       FROM r WHERE len(f) >= 3),
+m AS (SELECT string_split(concat_ws(', ', p_partkey, p_name), ',') AS f FROM part),
+mp AS (SELECT {_JT.format(x='f[1]')} AS movie_id, {_JT.format(x='f[2]')} AS title FROM m WHERE len(f) >= 2)
+SELECT title, CAST(SUM(CAST(rating AS DECIMAL(18,2))) AS DOUBLE) / COUNT(rating) AS avg_rating,
+       COUNT(rating) AS n_ratings
+FROM rp JOIN mp ON rp.movie_id = mp.movie_id
+WHERE rating IS NOT NULL GROUP BY title
+""")
+def q_item_rating_stats_text(spark, d):
+    """N1 through the positional-text path: lineitem and part rendered as
+    ', '-separated lines, parsed with Java split/trim/skip rules."""
+    return R.item_rating_stats(parse_ratings(_rating_lines(spark, d, ", "), JAVA),
+                               parse_movies(_movie_lines(spark, d, ", "), JAVA))
+
+
+@register("q_item_stats_text_strict", f"""
+WITH r AS (SELECT string_split(concat_ws(',', l_orderkey, l_partkey, CAST(l_quantity AS VARCHAR)), ',') AS f
+           FROM lineitem),
+s AS (SELECT f[2] AS movie_id, CAST(SUM(CAST(CAST(f[3] AS DOUBLE) AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS avg_rating,
+             COUNT(*) AS n_ratings
+      FROM r GROUP BY f[2] HAVING COUNT(*) >= {MIN_RATINGS_BY_ID}),
+m AS (SELECT string_split(concat_ws(',', p_partkey, p_name, replace(p_name, ' ', '|')), ',') AS f FROM part)
+SELECT s.movie_id, array_to_string(m.f[2:len(m.f) - 1], ',') AS title, s.avg_rating, s.n_ratings
+FROM s JOIN m ON s.movie_id = m.f[1]
+""")
+def q_item_stats_text_strict(spark, d):
+    """N14 through the positional-text path with Python split rules, the title
+    rebuilt from the middle fields, and a strict rating parse."""
+    return R.item_stats_min_ratings(parse_ratings(_rating_lines(spark, d, ","), PYTHON),
+                                    parse_movies(_movie_lines(spark, d, ","), PYTHON), min_count=MIN_RATINGS_BY_ID)
+
+
+@register("q_union_all", """
+SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+WHERE o_orderdate < TIMESTAMP '1998-01-01'
+UNION ALL
+SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+WHERE o_orderdate >= TIMESTAMP '1997-01-01'
+""")
+def q_union_all(spark, d):
+    """UNION ALL of two overlapping order slices (1997 appears twice)."""
+    o = table(spark, d, "orders")
+    cols = ["o_orderkey", "o_custkey", F.year("o_orderdate").alias("year")]
+    ts = o.schema["o_orderdate"].dataType
+    return union_all(o.where(F.col("o_orderdate") < F.lit("1998-01-01 00:00:00").cast(ts)).select(*cols),
+                     o.where(F.col("o_orderdate") >= F.lit("1997-01-01 00:00:00").cast(ts)).select(*cols))
+
+
+@register("q_distinct_pairs", """
+SELECT DISTINCT o_custkey, o_orderstatus FROM orders
+""")
+def q_distinct_pairs(spark, d):
+    """DISTINCT over a column pair."""
+    return table(spark, d, "orders").select("o_custkey", "o_orderstatus").distinct()
+
+
+_HALF_UP = "printf('%.2f', ROUND(CAST({x} AS DECIMAL(38,10)), 2))"
+_HALF_EVEN = "printf('%.2f', round_even(CAST({x} AS DECIMAL(38,10)), 2))"
+
+
+@register("q_title_stats_lines", f"""{_STATS_CTE}
+SELECT title || chr(9) || 'AverageRating: ' || {_HALF_UP.format(x='avg_rating')} || ' (TotalRatings: '
+       || CAST(n_ratings AS VARCHAR) || ')' AS line FROM s
+UNION ALL
+SELECT * FROM (SELECT chr(10) || title || chr(9) || 'is the highest rated movie with an average rating of '
+       || {_HALF_UP.format(x='avg_rating')} || ' among movies with at least 5 ratings.' AS line
+       FROM s WHERE n_ratings >= 5 ORDER BY avg_rating DESC, title ASC LIMIT 1)
+""")
+def q_title_stats_lines(spark, d):
+    """N1+N2 in the key<TAB>value text form (sorted lines, best title last)."""
+    stats = q_item_rating_stats(spark, d)
+    return ordered(P.title_stats_lines(stats, R.best_item(stats, min_count=5)))
+
+
+@register("q_group_report_lines", f"""
+WITH s AS (
+  SELECT e.event_type AS item_id, c.c_mktsegment, {_AVG_VAL} AS avg_rating
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey
+  WHERE e.value IS NOT NULL GROUP BY 1, 2)
+SELECT '--- DIEM TRUNG BINH PHIM THEO GIOI TINH ---' AS line
+UNION ALL SELECT repeat('-', 40) FROM (SELECT DISTINCT item_id FROM s)
+UNION ALL
+SELECT 'ID: ' || rpad(item_id, CAST(greatest(length(item_id), 4) AS INTEGER), ' ') || ' | Phim: '
+       || rpad(substr(item_id, 1, 25), CAST(greatest(length(substr(item_id, 1, 25)), 25) AS INTEGER), ' ')
+       || ' | Giới tính: ' || c_mktsegment || ' | Điểm TB: ' || {_HALF_EVEN.format(x='avg_rating')}
+FROM s
+""")
+def q_group_report_lines(spark, d):
+    """N17 as a formatted report: header, a separator before each item,
+    padded and cut fields, averages printed with ties to even."""
+    stats = q_item_by_group_long(spark, d)
+    return ordered(P.gender_report(stats, item_key="item_id", title="item_id", group="c_mktsegment"))
+
+
+@register("q_year_report_lines", f"""
+WITH s AS (
+  SELECT CAST(year(DATE '1970-01-01' + CAST(floor(epoch(o_orderdate) / 86400) AS INTEGER)) AS INTEGER) AS year,
+         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS avg_rating,
+         COUNT(o_totalprice) AS n_ratings
+  FROM orders WHERE o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL GROUP BY 1)
+SELECT '--- THONG KE DANH GIA THEO NAM ---' AS line
+UNION ALL
+SELECT 'Năm: ' || CAST(year AS VARCHAR) || ' | Điểm TB: ' || {_HALF_EVEN.format(x='avg_rating')}
+       || ' | Tổng số lượt đánh giá: ' || CAST(n_ratings AS VARCHAR) FROM s
+""")
+def q_year_report_lines(spark, d):
+    """N20 as a formatted report."""
+    return ordered(P.year_report(q_year_stats(spark, d)))

@@ -6,7 +6,9 @@ from quarry.sources.ratings_text import (
     JAVA,
     PYTHON,
     read_movies,
+    parse_movies,
     parse_ratings,
+    parse_users,
     read_occupations,
     read_ratings,
     read_users,
@@ -15,6 +17,6 @@ from quarry.sources.schema import schema_report
 from quarry.sources.tables import table
 
 __all__ = [
-    "JAVA", "PYTHON", "parse_ratings", "read_csv", "read_delimited", "read_movies", "read_occupations",
+    "JAVA", "PYTHON", "parse_movies", "parse_ratings", "parse_users", "read_csv", "read_delimited", "read_movies", "read_occupations",
     "read_ratings", "read_users", "read_wordlist", "schema_report", "table",
 ]

@@ -41,10 +41,6 @@ def _split(lines: DataFrame, dialect: str) -> DataFrame:
     return lines.select(split_fields("value", ",", drop_trailing_empty=dialect == JAVA).alias("p"))
 
 
-def _parts(spark, paths, dialect):
-    return _split(_lines(spark, paths), dialect), dialect == JAVA
-
-
 def parse_ratings(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
     """Rating lines (a ``value`` column, batch or streaming) -> user_id,
     movie_id, rating (double), ts (string)."""
@@ -64,9 +60,9 @@ def read_ratings(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
     return parse_ratings(_lines(spark, paths), dialect)
 
 
-def read_movies(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
-    """movie_id, title, genres (raw text of the last field)."""
-    df, _ = _parts(spark, paths, dialect)
+def parse_movies(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
+    """Movie lines -> movie_id, title, genres (raw text of the last field)."""
+    df = _split(lines, dialect)
     if dialect == JAVA:
         return (df.where(F.size("p") >= 2)
                   .select(field("p", 0, True).alias("movie_id"), field("p", 1, True).alias("title"),
@@ -75,9 +71,14 @@ def read_movies(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
                      last_field("p").alias("genres"))
 
 
-def read_users(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
-    """user_id, gender, age (text), occupation_id, zip."""
-    df, _ = _parts(spark, paths, dialect)
+def read_movies(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
+    """movie_id, title, genres (raw text of the last field)."""
+    return parse_movies(_lines(spark, paths), dialect)
+
+
+def parse_users(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
+    """User lines -> user_id, gender, age (text), occupation_id, zip."""
+    df = _split(lines, dialect)
     t = dialect == JAVA
     if t:
         df = df.where(F.size("p") >= 2)
@@ -86,6 +87,11 @@ def read_users(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
                      field("p", 4, t).alias("zip"))
 
 
+def read_users(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
+    """user_id, gender, age (text), occupation_id, zip."""
+    return parse_users(_lines(spark, paths), dialect)
+
+
 def read_occupations(spark: SparkSession, paths) -> DataFrame:
-    df, _ = _parts(spark, paths, PYTHON)
+    df = _split(_lines(spark, paths), PYTHON)
     return df.select(field("p", 0).alias("occupation_id"), field("p", 1).alias("occupation"))
