@@ -24,20 +24,33 @@ def _col(c: ColumnOrName) -> Column:
 
 def split_fields(line: ColumnOrName, sep: str = ",", drop_trailing_empty: bool = False) -> Column:
     """Split on a literal separator.  ``drop_trailing_empty`` gives Java semantics."""
-    parts = F.split(_col(line), re.escape(sep))
+    c = _col(line)
     if not drop_trailing_empty:
-        return parts
-    # 1-based position, counted from the end, of the last non-empty field (0 if none).
-    from_end = F.array_position(F.reverse(F.transform(parts, lambda x: x != F.lit(""))), True)
-    keep = F.when(from_end == 0, F.lit(0)).otherwise(F.size(parts) - from_end + 1)
-    # Java keeps the single empty field of an empty input line.
-    return F.when(_col(line) == "", parts).otherwise(F.slice(parts, 1, keep))
+        return F.split(c, re.escape(sep))
+    # Java: trailing empty fields are dropped, i.e. trailing separators do not
+    # count; a line made only of separators has no field at all, while an
+    # empty line keeps its single empty field.
+    if len(sep) == 1:
+        stripped = F.rtrim(c, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(c, "(?:" + re.escape(sep) + ")+$", "")
+    return F.when((stripped == "") & (c != ""), F.array().cast("array<string>")) \
+            .otherwise(F.split(stripped, re.escape(sep)))
+
+
+# Java String.trim strips every character from U+0000 to U+0020.
+_JAVA_SPACE = "".join(chr(i) for i in range(0x21))
 
 
 def java_trim(value: ColumnOrName) -> Column:
     """Java ``String.trim``: strips every character up to U+0020 (tabs, CR, ...)
-    from both ends, not only spaces."""
-    return F.regexp_replace(_col(value), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    from both ends, not only spaces.  The common case (only spaces around the
+    text) takes the fast space trim; the character-set trim runs only when a
+    control character is left at either end."""
+    c = _col(value)
+    fast = F.trim(c)
+    edge = (F.ascii(fast) < 33) | (F.substring(fast, -1, 1) < F.lit("!"))
+    return F.when(edge & (fast != F.lit("")), F.trim(c, F.lit(_JAVA_SPACE))).otherwise(fast)
 
 
 def field(parts: ColumnOrName, index: int, trim: bool = False) -> Column:

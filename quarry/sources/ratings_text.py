@@ -41,15 +41,41 @@ def _split(lines: DataFrame, dialect: str) -> DataFrame:
     return lines.select(split_fields("value", ",", drop_trailing_empty=dialect == JAVA).alias("p"))
 
 
+# Java-dialect rating files are read by the CSV source: one native parse per
+# line, fields trimmed of characters up to U+0020, short rows padded with nulls,
+# extra fields dropped, empty fields null -- the skip rules of the original
+# (fewer than 3 fields, or a rating that is not a number) become one filter on
+# the parsed rating.
+RATING_FIELDS = "f0 string, f1 string, f2 string, f3 string"
+
+
+def java_csv_options(reader):
+    """Options shared by batch and streaming readers of Java-dialect lines."""
+    return (reader.schema(RATING_FIELDS).option("sep", ",").option("quote", "\u0000")
+            .option("escape", "\u0000").option("header", "false").option("mode", "PERMISSIVE")
+            .option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true"))
+
+
+def java_ratings_from_fields(fields: DataFrame) -> DataFrame:
+    out = fields.select(F.col("f0").alias("user_id"), F.col("f1").alias("movie_id"),
+                        try_number("f2").alias("rating"), F.col("f3").alias("ts"))
+    return out.where(F.col("rating").isNotNull())
+
+
 def parse_ratings(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
     """Rating lines (a ``value`` column, batch or streaming) -> user_id,
     movie_id, rating (double), ts (string)."""
-    df = _split(lines, dialect)
     if dialect == JAVA:
-        df = df.where(F.size("p") >= 3)
+        # A line with fewer than 3 fields (trailing empty fields dropped) has
+        # no non-empty third field, so the rating test alone applies both skip
+        # rules and fields 0-2 are the same under either split rule.
+        df = lines.select(F.split(F.col("value"), ",").alias("p"))
+        ts = field("p", 3, True)
         out = df.select(field("p", 0, True).alias("user_id"), field("p", 1, True).alias("movie_id"),
-                        try_number(field("p", 2, True)).alias("rating"), field("p", 3, True).alias("ts"))
+                        try_number(field("p", 2, True)).alias("rating"),
+                        F.when(ts != F.lit(""), ts).alias("ts"))
         return out.where(F.col("rating").isNotNull())
+    df = _split(lines, dialect)
     return df.select(field("p", 0).alias("user_id"), field("p", 1).alias("movie_id"),
                      strict_number(field("p", 2), what="rating").alias("rating"),
                      F.trim(field("p", 3)).alias("ts"))
@@ -57,6 +83,9 @@ def parse_ratings(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
 
 def read_ratings(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
     """user_id, movie_id, rating (double), ts (string)."""
+    if dialect == JAVA:
+        paths = [paths] if isinstance(paths, str) else list(paths)
+        return java_ratings_from_fields(java_csv_options(spark.read).csv(paths))
     return parse_ratings(_lines(spark, paths), dialect)
 
 

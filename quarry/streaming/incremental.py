@@ -10,16 +10,18 @@ from quarry.functions.numeric import exact, ratio
 from quarry.functions.text import PIG_DELIMITERS, explode_tokens
 from quarry.operators.joins import anti_join_words
 from quarry.session import checkpoint_dir
-from quarry.sources.ratings_text import JAVA, parse_ratings
+from quarry.sources.ratings_text import JAVA, java_csv_options, java_ratings_from_fields, parse_ratings
 
 
 def rating_lines_stream(spark: SparkSession, directory: str, dialect: str = JAVA,
                         max_files_per_trigger: int | None = None) -> DataFrame:
     """Parsed ratings from every text file that appears in ``directory``."""
-    reader = spark.readStream.format("text")
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return parse_ratings(reader.load(directory), dialect)
+    if dialect == JAVA:
+        return java_ratings_from_fields(java_csv_options(reader).csv(directory))
+    return parse_ratings(reader.format("text").load(directory), dialect)
 
 
 def running_item_stats(ratings: DataFrame, items: DataFrame, item_key: str = "movie_id",

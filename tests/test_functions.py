@@ -89,3 +89,19 @@ def test_tokenize_delimiters(spark):
     df = spark.createDataFrame([(1, text), (2, None), (3, ' * ')], "id int, v string")
     rows = explode_tokens(df, ["id"], "v").collect()
     assert [r.word for r in rows] == ["phòng", "đẹp", "rất", "sạch", "sẽ.", "tốt!\nok"]
+
+
+def test_java_rating_readers_agree(spark, tmp_path):
+    """The CSV-source reader and the line parser apply the same skip rules."""
+    from quarry.sources.ratings_text import JAVA, parse_ratings, read_ratings
+    text = ("1, 10, 4.5, 100\n2, 11,\n3, 12, abc, 5\n\n4,13,2.0\n5, 14, 3.5, 7, extra\n , 15, 1.0, 8\n"
+            "6,16, 2.5 \t,9\r\n,,,\n7, 17, , 1\n")
+    p = tmp_path / "r.txt"
+    p.write_text(text, encoding="utf-8")
+    a = [tuple(r) for r in read_ratings(spark, str(p), JAVA).collect()]
+    lines = spark.read.text(str(p))
+    b = [tuple(r) for r in parse_ratings(lines, JAVA).collect()]
+    norm = lambda rows: sorted((tuple(x if x != "" else None for x in r) for r in rows),
+                               key=lambda r: tuple((x is not None, str(x)) for x in r))
+    assert norm(a) == norm(b)
+    assert sorted((r[0] or "", r[2]) for r in norm(a)) == [("", 1.0), ("1", 4.5), ("4", 2.0), ("5", 3.5), ("6", 2.5)]
