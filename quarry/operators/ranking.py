@@ -35,3 +35,23 @@ def nested_top_k(df: DataFrame, group_cols: Sequence[str], item_cols: Sequence[s
 def argmax_row(df: DataFrame, order_cols: Sequence[Column]) -> DataFrame:
     """The first row under ``order_cols`` (empty input -> empty result)."""
     return df.orderBy(*order_cols).limit(1)
+
+
+def global_rank(df: DataFrame, order_cols: Sequence[Column], out: str = "rank", dense: bool = False) -> DataFrame:
+    """``rank()`` (or ``dense_rank()`` when ``dense``) over the whole input
+    without a single-partition window.
+
+    A total ``orderBy`` range-partitions the rows; equal sort keys always land
+    in the same range partition, so ranking inside each partition and adding
+    the number of rows (or distinct keys) of all earlier partitions gives the
+    global rank.  The per-partition offsets are one row per partition: a
+    table bounded by the partition count, joined back by broadcast.
+    """
+    sorted_df = df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("_pid").orderBy(*order_cols)
+    local = sorted_df.withColumn("_r", (F.dense_rank() if dense else F.rank()).over(w))
+    per_part = local.groupBy("_pid").agg((F.max("_r") if dense else F.count(F.lit(1))).alias("_n"))
+    offsets = per_part.select("_pid", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    ranked = local.join(F.broadcast(offsets), "_pid")
+    return ranked.withColumn(out, (F.col("_r") + F.col("_off")).cast("bigint")).drop("_pid", "_r", "_off")

@@ -732,3 +732,16 @@ SELECT 'Năm: ' || CAST(year AS VARCHAR) || ' | Điểm TB: ' || {_HALF_EVEN.for
 def q_year_report_lines(spark, d):
     """N20 as a formatted report."""
     return ordered(P.year_report(q_year_stats(spark, d)))
+
+
+@register("q_seller_rank", f"""
+WITH s AS (SELECT l_suppkey AS seller_id, CAST(ROUND(SUM({_REV}), 2) AS DOUBLE) AS total_revenue,
+                  COUNT(DISTINCT l_orderkey) AS total_orders
+           FROM lineitem GROUP BY l_suppkey)
+SELECT seller_id, total_revenue, total_orders,
+       rank() OVER (ORDER BY total_revenue DESC NULLS LAST, total_orders DESC NULLS LAST) AS rank
+FROM s
+""")
+def q_seller_rank(spark, d):
+    """N31 with its rank column (distributed global rank, ties share a rank)."""
+    return C.seller_ranking(_ec_items(spark, d), with_rank=True)

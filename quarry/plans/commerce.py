@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from quarry.functions.numeric import ratio, round_half_up
 from quarry.functions.parsing import to_timestamp_any
 from quarry.operators.aggregates import distinct_totals
+from quarry.operators.ranking import global_rank
 
 PURCHASE_TS = "Order_Purchase_Timestamp"
 
@@ -120,14 +121,16 @@ def revenue_by_category(items: DataFrame, orders: DataFrame, products: DataFrame
 def category_sales_and_score(items: DataFrame, products: DataFrame, reviews: DataFrame,
                              order_id: str = "Order_ID", item_id: str = "Order_Item_ID",
                              product_id: str = "Product_ID", category: str = "Product_Category_Name",
-                             score: str = "Review_Score") -> DataFrame:
+                             score: str = "Review_Score", dedupe_reviews: bool = False) -> DataFrame:
     """Per category: total_orders = count of item ids over items joined
     (left) to their order's valid reviews -- one count per matching review, as
-    the row-level join gives -- and average_review_score (2 places)."""
+    the row-level join gives -- and average_review_score (2 places).
+    ``dedupe_reviews=True`` counts each item once however many reviews its
+    order has (the average is unchanged)."""
     rev = (clean_scores(reviews, score).groupBy(order_id)
            .agg(F.sum("score").alias("_s"), F.count("score").alias("_c"), F.count(F.lit(1)).alias("_r")))
     per_item = items.select(order_id, product_id, item_id).join(rev, order_id, "left")
-    w = F.coalesce(F.col("_r"), F.lit(1))
+    w = F.lit(1) if dedupe_reviews else F.coalesce(F.col("_r"), F.lit(1))
     per_product = per_item.groupBy(product_id).agg(
         F.sum(F.when(F.col(item_id).isNotNull(), w).otherwise(0)).alias("_n"),
         F.sum(F.coalesce(F.col("_s"), F.lit(0))).alias("_s"),
@@ -169,12 +172,18 @@ def delivery_performance(orders: DataFrame, items: DataFrame, actual: str = "Ord
 
 def customer_segments(orders: DataFrame, items: DataFrame, order_id: str = "Order_ID",
                       customer_id: str = "Customer_Trx_ID", vip_min_orders: int = VIP_MIN_ORDERS,
-                      vip_min_avg: float = VIP_MIN_AVG, frequent_min_orders: int = FREQUENT_MIN_ORDERS) -> DataFrame:
+                      vip_min_avg: float = VIP_MIN_AVG, frequent_min_orders: int = FREQUENT_MIN_ORDERS,
+                      per_order: bool = False) -> DataFrame:
     """Per customer: total_orders (distinct), avg_order_value = average
-    *item* value (price + freight, 2 places) and customer_group."""
-    per_order = (items.select(order_id, revenue(items).alias("_v")).groupBy(order_id)
-                      .agg(F.sum("_v").alias("_s"), F.count("_v").alias("_c")))
-    joined = orders.select(order_id, customer_id).join(per_order, order_id)
+    *item* value (price + freight, 2 places) and customer_group.
+    ``per_order=True`` averages order totals instead (items summed per order
+    first)."""
+    order_totals = (items.select(order_id, revenue(items).alias("_v")).groupBy(order_id)
+                         .agg(F.sum("_v").alias("_s"), F.count("_v").alias("_c")))
+    if per_order:
+        order_totals = order_totals.select(order_id, F.col("_s"),
+                                           F.when(F.col("_c") > 0, F.lit(1)).otherwise(F.lit(0)).alias("_c"))
+    joined = orders.select(order_id, customer_id).join(order_totals, order_id)
     stats = (joined.groupBy(customer_id)
                    .agg(F.count_distinct(order_id).alias("total_orders"), F.sum("_s").alias("_s"),
                         F.sum("_c").alias("_c"))
@@ -186,11 +195,16 @@ def customer_segments(orders: DataFrame, items: DataFrame, order_id: str = "Orde
     return stats.withColumn("customer_group", group)
 
 
-def seller_ranking(items: DataFrame, seller_id: str = "Seller_ID", order_id: str = "Order_ID") -> DataFrame:
+def seller_ranking(items: DataFrame, seller_id: str = "Seller_ID", order_id: str = "Order_ID",
+                   with_rank: bool = False) -> DataFrame:
     """Per seller: total_revenue (2 places) and total_orders (distinct),
-    by revenue then orders, both descending."""
+    by revenue then orders, both descending.  ``with_rank`` adds a ``rank``
+    column (ties share a rank), computed without a single-partition window."""
     out = (items.select(seller_id, order_id, revenue(items).alias("_v")).groupBy(seller_id)
                 .agg(F.round(F.sum("_v"), 2).cast("double").alias("total_revenue"),
                      F.count_distinct(order_id).alias("total_orders")))
-    return (out.select(F.col(seller_id).alias("seller_id"), "total_revenue", "total_orders")
-               .orderBy(F.col("total_revenue").desc(), F.col("total_orders").desc(), F.col("seller_id").asc()))
+    out = out.select(F.col(seller_id).alias("seller_id"), "total_revenue", "total_orders")
+    order = [F.col("total_revenue").desc(), F.col("total_orders").desc()]
+    if with_rank:
+        out = global_rank(out, order)
+    return out.orderBy(*order, F.col("seller_id").asc())

@@ -89,3 +89,17 @@ def test_customer_segments(t):
 def test_seller_ranking(t):
     got = [tuple(r) for r in C.seller_ranking(t["items"]).collect()]
     assert got == [("s1", 321.0, 3), ("s2", 77.75, 2), ("s3", None, 1)]
+
+
+def test_options_dedupe_and_per_order(t):
+    got = [tuple(r) for r in C.category_sales_and_score(t["items"], t["products"], t["reviews"],
+                                                        dedupe_reviews=True).collect()]
+    assert got == [("toys", 3, 4.0), ("books", 2, 4.5)]
+    seg = {r.customer_id: r.avg_order_value for r in C.customer_segments(t["orders"], t["items"],
+                                                                         per_order=True).collect()}
+    assert seg["c1"] == round((110 + 55.75 + 200) / 2, 2) and seg["c3"] is None
+
+
+def test_seller_rank_column(t):
+    got = [(r.seller_id, r.rank) for r in C.seller_ranking(t["items"], with_rank=True).collect()]
+    assert got == [("s1", 1), ("s2", 2), ("s3", 3)]
