@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,3 +19,20 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 def tagged_union(parts: Mapping[str, DataFrame], tag_col: str = "part") -> DataFrame:
     """UNION ALL with a literal column telling which input each row came from."""
     return union_all(*[d.withColumn(tag_col, F.lit(tag)) for tag, d in parts.items()])
+
+
+def spread(df: DataFrame, key: Column | str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition CPU-heavy per-row work (tokenising whole texts) when the
+    input arrives in fewer partitions than the cluster can run at once -- a
+    few large files or row groups.  An input already split wider than that
+    (any large table) is returned unchanged, so no shuffle is added at scale.
+    ``key`` should be deterministic (an id, or a hash of the text) so a retried
+    task sees the same rows."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    try:
+        if df.rdd.getNumPartitions() >= want:
+            return df
+    except Exception:  # noqa: BLE001 - partition count unavailable: leave the plan alone
+        return df
+    return df.repartition(want, key) if key is not None else df.repartition(want)

@@ -101,21 +101,30 @@ def _year_filter(orders: DataFrame, ts: str, year: int):
     return F.year(to_timestamp_any(orders, ts)) == year
 
 
+def _item_categories(items: DataFrame, products: DataFrame, cols, product_id: str, category: str) -> DataFrame:
+    """Items with their category: a plain equi-join of the raw sides (a
+    duplicated product row multiplies, as the row-level join does), which AQE
+    can split when one product is hot."""
+    return items.select(*cols).join(products.select(product_id, category), product_id)
+
+
 def revenue_by_category(items: DataFrame, orders: DataFrame, products: DataFrame, year: int = 2024,
                         ts: str = PURCHASE_TS, order_id: str = "Order_ID", product_id: str = "Product_ID",
                         category: str = "Product_Category_Name") -> DataFrame:
     """(category, total_revenue) of items whose order was placed in
-    ``year``; revenue = price + freight, exact sum, unrounded, highest first."""
+    ``year``; revenue = price + freight, exact sum, unrounded, highest first.
+
+    Items are reduced to (order, category) revenue before meeting the orders,
+    so an order holding a third of all items is one row per category there."""
     order_rows = (orders.where(_year_filter(orders, ts, year)).groupBy(order_id)
                         .agg(F.count(F.lit(1)).alias("_no")))
-    item_rev = items.select(order_id, product_id, revenue(items).alias("_rev"))
-    per_product = (item_rev.join(order_rows, order_id)
-                           .groupBy(product_id).agg(F.sum(F.col("_rev") * F.col("_no")).alias("_rev")))
-    cats = products.groupBy(product_id, category).agg(F.count(F.lit(1)).alias("_np"))
-    return (per_product.join(cats, product_id)
-                       .groupBy(F.col(category).alias("category"))
-                       .agg(F.sum(F.col("_rev") * F.col("_np")).cast("double").alias("total_revenue"))
-                       .orderBy(F.col("total_revenue").desc(), F.col("category").asc()))
+    cat_items = _item_categories(items, products, [order_id, product_id, revenue(items).alias("_rev")],
+                                 product_id, category)
+    per_order_cat = cat_items.groupBy(order_id, category).agg(F.sum("_rev").alias("_rev"))
+    return (per_order_cat.join(order_rows, order_id)
+                         .groupBy(F.col(category).alias("category"))
+                         .agg(F.sum(F.col("_rev") * F.col("_no")).cast("double").alias("total_revenue"))
+                         .orderBy(F.col("total_revenue").desc(), F.col("category").asc()))
 
 
 def category_sales_and_score(items: DataFrame, products: DataFrame, reviews: DataFrame,
@@ -126,21 +135,21 @@ def category_sales_and_score(items: DataFrame, products: DataFrame, reviews: Dat
     (left) to their order's valid reviews -- one count per matching review, as
     the row-level join gives -- and average_review_score (2 places).
     ``dedupe_reviews=True`` counts each item once however many reviews its
-    order has (the average is unchanged)."""
+    order has (the average is unchanged).
+
+    Items become (order, category) counts before meeting the per-order review
+    sums, so neither a hot order nor a hot review set multiplies rows."""
     rev = (clean_scores(reviews, score).groupBy(order_id)
            .agg(F.sum("score").alias("_s"), F.count("score").alias("_c"), F.count(F.lit(1)).alias("_r")))
-    per_item = items.select(order_id, product_id, item_id).join(rev, order_id, "left")
+    cat_items = _item_categories(items, products, [order_id, product_id, item_id], product_id, category)
+    per_order_cat = cat_items.groupBy(order_id, category).agg(
+        F.count(item_id).alias("_items"), F.count(F.lit(1)).alias("_rows"))
+    joined = per_order_cat.join(rev, order_id, "left")
     w = F.lit(1) if dedupe_reviews else F.coalesce(F.col("_r"), F.lit(1))
-    per_product = per_item.groupBy(product_id).agg(
-        F.sum(F.when(F.col(item_id).isNotNull(), w).otherwise(0)).alias("_n"),
-        F.sum(F.coalesce(F.col("_s"), F.lit(0))).alias("_s"),
-        F.sum(F.coalesce(F.col("_c"), F.lit(0))).alias("_c"))
-    cats = products.groupBy(product_id, category).agg(F.count(F.lit(1)).alias("_np"))
-    out = (per_product.join(cats, product_id)
-                      .groupBy(F.col(category).alias("category"))
-                      .agg(F.sum(F.col("_n") * F.col("_np")).alias("total_orders"),
-                           F.sum(F.col("_s") * F.col("_np")).alias("_s"),
-                           F.sum(F.col("_c") * F.col("_np")).alias("_c")))
+    out = joined.groupBy(F.col(category).alias("category")).agg(
+        F.sum(F.col("_items") * w).alias("total_orders"),
+        F.sum(F.col("_rows") * F.coalesce(F.col("_s"), F.lit(0))).alias("_s"),
+        F.sum(F.col("_rows") * F.coalesce(F.col("_c"), F.lit(0))).alias("_c"))
     return (out.select("category", F.col("total_orders").cast("bigint").alias("total_orders"),
                        round_half_up(ratio("_s", "_c")).alias("average_review_score"))
                .orderBy(F.col("total_orders").desc(), F.col("category").asc()))

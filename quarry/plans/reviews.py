@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import PIG_DELIMITERS, explode_tokens
 from quarry.operators.joins import anti_join_words
 from quarry.operators.ranking import nested_top_k, top_k_per_group
+from quarry.operators.sets import spread
 
 POSITIVE = "positive"
 NEGATIVE = "negative"
@@ -35,7 +36,14 @@ NEGATIVE = "negative"
 def tokens(reviews: DataFrame, keep: Sequence[str], text_col: str = "comment",
            delimiters: str = PIG_DELIMITERS) -> DataFrame:
     """``keep`` columns + one ``word`` row per token of the lower-cased text."""
-    return explode_tokens(reviews, keep, text_col, delimiters)
+    narrow = _spread_text(reviews.select(*keep, F.col(text_col).alias("_text")), "_text")
+    return explode_tokens(narrow, [c for c in narrow.columns if c != "_text"], "_text", delimiters)
+
+
+def _spread_text(df: DataFrame, text_col: str) -> DataFrame:
+    # tokenising is the CPU-heavy step: spread it when the input is split
+    # narrower than the cluster (keyed by a hash of the text, deterministic)
+    return spread(df, F.xxhash64(text_col))
 
 
 def clean_tokens(reviews: DataFrame, stop: DataFrame, id_col: str = "id", text_col: str = "comment",
@@ -96,7 +104,8 @@ def word_counts(reviews: DataFrame, stop: DataFrame, category_col: str = "dim3",
         keys.insert(0, "sentiment")
     if weight:
         keep.append(F.col(weight).alias("_w"))
-    words = explode_tokens(reviews, keep, text_col, delimiters)
+    narrow = _spread_text(reviews.select(*keep, F.col(text_col).alias("_text")), "_text")
+    words = explode_tokens(narrow, [c for c in narrow.columns if c != "_text"], "_text", delimiters)
     clean = anti_join_words(words, stop, "word", stop_col)
     return (clean.groupBy(*keys).agg(_count("_cat", "_w" if weight else None).alias("cnt"))
                  .withColumnRenamed("_cat", category_col))
