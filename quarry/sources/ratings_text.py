@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.parsing import (
@@ -62,6 +62,14 @@ def java_ratings_from_fields(fields: DataFrame) -> DataFrame:
     return out.where(F.col("rating").isNotNull())
 
 
+def _records(df: DataFrame, *fields: Column) -> DataFrame:
+    """One parsed record per line, emitted by a generator.  Filters placed
+    later on the parsed fields (skip rules, join keys not null) then stay
+    above it instead of being pushed below and re-running the split and the
+    trims once per filter."""
+    return df.select(F.inline(F.array(F.struct(*fields))))
+
+
 def parse_ratings(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
     """Rating lines (a ``value`` column, batch or streaming) -> user_id,
     movie_id, rating (double), ts (string)."""
@@ -71,14 +79,13 @@ def parse_ratings(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
         # rules and fields 0-2 are the same under either split rule.
         df = lines.select(F.split(F.col("value"), ",").alias("p"))
         ts = field("p", 3, True)
-        out = df.select(field("p", 0, True).alias("user_id"), field("p", 1, True).alias("movie_id"),
-                        try_number(field("p", 2, True)).alias("rating"),
-                        F.when(ts != F.lit(""), ts).alias("ts"))
+        out = _records(df, field("p", 0, True).alias("user_id"), field("p", 1, True).alias("movie_id"),
+                       try_number(field("p", 2, True)).alias("rating"), F.when(ts != F.lit(""), ts).alias("ts"))
         return out.where(F.col("rating").isNotNull())
     df = _split(lines, dialect)
-    return df.select(field("p", 0).alias("user_id"), field("p", 1).alias("movie_id"),
-                     strict_number(field("p", 2), what="rating").alias("rating"),
-                     F.trim(field("p", 3)).alias("ts"))
+    return _records(df, field("p", 0).alias("user_id"), field("p", 1).alias("movie_id"),
+                    strict_number(field("p", 2), what="rating").alias("rating"),
+                    F.trim(field("p", 3)).alias("ts"))
 
 
 def read_ratings(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
@@ -93,11 +100,11 @@ def parse_movies(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
     """Movie lines -> movie_id, title, genres (raw text of the last field)."""
     df = _split(lines, dialect)
     if dialect == JAVA:
-        return (df.where(F.size("p") >= 2)
-                  .select(field("p", 0, True).alias("movie_id"), field("p", 1, True).alias("title"),
-                          F.when(F.size("p") >= 3, last_field("p", True)).alias("genres")))
-    return df.select(field("p", 0).alias("movie_id"), middle_join("p").alias("title"),
-                     last_field("p").alias("genres"))
+        return _records(df.where(F.size("p") >= 2),
+                        field("p", 0, True).alias("movie_id"), field("p", 1, True).alias("title"),
+                        F.when(F.size("p") >= 3, last_field("p", True)).alias("genres"))
+    return _records(df, field("p", 0).alias("movie_id"), middle_join("p").alias("title"),
+                    last_field("p").alias("genres"))
 
 
 def read_movies(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
@@ -111,9 +118,9 @@ def parse_users(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
     t = dialect == JAVA
     if t:
         df = df.where(F.size("p") >= 2)
-    return df.select(field("p", 0, t).alias("user_id"), field("p", 1, t).alias("gender"),
-                     field("p", 2, t).alias("age"), field("p", 3, t).alias("occupation_id"),
-                     field("p", 4, t).alias("zip"))
+    return _records(df, field("p", 0, t).alias("user_id"), field("p", 1, t).alias("gender"),
+                    field("p", 2, t).alias("age"), field("p", 3, t).alias("occupation_id"),
+                    field("p", 4, t).alias("zip"))
 
 
 def read_users(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
