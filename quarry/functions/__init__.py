@@ -9,6 +9,7 @@ from quarry.functions.parsing import (
     java_trim,
     last_field,
     middle_join,
+    parsed_once,
     split_fields,
     strict_number,
     to_timestamp_any,
@@ -18,6 +19,6 @@ from quarry.functions.text import PIG_DELIMITERS, explode_tokens, tokenize
 
 __all__ = [
     "PIG_DELIMITERS", "bucketize", "explode_tokens", "epoch_year", "exact", "field", "java_trim", "last_field",
-    "middle_join", "ratio", "round_half_even", "round_half_up", "split_fields",
+    "middle_join", "parsed_once", "ratio", "round_half_even", "round_half_up", "split_fields",
     "strict_number", "to_timestamp_any", "tokenize", "try_number",
 ]

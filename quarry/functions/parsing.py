@@ -110,3 +110,11 @@ def to_timestamp_any(df: DataFrame, name: str,
     if isinstance(dtype, T.DateType):
         return c.cast("timestamp")
     return F.coalesce(*[F.try_to_timestamp(c.cast("string"), F.lit(f)) for f in formats])
+
+
+def parsed_once(df: DataFrame, *columns: Column) -> DataFrame:
+    """``df.select(*columns)``, but emitted by a generator so the parsed values
+    are computed once: filters on them stay above the generator instead of
+    being pushed below the projection with the parsing expression copied into
+    every condition (text splits, JSON extraction, casts)."""
+    return df.select(F.inline(F.array(F.struct(*columns))))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.numeric import ratio, round_half_up
-from quarry.functions.parsing import to_timestamp_any
+from quarry.functions.parsing import parsed_once, to_timestamp_any
 from quarry.operators.aggregates import distinct_totals
 from quarry.operators.ranking import global_rank
 
@@ -75,18 +75,19 @@ def clean_scores(reviews: DataFrame, score: str = "Review_Score", out: str = "sc
     """Reviews with an integer score in 1..5 (text such as 'abc' or '4.5',
     nulls and out-of-range values are dropped)."""
     s = F.col(score).try_cast("int")
-    return reviews.withColumn(out, s).where(F.col(out).between(1, 5))
+    cols = [F.col(c) for c in reviews.columns if c != out]
+    return parsed_once(reviews, *cols, s.alias(out)).where(F.col(out).between(1, 5))
 
 
 def review_average(reviews: DataFrame, score: str = "Review_Score") -> DataFrame:
     """One row, average_score rounded to 2 places (HALF_UP)."""
-    c = clean_scores(reviews, score)
+    c = clean_scores(reviews.select(score), score)
     return c.agg(round_half_up(ratio(F.sum("score"), F.count("score"))).alias("average_score"))
 
 
 def review_distribution(reviews: DataFrame, score: str = "Review_Score") -> DataFrame:
     """(score, total_reviews) for scores 1..5 present, ascending."""
-    return (clean_scores(reviews, score).groupBy("score").agg(F.count(F.lit(1)).alias("total_reviews"))
+    return (clean_scores(reviews.select(score), score).groupBy("score").agg(F.count(F.lit(1)).alias("total_reviews"))
                                         .orderBy("score"))
 
 
@@ -139,7 +140,7 @@ def category_sales_and_score(items: DataFrame, products: DataFrame, reviews: Dat
 
     Items become (order, category) counts before meeting the per-order review
     sums, so neither a hot order nor a hot review set multiplies rows."""
-    rev = (clean_scores(reviews, score).groupBy(order_id)
+    rev = (clean_scores(reviews.select(order_id, score), score).groupBy(order_id)
            .agg(F.sum("score").alias("_s"), F.count("score").alias("_c"), F.count(F.lit(1)).alias("_r")))
     cat_items = _item_categories(items, products, [order_id, product_id, item_id], product_id, category)
     per_order_cat = cat_items.groupBy(order_id, category).agg(

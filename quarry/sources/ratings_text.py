@@ -23,6 +23,7 @@ from quarry.functions.parsing import (
     field,
     last_field,
     middle_join,
+    parsed_once,
     split_fields,
     strict_number,
     try_number,
@@ -63,11 +64,9 @@ def java_ratings_from_fields(fields: DataFrame) -> DataFrame:
 
 
 def _records(df: DataFrame, *fields: Column) -> DataFrame:
-    """One parsed record per line, emitted by a generator.  Filters placed
-    later on the parsed fields (skip rules, join keys not null) then stay
-    above it instead of being pushed below and re-running the split and the
-    trims once per filter."""
-    return df.select(F.inline(F.array(F.struct(*fields))))
+    # One parsed record per line; later filters on its fields (skip rules,
+    # join keys not null) do not re-run the split and the trims.
+    return parsed_once(df, *fields)
 
 
 def parse_ratings(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
