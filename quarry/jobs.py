@@ -20,6 +20,7 @@ from quarry.plans import commerce as C
 from quarry.plans import ratings as R
 from quarry.plans import reports as P
 from quarry.plans import reviews as V
+from quarry.operators.sets import spread
 from quarry.plans.shared import materialize
 from quarry.sinks.text import nested_bag_text, write_delimited, write_lines
 from quarry.sources import (
@@ -38,6 +39,12 @@ from quarry.sources import (
 DEFAULT_STOPWORDS = __file__.rsplit("/", 1)[0] + "/data/stopwords_vi.txt"
 
 
+def _reviews(spark, path):
+    """The review file, spread over the cluster when it arrives in few splits."""
+    df = read_delimited(spark, path)
+    return spread(df, F.xxhash64(F.coalesce(F.col("id"), F.lit("")), F.coalesce(F.col("comment"), F.lit(""))))
+
+
 # ------------------------------------------------------------ ratings, k/v
 
 def title_stats(spark, ratings, movies, out, min_count=5, mode="errorifexists"):
@@ -66,7 +73,7 @@ def age_stats(spark, ratings, users, movies, out, mode="errorifexists"):
 
 def clean_words(spark, reviews, out, stopwords=DEFAULT_STOPWORDS, mode="errorifexists"):
     """(id, word) lines."""
-    write_delimited(V.clean_tokens(read_delimited(spark, reviews), read_wordlist(spark, stopwords)), out, mode=mode)
+    write_delimited(V.clean_tokens(_reviews(spark, reviews), read_wordlist(spark, stopwords)), out, mode=mode)
 
 
 def review_stats(spark, reviews, out_dir, cleaned=None, stopwords=DEFAULT_STOPWORDS, threshold=500,
@@ -74,7 +81,7 @@ def review_stats(spark, reviews, out_dir, cleaned=None, stopwords=DEFAULT_STOPWO
     """Three outputs: frequent words, comments per category (4th column) and
     per aspect (3rd column).  ``cleaned``: a stored clean-words output to read
     instead of re-tokenising."""
-    raw = read_delimited(spark, reviews)
+    raw = _reviews(spark, reviews)
     if cleaned:
         clean = read_delimited(spark, cleaned, columns=("id", "word"), sep=",")
     else:
@@ -86,7 +93,7 @@ def review_stats(spark, reviews, out_dir, cleaned=None, stopwords=DEFAULT_STOPWO
 
 def top_aspect(spark, reviews, out, mode="errorifexists"):
     """``value,total`` for the positive then the negative top value."""
-    best = V.top_value_by_sentiment(read_delimited(spark, reviews), "dim4")
+    best = V.top_value_by_sentiment(_reviews(spark, reviews), "dim4")
     ordered = best.orderBy(F.when(F.col("sentiment") == V.POSITIVE, 0).otherwise(1)).select("dim4", "total")
     write_delimited(ordered.coalesce(1), out, mode=mode)
 
@@ -97,7 +104,7 @@ def _nested(df, k_col="dim3"):
 
 def top_words_sentiment(spark, reviews, out_pos, out_neg, stopwords=DEFAULT_STOPWORDS, k=5, mode="errorifexists"):
     """Positive and negative top words per 3rd column, from one tokenisation."""
-    raw, stop = read_delimited(spark, reviews), read_wordlist(spark, stopwords)
+    raw, stop = _reviews(spark, reviews), read_wordlist(spark, stopwords)
     counts = materialize(V.word_counts(raw, stop, "dim3", "sentiment"))
     for sentiment, out in ((V.POSITIVE, out_pos), (V.NEGATIVE, out_neg)):
         nested = V.top_words_nested(raw, stop, "dim3", sentiment, k, counts=counts)
@@ -105,7 +112,7 @@ def top_words_sentiment(spark, reviews, out_pos, out_neg, stopwords=DEFAULT_STOP
 
 
 def top_words(spark, reviews, out, stopwords=DEFAULT_STOPWORDS, k=5, mode="errorifexists"):
-    nested = V.top_words_nested(read_delimited(spark, reviews), read_wordlist(spark, stopwords), "dim3", None, k)
+    nested = V.top_words_nested(_reviews(spark, reviews), read_wordlist(spark, stopwords), "dim3", None, k)
     _nested(nested).write.mode(mode).text(out)
 
 

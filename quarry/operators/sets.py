@@ -22,12 +22,15 @@ def tagged_union(parts: Mapping[str, DataFrame], tag_col: str = "part") -> DataF
 
 
 def spread(df: DataFrame, key: Column | str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition CPU-heavy per-row work (tokenising whole texts) when the
-    input arrives in fewer partitions than the cluster can run at once -- a
-    few large files or row groups.  An input already split wider than that
-    (any large table) is returned unchanged, so no shuffle is added at scale.
-    ``key`` should be deterministic (an id, or a hash of the text) so a retried
-    task sees the same rows."""
+    """Hash-repartition a freshly read input before CPU-heavy per-row work
+    (tokenising whole texts) when it arrives in fewer splits than the cluster
+    can run at once -- a few large files or row groups.  An input already split
+    wider than that (any large table) is returned unchanged, so no shuffle is
+    added at scale.  ``key`` should be deterministic (an id, or a hash of the
+    text) so a retried task sees the same rows.
+
+    Apply it to a source scan: the split count of a plan that already contains
+    a shuffle is only known after running that shuffle."""
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     try:

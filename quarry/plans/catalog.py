@@ -300,6 +300,14 @@ def _documents(spark, d, *cols):
     return table(spark, d, "documents").select(*cols)
 
 
+def _texts(spark, d, *cols):
+    """The documents scan for tokenising: spread by doc_id when the files give
+    fewer splits than the cluster has cores (tokenising whole texts is CPU-bound)."""
+    from quarry.operators.sets import spread
+    keep = list(cols) if "doc_id" in cols else ["doc_id", *cols]
+    return spread(table(spark, d, "documents").select(*keep), "doc_id").select(*cols)
+
+
 def _label_counts(spark, d, only: str | None = None):
     """labels pre-aggregated to (doc_id, sentiment, n): a document with many
     label rows becomes a weight instead of many copies of its text."""
@@ -320,7 +328,7 @@ WHERE NOT EXISTS (SELECT 1 FROM {_stop_sql()} WHERE stop.stopword = t.word)
 """)
 def q_clean_tokens(spark, d):
     """(doc_id, word) for every non-stop token of every document."""
-    return V.clean_tokens(_documents(spark, d, "doc_id", "text"), _stop(spark), id_col="doc_id", text_col="text")
+    return V.clean_tokens(_texts(spark, d, "doc_id", "text"), _stop(spark), id_col="doc_id", text_col="text")
 
 
 @register("q_frequent_words", f"""
@@ -376,7 +384,7 @@ SELECT lang, word, cnt FROM r WHERE rn <= {TOP_K}"""
 
 
 def _labelled(spark, d, sentiment):
-    docs = _documents(spark, d, "doc_id", "text", "lang")
+    docs = _texts(spark, d, "doc_id", "text", "lang")
     return docs.join(_label_counts(spark, d, sentiment), "doc_id")
 
 
@@ -397,7 +405,7 @@ def q_top_words_negative(spark, d):
 @register("q_top_words", _top_words_sql("", ""))
 def q_top_words(spark, d):
     """Per lang, top 5 words of all documents."""
-    return V.top_words(_documents(spark, d, "text", "lang"), _stop(spark), "lang", None, TOP_K, text_col="text")
+    return V.top_words(_texts(spark, d, "text", "lang"), _stop(spark), "lang", None, TOP_K, text_col="text")
 
 
 @register("q_nested_top_words", f"""
@@ -412,7 +420,7 @@ FROM r WHERE rn <= {TOP_K} GROUP BY lang
 def q_nested_top_words(spark, d):
     """N13 in its nested-bag text form: ``lang,{(lang,word,cnt),...}``."""
     from quarry.sinks.text import nested_bag_text
-    nested = V.top_words_nested(_documents(spark, d, "text", "lang"), _stop(spark), "lang", None, TOP_K,
+    nested = V.top_words_nested(_texts(spark, d, "text", "lang"), _stop(spark), "lang", None, TOP_K,
                                 text_col="text")
     return nested_bag_text(nested, "lang", "top_words", ["lang", "word", "cnt"])
 

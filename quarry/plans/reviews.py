@@ -10,7 +10,8 @@ field of the counted relation is not null -- the id for the token and
 comment counts, the category for the per-category word counts.
 
 Scale notes: tokens are produced by ``explode`` (one row per token, no
-collect), stop words leave through a broadcast anti join when the list is
+collect; callers reading a few large files first ``operators.spread`` the
+scan so tokenising uses every core), stop words leave through a broadcast anti join when the list is
 small, and every count is a grouped aggregation with map-side partials, so
 frequent words ("the") and large categories collapse before the shuffle.
 Top-k runs as ``row_number() <= k`` (partial WindowGroupLimit before the
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 from quarry.functions.text import PIG_DELIMITERS, explode_tokens
 from quarry.operators.joins import anti_join_words
 from quarry.operators.ranking import nested_top_k, top_k_per_group
-from quarry.operators.sets import spread
 
 POSITIVE = "positive"
 NEGATIVE = "negative"
@@ -36,14 +36,7 @@ NEGATIVE = "negative"
 def tokens(reviews: DataFrame, keep: Sequence[str], text_col: str = "comment",
            delimiters: str = PIG_DELIMITERS) -> DataFrame:
     """``keep`` columns + one ``word`` row per token of the lower-cased text."""
-    narrow = _spread_text(reviews.select(*keep, F.col(text_col).alias("_text")), "_text")
-    return explode_tokens(narrow, [c for c in narrow.columns if c != "_text"], "_text", delimiters)
-
-
-def _spread_text(df: DataFrame, text_col: str) -> DataFrame:
-    # tokenising is the CPU-heavy step: spread it when the input is split
-    # narrower than the cluster (keyed by a hash of the text, deterministic)
-    return spread(df, F.xxhash64(text_col))
+    return explode_tokens(reviews, keep, text_col, delimiters)
 
 
 def clean_tokens(reviews: DataFrame, stop: DataFrame, id_col: str = "id", text_col: str = "comment",
@@ -104,8 +97,7 @@ def word_counts(reviews: DataFrame, stop: DataFrame, category_col: str = "dim3",
         keys.insert(0, "sentiment")
     if weight:
         keep.append(F.col(weight).alias("_w"))
-    narrow = _spread_text(reviews.select(*keep, F.col(text_col).alias("_text")), "_text")
-    words = explode_tokens(narrow, [c for c in narrow.columns if c != "_text"], "_text", delimiters)
+    words = explode_tokens(reviews, keep, text_col, delimiters)
     clean = anti_join_words(words, stop, "word", stop_col)
     return (clean.groupBy(*keys).agg(_count("_cat", "_w" if weight else None).alias("cnt"))
                  .withColumnRenamed("_cat", category_col))
