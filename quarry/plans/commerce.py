@@ -115,17 +115,18 @@ def revenue_by_category(items: DataFrame, orders: DataFrame, products: DataFrame
     """(category, total_revenue) of items whose order was placed in
     ``year``; revenue = price + freight, exact sum, unrounded, highest first.
 
-    Items are reduced to (order, category) revenue before meeting the orders,
-    so an order holding a third of all items is one row per category there."""
-    order_rows = (orders.where(_year_filter(orders, ts, year)).groupBy(order_id)
-                        .agg(F.count(F.lit(1)).alias("_no")))
-    cat_items = _item_categories(items, products, [order_id, product_id, revenue(items).alias("_rev")],
-                                 product_id, category)
-    per_order_cat = cat_items.groupBy(order_id, category).agg(F.sum("_rev").alias("_rev"))
-    return (per_order_cat.join(order_rows, order_id)
-                         .groupBy(F.col(category).alias("category"))
-                         .agg(F.sum(F.col("_rev") * F.col("_no")).cast("double").alias("total_revenue"))
-                         .orderBy(F.col("total_revenue").desc(), F.col("category").asc()))
+    Items meet the year's raw order rows (a plain equi-join: broadcast when
+    the year is small, otherwise a sort-merge join that AQE splits when one
+    order is hot), are reduced to one row per product, and only then meet the
+    product categories."""
+    year_orders = orders.where(_year_filter(orders, ts, year)).select(order_id)
+    item_rev = items.select(order_id, product_id, revenue(items).alias("_rev"))
+    per_product = item_rev.join(year_orders, order_id).groupBy(product_id).agg(F.sum("_rev").alias("_rev"))
+    cats = products.groupBy(product_id, category).agg(F.count(F.lit(1)).alias("_np"))
+    return (per_product.join(cats, product_id)
+                       .groupBy(F.col(category).alias("category"))
+                       .agg(F.sum(F.col("_rev") * F.col("_np")).cast("double").alias("total_revenue"))
+                       .orderBy(F.col("total_revenue").desc(), F.col("category").asc()))
 
 
 def category_sales_and_score(items: DataFrame, products: DataFrame, reviews: DataFrame,
