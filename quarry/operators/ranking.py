@@ -46,8 +46,14 @@ def global_rank(df: DataFrame, order_cols: Sequence[Column], out: str = "rank",
     the number of rows (or distinct keys) of all earlier partitions gives the
     global rank.  The per-partition offsets are one row per partition: a
     table bounded by the partition count, joined back by broadcast.
+
+    The partition of each row is fixed once: the range bounds come from a
+    sample of the input, so the sorted rows and their partition ids are
+    checkpointed (eagerly, in the shared checkpoint folder) and both the
+    offsets and the ranks are computed from that one copy.
     """
-    sorted_df = df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id())
+    from quarry.session import materialize
+    sorted_df = materialize(df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("_pid").orderBy(*order_cols)
     local = sorted_df.withColumn("_r", (F.dense_rank() if dense else F.rank()).over(w))
     per_part = local.groupBy("_pid").agg((F.max("_r") if dense else F.count(F.lit(1))).alias("_n"))

@@ -6,13 +6,6 @@ created only when none is set, as in tests).  A reliable checkpoint survives
 executor loss and cuts the lineage, unlike a cache.
 """
 
-from __future__ import annotations
+from quarry.session import materialize
 
-from pyspark.sql import DataFrame
-
-from quarry.session import checkpoint_dir
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+__all__ = ["materialize"]

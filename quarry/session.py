@@ -63,3 +63,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Reliable checkpoint of ``df`` in the shared checkpoint folder (eager):
+    later branches that read the result see exactly the same rows and
+    partitions, lineage is cut, and the data survives executor loss (unlike a
+    cache or a local checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
