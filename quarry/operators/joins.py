@@ -17,21 +17,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The estimate of a parquet scan is its compressed size; in memory the side is
-# several times larger, so the hint limit stays well under executor memory.
-DEFAULT_BROADCAST_LIMIT = 32 * 1024 * 1024
+# several times larger, so the limit is Spark's own default threshold (10 MB).
+DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
 
 
 def estimated_size(df: DataFrame) -> int | None:
     """Optimizer's size estimate in bytes (None when it cannot be read)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(size.toString())
     except Exception:  # noqa: BLE001 - estimate is advisory only
         return None
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint when the estimate is at most ``limit_bytes`` (default
+    ``DEFAULT_BROADCAST_LIMIT``; 0 never hints)."""
+    limit = DEFAULT_BROADCAST_LIMIT if limit_bytes is None else limit_bytes
     size = estimated_size(df)
-    if size is not None and size <= limit_bytes:
+    if limit > 0 and size is not None and size <= limit:
         return F.broadcast(df)
     return df
 
@@ -46,10 +50,10 @@ def dedup_last(dim: DataFrame, key: str | Sequence[str], order_col: str) -> Data
 
 
 def lookup_inner(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
-                 limit_bytes: int | None = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                 limit_bytes: int | None = None) -> DataFrame:
     """Inner equi-join to a dimension; rows without a match are dropped."""
     dim_key = dim_key or fact_key
-    side = broadcast_if_small(dim, limit_bytes) if limit_bytes else dim
+    side = broadcast_if_small(dim, limit_bytes)
     if dim_key == fact_key:
         return fact.join(side, fact_key, "inner")
     return fact.join(side, fact[fact_key] == side[dim_key], "inner").drop(side[dim_key])
@@ -57,20 +61,20 @@ def lookup_inner(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str |
 
 def lookup_with_default(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                         value: str, default, out: str | None = None,
-                        limit_bytes: int | None = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                        limit_bytes: int | None = None) -> DataFrame:
     """Left lookup of one value; a miss yields ``default`` and never drops a row."""
     out = out or value
     side = dim.select(F.col(dim_key).alias("_lk"), F.col(value).alias("_lv"))
-    side = broadcast_if_small(side, limit_bytes) if limit_bytes else side
+    side = broadcast_if_small(side, limit_bytes)
     joined = fact.join(side, fact[fact_key] == side["_lk"], "left")
     return joined.withColumn(out, F.coalesce(F.col("_lv"), F.lit(default))).drop("_lk", "_lv")
 
 
 def anti_join_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
                     stop_col: str = "stopword",
-                    limit_bytes: int | None = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                    limit_bytes: int | None = None) -> DataFrame:
     """Words minus a stop list.  Duplicate stop entries are harmless; a null
     word never matches, so it is kept (left-outer-join + IS NULL semantics)."""
     side = stop.select(F.col(stop_col).alias("_stop"))
-    side = broadcast_if_small(side, limit_bytes) if limit_bytes else side
+    side = broadcast_if_small(side, limit_bytes)
     return words.join(side, words[word_col] == side["_stop"], "left_anti")

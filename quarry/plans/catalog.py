@@ -466,10 +466,11 @@ def _ec_products(spark, d):
 
 
 def _ec_customers(spark, d):
-    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = table(spark, d, "nation").select("n_nationkey", "n_name")
-    return c.join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_custkey").alias("Customer_Trx_ID"),
-                                                             F.col("n_name").alias("Customer_Country"))
+    from quarry.operators.joins import lookup_inner
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("Customer_Trx_ID"), "c_nationkey")
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
+                                         F.col("n_name").alias("Customer_Country"))
+    return lookup_inner(c, n, "c_nationkey").select("Customer_Trx_ID", "Customer_Country")
 
 
 def _ec_reviews(spark, d):
