@@ -11,9 +11,10 @@ resumes exactly where it stopped.
 
 from quarry.streaming.incremental import (
     rating_lines_stream,
+    review_lines_stream,
     running_item_stats,
     running_word_counts,
     start_snapshots,
 )
 
-__all__ = ["rating_lines_stream", "running_item_stats", "running_word_counts", "start_snapshots"]
+__all__ = ["rating_lines_stream", "review_lines_stream", "running_item_stats", "running_word_counts", "start_snapshots"]

@@ -24,6 +24,19 @@ def rating_lines_stream(spark: SparkSession, directory: str, dialect: str = JAVA
     return parse_ratings(reader.format("text").load(directory), dialect)
 
 
+def review_lines_stream(spark: SparkSession, directory: str, sep: str = ";",
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """Review rows (id, comment, dim3, dim4, sentiment) from every ';' file
+    that appears in ``directory`` (same reading rules as the batch reader)."""
+    from quarry.sources.delimited import REVIEW_COLUMNS
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    schema = ", ".join(f"{c} string" for c in REVIEW_COLUMNS)
+    return (reader.schema(schema).option("sep", sep).option("quote", "\u0000").option("escape", "\u0000")
+            .option("mode", "PERMISSIVE").option("header", "false").csv(directory))
+
+
 def running_item_stats(ratings: DataFrame, items: DataFrame, item_key: str = "movie_id",
                        title: str = "title", rating: str = "rating", scale: int = 2) -> DataFrame:
     """Streaming N1: per title avg_rating and n_ratings, maintained as new

@@ -61,3 +61,14 @@ def test_commerce_job(spark, tmp_path):
     assert read_parts(tmp_path / "q10" / "seller_ranking") == ["seller_id;total_revenue;total_orders", "s1;16.75;2"]
     jobs.main(["commerce", str(folder), "4", str(tmp_path / "q4")])
     assert read_parts(tmp_path / "q4" / "orders_by_year_month") == ["year;month;total_orders", "2024;2;1", "2024;1;1"]
+
+
+def test_default_stop_list(spark, tmp_path):
+    from quarry.sources import read_wordlist
+    stop = read_wordlist(spark, jobs.DEFAULT_STOPWORDS)
+    words = [r.stopword for r in stop.collect()]
+    assert len(words) == 131 and "và" in words and "chúng tôi" in words
+    (tmp_path / "r.csv").write_text("1;Phòng và giường rất sạch;PRICES;HOTEL;positive\n", encoding="utf-8")
+    jobs.clean_words(spark, str(tmp_path / "r.csv"), str(tmp_path / "clean"))
+    kept = [ln.split(",")[1] for ln in read_parts(tmp_path / "clean")]
+    assert "và" not in kept and "phòng" in kept
