@@ -754,3 +754,21 @@ FROM s
 def q_seller_rank(spark, d):
     """N31 with its rank column (distributed global rank, ties share a rank)."""
     return C.seller_ranking(_ec_items(spark, d), with_rank=True)
+
+
+@register("q_category_sales_fan_out", f"""
+WITH rc AS (SELECT user_id AS oid, s FROM (SELECT user_id, {_SCORE} AS s FROM events) WHERE s BETWEEN 1 AND 5),
+j AS (SELECT p.p_type, l.l_linenumber, rc.s
+      FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+      LEFT JOIN rc ON l.l_orderkey = rc.oid)
+SELECT p_type AS category, COUNT(l_linenumber) AS total_orders,
+       CAST(ROUND(CAST(CAST(SUM(s) AS DOUBLE) / NULLIF(COUNT(s), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS average_review_score
+FROM j GROUP BY p_type ORDER BY total_orders DESC, category ASC
+""")
+def q_category_sales_fan_out(spark, d):
+    """N28 with several reviews per order: the scores are keyed by the event's
+    user_id, so each of the orders 0..149 has dozens of review rows and every
+    one of its items is counted once per valid review (the row-level join)."""
+    e = table(spark, d, "events")
+    reviews = e.select(F.col("user_id").alias("Order_ID"), F.get_json_object("props", "$.k").alias("Review_Score"))
+    return C.category_sales_and_score(_ec_items(spark, d), _ec_products(spark, d), reviews)
