@@ -12,7 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import lookup_inner
+from quarry.operators.sets import spread, union_all
+from quarry.plans import commerce as C
 from quarry.plans import ratings as R
+from quarry.plans import reports as P
+from quarry.plans import reviews as V
+from quarry.sinks.text import nested_bag_text, ordered
+from quarry.sources.ratings_text import JAVA, PYTHON, parse_movies, parse_ratings
 from quarry.sources.tables import table
 
 QUERIES: dict = {}
@@ -278,8 +285,6 @@ DOC_STOP_WORDS = (
 FREQUENT_THRESHOLD = 500
 TOP_K = 5
 
-from quarry.plans import reviews as V  # noqa: E402
-
 
 def _stop(spark):
     # A list fixed in code: bounded by construction, so it is broadcast.  Built
@@ -303,7 +308,6 @@ def _documents(spark, d, *cols):
 def _texts(spark, d, *cols):
     """The documents scan for tokenising: spread by doc_id when the files give
     fewer splits than the cluster has cores (tokenising whole texts is CPU-bound)."""
-    from quarry.operators.sets import spread
     keep = list(cols) if "doc_id" in cols else ["doc_id", *cols]
     return spread(table(spark, d, "documents").select(*keep), "doc_id").select(*cols)
 
@@ -419,7 +423,6 @@ FROM r WHERE rn <= {TOP_K} GROUP BY lang
 """)
 def q_nested_top_words(spark, d):
     """N13 in its nested-bag text form: ``lang,{(lang,word,cnt),...}``."""
-    from quarry.sinks.text import nested_bag_text
     nested = V.top_words_nested(_texts(spark, d, "text", "lang"), _stop(spark), "lang", None, TOP_K,
                                 text_col="text")
     return nested_bag_text(nested, "lang", "top_words", ["lang", "word", "cnt"])
@@ -436,7 +439,6 @@ def q_nested_top_words(spark, d):
 #   Customer_List Customer_Trx_ID = c_custkey, Customer_Country = n_name
 #   Order_Reviews Order_ID = event_id, Review_Score = the text of props.k
 
-from quarry.plans import commerce as C  # noqa: E402
 
 REVENUE_YEAR = 1998
 SEGMENT_VIP_MIN_AVG = 50000
@@ -466,7 +468,6 @@ def _ec_products(spark, d):
 
 
 def _ec_customers(spark, d):
-    from quarry.operators.joins import lookup_inner
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("Customer_Trx_ID"), "c_nationkey")
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
                                          F.col("n_name").alias("Customer_Country"))
@@ -607,11 +608,6 @@ def q_seller_ranking(spark, d):
 
 # ------------------------------------------------------ operator-level queries
 
-from quarry.operators.sets import union_all  # noqa: E402
-from quarry.plans import reports as P  # noqa: E402
-from quarry.sinks.text import ordered  # noqa: E402
-from quarry.sources.ratings_text import JAVA, PYTHON, parse_movies, parse_ratings  # noqa: E402
-
 
 def _rating_lines(spark, d, sep):
     """lineitem rendered as rating text lines: user, item, rating, epoch seconds."""
