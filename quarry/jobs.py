@@ -160,25 +160,40 @@ def year_report(spark, ratings, out, mode="errorifexists"):
 COMMERCE_FILES = ("Customer_List", "Order_Items", "Order_Reviews", "Orders", "Products")
 
 
+class _Tables(dict):
+    """Tables of the e-commerce folder, read (and schema-inferred: one pass over
+    the file) only when a question uses them."""
+
+    def __init__(self, spark: SparkSession, folder: str, infer: bool):
+        super().__init__()
+        self.spark, self.folder, self.infer = spark, folder.rstrip("/"), infer
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = read_csv(self.spark, f"{self.folder}/{name}.csv", infer=self.infer)
+        self[name] = df
+        return df
+
+
 def commerce_tables(spark: SparkSession, folder: str, infer: bool = True) -> dict[str, DataFrame]:
-    return {n: read_csv(spark, f"{folder.rstrip('/')}/{n}.csv", infer=infer) for n in COMMERCE_FILES}
+    return _Tables(spark, folder, infer)
 
 
 def commerce_question(spark: SparkSession, folder: str, question: int) -> dict[str, DataFrame]:
     """Result tables of one question (1..10) of the e-commerce set."""
     t = commerce_tables(spark, folder)
-    o, c, i, p, r = t["Orders"], t["Customer_List"], t["Order_Items"], t["Products"], t["Order_Reviews"]
     answers = {
-        1: lambda: {"schemas": schema_report(spark, t)},
-        2: lambda: {"totals": C.entity_totals(o, c, i)},
-        3: lambda: {"orders_by_country": C.orders_by_country(o, c)},
-        4: lambda: {"orders_by_year_month": C.orders_by_year_month(o)},
-        5: lambda: {"review_average": C.review_average(r), "review_distribution": C.review_distribution(r)},
-        6: lambda: {"revenue_by_category": C.revenue_by_category(i, o, p)},
-        7: lambda: {"category_sales_and_score": C.category_sales_and_score(i, p, r)},
-        8: lambda: {"delivery_performance": C.delivery_performance(o, i)},
-        9: lambda: {"customer_segments": C.customer_segments(o, i)},
-        10: lambda: {"seller_ranking": C.seller_ranking(i)},
+        1: lambda: {"schemas": schema_report(spark, {n: t[n] for n in COMMERCE_FILES})},
+        2: lambda: {"totals": C.entity_totals(t["Orders"], t["Customer_List"], t["Order_Items"])},
+        3: lambda: {"orders_by_country": C.orders_by_country(t["Orders"], t["Customer_List"])},
+        4: lambda: {"orders_by_year_month": C.orders_by_year_month(t["Orders"])},
+        5: lambda: {"review_average": C.review_average(t["Order_Reviews"]),
+                    "review_distribution": C.review_distribution(t["Order_Reviews"])},
+        6: lambda: {"revenue_by_category": C.revenue_by_category(t["Order_Items"], t["Orders"], t["Products"])},
+        7: lambda: {"category_sales_and_score": C.category_sales_and_score(t["Order_Items"], t["Products"],
+                                                                           t["Order_Reviews"])},
+        8: lambda: {"delivery_performance": C.delivery_performance(t["Orders"], t["Order_Items"])},
+        9: lambda: {"customer_segments": C.customer_segments(t["Orders"], t["Order_Items"])},
+        10: lambda: {"seller_ranking": C.seller_ranking(t["Order_Items"])},
     }
     return answers[question]()
 

@@ -72,3 +72,13 @@ def test_default_stop_list(spark, tmp_path):
     jobs.clean_words(spark, str(tmp_path / "r.csv"), str(tmp_path / "clean"))
     kept = [ln.split(",")[1] for ln in read_parts(tmp_path / "clean")]
     assert "và" not in kept and "phòng" in kept
+
+
+def test_commerce_reads_only_used_tables(spark, tmp_path):
+    folder = tmp_path / "shop"
+    folder.mkdir()
+    (folder / "Order_Items.csv").write_text("Order_ID;Order_Item_ID;Product_ID;Seller_ID;Price;Freight_Value\n"
+                                            "o1;1;p1;s1;10.5;1.25\n", encoding="utf-8")
+    # no other file exists: question 10 must not touch them
+    got = jobs.commerce_question(spark, str(folder), 10)["seller_ranking"].collect()
+    assert [tuple(r) for r in got] == [("s1", 11.75, 1)]
