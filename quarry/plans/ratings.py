@@ -172,8 +172,7 @@ def occupation_stats(ratings: DataFrame, users: DataFrame, occupations: DataFram
     ``missing_key``; id -> name, default ``missing_name``), so no rating is
     dropped; per name: avg_rating, n_ratings, highest average first."""
     per_user = partial_sums(ratings, [user_key], rating, scale)
-    with_occ = lookup_with_default(per_user, users.select(user_key, occ_key).withColumnRenamed(user_key, "_u"),
-                                   user_key, "_u", occ_key, missing_key, out="_occ")
+    with_occ = lookup_with_default(per_user, users, user_key, user_key, occ_key, missing_key, out="_occ")
     named = lookup_with_default(with_occ, occupations, "_occ", occ_key, occ_name, missing_name, out=occ_name)
     out = finish_avg(merge_partials(named, [occ_name]))
     return out.orderBy(F.col("avg_rating").desc(), F.col(occ_name).asc())
