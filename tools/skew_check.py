@@ -21,6 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from pyspark.sql import functions as F  # noqa: E402
 
 from quarry.plans import commerce as C  # noqa: E402
+from quarry.plans import reviews as V  # noqa: E402
 from quarry.plans import ratings as R  # noqa: E402
 from quarry.session import build_session  # noqa: E402
 
@@ -48,6 +49,7 @@ def main() -> None:
         return spark.read.parquet(f"{sf}/{name}.parquet").repartition(32)
 
     li, part, ev, cust, orders = (load(n) for n in ("lineitem", "part", "events", "customer", "orders"))
+    docs, labels = load("documents"), load("labels")
 
     ratings = li.select(hot("l_partkey", 1).alias("item_id"), F.col("l_quantity").alias("rating"))
     items = part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
@@ -68,7 +70,19 @@ def main() -> None:
     reviews = ev.select(hot("event_id", 1).alias("Order_ID"),
                         F.get_json_object("props", "$.k").alias("Review_Score"))
 
+    stop = spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in ("the", "of", "and")])).alias("stopword"))
+    docs_hot_lang = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("comment"),
+                                hot("lang", "en").alias("dim3"))
+    label_rows = labels.select(hot("doc_id", 1).alias("doc_id"),
+                               F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("s"))
+    label_counts = label_rows.groupBy("doc_id", "s").agg(F.count(F.lit(1)).alias("n"))
+    docs_labelled = docs.select("doc_id", "source").join(label_counts, "doc_id")
+
     jobs = {
+        "top_words (hot language)": lambda: V.top_words(docs_hot_lang, stop, "dim3", None, 5),
+        "frequent_words (hot words)": lambda: V.frequent_words(V.clean_tokens(docs_hot_lang, stop), 500),
+        "top_source_by_sentiment (hot doc labels)": lambda: V.top_value_by_sentiment(
+            docs_labelled, "source", "s", "doc_id", weight="n"),
         "item_rating_stats (hot item)": lambda: R.item_rating_stats(ratings, items, item_key="item_id"),
         "item_by_two_groups (hot user)": lambda: R.item_by_two_groups(
             ev_hot, users, None, item_key="item_id", group="c_mktsegment", groups=("BUILDING", "MACHINERY"),
