@@ -1,6 +1,7 @@
 """Reusable relational blocks (DataFrame in, DataFrame out)."""
 
 from quarry.operators.aggregates import (
+    distinct_count,
     distinct_count_with_null,
     distinct_totals,
     finish_avg,
@@ -20,7 +21,7 @@ from quarry.operators.sets import spread, tagged_union, union_all
 
 __all__ = [
     "anti_join_words", "argmax_row", "broadcast_if_small", "dedup_last",
-    "distinct_count_with_null", "distinct_totals", "finish_avg", "global_rank", "lookup_inner",
+    "distinct_count", "distinct_count_with_null", "distinct_totals", "finish_avg", "global_rank", "lookup_inner",
     "lookup_with_default", "merge_partials", "nested_top_k", "partial_sums",
     "pivot_avg", "spread", "tagged_union", "top_k_per_group", "union_all",
 ]

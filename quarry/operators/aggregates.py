@@ -58,6 +58,15 @@ def pivot_avg(df: DataFrame, key: str | Sequence[str], group_col: str, groups: S
     return wide.select(*keys, *cols)
 
 
+def distinct_count(c: Column | str, approx: bool = False, rsd: float = 0.01) -> Column:
+    """Distinct non-null values.  Exact by default (two-phase aggregation,
+    shuffled on the (group, value) pairs); ``approx=True`` keeps one
+    HyperLogLog++ sketch per group instead (relative error ``rsd``), so no
+    per-value shuffle -- an opt-in for very large inputs."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
+
+
 def distinct_count_with_null(c: Column | str) -> Column:
     """``select(c).distinct().count()``: like count_distinct, but null is one more value."""
     col = F.col(c) if isinstance(c, str) else c

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.numeric import ratio, round_half_up
 from quarry.functions.parsing import parsed_once, to_timestamp_any
-from quarry.operators.aggregates import distinct_totals
+from quarry.operators.aggregates import distinct_count, distinct_totals
 from quarry.operators.ranking import global_rank
 
 PURCHASE_TS = "Order_Purchase_Timestamp"
@@ -54,11 +54,12 @@ def entity_totals(orders: DataFrame, customers: DataFrame, items: DataFrame, ord
 
 
 def orders_by_country(orders: DataFrame, customers: DataFrame, customer_id: str = "Customer_Trx_ID",
-                      country: str = "Customer_Country", order_id: str = "Order_ID") -> DataFrame:
+                      country: str = "Customer_Country", order_id: str = "Order_ID",
+                      approx_distinct: bool = False) -> DataFrame:
     """(country, total_orders = distinct orders), most orders first."""
     joined = orders.select(customer_id, order_id).join(customers.select(customer_id, country), customer_id)
     return (joined.groupBy(F.col(country).alias("country"))
-                  .agg(F.count_distinct(order_id).alias("total_orders"))
+                  .agg(distinct_count(order_id, approx_distinct).cast("bigint").alias("total_orders"))
                   .orderBy(F.col("total_orders").desc(), F.col("country").asc()))
 
 
@@ -207,13 +208,13 @@ def customer_segments(orders: DataFrame, items: DataFrame, order_id: str = "Orde
 
 
 def seller_ranking(items: DataFrame, seller_id: str = "Seller_ID", order_id: str = "Order_ID",
-                   with_rank: bool = False) -> DataFrame:
+                   with_rank: bool = False, approx_distinct: bool = False) -> DataFrame:
     """Per seller: total_revenue (2 places) and total_orders (distinct),
     by revenue then orders, both descending.  ``with_rank`` adds a ``rank``
     column (ties share a rank), computed without a single-partition window."""
     out = (items.select(seller_id, order_id, revenue(items).alias("_v")).groupBy(seller_id)
                 .agg(F.round(F.sum("_v"), 2).cast("double").alias("total_revenue"),
-                     F.count_distinct(order_id).alias("total_orders")))
+                     distinct_count(order_id, approx_distinct).cast("bigint").alias("total_orders")))
     out = out.select(F.col(seller_id).alias("seller_id"), "total_revenue", "total_orders")
     order = [F.col("total_revenue").desc(), F.col("total_orders").desc()]
     if with_rank:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import PIG_DELIMITERS, explode_tokens
+from quarry.operators.aggregates import distinct_count
 from quarry.operators.joins import anti_join_words
 from quarry.operators.ranking import nested_top_k, top_k_per_group
 
@@ -54,10 +55,11 @@ def frequent_words(clean: DataFrame, threshold: int = 500, id_col: str = "id",
 
 
 def comments_per_value(reviews: DataFrame, value_col: str = "dim4", id_col: str = "id",
-                       out: str = "num_comments") -> DataFrame:
+                       out: str = "num_comments", approx_distinct: bool = False) -> DataFrame:
     """N8 (dim4) / N9 (dim3): distinct comment ids per value (null value is a
-    group of its own; null ids are not counted)."""
-    return reviews.groupBy(value_col).agg(F.count_distinct(id_col).alias(out))
+    group of its own; null ids are not counted).  ``approx_distinct`` trades
+    exactness for a sketch per group."""
+    return reviews.groupBy(value_col).agg(distinct_count(id_col, approx_distinct).cast("bigint").alias(out))
 
 
 def _count(first_col: str, weight: str | None):

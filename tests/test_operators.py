@@ -35,3 +35,13 @@ def test_broadcast_only_under_the_size_check(spark):
     assert "BroadcastHashJoin" in plan(hinted)
     not_hinted = broadcast_if_small(small, limit_bytes=1)
     assert not_hinted is small  # estimate above the limit: left to Spark's planner
+
+
+def test_approx_distinct_is_opt_in(spark):
+    from quarry.plans import reviews as V
+    rows = [(str(i % 997), "c" if i % 2 else "d") for i in range(20000)]
+    df = spark.createDataFrame(rows, "id string, dim4 string")
+    exact = {r.dim4: r.num_comments for r in V.comments_per_value(df).collect()}
+    approx = {r.dim4: r.num_comments for r in V.comments_per_value(df, approx_distinct=True).collect()}
+    assert exact == {"c": 997, "d": 997}  # 997 is odd: both halves see every id
+    assert all(abs(approx[k] - exact[k]) <= 0.05 * exact[k] for k in exact)
