@@ -40,6 +40,13 @@ def test_every_query_has_sql():
     assert missing == set(), missing
 
 
+def test_columns_are_unique_and_named(spark):
+    for name, fn in E.queries().items():
+        cols = fn(spark, SF).columns
+        assert len(cols) == len(set(cols)), (name, cols)
+        assert all(c and not c.startswith("_") and "(" not in c for c in cols), (name, cols)
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["title", "avg_rating", "n_ratings"] and df.count() > 0
