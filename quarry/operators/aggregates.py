@@ -67,14 +67,14 @@ def distinct_count(c: Column | str, approx: bool = False, rsd: float = 0.01) ->
     return F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
 
 
-def distinct_count_with_null(c: Column | str) -> Column:
+def distinct_count_with_null(c: Column | str, approx: bool = False) -> Column:
     """``select(c).distinct().count()``: like count_distinct, but null is one more value."""
     col = F.col(c) if isinstance(c, str) else c
-    return (F.count_distinct(col)
+    return (distinct_count(col, approx)
             + F.coalesce(F.max(F.when(col.isNull(), F.lit(1)).otherwise(F.lit(0))), F.lit(0))).cast("bigint")
 
 
-def distinct_totals(parts: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
+def distinct_totals(parts: Sequence[tuple[str, DataFrame, str]], approx: bool = False) -> DataFrame:
     """One row with one distinct count (null counted) per (name, df, column).
 
     The inputs are unioned into (entity, key) so a single aggregation
@@ -90,7 +90,7 @@ def distinct_totals(parts: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     unioned = longs[0]
     for other in longs[1:]:
         unioned = unioned.unionByName(other)
-    per_entity = unioned.groupBy("_entity").agg(distinct_count_with_null("_key").alias("_n"))
+    per_entity = unioned.groupBy("_entity").agg(distinct_count_with_null("_key", approx).alias("_n"))
     return per_entity.agg(*[
         F.coalesce(F.max(F.when(F.col("_entity") == name, F.col("_n"))), F.lit(0)).cast("bigint").alias(name)
         for name, _, _ in parts])

@@ -46,11 +46,13 @@ def revenue(items: DataFrame, price: str = "Price", freight: str = "Freight_Valu
 
 
 def entity_totals(orders: DataFrame, customers: DataFrame, items: DataFrame, order_id: str = "Order_ID",
-                  customer_id: str = "Customer_Trx_ID", seller_id: str = "Seller_ID") -> DataFrame:
+                  customer_id: str = "Customer_Trx_ID", seller_id: str = "Seller_ID",
+                  approx_distinct: bool = False) -> DataFrame:
     """One row (total_orders, total_customers, total_sellers); each a
-    distinct count in which null counts as one value."""
+    distinct count in which null counts as one value (``approx_distinct``:
+    one sketch per entity instead of shuffling every key)."""
     return distinct_totals([("total_orders", orders, order_id), ("total_customers", customers, customer_id),
-                            ("total_sellers", items, seller_id)])
+                            ("total_sellers", items, seller_id)], approx=approx_distinct)
 
 
 def orders_by_country(orders: DataFrame, customers: DataFrame, customer_id: str = "Customer_Trx_ID",

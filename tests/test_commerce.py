@@ -103,3 +103,8 @@ def test_options_dedupe_and_per_order(t):
 def test_seller_rank_column(t):
     got = [(r.seller_id, r.rank) for r in C.seller_ranking(t["items"], with_rank=True).collect()]
     assert got == [("s1", 1), ("s2", 2), ("s3", 3)]
+
+
+def test_entity_totals_approx_option(t):
+    r = C.entity_totals(t["orders"], t["customers"], t["items"], approx_distinct=True).first()
+    assert tuple(r) == (5, 5, 3)  # small inputs: the sketch is exact
