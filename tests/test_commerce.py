@@ -108,3 +108,29 @@ def test_seller_rank_column(t):
 def test_entity_totals_approx_option(t):
     r = C.entity_totals(t["orders"], t["customers"], t["items"], approx_distinct=True).first()
     assert tuple(r) == (5, 5, 3)  # small inputs: the sketch is exact
+
+
+def test_segment_boundaries_default_rule(spark):
+    """4/5/10/12 orders around the 500 average; the average is rounded to 2
+    places before it is compared (499.995 -> 500.00 -> VIP)."""
+    orders, items = [], []
+
+    def customer(cid, n_orders, value_cents_per_order):
+        for k in range(n_orders):
+            oid = f"{cid}-{k}"
+            orders.append((oid, cid))
+            cents = value_cents_per_order[k % len(value_cents_per_order)]
+            items.append((oid, cents / 100.0, 0.0))
+
+    customer("c4", 4, [100000])                  # 4 orders, avg 1000 -> Regular
+    customer("c5", 5, [10])                      # 5 orders -> Frequent
+    customer("c10", 10, [50000])                 # 10 orders, avg 500.00 -> VIP
+    customer("c10b", 10, [49999])                # 10 orders, avg 499.99 -> Frequent
+    customer("c12", 12, [49999, 50000])          # avg 499.995 -> rounds to 500.00 -> VIP
+    o = spark.createDataFrame(orders, "Order_ID string, Customer_Trx_ID string")
+    i = spark.createDataFrame(items, "Order_ID string, Price double, Freight_Value double")
+    got = {r.customer_id: (r.total_orders, r.avg_order_value, r.customer_group)
+           for r in C.customer_segments(o, i).collect()}
+    assert got == {"c4": (4, 1000.0, "Regular Customer"), "c5": (5, 0.1, "Frequent Customer"),
+                   "c10": (10, 500.0, "VIP Customer"), "c10b": (10, 499.99, "Frequent Customer"),
+                   "c12": (12, 500.0, "VIP Customer")}
