@@ -27,9 +27,11 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "error
 
 def nested_bag_text(df: DataFrame, group_col: str, bag_col: str, fields: Sequence[str],
                     out: str = "line") -> DataFrame:
-    """``group,{(f1,f2,...),(...)}`` -- the text form of a group with its bag."""
+    """``group,{(f1,f2,...),(...)}`` -- the text form of a group with its bag
+    (a null field prints as an empty field, so every tuple keeps its arity)."""
     def tup(s):
-        return F.concat(F.lit("("), F.concat_ws(",", *[s[f].cast("string") for f in fields]), F.lit(")"))
+        parts = [F.coalesce(s[f].cast("string"), F.lit("")) for f in fields]
+        return F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")"))
     return df.select(F.concat(F.coalesce(F.col(group_col).cast("string"), F.lit("")), F.lit(",{"),
                               F.array_join(F.transform(bag_col, tup), ","), F.lit("}")).alias(out))
 

@@ -109,3 +109,10 @@ def test_nested_bag_text(data):
     nested = V.top_words_nested(reviews, stop, sentiment="negative")
     lines = {r.line for r in nested_bag_text(nested, "dim3", "top_words", ["dim3", "word", "cnt"]).collect()}
     assert "COMFORT,{(COMFORT,bẩn,1),(COMFORT,phòng,1),(COMFORT,ồn,1)}" in lines
+
+
+def test_nested_bag_text_keeps_null_fields(data):
+    reviews, stop = data
+    nested = V.top_words_nested(reviews, stop)  # all sentiments: the null category has cnt 0 words
+    lines = {r.line for r in nested_bag_text(nested, "dim3", "top_words", ["dim3", "word", "cnt"]).collect()}
+    assert ",{(,row,0),(,short,0)}" in lines
