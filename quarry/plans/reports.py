@@ -33,7 +33,8 @@ YEAR_HEADER = "--- THONG KE DANH GIA THEO NAM ---"
 
 
 def _s(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+    """Text of a value as a Python f-string prints it (a missing value is None)."""
+    return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("None"))
 
 
 def left(c, width: int, cut: int | None = None) -> Column:
@@ -47,7 +48,7 @@ def left(c, width: int, cut: int | None = None) -> Column:
 
 def py2(c) -> Column:
     """Python ``format(x, '.2f')`` for the values these reports print."""
-    return F.format_string("%.2f", F.bround(F.col(c) if isinstance(c, str) else c, 2))
+    return F.coalesce(F.format_string("%.2f", F.bround(F.col(c) if isinstance(c, str) else c, 2)), F.lit("None"))
 
 
 def java2(c) -> Column:
@@ -88,10 +89,10 @@ def age_buckets_lines(stats: DataFrame, title: str = "title",
 
 def item_stats_report(stats: DataFrame, best: DataFrame, item_key: str = "movie_id", title: str = "title",
                       min_count: int = 5) -> DataFrame:
-    line = F.concat(F.lit("ID: "), _s(item_key), F.lit(" | Phim: "), F.col(title), F.lit(" | Diem TB: "),
+    line = F.concat(F.lit("ID: "), _s(item_key), F.lit(" | Phim: "), _s(title), F.lit(" | Diem TB: "),
                     py2("avg_rating"), F.lit(" | So luot: "), _s("n_ratings"))
     footer = [F.lit(""), F.lit(BEST_BLOCK[1]), F.lit(BEST_BLOCK[2].format(n=min_count)),
-              F.concat(F.lit("Ten phim: "), F.col(title)), F.concat(F.lit("Diem trung binh: "), py2("avg_rating")),
+              F.concat(F.lit("Ten phim: "), _s(title)), F.concat(F.lit("Diem trung binh: "), py2("avg_rating")),
               F.concat(F.lit("So luot danh gia: "), _s("n_ratings"))]
     return report_lines(stats, [F.col(item_key)], line, header=STATS_HEADER.format(n=min_count),
                         footer=footer, footer_df=best)

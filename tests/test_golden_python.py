@@ -72,3 +72,8 @@ def test_occupations(spark):
 def test_years(spark):
     ratings, _, _ = inputs(spark)
     assert lines(P.year_report(R.year_stats(ratings))) == expected(6)
+
+
+def test_missing_value_prints_none(spark):
+    stats = spark.createDataFrame([(1010, "Psycho (1960)", None, 3.5)], "movie_id int, title string, gender string, avg_rating double")
+    assert lines(P.gender_report(stats))[-1] == "ID: 1010 | Phim: Psycho (1960)             | Giới tính: None | Điểm TB: 3.50"
