@@ -11,8 +11,12 @@ FIXTURES = ROOT / "tests" / "fixtures"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from quarry.session import build_session
-    s = build_session(master="local[*]", shuffle_partitions=8, app="quarry-tests")
+    warehouse = tempfile.mkdtemp(prefix="quarry-warehouse-")
+    s = build_session(master="local[*]", shuffle_partitions=8, app="quarry-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
