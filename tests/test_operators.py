@@ -45,3 +45,13 @@ def test_approx_distinct_is_opt_in(spark):
     approx = {r.dim4: r.num_comments for r in V.comments_per_value(df, approx_distinct=True).collect()}
     assert exact == {"c": 997, "d": 997}  # 997 is odd: both halves see every id
     assert all(abs(approx[k] - exact[k]) <= 0.05 * exact[k] for k in exact)
+
+
+def test_spread_only_narrow_inputs(spark):
+    from quarry.operators import spread
+    wide = spark.range(0, 1000, numPartitions=16)
+    assert spread(wide, "id", min_partitions=8) is wide          # already split wider: untouched
+    narrow = spark.range(0, 1000, numPartitions=1)
+    spread_df = spread(narrow, "id", min_partitions=8)
+    assert spread_df.rdd.getNumPartitions() == 8
+    assert sorted(r.id for r in spread_df.collect()) == list(range(1000))
