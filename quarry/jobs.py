@@ -118,19 +118,19 @@ def top_words(spark, reviews, out, stopwords=DEFAULT_STOPWORDS, k=5, mode="error
 
 # ----------------------------------------------------------- ratings, reports
 
-def _py_inputs(spark, ratings, movies=None, users=None):
-    return (read_ratings(spark, ratings, PYTHON), movies and read_movies(spark, movies, PYTHON),
+def _py_inputs(spark, ratings, movies=None, users=None, fields=("user_id", "movie_id", "rating", "ts")):
+    return (read_ratings(spark, ratings, PYTHON, fields), movies and read_movies(spark, movies, PYTHON),
             users and read_users(spark, users, PYTHON))
 
 
 def item_report(spark, ratings, movies, out, min_count=5, mode="errorifexists"):
-    r, m, _ = _py_inputs(spark, ratings, movies)
+    r, m, _ = _py_inputs(spark, ratings, movies, fields=("movie_id", "rating"))
     stats = R.item_stats_min_ratings(r, m, min_count=min_count)
     write_lines(P.item_stats_report(stats, R.best_item_by_id(stats), min_count=min_count), out, mode)
 
 
 def genre_report(spark, ratings, movies, out, mode="errorifexists"):
-    r, m, _ = _py_inputs(spark, ratings, movies)
+    r, m, _ = _py_inputs(spark, ratings, movies, fields=("movie_id", "rating"))
     write_lines(P.genre_avg_report(R.tag_avg_sorted(r, m)), out, mode)
 
 
@@ -151,7 +151,7 @@ def occupation_report(spark, ratings, users, occupations, out, mode="errorifexis
 
 
 def year_report(spark, ratings, out, mode="errorifexists"):
-    r, _, _ = _py_inputs(spark, ratings)
+    r, _, _ = _py_inputs(spark, ratings, fields=("rating", "ts"))
     write_lines(P.year_report(R.year_stats(r)), out, mode)
 
 

@@ -640,8 +640,8 @@ WHERE rating IS NOT NULL GROUP BY title
 def q_item_rating_stats_text(spark, d):
     """N1 through the positional-text path: lineitem and part rendered as
     ', '-separated lines, parsed with Java split/trim/skip rules."""
-    return R.item_rating_stats(parse_ratings(_rating_lines(spark, d, ", "), JAVA),
-                               parse_movies(_movie_lines(spark, d, ", "), JAVA))
+    ratings = parse_ratings(_rating_lines(spark, d, ", "), JAVA, fields=("movie_id", "rating"))
+    return R.item_rating_stats(ratings, parse_movies(_movie_lines(spark, d, ", "), JAVA))
 
 
 @register("q_item_stats_text_strict", f"""
@@ -657,8 +657,9 @@ FROM s JOIN m ON s.movie_id = m.f[1]
 def q_item_stats_text_strict(spark, d):
     """N14 through the positional-text path with Python split rules, the title
     rebuilt from the middle fields, and a strict rating parse."""
-    return R.item_stats_min_ratings(parse_ratings(_rating_lines(spark, d, ","), PYTHON),
-                                    parse_movies(_movie_lines(spark, d, ","), PYTHON), min_count=MIN_RATINGS_BY_ID)
+    ratings = parse_ratings(_rating_lines(spark, d, ","), PYTHON, fields=("movie_id", "rating"))
+    return R.item_stats_min_ratings(ratings, parse_movies(_movie_lines(spark, d, ","), PYTHON),
+                                    min_count=MIN_RATINGS_BY_ID)
 
 
 @register("q_union_all", """

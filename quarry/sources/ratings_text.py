@@ -69,30 +69,38 @@ def _records(df: DataFrame, *fields: Column) -> DataFrame:
     return parsed_once(df, *fields)
 
 
-def parse_ratings(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
+RATING_COLUMNS = ("user_id", "movie_id", "rating", "ts")
+
+
+def parse_ratings(lines: DataFrame, dialect: str = JAVA, fields: Sequence[str] = RATING_COLUMNS) -> DataFrame:
     """Rating lines (a ``value`` column, batch or streaming) -> user_id,
-    movie_id, rating (double), ts (string)."""
+    movie_id, rating (double), ts (string).  ``fields`` names the columns the
+    caller needs (the rating is always parsed: the skip / fail rules depend on
+    it); the parsed record is emitted once, so unnamed fields cost nothing."""
+    wanted = [c for c in RATING_COLUMNS if c in fields or c == "rating"]
     if dialect == JAVA:
         # A line with fewer than 3 fields (trailing empty fields dropped) has
         # no non-empty third field, so the rating test alone applies both skip
         # rules and fields 0-2 are the same under either split rule.
         df = lines.select(F.split(F.col("value"), ",").alias("p"))
         ts = field("p", 3, True)
-        out = _records(df, field("p", 0, True).alias("user_id"), field("p", 1, True).alias("movie_id"),
-                       try_number(field("p", 2, True)).alias("rating"), F.when(ts != F.lit(""), ts).alias("ts"))
+        exprs = {"user_id": field("p", 0, True), "movie_id": field("p", 1, True),
+                 "rating": try_number(field("p", 2, True)), "ts": F.when(ts != F.lit(""), ts)}
+        out = _records(df, *[exprs[c].alias(c) for c in wanted])
         return out.where(F.col("rating").isNotNull())
     df = _split(lines, dialect)
-    return _records(df, field("p", 0).alias("user_id"), field("p", 1).alias("movie_id"),
-                    strict_number(field("p", 2), what="rating").alias("rating"),
-                    F.trim(field("p", 3)).alias("ts"))
+    exprs = {"user_id": field("p", 0), "movie_id": field("p", 1),
+             "rating": strict_number(field("p", 2), what="rating"), "ts": F.trim(field("p", 3))}
+    return _records(df, *[exprs[c].alias(c) for c in wanted])
 
 
-def read_ratings(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
-    """user_id, movie_id, rating (double), ts (string)."""
+def read_ratings(spark: SparkSession, paths, dialect: str = JAVA, fields: Sequence[str] = RATING_COLUMNS) -> DataFrame:
+    """user_id, movie_id, rating (double), ts (string) -- or the named ``fields``."""
     if dialect == JAVA:
         paths = [paths] if isinstance(paths, str) else list(paths)
-        return java_ratings_from_fields(java_csv_options(spark.read).csv(paths))
-    return parse_ratings(_lines(spark, paths), dialect)
+        out = java_ratings_from_fields(java_csv_options(spark.read).csv(paths))
+        return out.select(*[c for c in RATING_COLUMNS if c in fields or c == "rating"])
+    return parse_ratings(_lines(spark, paths), dialect, fields)
 
 
 def parse_movies(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
