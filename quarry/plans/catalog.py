@@ -769,3 +769,23 @@ def q_category_sales_fan_out(spark, d):
     e = table(spark, d, "events")
     reviews = e.select(F.col("user_id").alias("Order_ID"), F.get_json_object("props", "$.k").alias("Review_Score"))
     return C.category_sales_and_score(_ec_items(spark, d), _ec_products(spark, d), reviews)
+
+
+@register("q_tag_rating_stats_text", f"""
+WITH r AS (SELECT string_split(concat_ws(', ', l_orderkey, l_partkey, CAST(l_quantity AS VARCHAR)), ',') AS f
+           FROM lineitem),
+rp AS (SELECT {_JT.format(x='f[2]')} AS movie_id, TRY_CAST({_JT.format(x='f[3]')} AS DOUBLE) AS rating
+       FROM r WHERE len(f) >= 3),
+m AS (SELECT string_split(concat_ws(', ', p_partkey, p_name, replace(p_name, ' ', '|')), ',') AS f FROM part),
+mp AS (SELECT {_JT.format(x='f[1]')} AS movie_id, {_JT.format(x='f[len(f)]')} AS genres FROM m WHERE len(f) >= 3),
+g AS (SELECT movie_id, unnest(string_split(genres, '|')) AS tag FROM mp)
+SELECT {_JT.format(x='tag')} AS genre, CAST(SUM(CAST(rating AS DECIMAL(18,2))) AS DOUBLE) / COUNT(rating) AS avg_rating,
+       COUNT(rating) AS n_ratings
+FROM rp JOIN g ON rp.movie_id = g.movie_id
+WHERE rating IS NOT NULL GROUP BY 1
+""")
+def q_tag_rating_stats_text(spark, d):
+    """N3 through the Java text path: genres are the last field of each
+    derived movie line ('|'-joined words of p_name), split with Java rules."""
+    ratings = parse_ratings(_rating_lines(spark, d, ", "), JAVA, fields=("movie_id", "rating"))
+    return R.tag_rating_stats(ratings, parse_movies(_movie_lines(spark, d, ", "), JAVA))
