@@ -37,27 +37,58 @@ def argmax_row(df: DataFrame, order_cols: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order_cols).limit(1)
 
 
-def global_rank(df: DataFrame, order_cols: Sequence[Column], out: str = "rank", dense: bool = False) -> DataFrame:
-    """``rank()`` (or ``dense_rank()`` when ``dense``) over the whole input
-    without a single-partition window.
-
-    A total ``orderBy`` range-partitions the rows; equal sort keys always land
-    in the same range partition, so ranking inside each partition and adding
-    the number of rows (or distinct keys) of all earlier partitions gives the
-    global rank.  The per-partition offsets are one row per partition: a
-    table bounded by the partition count, joined back by broadcast.
-
-    The partition of each row is fixed once: the range bounds come from a
-    sample of the input, so the sorted rows and their partition ids are
-    checkpointed (eagerly, in the shared checkpoint folder) and both the
-    offsets and the ranks are computed from that one copy.
+def global_rank(df: DataFrame, keys: Sequence[str], ascending: bool | Sequence[bool] = True,
+                out: str = "rank", dense: bool = False) -> DataFrame:
+    """``rank()`` (or ``dense_rank()``) over the whole input ordered by
+    ``keys``, without a single-partition window and without putting all rows
+    of one key value into one task.
+
+    The rows are range-sorted by (keys, a unique tiebreak), so even a key value
+    held by a third of all rows spreads over several partitions; the sorted
+    rows and their partition ids are checkpointed once (range bounds come from
+    a sample, so the assignment must not be recomputed).  Inside a partition
+    rows are ranked locally.  A small summary with one row per partition
+    (row or key counts, first and last key) gives each partition its offset and,
+    for a key group that started in an earlier partition, the rank that group
+    started with; window functions over that summary resolve both.
     """
     from quarry.session import materialize
-    sorted_df = materialize(df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id()))
-    w = Window.partitionBy("_pid").orderBy(*order_cols)
-    local = sorted_df.withColumn("_r", (F.dense_rank() if dense else F.rank()).over(w))
-    per_part = local.groupBy("_pid").agg((F.max("_r") if dense else F.count(F.lit(1))).alias("_n"))
-    offsets = per_part.select("_pid", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    ranked = local.join(F.broadcast(offsets), "_pid")
-    return ranked.withColumn(out, (F.col("_r") + F.col("_off")).cast("bigint")).drop("_pid", "_r", "_off")
+    asc = [ascending] * len(keys) if isinstance(ascending, bool) else list(ascending)
+    order = [F.col(k).asc() if a else F.col(k).desc() for k, a in zip(keys, asc)]
+    key = F.struct(*[F.col(k) for k in keys])
+    sorted_df = materialize(df.withColumn("_tb", F.monotonically_increasing_id())
+                              .orderBy(*order, F.col("_tb").asc())
+                              .withColumn("_pid", F.spark_partition_id()))
+    in_part = Window.partitionBy("_pid").orderBy(*order)
+    local = (sorted_df.withColumn("_lr", (F.dense_rank() if dense else F.rank()).over(in_part))
+                      .withColumn("_rn", F.row_number().over(in_part.orderBy(*order, F.col("_tb")))))
+    parts = local.groupBy("_pid").agg(
+        F.count(F.lit(1)).alias("_rows"), F.max("_lr").alias("_keys"),
+        F.min_by(key, F.col("_rn")).alias("_first"), F.max_by(key, F.col("_rn")).alias("_last"),
+        F.max_by(F.col("_lr"), F.col("_rn")).alias("_last_lr"))
+    by_pid = Window.orderBy("_pid")
+    before = by_pid.rowsBetween(Window.unboundedPreceding, -1)
+    prev_last = F.lag("_last").over(by_pid)
+    overlap = F.coalesce(F.col("_first").eqNullSafe(prev_last), F.lit(False))
+    summary = parts.withColumn("_overlap", overlap)
+    if dense:
+        # distinct keys before this partition; a key spanning partitions counts once
+        summary = summary.withColumn("_off", F.coalesce(F.sum(
+            F.col("_keys") - F.col("_overlap").cast("long")).over(before), F.lit(0)))
+        summary = summary.select("_pid", "_off", F.col("_overlap").cast("long").alias("_ov"))
+        ranked = local.join(F.broadcast(summary), "_pid")
+        value = F.col("_off") + F.col("_lr") - F.col("_ov")
+        return ranked.withColumn(out, value.cast("bigint")).drop("_tb", "_pid", "_lr", "_rn", "_off", "_ov")
+    summary = summary.withColumn("_off", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    # rank at which the last key group of each partition started: its own, unless the
+    # whole partition continues a group from before (then the earlier start carries on)
+    whole_continues = F.col("_overlap") & F.col("_first").eqNullSafe(F.col("_last"))
+    own_start = F.col("_off") + F.col("_last_lr")
+    summary = summary.withColumn("_start", F.last(F.when(~whole_continues, own_start), ignorenulls=True)
+                                 .over(by_pid.rowsBetween(Window.unboundedPreceding, 0)))
+    summary = summary.withColumn("_carry", F.when(F.col("_overlap"), F.lag("_start").over(by_pid)))
+    summary = summary.select("_pid", "_off", "_first", "_carry")
+    ranked = local.join(F.broadcast(summary), "_pid")
+    continues = F.col("_carry").isNotNull() & key.eqNullSafe(F.col("_first"))
+    value = F.when(continues, F.col("_carry")).otherwise(F.col("_off") + F.col("_lr"))
+    return ranked.withColumn(out, value.cast("bigint")).drop("_tb", "_pid", "_lr", "_rn", "_off", "_first", "_carry")

@@ -220,5 +220,5 @@ def seller_ranking(items: DataFrame, seller_id: str = "Seller_ID", order_id: str
     out = out.select(F.col(seller_id).alias("seller_id"), "total_revenue", "total_orders")
     order = [F.col("total_revenue").desc(), F.col("total_orders").desc()]
     if with_rank:
-        out = global_rank(out, order)
+        out = global_rank(out, ["total_revenue", "total_orders"], ascending=False)
     return out.orderBy(*order, F.col("seller_id").asc())

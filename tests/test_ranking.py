@@ -1,4 +1,6 @@
-"""Distributed global rank equals a single-partition rank(), ties included."""
+"""Distributed global rank equals a single-partition rank()/dense_rank(),
+ties included -- also when one key value holds a third of all rows and
+spreads over several partitions."""
 
 import random
 
@@ -9,13 +11,49 @@ from pyspark.sql import functions as F
 from quarry.operators.ranking import global_rank
 
 
+def reference(df, keys, asc, dense):
+    order = [F.col(k).asc() if a else F.col(k).desc() for k, a in zip(keys, asc)]
+    fn = F.dense_rank() if dense else F.rank()
+    return {r.id: r.rk for r in df.withColumn("rk", fn.over(Window.orderBy(*order))).collect()}
+
+
 @pytest.mark.parametrize("dense", [False, True])
-def test_global_rank_matches_window_rank(spark, dense):
-    rnd = random.Random(7)
-    rows = [(i, rnd.randint(0, 40), rnd.randint(0, 3)) for i in range(3000)]
+@pytest.mark.parametrize("hot", [False, True])
+def test_global_rank_matches_window_rank(spark, dense, hot):
+    rnd = random.Random(7 + hot)
+    rows = []
+    for i in range(3000):
+        if hot and i % 3 == 0:
+            rows.append((i, 20, 1))                 # a third of all rows share one key
+        else:
+            rows.append((i, rnd.randint(0, 40), rnd.choice([0, 1, 2, 3, None])))
     df = spark.createDataFrame(rows, "id int, a int, b int").repartition(7)
-    order = [F.col("a").desc(), F.col("b").asc()]
-    ours = {r.id: r.rank for r in global_rank(df, order, dense=dense).collect()}
-    fn = F.dense_rank() if dense else F.rank()
-    ref = {r.id: r.rk for r in df.withColumn("rk", fn.over(Window.orderBy(*order))).collect()}
-    assert ours == ref
+    keys, asc = ["a", "b"], [False, True]
+    # with AQE's merging of small partitions off, the sorted rows really span
+    # several partitions, so key groups crossing partition boundaries are exercised
+    for coalesce in ("false", "true"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        try:
+            ours = {r.id: r.rank for r in global_rank(df, keys, asc, dense=dense).collect()}
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert ours == reference(df, keys, asc, dense)
+
+
+def test_hot_key_shares_one_rank(spark):
+    rows = [(i, 5 if i % 3 == 0 else i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, a int").repartition(8)
+    ranked = global_rank(df, ["a"])
+    ranks = ranked.where("a = 5").select("rank").distinct().collect()
+    assert [r.rank for r in ranks] == [4]   # only a = 1, 2, 4 come first
+    # the range sort behind it splits the hot key over several partitions (AQE's merging of
+    # small partitions is switched off to see the split on this tiny input)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = (df.withColumn("_tb", F.monotonically_increasing_id()).orderBy("a", "_tb")
+                    .withColumn("p", F.spark_partition_id()).where("a = 5").select("p").distinct().count())
+        assert spread > 1
+        again = {r.id: r.rank for r in global_rank(df, ["a"]).collect()}
+        assert {again[i] for i in range(0, 3000, 3)} == {4}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
