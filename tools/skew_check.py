@@ -21,6 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from pyspark.sql import functions as F  # noqa: E402
 
 from quarry.plans import commerce as C  # noqa: E402
+from quarry.operators.ranking import global_rank  # noqa: E402
 from quarry.plans import reviews as V  # noqa: E402
 from quarry.plans import ratings as R  # noqa: E402
 from quarry.session import build_session  # noqa: E402
@@ -34,6 +35,7 @@ def hot(col, key):
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     logdir = tempfile.mkdtemp(prefix="quarry-eventlog-")
+    from quarry.session import checkpoint_dir
     spark = build_session(master="local[8]", shuffle_partitions=16, app="quarry-skew", extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": logdir, "spark.eventLog.compress": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -79,6 +81,8 @@ def main() -> None:
     docs_labelled = docs.select("doc_id", "source").join(label_counts, "doc_id")
 
     jobs = {
+        "global_rank (hot sort key)": lambda: global_rank(
+            li.select(hot("l_partkey", 1).alias("k"), "l_orderkey"), ["k"]),
         "top_words (hot language)": lambda: V.top_words(docs_hot_lang, stop, "dim3", None, 5),
         "frequent_words (hot words)": lambda: V.frequent_words(V.clean_tokens(docs_hot_lang, stop), 500),
         "top_source_by_sentiment (hot doc labels)": lambda: V.top_value_by_sentiment(
