@@ -19,7 +19,7 @@ from quarry.plans import ratings as R
 from quarry.plans import reports as P
 from quarry.plans import reviews as V
 from quarry.sinks.text import nested_bag_text, ordered
-from quarry.sources.ratings_text import JAVA, PYTHON, parse_movies, parse_ratings
+from quarry.sources.ratings_text import JAVA, PYTHON, parse_movies, parse_ratings, parse_users
 from quarry.sources.tables import table
 
 QUERIES: dict = {}
@@ -789,3 +789,38 @@ def q_tag_rating_stats_text(spark, d):
     derived movie line ('|'-joined words of p_name), split with Java rules."""
     ratings = parse_ratings(_rating_lines(spark, d, ", "), JAVA, fields=("movie_id", "rating"))
     return R.tag_rating_stats(ratings, parse_movies(_movie_lines(spark, d, ", "), JAVA))
+
+
+def _user_lines(spark, d):
+    """customer rendered as user text lines: id, group (lower-cased segment),
+    age (whole part of the balance), nation."""
+    c = table(spark, d, "customer")
+    return c.select(F.concat_ws(", ", "c_custkey", F.lower("c_mktsegment"),
+                                F.floor("c_acctbal").cast("int"), "c_nationkey").alias("value"))
+
+
+def _event_lines(spark, d):
+    """events rendered as rating text lines: user, item (event type), value."""
+    e = table(spark, d, "events")
+    return e.select(F.concat_ws(", ", "user_id", "event_type", F.col("value").cast("string")).alias("value"))
+
+
+@register("q_item_by_two_groups_text", f"""
+WITH u AS (SELECT string_split(concat_ws(', ', c_custkey, lower(c_mktsegment), CAST(floor(c_acctbal) AS INTEGER),
+                                         c_nationkey), ',') AS f FROM customer),
+up AS (SELECT {_JT.format(x='f[1]')} AS user_id, upper({_JT.format(x='f[2]')}) AS grp FROM u WHERE len(f) >= 2),
+r AS (SELECT string_split(concat_ws(', ', user_id, event_type, CAST(value AS VARCHAR)), ',') AS f FROM events),
+rp AS (SELECT {_JT.format(x='f[1]')} AS user_id, {_JT.format(x='f[2]')} AS item_id,
+              TRY_CAST({_JT.format(x='f[3]')} AS DOUBLE) AS value FROM r WHERE len(f) >= 3),
+j AS (SELECT rp.item_id, up.grp, rp.value FROM rp JOIN up ON rp.user_id = up.user_id
+      WHERE rp.value IS NOT NULL AND up.grp IN ('BUILDING', 'MACHINERY'))
+SELECT item_id AS movie_id, {_cond_avg('BUILDING', 'avg_building')}, {_cond_avg('MACHINERY', 'avg_machinery')}
+FROM j GROUP BY item_id
+""")
+def q_item_by_two_groups_text(spark, d):
+    """N4 through the Java text path: user lines from customer (group read
+    upper-cased), rating lines from events; the item is its own title."""
+    ratings = parse_ratings(_event_lines(spark, d), JAVA, fields=("user_id", "movie_id", "rating"))
+    users = parse_users(_user_lines(spark, d), JAVA)
+    return R.item_by_two_groups(ratings, users, None, groups=("BUILDING", "MACHINERY"),
+                                names=("avg_building", "avg_machinery"))
