@@ -824,3 +824,27 @@ def q_item_by_two_groups_text(spark, d):
     users = parse_users(_user_lines(spark, d), JAVA)
     return R.item_by_two_groups(ratings, users, None, groups=("BUILDING", "MACHINERY"),
                                 names=("avg_building", "avg_machinery"))
+
+
+@register("q_item_by_age_bucket_text", f"""
+WITH u AS (SELECT string_split(concat_ws(', ', c_custkey, lower(c_mktsegment), CAST(floor(c_acctbal) AS INTEGER),
+                                         c_nationkey), ',') AS f FROM customer),
+up AS (SELECT {_JT.format(x='f[1]')} AS user_id, TRY_CAST({_JT.format(x='f[3]')} AS INTEGER) AS age
+       FROM u WHERE len(f) >= 2),
+ub AS (SELECT user_id, CASE WHEN age <= 18 THEN '0-18' WHEN age <= 35 THEN '18-35' WHEN age <= 50 THEN '35-50'
+                            WHEN age IS NOT NULL THEN '50+' END AS grp FROM up),
+r AS (SELECT string_split(concat_ws(', ', user_id, event_type, CAST(value AS VARCHAR)), ',') AS f FROM events),
+rp AS (SELECT {_JT.format(x='f[1]')} AS user_id, {_JT.format(x='f[2]')} AS item_id,
+              TRY_CAST({_JT.format(x='f[3]')} AS DOUBLE) AS value FROM r WHERE len(f) >= 3),
+j AS (SELECT rp.item_id, ub.grp, rp.value FROM rp JOIN ub ON rp.user_id = ub.user_id
+      WHERE rp.value IS NOT NULL AND ub.grp IS NOT NULL)
+SELECT item_id AS movie_id, {_cond_avg('0-18', 'avg_0_18')}, {_cond_avg('18-35', 'avg_18_35')},
+       {_cond_avg('35-50', 'avg_35_50')}, {_cond_avg('50+', 'avg_50_plus')}
+FROM j GROUP BY item_id
+""")
+def q_item_by_age_bucket_text(spark, d):
+    """N5 through the Java text path: the age field of the user lines is the
+    whole part of the customer balance, parsed as an integer and binned
+    <=18, <=35, <=50, above."""
+    ratings = parse_ratings(_event_lines(spark, d), JAVA, fields=("user_id", "movie_id", "rating"))
+    return R.item_by_bucket(ratings, parse_users(_user_lines(spark, d), JAVA), None)
