@@ -82,3 +82,34 @@ def test_commerce_reads_only_used_tables(spark, tmp_path):
     # no other file exists: question 10 must not touch them
     got = jobs.commerce_question(spark, str(folder), 10)["seller_ranking"].collect()
     assert [tuple(r) for r in got] == [("s1", 11.75, 1)]
+
+
+def test_all_commerce_questions(spark, tmp_path):
+    folder = tmp_path / "shop"
+    folder.mkdir()
+    (folder / "Orders.csv").write_text(
+        "Order_ID;Customer_Trx_ID;Order_Purchase_Timestamp;Order_Delivered_Carrier_Date\n"
+        "o1;c1;2024-01-05 10:00;2024-01-10 09:00\no2;c1;2024-02-10 11:30;\no3;c2;2023-12-31 23:59;2024-01-03 08:00\n",
+        encoding="utf-8")
+    (folder / "Customer_List.csv").write_text("Customer_Trx_ID;Customer_Country\nc1;VN\nc2;US\n", encoding="utf-8")
+    (folder / "Order_Items.csv").write_text(
+        "Order_ID;Order_Item_ID;Product_ID;Seller_ID;Price;Freight_Value;Shipping_Limit_Date\n"
+        "o1;1;p1;s1;100.0;10.0;2024-01-10 08:00\no2;1;p2;s2;50.5;5.25;2024-02-15 00:00\n"
+        "o3;1;p1;s1;10.0;1.0;2024-01-05 00:00\n", encoding="utf-8")
+    (folder / "Products.csv").write_text("Product_ID;Product_Category_Name\np1;toys\np2;books\n", encoding="utf-8")
+    (folder / "Order_Reviews.csv").write_text("Order_ID;Review_Score\no1;5\no1;4\no3;abc\n", encoding="utf-8")
+    got = {}
+    for q in range(1, 11):
+        for name, df in jobs.commerce_question(spark, str(folder), q).items():
+            got[name] = [tuple(r) for r in df.collect()]
+    assert got["totals"] == [(3, 2, 2)]
+    assert got["orders_by_country"] == [("VN", 2), ("US", 1)]
+    assert got["orders_by_year_month"] == [(2023, 12, 1), (2024, 2, 1), (2024, 1, 1)]
+    assert got["review_average"] == [(4.5,)] and got["review_distribution"] == [(4, 1), (5, 1)]
+    assert got["revenue_by_category"] == [("toys", 110.0), ("books", 55.75)]
+    assert got["category_sales_and_score"] == [("toys", 3, 4.5), ("books", 1, None)]
+    assert {(r[0], r[1], r[4], r[5]) for r in got["delivery_performance"]} == {
+        ("o1", "p1", 0, "On Time / Early"), ("o3", "p1", -2, "On Time / Early")}
+    assert sorted(r[0] for r in got["customer_segments"]) == ["c1", "c2"]
+    assert got["seller_ranking"] == [("s1", 121.0, 2), ("s2", 55.75, 1)]
+    assert {r[0] for r in got["schemas"]} == {"Customer_List", "Order_Items", "Order_Reviews", "Orders", "Products"}
