@@ -235,7 +235,9 @@ def main(argv=None) -> None:
         ap.error(f"{ns.job} takes: {' '.join(names)}")
     kwargs = {n: (v.split(",") if n == "ratings" else v) for n, v in zip(names, ns.args)}
     from quarry.session import build_session
-    spark = SparkSession.getActiveSession() or build_session(app=f"quarry-{ns.job}")
+    # keep whatever master and shuffle sizing the launcher (spark-submit) configured
+    spark = SparkSession.getActiveSession() or build_session(master=None, shuffle_partitions=None,
+                                                             app=f"quarry-{ns.job}")
     fn(spark, **kwargs, mode="overwrite" if ns.overwrite else "errorifexists")
 
 

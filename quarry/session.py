@@ -39,11 +39,22 @@ def cluster_conf(input_bytes: int, executor_cores: int = 1000 * 4) -> dict[str,
     }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app: str = "quarry", extra: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    """Session with ``BASE_CONF``.  ``master=None`` keeps the master the
+    launcher configured (``spark-submit --master ...``) and falls back to
+    ``local[*]`` only when none is set; ``shuffle_partitions=None`` keeps the
+    configured value as well."""
+    builder = SparkSession.builder.appName(app)
+    if master is None:
+        from pyspark import SparkConf
+        if not SparkConf().contains("spark.master"):
+            master = "local[*]"
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
