@@ -8,6 +8,7 @@ cluster's ``spark.checkpoint.dir`` and only sets one when none is configured
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,10 +47,10 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
     ``local[*]`` only when none is set; ``shuffle_partitions=None`` keeps the
     configured value as well."""
     builder = SparkSession.builder.appName(app)
-    if master is None:
-        from pyspark import SparkConf
-        if not SparkConf().contains("spark.master"):
-            master = "local[*]"
+    if master is None and "PYSPARK_GATEWAY_PORT" not in os.environ:
+        # not started by a launcher (spark-submit, pyspark shell) that already
+        # created the JVM with its master: run locally
+        master = "local[*]"
     if master is not None:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
