@@ -35,7 +35,6 @@ def hot(col, key):
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     logdir = tempfile.mkdtemp(prefix="quarry-eventlog-")
-    from quarry.session import checkpoint_dir
     spark = build_session(master="local[8]", shuffle_partitions=16, app="quarry-skew", extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": logdir, "spark.eventLog.compress": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
