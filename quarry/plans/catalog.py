@@ -848,3 +848,26 @@ def q_item_by_age_bucket_text(spark, d):
     <=18, <=35, <=50, above."""
     ratings = parse_ratings(_event_lines(spark, d), JAVA, fields=("user_id", "movie_id", "rating"))
     return R.item_by_bucket(ratings, parse_users(_user_lines(spark, d), JAVA), None)
+
+
+@register("q_item_by_group_long_text", f"""
+WITH u AS (SELECT string_split(concat_ws(',', c_custkey, c_mktsegment, CAST(floor(c_acctbal) AS INTEGER),
+                                         c_nationkey), ',') AS f FROM customer),
+r AS (SELECT string_split(concat_ws(',', user_id, event_type, CAST(value AS VARCHAR)), ',') AS f FROM events),
+j AS (SELECT r.f[2] AS item_id, u.f[2] AS gender, CAST(r.f[3] AS DOUBLE) AS value
+      FROM r JOIN u ON r.f[1] = u.f[1])
+SELECT item_id AS movie_id, gender, {_AVG_VAL} AS avg_rating
+FROM j GROUP BY 1, 2
+""")
+def q_item_by_group_long_text(spark, d):
+    """N17 through the Python text path: ',' lines without spaces, fields
+    untrimmed, ratings parsed strictly; (event type, segment) long form."""
+    def lines(df, *cols):
+        return df.select(F.concat_ws(",", *cols).alias("value"))
+    c = table(spark, d, "customer")
+    users = parse_users(lines(c, "c_custkey", "c_mktsegment", F.floor("c_acctbal").cast("int"), "c_nationkey"),
+                        PYTHON)
+    e = table(spark, d, "events")
+    ratings = parse_ratings(lines(e, "user_id", "event_type", F.col("value").cast("string")), PYTHON,
+                            fields=("user_id", "movie_id", "rating"))
+    return R.item_by_group_long(ratings, users, None, numeric_item=False)
