@@ -19,7 +19,7 @@ from quarry.plans import ratings as R
 from quarry.plans import reports as P
 from quarry.plans import reviews as V
 from quarry.sinks.text import nested_bag_text, ordered
-from quarry.sources.ratings_text import JAVA, PYTHON, parse_movies, parse_ratings, parse_users
+from quarry.sources.ratings_text import JAVA, PYTHON, parse_movies, parse_occupations, parse_ratings, parse_users
 from quarry.sources.tables import table
 
 QUERIES: dict = {}
@@ -871,3 +871,33 @@ def q_item_by_group_long_text(spark, d):
     ratings = parse_ratings(lines(e, "user_id", "event_type", F.col("value").cast("string")), PYTHON,
                             fields=("user_id", "movie_id", "rating"))
     return R.item_by_group_long(ratings, users, None, numeric_item=False)
+
+
+
+@register("q_occupation_stats_text", f"""
+WITH u AS (SELECT string_split(concat_ws(',', c_custkey, c_mktsegment, CAST(floor(c_acctbal) AS INTEGER),
+                                         c_nationkey), ',') AS f FROM customer),
+um AS (SELECT f[1] AS user_id, f[4] AS occ FROM u),
+o AS (SELECT string_split(concat_ws(',', n_nationkey, n_name), ',') AS f FROM nation WHERE n_regionkey <> 0),
+om AS (SELECT f[1] AS occ, f[2] AS occupation FROM o),
+r AS (SELECT string_split(concat_ws(',', user_id, event_type, CAST(value AS VARCHAR)), ',') AS f FROM events),
+rp AS (SELECT f[1] AS user_id, CAST(f[3] AS DOUBLE) AS value FROM r),
+j AS (SELECT COALESCE(om.occupation, 'Unknown') AS occupation, rp.value
+      FROM rp LEFT JOIN um ON rp.user_id = um.user_id
+      LEFT JOIN om ON COALESCE(um.occ, '-1') = om.occ)
+SELECT occupation, {_AVG_VAL} AS avg_rating, COUNT(value) AS n_ratings
+FROM j GROUP BY occupation ORDER BY avg_rating DESC, occupation ASC
+""")
+def q_occupation_stats_text(spark, d):
+    """N19 through the Python text path: user lines from customer (occupation
+    id = nation key), occupation lines from the nations outside region 0, so
+    misses fall back to "-1" and then "Unknown"."""
+    def lines(df, *cols):
+        return df.select(F.concat_ws(",", *cols).alias("value"))
+    users = parse_users(lines(table(spark, d, "customer"), "c_custkey", "c_mktsegment",
+                              F.floor("c_acctbal").cast("int"), "c_nationkey"), PYTHON)
+    nations = table(spark, d, "nation").where(F.col("n_regionkey") != 0)
+    occupations = parse_occupations(lines(nations, "n_nationkey", "n_name"))
+    ratings = parse_ratings(lines(table(spark, d, "events"), "user_id", "event_type", F.col("value").cast("string")),
+                            PYTHON, fields=("user_id", "rating"))
+    return R.occupation_stats(ratings, users, occupations)

@@ -135,6 +135,11 @@ def read_users(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
     return parse_users(_lines(spark, paths), dialect)
 
 
-def read_occupations(spark: SparkSession, paths) -> DataFrame:
-    df = _split(_lines(spark, paths), PYTHON)
+def parse_occupations(lines: DataFrame) -> DataFrame:
+    """Occupation lines (Python rules) -> occupation_id, occupation."""
+    df = _split(lines, PYTHON)
     return df.select(field("p", 0).alias("occupation_id"), field("p", 1).alias("occupation"))
+
+
+def read_occupations(spark: SparkSession, paths) -> DataFrame:
+    return parse_occupations(_lines(spark, paths))
