@@ -5,6 +5,10 @@ reviews, e-commerce orders); here each is pointed at the star-schema tables
 with a fixed column mapping, documented per query.  Every query reads whole
 tables; nothing is sampled or capped.  ``ORACLE_SQL`` holds, per query, the
 same computation in plain SQL (DuckDB dialect) used as the correctness check.
+
+The ``*_text`` queries exercise the line-oriented readers: Spark renders the
+tables as the original comma-separated text lines (in either dialect) and the
+analytics read them back through the same parsers the original files use.
 """
 
 from __future__ import annotations
