@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import wavelet
+from quarry.llm import simhash, wavelet
 from quarry.llm.common import table
 
 #: fixed values: the tokenizer file's vocabulary size and the id that ends a document
@@ -16,6 +16,10 @@ def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_shards(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID, VOCABULARY)
 
 
-QUERIES = {"op1_wavelet": op1_wavelet}
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("root")
+
+
+QUERIES = {"op1_wavelet": op1_wavelet, "op4_simhash": op4_simhash}
 
 ORACLE_SQL: dict[str, str] = {}
