@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import simhash, wavelet
+from quarry.llm import ppm, simhash, wavelet
 from quarry.llm.common import table
 
 #: fixed values: the tokenizer file's vocabulary size and the id that ends a document
@@ -20,6 +20,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("root")
 
 
-QUERIES = {"op1_wavelet": op1_wavelet, "op4_simhash": op4_simhash}
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ppm.identify(docs, ppm.learn(docs))
+
+
+QUERIES = {"op1_wavelet": op1_wavelet, "op4_simhash": op4_simhash, "op9_ppm": op9_ppm}
 
 ORACLE_SQL: dict[str, str] = {}
