@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import ppm, simhash, wavelet
+from quarry.llm import decontaminate, ppm, simhash, wavelet
 from quarry.llm.common import table
 
 #: fixed values: the tokenizer file's vocabulary size and the id that ends a document
@@ -25,6 +25,32 @@ def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.identify(docs, ppm.learn(docs))
 
 
-QUERIES = {"op1_wavelet": op1_wavelet, "op4_simhash": op4_simhash, "op9_ppm": op9_ppm}
+def op10_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(found)
 
-ORACLE_SQL: dict[str, str] = {}
+
+QUERIES = {"op1_wavelet": op1_wavelet, "op4_simhash": op4_simhash, "op9_ppm": op9_ppm, "op10_automaton": op10_automaton}
+
+#: words of the second tokenising rule in DuckDB (A-Z lower-cased; bytes above 0x7F are letters)
+_WORDS_SQL = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+_OP10_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL.format("coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT cast(item_id AS varchar) AS item, {_WORDS_SQL.format("coalesce(text, '')")} AS w FROM benchmark),
+bw AS (SELECT item, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s, w FROM b WHERE len(w) > 0),
+grams AS (SELECT DISTINCT item, k, array_to_string(w[s : s + k - 1], ' ') AS gram FROM bw),
+sizes AS (SELECT DISTINCT k FROM grams),
+dw AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, sizes WHERE len(w) >= k),
+places AS (SELECT doc_id, k, s, array_to_string(w[s : s + k - 1], ' ') AS gram FROM dw),
+hits AS (SELECT p.doc_id, p.s, p.k, g.item FROM places p JOIN grams g ON p.k = g.k AND p.gram = g.gram),
+words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+          FROM (SELECT doc_id, unnest(range(s, s + k)) AS pos FROM (SELECT DISTINCT doc_id, s, k FROM hits)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, cast(len(d.w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op10_automaton": _OP10_SQL}
