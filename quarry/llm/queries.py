@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, ppm, simhash, wavelet
+from quarry.llm import decontaminate, mixing, ppm, simhash, wavelet
 from quarry.llm.common import table
 
 #: fixed values: the tokenizer file's vocabulary size and the id that ends a document
@@ -20,6 +20,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("root")
 
 
+def op8_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """slot and place give the mixed order; a row comes once for each epoch of its source that reaches it."""
+    return mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")).drop("n_chars")
+
+
 def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ppm.identify(docs, ppm.learn(docs))
@@ -30,7 +35,7 @@ def op10_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES = {"op1_wavelet": op1_wavelet, "op4_simhash": op4_simhash, "op9_ppm": op9_ppm, "op10_automaton": op10_automaton}
+QUERIES = {f.__name__: f for f in (op1_wavelet, op4_simhash, op8_pfair, op9_ppm, op10_automaton)}
 
 #: words of the second tokenising rule in DuckDB (A-Z lower-cased; bytes above 0x7F are letters)
 _WORDS_SQL = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
