@@ -14,7 +14,7 @@ the cluster and only the bounded context statistics reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,11 @@ UNKNOWN = "und"
 class Model:
     """languages; class of each byte; node of each context; costs in bits by language, node and class."""
 
-    def __init__(self, languages: list[str], grams: list[tuple[np.ndarray, np.ndarray]], max_contexts: int):
-        self.languages = languages
+    def __init__(self, languages: list[str], grams: list[tuple[np.ndarray, np.ndarray]], max_contexts: int,
+                 smooth: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None):
+        """``grams``: the four-byte sequences of each language and their counts;
+        ``smooth``: probabilities from counts and those of the shorter context."""
+        self.languages, smooth = languages, smooth or escape
         bytes_seen = np.zeros(256)
         for gram, n in grams:
             np.add.at(bytes_seen, gram & 255, n)
@@ -79,7 +82,7 @@ class Model:
                 hit, at = _find(contexts[order], (key >> SHIFT) & ((1 << SHIFT * order) - 1))
                 np.add.at(table, (at[hit], (key & (CLASSES - 1))[hit]), n[hit])
                 lower = p if order == 0 else below[parents[order - 1]]
-                p = _escape(table, np.broadcast_to(lower, table.shape))
+                p = smooth(table, np.broadcast_to(lower, table.shape))
                 below = p if below is None else np.concatenate([below, p])
             cost[:] = -np.log2(below) + rest
         self.costs = self.costs.reshape(len(languages), -1)
@@ -123,7 +126,7 @@ def _find(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (values[inside] == wanted) if len(values) else np.zeros(len(wanted), bool), inside
 
 
-def _escape(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
+def escape(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
     """Probabilities in contexts with these counts; bytes not seen share the escape by ``lower``."""
     seen = counts > 0
     total, distinct = counts.sum(axis=1, keepdims=True), seen.sum(axis=1, keepdims=True)
@@ -148,39 +151,49 @@ def learn(docs: DataFrame, sample: int = 2_000, max_languages: int = 64, max_con
     the driver gathers and broadcasts.
     """
     ship(docs.sparkSession)
-    usable = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 4) != 2)) \
-        .select("doc_id", "text", "lang")
-    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    usable = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 4) != 2))
+    languages, grams = gram_counts(usable.select("doc_id", F.col("lang").alias("label"), "text"), "doc_id", sample,
+                                   max_languages, max_contexts)
+    return Model(languages, grams, max_contexts)
+
+
+def gram_counts(rows: DataFrame, key: str, sample: int, max_labels: int, max_contexts: int) \
+        -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
+    """Labels, and for each the four-byte sequences of its texts with their counts.
+
+    About ``sample`` rows of a label are read, chosen by a hash of ``key``; so
+    the sequences kept (the most frequent, 12 for a context) are bounded.
+    """
+    sizes = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect()
     if not sizes:
-        return Model([], [], max_contexts)
-    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, sample / r["count"])))])
-    chosen = usable.withColumn("share", share[F.col("lang")]) \
-        .filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+        return [], []
+    share = F.create_map(*[x for r in sizes for x in (F.lit(r["label"]), F.lit(min(1.0, sample / r["count"])))])
+    chosen = rows.withColumn("share", share[F.col("label")]) \
+        .filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.col("share") * (1 << 30))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text", 4 << 20):
-            langs = np.array(b.column("lang").to_pylist(), dtype=object)
+            labels = np.array(b.column("label").to_pylist(), dtype=object)
             texts = texts_of(b, "text")
-            for lang in dict.fromkeys(langs.tolist()):
-                data = np.frombuffer(PAD + PAD.join(texts[i] for i in np.flatnonzero(langs == lang)), np.uint8).astype(np.int64)
-                gram, n = np.unique(data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n)],
-                                                 ["lang", "gram", "n"])
-
-    grams = chosen.select("lang", "text").mapInArrow(count, "lang string, gram long, n long") \
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # at most 12 of the 128 classes a context on average, the most frequent first
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    rows = grams.withColumn("place", rank).filter(F.col("place") <= 12 * max_contexts).select("lang", "gram", "n").toArrow()
-    lang = np.array(rows.column("lang").to_pylist(), dtype=object)
-    gram, n = rows.column("gram").to_numpy(), rows.column("n").to_numpy()
-    languages = sorted(r["lang"] for r in sizes)
-    parts = []
-    for name in languages:
-        own = np.flatnonzero(lang == name)
+            for label in dict.fromkeys(labels.tolist()):
+                data = PAD + PAD.join(texts[i] for i in np.flatnonzero(labels == label))
+                x = np.frombuffer(data, np.uint8).astype(np.int64)
+                gram, n = np.unique(x[:-3] << 24 | x[1:-2] << 16 | x[2:-1] << 8 | x[3:], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([label] * len(gram), pa.string()), pa.array(gram), pa.array(n)],
+                                                 ["label", "gram", "n"])
+
+    grams = chosen.select("label", "text").mapInArrow(count, "label string, gram long, n long") \
+        .groupBy("label", "gram").agg(F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("n"), "gram"))
+    kept = grams.withColumn("place", rank).filter(F.col("place") <= 12 * max_contexts).select("label", "gram", "n").toArrow()
+    label = np.array(kept.column("label").to_pylist(), dtype=object)
+    gram, n = kept.column("gram").to_numpy(), kept.column("n").to_numpy()
+    labels, parts = sorted(r["label"] for r in sizes), []
+    for name in labels:
+        own = np.flatnonzero(label == name)
         own = own[np.argsort(gram[own])]
         parts.append((gram[own], n[own].astype(np.float64)))
-    return Model(languages, parts, max_contexts)
+    return labels, parts
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

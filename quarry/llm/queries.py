@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, mixing, ppm, simhash, wavelet
+from quarry.llm import decontaminate, mixing, ppm, simhash, urls, wavelet
 from quarry.llm.common import table
 
 #: fixed values: the tokenizer file's vocabulary size and the id that ends a document
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 2
 
+#: fixed values: the URL rules
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+             ("block", "net/fr/")]
+
 
 def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_shards(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID, VOCABULARY)
@@ -20,6 +24,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("root")
 
 
+def op7_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op8_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """slot and place give the mixed order; a row comes once for each epoch of its source that reaches it."""
     return mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")).drop("n_chars")
@@ -35,7 +43,7 @@ def op10_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet, op4_simhash, op8_pfair, op9_ppm, op10_automaton)}
+QUERIES = {f.__name__: f for f in (op1_wavelet, op4_simhash, op7_url_ratio, op8_pfair, op9_ppm, op10_automaton)}
 
 #: words of the second tokenising rule in DuckDB (A-Z lower-cased; bytes above 0x7F are letters)
 _WORDS_SQL = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
