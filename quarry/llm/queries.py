@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, mixing, ppm, simhash, urls, wavelet
+from quarry.llm import decontaminate, licenses, mixing, ppm, simhash, urls, wavelet
 from quarry.llm.common import table
 
 #: fixed values: the tokenizer file's vocabulary size and the id that ends a document
@@ -24,6 +24,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("root")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -43,7 +47,7 @@ def op10_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet, op4_simhash, op7_url_ratio, op8_pfair, op9_ppm, op10_automaton)}
+QUERIES = {f.__name__: f for f in (op1_wavelet, op4_simhash, op6_licenses, op7_url_ratio, op8_pfair, op9_ppm, op10_automaton)}
 
 #: words of the second tokenising rule in DuckDB (A-Z lower-cased; bytes above 0x7F are letters)
 _WORDS_SQL = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -66,4 +70,4 @@ SELECT d.doc_id, cast(len(d.w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hi
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op10_automaton": _OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_licenses": licenses.oracle(_WORDS_SQL), "op10_automaton": _OP10_SQL}
