@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: byte table of the second rule: A-Z lower-cased, other ASCII but letters and digits to space
-_ALNUM = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32
+ALNUM_BYTES = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32
                for c in range(256))
 
 
@@ -85,7 +85,7 @@ def space_words(text: str | bytes | None) -> list[bytes]:
 
 def alnum_words(text: str | bytes | None) -> list[bytes]:
     """Runs of ASCII letters, digits and non-ASCII characters as UTF-8, A-Z lower-cased."""
-    return _bytes(text).translate(_ALNUM).split()
+    return _bytes(text).translate(ALNUM_BYTES).split()
 
 
 def _bytes(text: str | bytes | None) -> bytes:
@@ -97,16 +97,6 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def utf8(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string array and its offsets (length n + 1); null is empty."""
-    values = values.fill_null("") if values.null_count else values
-    values = values.cast(pa.large_string())
-    offsets = np.frombuffer(values.buffers()[1], dtype=np.int64)[values.offset:values.offset + len(values) + 1]
-    data = values.buffers()[2]
-    data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return data[offsets[0]:offsets[-1]], offsets - offsets[0]
-
-
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batches, each with at most ``limit`` bytes in ``column`` (or
     one row), so that memory does not follow the number of rows in a batch."""
