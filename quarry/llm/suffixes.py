@@ -50,20 +50,26 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _POWERS[name][:n]
 
 
-def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word of all texts in a row, and the place of each text's first word (length n + 1)."""
-    data = b" ".join([b"", *(t or b"" for t in texts)]).translate(ALNUM_BYTES)
+def word_hashes(texts: list[bytes | None], table: bytes = ALNUM_BYTES, with_ends: bool = False) -> tuple[np.ndarray, ...]:
+    """A 64-bit hash of every word of all texts in a row, and the place of each text's first word (length n + 1).
+    Words are what ``table`` does not map to a space.  ``with_ends``: also each word's last two bytes as a number."""
+    data = b" ".join([b" ", *(t or b"" for t in texts)]).translate(table)
     sizes = np.fromiter((len(t or b"") for t in texts), np.int64, len(texts))
     offsets = np.concatenate([[0], np.cumsum(sizes + 1)])
     data = np.frombuffer(data, np.uint8)
     letter = data != 32
     starts = np.flatnonzero(letter & ~np.concatenate([[False], letter[:-1]]))
-    first = np.searchsorted(starts, offsets)
+    first = np.searchsorted(starts, offsets + 1)
     if not len(starts):
-        return np.zeros(0, np.uint64), first
+        h = np.zeros(0, np.uint64)
+        return (h, first, h) if with_ends else (h, first)
     values = np.where(letter, data, 0).astype(np.uint64) * _powers(_R, len(data))
-    sums = np.add.reduceat(values, starts) * _powers(pow(_R, -1, 1 << 64), len(data))[starts]
-    return _mix(sums), first
+    h = _mix(np.add.reduceat(values, starts) * _powers(pow(_R, -1, 1 << 64), len(data))[starts])
+    if not with_ends:
+        return h, first
+    ends = np.flatnonzero(letter & ~np.concatenate([letter[1:], [False]]))
+    # a word of one byte has the space before it
+    return h, first, data[ends].astype(np.int64) << 8 | data[ends - 1]
 
 
 def _running(h: np.ndarray, base: int) -> np.ndarray:
