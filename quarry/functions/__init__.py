@@ -2,7 +2,7 @@
 from built-in functions, so it stays inside whole-stage codegen."""
 
 from quarry.functions.binning import bucketize
-from quarry.functions.numeric import exact, ratio, round_half_even, round_half_up
+from quarry.functions.numeric import lossless, ratio, round_half_up, round_python, round_ratio, total
 from quarry.functions.parsing import (
     epoch_year,
     field,
@@ -11,6 +11,7 @@ from quarry.functions.parsing import (
     middle_join,
     parsed_once,
     split_fields,
+    strict_field,
     strict_number,
     to_timestamp_any,
     try_number,
@@ -18,7 +19,7 @@ from quarry.functions.parsing import (
 from quarry.functions.text import PIG_DELIMITERS, explode_tokens, tokenize
 
 __all__ = [
-    "PIG_DELIMITERS", "bucketize", "explode_tokens", "epoch_year", "exact", "field", "java_trim", "last_field",
-    "middle_join", "parsed_once", "ratio", "round_half_even", "round_half_up", "split_fields",
-    "strict_number", "to_timestamp_any", "tokenize", "try_number",
+    "PIG_DELIMITERS", "bucketize", "explode_tokens", "epoch_year", "lossless", "field", "java_trim", "last_field",
+    "middle_join", "parsed_once", "ratio", "round_half_up", "round_python", "round_ratio", "split_fields",
+    "strict_field", "strict_number", "to_timestamp_any", "tokenize", "total", "try_number",
 ]

@@ -59,6 +59,13 @@ def field(parts: ColumnOrName, index: int, trim: bool = False) -> Column:
     return java_trim(v) if trim else v
 
 
+def strict_field(parts: ColumnOrName, index: int, what: str = "field") -> Column:
+    """0-based field; fails the job when the line is too short (fail-fast jobs)."""
+    p = _col(parts)
+    return F.when(F.size(p) > index, F.get(p, index)).otherwise(
+        F.raise_error(F.concat(F.lit(f"missing {what}: "), F.array_join(p, ",", ""))).cast("string"))
+
+
 def last_field(parts: ColumnOrName, trim: bool = False) -> Column:
     v = F.try_element_at(_col(parts), F.lit(-1))
     return java_trim(v) if trim else v

@@ -36,12 +36,16 @@ from quarry.sources import (
     schema_report,
 )
 
+# The stop words of the review jobs.
 DEFAULT_STOPWORDS = __file__.rsplit("/", 1)[0] + "/data/stopwords_vi.txt"
 
 
-def _reviews(spark, path):
-    """The review file, spread over the cluster when it arrives in few splits."""
+def _reviews(spark, path, tokenised=True):
+    """The review file; spread over the cluster when its texts are to be tokenised
+    and it arrives in few splits."""
     df = read_delimited(spark, path)
+    if not tokenised:
+        return df
     return spread(df, F.xxhash64(F.coalesce(F.col("id"), F.lit("")), F.coalesce(F.col("comment"), F.lit(""))))
 
 
@@ -81,11 +85,13 @@ def review_stats(spark, reviews, out_dir, cleaned=None, stopwords=DEFAULT_STOPWO
     """Three outputs: frequent words, comments per category (4th column) and
     per aspect (3rd column).  ``cleaned``: a stored clean-words output to read
     instead of re-tokenising."""
-    raw = _reviews(spark, reviews)
     if cleaned:
         clean = read_delimited(spark, cleaned, columns=("id", "word"), sep=",")
     else:
-        clean = V.clean_tokens(raw, read_wordlist(spark, stopwords))
+        clean = V.clean_tokens(_reviews(spark, reviews), read_wordlist(spark, stopwords))
+    # the counts per value read neither the texts nor anything but their columns: one small
+    # (dim3, dim4, id) table serves both
+    raw = materialize(_reviews(spark, reviews, tokenised=False).select("id", "dim3", "dim4"))
     write_delimited(V.frequent_words(clean, threshold), f"{out_dir}/frequent_words", mode=mode)
     write_delimited(V.comments_per_value(raw, "dim4"), f"{out_dir}/per_category", mode=mode)
     write_delimited(V.comments_per_value(raw, "dim3"), f"{out_dir}/per_aspect", mode=mode)
@@ -93,9 +99,9 @@ def review_stats(spark, reviews, out_dir, cleaned=None, stopwords=DEFAULT_STOPWO
 
 def top_aspect(spark, reviews, out, mode="errorifexists"):
     """``value,total`` for the positive then the negative top value."""
-    best = V.top_value_by_sentiment(_reviews(spark, reviews), "dim4")
+    best = V.top_value_by_sentiment(_reviews(spark, reviews, tokenised=False), "dim4")
     ordered = best.orderBy(F.when(F.col("sentiment") == V.POSITIVE, 0).otherwise(1)).select("dim4", "total")
-    write_delimited(ordered.coalesce(1), out, mode=mode)
+    write_delimited(ordered, out, mode=mode)
 
 
 def _nested(df, k_col="dim3"):
@@ -118,9 +124,10 @@ def top_words(spark, reviews, out, stopwords=DEFAULT_STOPWORDS, k=5, mode="error
 
 # ----------------------------------------------------------- ratings, reports
 
-def _py_inputs(spark, ratings, movies=None, users=None, fields=("user_id", "movie_id", "rating", "ts")):
+def _py_inputs(spark, ratings, movies=None, users=None, fields=("user_id", "movie_id", "rating"), user_field=None):
+    """The inputs of a fail-fast job; a line without a field it names fails it."""
     return (read_ratings(spark, ratings, PYTHON, fields), movies and read_movies(spark, movies, PYTHON),
-            users and read_users(spark, users, PYTHON))
+            users and read_users(spark, users, PYTHON, ("user_id", user_field)))
 
 
 def item_report(spark, ratings, movies, out, min_count=5, mode="errorifexists"):
@@ -131,32 +138,33 @@ def item_report(spark, ratings, movies, out, min_count=5, mode="errorifexists"):
 
 def genre_report(spark, ratings, movies, out, mode="errorifexists"):
     r, m, _ = _py_inputs(spark, ratings, movies, fields=("movie_id", "rating"))
-    write_lines(P.genre_avg_report(R.tag_avg_sorted(r, m)), out, mode)
+    write_lines(P.genre_avg_report(R.tag_avg_sorted(r, m, ordered=False)), out, mode)
 
 
 def gender_report(spark, ratings, users, movies, out, mode="errorifexists"):
-    r, m, u = _py_inputs(spark, ratings, movies, users)
-    write_lines(P.gender_report(R.item_by_group_long(r, u, m)), out, mode)
+    r, m, u = _py_inputs(spark, ratings, movies, users, user_field="gender")
+    write_lines(P.gender_report(R.item_by_group_long(r, u, m, ordered=False)), out, mode)
 
 
 def age_report(spark, ratings, users, movies, out, mode="errorifexists"):
-    r, m, u = _py_inputs(spark, ratings, movies, users)
-    write_lines(P.age_report(R.item_by_bin_long(r, u, m)), out, mode)
+    r, m, u = _py_inputs(spark, ratings, movies, users, user_field="age")
+    write_lines(P.age_report(R.item_by_bin_long(r, u, m, ordered=False)), out, mode)
 
 
 def occupation_report(spark, ratings, users, occupations, out, mode="errorifexists"):
-    r, _, u = _py_inputs(spark, ratings, None, users)
-    stats = R.occupation_stats(r, u, read_occupations(spark, occupations))
+    r, _, u = _py_inputs(spark, ratings, None, users, fields=("user_id", "rating"), user_field="occupation_id")
+    stats = R.occupation_stats(r, u, read_occupations(spark, occupations), ordered=False)
     write_lines(P.occupation_report(stats), out, mode)
 
 
 def year_report(spark, ratings, out, mode="errorifexists"):
     r, _, _ = _py_inputs(spark, ratings, fields=("rating", "ts"))
-    write_lines(P.year_report(R.year_stats(r)), out, mode)
+    write_lines(P.year_report(R.year_stats(r, ordered=False)), out, mode)
 
 
 # --------------------------------------------------------------- e-commerce
 
+# The table names (files) of the e-commerce set.
 COMMERCE_FILES = ("Customer_List", "Order_Items", "Order_Reviews", "Orders", "Products")
 
 

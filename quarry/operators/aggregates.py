@@ -1,7 +1,7 @@
 """Aggregation blocks.
 
 ``partial_sums`` / ``merge_partials`` / ``finish_avg`` split an average into an
-exact mergeable state (decimal sum, count).  Plans use it to aggregate a fact
+mergeable state (decimal sum, double sum of the values no decimal holds, count).  Plans use it to aggregate a fact
 table on its join key *before* joining a dimension, so the join and the final
 grouping see one row per key instead of one per fact row -- and a hot key
 (say a third of all rows) collapses in the map-side partial aggregation.
@@ -14,33 +14,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.numeric import exact, ratio
+from quarry.functions.numeric import lossless, ratio, total
 
 SUM = "_sum"
+REST = "_rest"
 CNT = "_cnt"
 
 
 def partial_sums(df: DataFrame, keys: Sequence[str], value: str, scale: int = 2) -> DataFrame:
-    """keys + (_sum decimal, _cnt bigint) over non-null values."""
+    """keys + (_sum decimal, _rest double, _cnt bigint) over non-null values."""
+    exact, rest = lossless(value, df.schema[value].dataType, scale)
     return (df.where(F.col(value).isNotNull())
               .groupBy(*keys)
-              .agg(F.sum(exact(value, scale)).alias(SUM), F.count(F.lit(1)).alias(CNT)))
+              .agg(F.sum(exact).alias(SUM), F.sum(rest).alias(REST), F.count(F.lit(1)).alias(CNT)))
 
 
 def merge_partials(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum(SUM).alias(SUM), F.sum(CNT).alias(CNT))
+    return df.groupBy(*keys).agg(F.sum(SUM).alias(SUM), F.sum(REST).alias(REST), F.sum(CNT).alias(CNT))
 
 
 def finish_avg(df: DataFrame, avg_name: str = "avg_rating", count_name: str | None = "n_ratings") -> DataFrame:
-    out = df.withColumn(avg_name, ratio(SUM, CNT))
+    out = df.withColumn(avg_name, ratio(total(SUM, REST), CNT))
     if count_name:
         out = out.withColumn(count_name, F.col(CNT))
-    return out.drop(SUM, CNT)
+    return out.drop(SUM, REST, CNT)
 
 
 def pivot_avg(df: DataFrame, key: str | Sequence[str], group_col: str, groups: Sequence[str],
               names: Sequence[str], fill: float | None = 0.0) -> DataFrame:
-    """Wide conditional averages from (_sum, _cnt) partials: one column per
+    """Wide conditional averages from partial sums: one column per
     listed group value; other group values are ignored; a group with no rows
     gets ``fill``.  Equivalent to ``pivot(group_col, groups)`` with a fixed
     value list (no extra pass to discover values)."""
@@ -48,21 +50,20 @@ def pivot_avg(df: DataFrame, key: str | Sequence[str], group_col: str, groups: S
     aggs = []
     for g, name in zip(groups, names):
         hit = F.col(group_col) == F.lit(g)
-        aggs += [F.sum(F.when(hit, F.col(SUM))).alias(f"_s_{name}"),
+        aggs += [F.sum(F.when(hit, F.col(SUM))).alias(f"_s_{name}"), F.sum(F.when(hit, F.col(REST))).alias(f"_r_{name}"),
                  F.sum(F.when(hit, F.col(CNT))).alias(f"_n_{name}")]
     wide = df.where(F.col(group_col).isin(list(groups))).groupBy(*keys).agg(*aggs)
     cols = []
     for name in names:
-        avg = ratio(f"_s_{name}", f"_n_{name}")
+        avg = ratio(total(f"_s_{name}", f"_r_{name}"), f"_n_{name}")
         cols.append((F.coalesce(avg, F.lit(fill)) if fill is not None else avg).alias(name))
     return wide.select(*keys, *cols)
 
 
 def distinct_count(c: Column | str, approx: bool = False, rsd: float = 0.01) -> Column:
     """Distinct non-null values.  Exact by default (two-phase aggregation,
-    shuffled on the (group, value) pairs); ``approx=True`` keeps one
-    HyperLogLog++ sketch per group instead (relative error ``rsd``), so no
-    per-value shuffle -- an opt-in for very large inputs."""
+    shuffled on the (group, value) pairs).  ``approx=True`` is INEXACT: one
+    HyperLogLog++ sketch per group (relative error ``rsd``); no job or query uses it."""
     col = F.col(c) if isinstance(c, str) else c
     return F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
 

@@ -1,12 +1,9 @@
 """Dimension lookups.
 
-Broadcast policy: a side is broadcast only when its size is known to be
-small.  ``broadcast_if_small`` asks the optimizer for the side's estimated
-size and hints a broadcast only under the limit; everything else is left to
-Spark, whose planner applies ``autoBroadcastJoinThreshold`` to the estimate
-and whose adaptive execution re-checks the *measured* size after the shuffle
-map stage.  Beyond those limits the join stays a shuffle (sort-merge) join,
-and AQE splits skewed partitions.
+Which side is broadcast is left to Spark: its planner applies
+``autoBroadcastJoinThreshold`` to the estimate and adaptive execution re-checks
+the *measured* size.  Beyond that the join is a shuffle (sort-merge) join, and
+AQE splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -16,28 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The estimate of a parquet scan is its compressed size; in memory the side is
-# several times larger, so the limit is Spark's own default threshold (10 MB).
-DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
-
-
-def estimated_size(df: DataFrame) -> int | None:
-    """Optimizer's size estimate in bytes (None when it cannot be read)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size) if isinstance(size, int) else int(size.toString())
-    except Exception:  # noqa: BLE001 - estimate is advisory only
-        return None
-
-
-def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint when the estimate is at most ``limit_bytes`` (default
-    ``DEFAULT_BROADCAST_LIMIT``; 0 never hints)."""
-    limit = DEFAULT_BROADCAST_LIMIT if limit_bytes is None else limit_bytes
-    size = estimated_size(df)
-    if limit > 0 and size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
+# Column in which the readers give a row's place in its files ("last wins").
+ORDER = "_order"
 
 
 def dedup_last(dim: DataFrame, key: str | Sequence[str], order_col: str) -> DataFrame:
@@ -49,32 +26,47 @@ def dedup_last(dim: DataFrame, key: str | Sequence[str], order_col: str) -> Data
     return picked.select(*keys, *[F.col("_row." + c).alias(c) for c in rest])
 
 
-def lookup_inner(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
-                 limit_bytes: int | None = None) -> DataFrame:
+def unique_dimension(dim: DataFrame, key: str, columns: Sequence[str], dedup: str | None = None,
+                     order_col: str = ORDER) -> DataFrame:
+    """``key`` and ``columns`` of a dimension.  ``dedup``: ``last_wins`` keeps
+    the row with the greatest ``order_col`` of each key (a hash map filled in
+    file order), ``assert`` fails on a repeated key, ``none`` keeps all rows
+    (a repeated key multiplies).  By default ``last_wins`` where the reader
+    gave the rows' order, else ``none``."""
+    dedup = dedup or ("last_wins" if order_col in dim.columns else "none")
+    if dedup == "last_wins":
+        return dedup_last(dim.select(key, *columns, order_col), key, order_col).select(key, *columns)
+    if dedup == "assert":
+        row = F.struct(*columns)
+        checked = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(
+            F.lit(f"repeated {key}: "), F.coalesce(F.first(F.col(key)).cast("string"), F.lit("null"))))
+        ).otherwise(F.first(row)).cast(dim.select(row.alias("r")).schema["r"].dataType)
+        return dim.groupBy(key).agg(checked.alias("_row")).select(key, *[F.col(f"_row.{c}").alias(c) for c in columns])
+    if dedup != "none":
+        raise ValueError(f"dedup: last_wins, assert or none, not {dedup!r}")
+    return dim.select(key, *columns)
+
+
+def lookup_inner(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None) -> DataFrame:
     """Inner equi-join to a dimension; rows without a match are dropped."""
     dim_key = dim_key or fact_key
-    side = broadcast_if_small(dim, limit_bytes)
     if dim_key == fact_key:
-        return fact.join(side, fact_key, "inner")
-    return fact.join(side, fact[fact_key] == side[dim_key], "inner").drop(side[dim_key])
+        return fact.join(dim, fact_key, "inner")
+    return fact.join(dim, fact[fact_key] == dim[dim_key], "inner").drop(dim[dim_key])
 
 
 def lookup_with_default(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                        value: str, default, out: str | None = None,
-                        limit_bytes: int | None = None) -> DataFrame:
+                        value: str, default, out: str | None = None) -> DataFrame:
     """Left lookup of one value; a miss yields ``default`` and never drops a row."""
     out = out or value
     side = dim.select(F.col(dim_key).alias("_lk"), F.col(value).alias("_lv"))
-    side = broadcast_if_small(side, limit_bytes)
     joined = fact.join(side, fact[fact_key] == side["_lk"], "left")
     return joined.withColumn(out, F.coalesce(F.col("_lv"), F.lit(default))).drop("_lk", "_lv")
 
 
 def anti_join_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
-                    stop_col: str = "stopword",
-                    limit_bytes: int | None = None) -> DataFrame:
+                    stop_col: str = "stopword") -> DataFrame:
     """Words minus a stop list.  Duplicate stop entries are harmless; a null
     word never matches, so it is kept (left-outer-join + IS NULL semantics)."""
     side = stop.select(F.col(stop_col).alias("_stop"))
-    side = broadcast_if_small(side, limit_bytes)
     return words.join(side, words[word_col] == side["_stop"], "left_anti")

@@ -16,13 +16,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import lookup_inner
+from quarry.operators.joins import ORDER, lookup_inner
 from quarry.operators.sets import spread, union_all
 from quarry.plans import commerce as C
 from quarry.plans import ratings as R
 from quarry.plans import reports as P
 from quarry.plans import reviews as V
 from quarry.sinks.text import nested_bag_text, ordered
+from quarry.sources.delimited import parse_delimited
 from quarry.sources.ratings_text import JAVA, PYTHON, parse_movies, parse_occupations, parse_ratings, parse_users
 from quarry.sources.tables import table
 
@@ -62,17 +63,14 @@ def _customers(spark, d):
 
 # ------------------------------------------------------------------ ratings
 
-# exact mean used everywhere: decimal sum -> double, divided by the count
-_AVG_QTY = "CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_quantity)"
+# two decimals, HALF_UP, of the true quotient of an exact sum (at most four decimals) and a count
+def _round2(total: str, count: str) -> str:
+    return (f"CAST((CAST({total} * 10000 AS HUGEINT) * 200 + {count} * 10000) // NULLIF({count} * 20000, 0) AS DOUBLE)"
+            " / 100")
 
 
-@register("q_item_rating_stats", f"""
-SELECT p_name AS title, {_AVG_QTY} AS avg_rating, COUNT(l_quantity) AS n_ratings
-FROM lineitem JOIN part ON l_partkey = p_partkey
-GROUP BY p_name
-""")
-def q_item_rating_stats(spark: SparkSession, d: str) -> DataFrame:
-    return R.item_rating_stats(_line_ratings(spark, d), _parts(spark, d), item_key="item_id")
+# exact mean used everywhere: decimal sum -> double, divided by the count
+_AVG_QTY = "CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_quantity)"
 
 
 _STATS_CTE = f"""WITH s AS (
@@ -81,8 +79,11 @@ _STATS_CTE = f"""WITH s AS (
   WHERE l_quantity IS NOT NULL
   GROUP BY p_name)"""
 
-ORACLE_SQL["q_item_rating_stats"] = f"""{_STATS_CTE}
-SELECT title, avg_rating, n_ratings FROM s"""
+@register("q_item_rating_stats", f"""{_STATS_CTE}
+SELECT title, avg_rating, n_ratings FROM s""")
+def q_item_rating_stats(spark: SparkSession, d: str) -> DataFrame:
+    """item = l_partkey, title = p_name, rating = l_quantity."""
+    return R.item_rating_stats(_line_ratings(spark, d), _parts(spark, d), item_key="item_id")
 
 
 @register("q_best_item", f"""{_STATS_CTE}
@@ -237,15 +238,15 @@ WITH u AS (
   FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
   WHERE e.value IS NOT NULL)
 SELECT COALESCE(n.n_name, 'Unknown') AS occupation, {_AVG_VAL} AS avg_rating, COUNT(value) AS n_ratings
-FROM u LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 0) n ON u.occ = n.n_nationkey
+FROM u LEFT JOIN (SELECT n_nationkey + 5 AS n_nationkey, n_name FROM nation) n ON u.occ = n.n_nationkey
 GROUP BY 1 ORDER BY avg_rating DESC, occupation ASC
 """)
 def q_occupation_stats(spark, d):
-    """User -> c_nationkey (default -1) -> n_name of nations outside region 0 (default Unknown)."""
+    """User -> c_nationkey (default -1) -> n_name of the nation five keys before (the first five keys
+    miss: default Unknown)."""
     users = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"),
                                                 F.col("c_nationkey").alias("occupation_id"))
-    occ = (table(spark, d, "nation").where(F.col("n_regionkey") != 0)
-           .select(F.col("n_nationkey").alias("occupation_id"), F.col("n_name").alias("occupation")))
+    occ = table(spark, d, "nation").select((F.col("n_nationkey") + 5).alias("occupation_id"), F.col("n_name").alias("occupation"))
     return R.occupation_stats(_event_ratings(spark, d), users, occ, missing_key=-1)
 
 
@@ -392,8 +393,9 @@ SELECT lang, word, cnt FROM r WHERE rn <= {TOP_K}"""
 
 
 def _labelled(spark, d, sentiment):
+    """Texts with their label: a hash table of the (small) labels is built, so texts are neither sorted nor spilled."""
     docs = _texts(spark, d, "doc_id", "text", "lang")
-    return docs.join(_label_counts(spark, d, sentiment), "doc_id")
+    return docs.join(_label_counts(spark, d, sentiment).hint("shuffle_hash"), "doc_id")
 
 
 @register("q_top_words_positive", _top_words_sql("WHERE l.quality = 1", "JOIN labels l ON d.doc_id = l.doc_id"))
@@ -516,7 +518,7 @@ def q_orders_by_year_month(spark, d):
 
 
 @register("q_review_average", f"""
-SELECT CAST(ROUND(CAST(CAST(SUM(s) AS DOUBLE) / NULLIF(COUNT(s), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS average_score
+SELECT {_round2('SUM(s)', 'COUNT(s)')} AS average_score
 FROM (SELECT {_SCORE} AS s FROM events) WHERE s BETWEEN 1 AND 5
 """)
 def q_review_average(spark, d):
@@ -555,7 +557,7 @@ j AS (SELECT p.p_type, l.l_linenumber, rc.s
       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
       LEFT JOIN rc ON l.l_orderkey = rc.event_id)
 SELECT p_type AS category, COUNT(l_linenumber) AS total_orders,
-       CAST(ROUND(CAST(CAST(SUM(s) AS DOUBLE) / NULLIF(COUNT(s), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS average_review_score
+       {_round2('SUM(s)', 'COUNT(s)')} AS average_review_score
 FROM j GROUP BY p_type ORDER BY total_orders DESC, category ASC
 """)
 def q_category_sales_and_score(spark, d):
@@ -587,7 +589,7 @@ def q_delivery_performance(spark, d):
 WITH j AS (SELECT o.o_custkey, o.o_orderkey, {_REV} AS v
            FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey),
 s AS (SELECT o_custkey AS customer_id, COUNT(DISTINCT o_orderkey) AS total_orders,
-             CAST(ROUND(CAST(CAST(SUM(v) AS DOUBLE) / NULLIF(COUNT(v), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_order_value
+             {_round2('SUM(v)', 'COUNT(v)')} AS avg_order_value
       FROM j GROUP BY o_custkey)
 SELECT customer_id, total_orders, avg_order_value,
        CASE WHEN total_orders >= 10 AND avg_order_value >= {SEGMENT_VIP_MIN_AVG} THEN 'VIP Customer'
@@ -613,28 +615,36 @@ def q_seller_ranking(spark, d):
 # ------------------------------------------------------ operator-level queries
 
 
+def _line(sep, *fields):
+    """A text line; a null is an empty field."""
+    texts = [(F.col(f) if isinstance(f, str) else f).cast("string") for f in fields]
+    return F.concat_ws(sep, *[F.coalesce(t, F.lit("")) for t in texts]).alias("value")
+
+
+def _line_sql(sep, *fields):
+    return f"concat_ws('{sep}', " + ", ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in fields) + ")"
+
+
 def _rating_lines(spark, d, sep):
     """lineitem rendered as rating text lines: user, item, rating, epoch seconds."""
-    li = table(spark, d, "lineitem")
-    return li.select(F.concat_ws(sep, "l_orderkey", "l_partkey", F.col("l_quantity").cast("string"),
-                                 epoch_seconds_text("l_shipdate")).alias("value"))
+    return table(spark, d, "lineitem").select(_line(sep, "l_orderkey", "l_partkey", "l_quantity",
+                                                    epoch_seconds_text("l_shipdate")))
 
 
 def _movie_lines(spark, d, sep):
     """part rendered as movie text lines: id, title, '|'-joined words of the name."""
-    p = table(spark, d, "part")
-    return p.select(F.concat_ws(sep, "p_partkey", "p_name", F.regexp_replace("p_name", " ", "|")).alias("value"))
+    return table(spark, d, "part").select(_line(sep, "p_partkey", "p_name", F.regexp_replace("p_name", " ", "|")))
 
 
 _JT = "regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
 
 
 @register("q_item_rating_stats_text", f"""
-WITH r AS (SELECT string_split(concat_ws(', ', l_orderkey, l_partkey, CAST(l_quantity AS VARCHAR)), ',') AS f
+WITH r AS (SELECT string_split({_line_sql(', ', "l_orderkey", "l_partkey", "l_quantity")}, ',') AS f
            FROM lineitem),
 rp AS (SELECT {_JT.format(x='f[2]')} AS movie_id, TRY_CAST({_JT.format(x='f[3]')} AS DOUBLE) AS rating
        FROM r WHERE len(f) >= 3),
-m AS (SELECT string_split(concat_ws(', ', p_partkey, p_name), ',') AS f FROM part),
+m AS (SELECT string_split({_line_sql(', ', "p_partkey", "p_name")}, ',') AS f FROM part),
 mp AS (SELECT {_JT.format(x='f[1]')} AS movie_id, {_JT.format(x='f[2]')} AS title FROM m WHERE len(f) >= 2)
 SELECT title, CAST(SUM(CAST(rating AS DECIMAL(18,2))) AS DOUBLE) / COUNT(rating) AS avg_rating,
        COUNT(rating) AS n_ratings
@@ -649,12 +659,12 @@ def q_item_rating_stats_text(spark, d):
 
 
 @register("q_item_stats_text_strict", f"""
-WITH r AS (SELECT string_split(concat_ws(',', l_orderkey, l_partkey, CAST(l_quantity AS VARCHAR)), ',') AS f
+WITH r AS (SELECT string_split({_line_sql(',', "l_orderkey", "l_partkey", "l_quantity")}, ',') AS f
            FROM lineitem),
 s AS (SELECT f[2] AS movie_id, CAST(SUM(CAST(CAST(f[3] AS DOUBLE) AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS avg_rating,
              COUNT(*) AS n_ratings
       FROM r GROUP BY f[2] HAVING COUNT(*) >= {MIN_RATINGS_BY_ID}),
-m AS (SELECT string_split(concat_ws(',', p_partkey, p_name, replace(p_name, ' ', '|')), ',') AS f FROM part)
+m AS (SELECT string_split({_line_sql(',', "p_partkey", "p_name", "replace(p_name, ' ', '|')")}, ',') AS f FROM part)
 SELECT s.movie_id, array_to_string(m.f[2:len(m.f) - 1], ',') AS title, s.avg_rating, s.n_ratings
 FROM s JOIN m ON s.movie_id = m.f[1]
 """)
@@ -690,8 +700,9 @@ def q_distinct_pairs(spark, d):
     return table(spark, d, "orders").select("o_custkey", "o_orderstatus").distinct()
 
 
-_HALF_UP = "printf('%.2f', ROUND(CAST({x} AS DECIMAL(38,10)), 2))"
-_HALF_EVEN = "printf('%.2f', round_even(CAST({x} AS DECIMAL(38,10)), 2))"
+# Java rounds the number's shortest decimal text, C and Python its binary value
+_HALF_UP = "printf('%.2f', ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), 2))"
+_HALF_EVEN = "printf('%.2f', CAST({x} AS DOUBLE))"
 
 
 @register("q_title_stats_lines", f"""{_STATS_CTE}
@@ -724,7 +735,8 @@ FROM s
 def q_group_report_lines(spark, d):
     """N17 as a formatted report: header, a separator before each item,
     padded and cut fields, averages printed with ties to even."""
-    stats = q_item_by_group_long(spark, d)
+    stats = R.item_by_group_long(_event_ratings(spark, d), _customers(spark, d), None, item_key="item_id",
+                                 group="c_mktsegment", numeric_item=False, ordered=False)
     return ordered(P.gender_report(stats, item_key="item_id", title="item_id", group="c_mktsegment"))
 
 
@@ -741,7 +753,9 @@ SELECT 'Năm: ' || CAST(year AS VARCHAR) || ' | Điểm TB: ' || {_HALF_EVEN.for
 """)
 def q_year_report_lines(spark, d):
     """N20 as a formatted report."""
-    return ordered(P.year_report(q_year_stats(spark, d)))
+    o = table(spark, d, "orders").select(epoch_seconds_text("o_orderdate").alias("ts"),
+                                         F.col("o_totalprice").alias("rating"))
+    return ordered(P.year_report(R.year_stats(o, ordered=False)))
 
 
 @register("q_seller_rank", f"""
@@ -763,7 +777,7 @@ j AS (SELECT p.p_type, l.l_linenumber, rc.s
       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
       LEFT JOIN rc ON l.l_orderkey = rc.oid)
 SELECT p_type AS category, COUNT(l_linenumber) AS total_orders,
-       CAST(ROUND(CAST(CAST(SUM(s) AS DOUBLE) / NULLIF(COUNT(s), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS average_review_score
+       {_round2('SUM(s)', 'COUNT(s)')} AS average_review_score
 FROM j GROUP BY p_type ORDER BY total_orders DESC, category ASC
 """)
 def q_category_sales_fan_out(spark, d):
@@ -776,11 +790,11 @@ def q_category_sales_fan_out(spark, d):
 
 
 @register("q_tag_rating_stats_text", f"""
-WITH r AS (SELECT string_split(concat_ws(', ', l_orderkey, l_partkey, CAST(l_quantity AS VARCHAR)), ',') AS f
+WITH r AS (SELECT string_split({_line_sql(', ', "l_orderkey", "l_partkey", "l_quantity")}, ',') AS f
            FROM lineitem),
 rp AS (SELECT {_JT.format(x='f[2]')} AS movie_id, TRY_CAST({_JT.format(x='f[3]')} AS DOUBLE) AS rating
        FROM r WHERE len(f) >= 3),
-m AS (SELECT string_split(concat_ws(', ', p_partkey, p_name, replace(p_name, ' ', '|')), ',') AS f FROM part),
+m AS (SELECT string_split({_line_sql(', ', "p_partkey", "p_name", "replace(p_name, ' ', '|')")}, ',') AS f FROM part),
 mp AS (SELECT {_JT.format(x='f[1]')} AS movie_id, {_JT.format(x='f[len(f)]')} AS genres FROM m WHERE len(f) >= 3),
 g AS (SELECT movie_id, unnest(string_split(genres, '|')) AS tag FROM mp)
 SELECT {_JT.format(x='tag')} AS genre, CAST(SUM(CAST(rating AS DECIMAL(18,2))) AS DOUBLE) / COUNT(rating) AS avg_rating,
@@ -798,22 +812,19 @@ def q_tag_rating_stats_text(spark, d):
 def _user_lines(spark, d):
     """customer rendered as user text lines: id, group (lower-cased segment),
     age (whole part of the balance), nation."""
-    c = table(spark, d, "customer")
-    return c.select(F.concat_ws(", ", "c_custkey", F.lower("c_mktsegment"),
-                                F.floor("c_acctbal").cast("int"), "c_nationkey").alias("value"))
+    return table(spark, d, "customer").select(_line(", ", "c_custkey", F.lower("c_mktsegment"),
+                                                    F.floor("c_acctbal").cast("int"), "c_nationkey"))
 
 
 def _event_lines(spark, d):
     """events rendered as rating text lines: user, item (event type), value."""
-    e = table(spark, d, "events")
-    return e.select(F.concat_ws(", ", "user_id", "event_type", F.col("value").cast("string")).alias("value"))
+    return table(spark, d, "events").select(_line(", ", "user_id", "event_type", "value"))
 
 
 @register("q_item_by_two_groups_text", f"""
-WITH u AS (SELECT string_split(concat_ws(', ', c_custkey, lower(c_mktsegment), CAST(floor(c_acctbal) AS INTEGER),
-                                         c_nationkey), ',') AS f FROM customer),
+WITH u AS (SELECT string_split({_line_sql(', ', "c_custkey", "lower(c_mktsegment)", "CAST(floor(c_acctbal) AS INTEGER)", "c_nationkey")}, ',') AS f FROM customer),
 up AS (SELECT {_JT.format(x='f[1]')} AS user_id, upper({_JT.format(x='f[2]')}) AS grp FROM u WHERE len(f) >= 2),
-r AS (SELECT string_split(concat_ws(', ', user_id, event_type, CAST(value AS VARCHAR)), ',') AS f FROM events),
+r AS (SELECT string_split({_line_sql(', ', "user_id", "event_type", "value")}, ',') AS f FROM events),
 rp AS (SELECT {_JT.format(x='f[1]')} AS user_id, {_JT.format(x='f[2]')} AS item_id,
               TRY_CAST({_JT.format(x='f[3]')} AS DOUBLE) AS value FROM r WHERE len(f) >= 3),
 j AS (SELECT rp.item_id, up.grp, rp.value FROM rp JOIN up ON rp.user_id = up.user_id
@@ -831,13 +842,12 @@ def q_item_by_two_groups_text(spark, d):
 
 
 @register("q_item_by_age_bucket_text", f"""
-WITH u AS (SELECT string_split(concat_ws(', ', c_custkey, lower(c_mktsegment), CAST(floor(c_acctbal) AS INTEGER),
-                                         c_nationkey), ',') AS f FROM customer),
+WITH u AS (SELECT string_split({_line_sql(', ', "c_custkey", "lower(c_mktsegment)", "CAST(floor(c_acctbal) AS INTEGER)", "c_nationkey")}, ',') AS f FROM customer),
 up AS (SELECT {_JT.format(x='f[1]')} AS user_id, TRY_CAST({_JT.format(x='f[3]')} AS INTEGER) AS age
        FROM u WHERE len(f) >= 2),
 ub AS (SELECT user_id, CASE WHEN age <= 18 THEN '0-18' WHEN age <= 35 THEN '18-35' WHEN age <= 50 THEN '35-50'
                             WHEN age IS NOT NULL THEN '50+' END AS grp FROM up),
-r AS (SELECT string_split(concat_ws(', ', user_id, event_type, CAST(value AS VARCHAR)), ',') AS f FROM events),
+r AS (SELECT string_split({_line_sql(', ', "user_id", "event_type", "value")}, ',') AS f FROM events),
 rp AS (SELECT {_JT.format(x='f[1]')} AS user_id, {_JT.format(x='f[2]')} AS item_id,
               TRY_CAST({_JT.format(x='f[3]')} AS DOUBLE) AS value FROM r WHERE len(f) >= 3),
 j AS (SELECT rp.item_id, ub.grp, rp.value FROM rp JOIN ub ON rp.user_id = ub.user_id
@@ -855,9 +865,8 @@ def q_item_by_age_bucket_text(spark, d):
 
 
 @register("q_item_by_group_long_text", f"""
-WITH u AS (SELECT string_split(concat_ws(',', c_custkey, c_mktsegment, CAST(floor(c_acctbal) AS INTEGER),
-                                         c_nationkey), ',') AS f FROM customer),
-r AS (SELECT string_split(concat_ws(',', user_id, event_type, CAST(value AS VARCHAR)), ',') AS f FROM events),
+WITH u AS (SELECT string_split({_line_sql(',', "c_custkey", "c_mktsegment", "CAST(floor(c_acctbal) AS INTEGER)", "c_nationkey")}, ',') AS f FROM customer),
+r AS (SELECT string_split({_line_sql(',', "user_id", "event_type", "value")}, ',') AS f FROM events),
 j AS (SELECT r.f[2] AS item_id, u.f[2] AS gender, CAST(r.f[3] AS DOUBLE) AS value
       FROM r JOIN u ON r.f[1] = u.f[1])
 SELECT item_id AS movie_id, gender, {_AVG_VAL} AS avg_rating
@@ -867,7 +876,7 @@ def q_item_by_group_long_text(spark, d):
     """N17 through the Python text path: ',' lines without spaces, fields
     untrimmed, ratings parsed strictly; (event type, segment) long form."""
     def lines(df, *cols):
-        return df.select(F.concat_ws(",", *cols).alias("value"))
+        return df.select(_line(",", *cols))
     c = table(spark, d, "customer")
     users = parse_users(lines(c, "c_custkey", "c_mktsegment", F.floor("c_acctbal").cast("int"), "c_nationkey"),
                         PYTHON)
@@ -879,12 +888,11 @@ def q_item_by_group_long_text(spark, d):
 
 
 @register("q_occupation_stats_text", f"""
-WITH u AS (SELECT string_split(concat_ws(',', c_custkey, c_mktsegment, CAST(floor(c_acctbal) AS INTEGER),
-                                         c_nationkey), ',') AS f FROM customer),
+WITH u AS (SELECT string_split({_line_sql(',', "c_custkey", "c_mktsegment", "CAST(floor(c_acctbal) AS INTEGER)", "c_nationkey")}, ',') AS f FROM customer),
 um AS (SELECT f[1] AS user_id, f[4] AS occ FROM u),
-o AS (SELECT string_split(concat_ws(',', n_nationkey, n_name), ',') AS f FROM nation WHERE n_regionkey <> 0),
+o AS (SELECT string_split({_line_sql(',', "n_nationkey + 5", "n_name")}, ',') AS f FROM nation),
 om AS (SELECT f[1] AS occ, f[2] AS occupation FROM o),
-r AS (SELECT string_split(concat_ws(',', user_id, event_type, CAST(value AS VARCHAR)), ',') AS f FROM events),
+r AS (SELECT string_split({_line_sql(',', "user_id", "event_type", "value")}, ',') AS f FROM events),
 rp AS (SELECT f[1] AS user_id, CAST(f[3] AS DOUBLE) AS value FROM r),
 j AS (SELECT COALESCE(om.occupation, 'Unknown') AS occupation, rp.value
       FROM rp LEFT JOIN um ON rp.user_id = um.user_id
@@ -894,14 +902,173 @@ FROM j GROUP BY occupation ORDER BY avg_rating DESC, occupation ASC
 """)
 def q_occupation_stats_text(spark, d):
     """N19 through the Python text path: user lines from customer (occupation
-    id = nation key), occupation lines from the nations outside region 0, so
-    misses fall back to "-1" and then "Unknown"."""
+    id = nation key), occupation lines from the nations with five added to their
+    key, so that misses fall back to "-1" and then "Unknown"."""
     def lines(df, *cols):
-        return df.select(F.concat_ws(",", *cols).alias("value"))
+        return df.select(_line(",", *cols))
     users = parse_users(lines(table(spark, d, "customer"), "c_custkey", "c_mktsegment",
                               F.floor("c_acctbal").cast("int"), "c_nationkey"), PYTHON)
-    nations = table(spark, d, "nation").where(F.col("n_regionkey") != 0)
-    occupations = parse_occupations(lines(nations, "n_nationkey", "n_name"))
+    occupations = parse_occupations(lines(table(spark, d, "nation"), F.col("n_nationkey") + 5, "n_name"))
     ratings = parse_ratings(lines(table(spark, d, "events"), "user_id", "event_type", F.col("value").cast("string")),
                             PYTHON, fields=("user_id", "rating"))
     return R.occupation_stats(ratings, users, occupations)
+
+
+# ------------------------------------- values, duplicates and lines that are not clean
+
+@register("q_item_rating_stats_fine", """
+SELECT p_name AS title, ROUND(AVG(CAST(l_extendedprice AS DOUBLE) * l_tax / 3), 4) AS avg_rating, COUNT(*) AS n_ratings
+FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE l_extendedprice IS NOT NULL AND l_tax IS NOT NULL GROUP BY p_name
+""")
+def q_item_rating_stats_fine(spark, d):
+    """N1 on ratings with many decimals (price * tax / 3), rounded only at the end."""
+    ratings = table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("item_id"), (F.col("l_extendedprice").cast("double") * F.col("l_tax") / 3).alias("rating"))
+    stats = R.item_rating_stats(ratings, _parts(spark, d), item_key="item_id")
+    return stats.withColumn("avg_rating", F.round("avg_rating", 4))
+
+
+@register("q_item_rating_stats_last_wins", f"""
+WITH dim AS (SELECT o_custkey, o_orderpriority, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders)
+SELECT o_orderpriority AS title, {_AVG_VAL} AS avg_rating, COUNT(value) AS n_ratings
+FROM events JOIN dim ON user_id = o_custkey AND rn = 1 WHERE value IS NOT NULL GROUP BY 1
+""")
+def q_item_rating_stats_last_wins(spark, d):
+    """N1 with a dimension that repeats its keys: item = the event's user, title = the priority of that
+    customer's last order (greatest o_orderkey), as a map filled in order keeps it."""
+    items = table(spark, d, "orders").select(F.col("o_custkey").alias("item_id"), F.col("o_orderpriority").alias("title"),
+                                             F.col("o_orderkey").alias(ORDER))
+    ratings = table(spark, d, "events").select(F.col("user_id").alias("item_id"), F.col("value").alias("rating"))
+    return R.item_rating_stats(ratings, items, item_key="item_id")
+
+
+def _supplied(spark, d):
+    """lineitem as ratings: user = l_suppkey, item = l_partkey (as text), rating = l_quantity."""
+    return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("user_id"), F.col("l_partkey").cast("string").alias("item_id"),
+                                              F.col("l_quantity").alias("rating"))
+
+
+def _suppliers(spark, d):
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("user_id"),
+                                              F.pmod("s_nationkey", F.lit(4)).cast("string").alias("grp"), "s_acctbal")
+
+
+def _titles(spark, d):
+    return _parts(spark, d).withColumn("item_id", F.col("item_id").cast("string"))
+
+
+_SUPPLIED = """FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
+  WHERE l_quantity IS NOT NULL"""
+
+
+@register("q_item_by_two_groups_titled", f"""
+WITH j AS (SELECT p_name, CAST(s_nationkey % 4 AS VARCHAR) AS grp, l_quantity AS value {_SUPPLIED} AND s_nationkey % 4 IN (1, 3))
+SELECT p_name AS title, {_cond_avg('1', 'avg_one')}, {_cond_avg('3', 'avg_three')} FROM j GROUP BY p_name
+""")
+def q_item_by_two_groups_titled(spark, d):
+    """N4 with both dimensions: users = supplier (group = nation key mod 4), items = part."""
+    return R.item_by_two_groups(_supplied(spark, d), _suppliers(spark, d), _titles(spark, d), item_key="item_id", group="grp",
+                                groups=("1", "3"), names=("avg_one", "avg_three"))
+
+
+@register("q_item_by_bucket_titled", f"""
+WITH j AS (SELECT p_name, l_quantity AS value,
+                  CASE WHEN s_acctbal <= 1000 THEN 'le_1000' WHEN s_acctbal <= 3000 THEN '1000_3000'
+                       WHEN s_acctbal <= 6000 THEN '3000_6000' WHEN s_acctbal IS NOT NULL THEN 'gt_6000' END AS grp {_SUPPLIED})
+SELECT p_name AS title, {_cond_avg('le_1000', 'avg_le_1000')}, {_cond_avg('1000_3000', 'avg_1000_3000')},
+       {_cond_avg('3000_6000', 'avg_3000_6000')}, {_cond_avg('gt_6000', 'avg_gt_6000')}
+FROM j WHERE grp IS NOT NULL GROUP BY p_name
+""")
+def q_item_by_bucket_titled(spark, d):
+    """N5 with both dimensions: users = supplier (bins of s_acctbal), items = part."""
+    return R.item_by_bucket(_supplied(spark, d), _suppliers(spark, d), _titles(spark, d), item_key="item_id", value="s_acctbal",
+                            value_type="double", edges=ACCT_EDGES_RIGHT, labels=ACCT_LABELS_RIGHT,
+                            names=tuple("avg_" + x for x in ACCT_LABELS_RIGHT))
+
+
+@register("q_item_by_group_long_titled", f"""
+SELECT l_partkey AS item_id, p_name AS title, CAST(s_nationkey % 4 AS VARCHAR) AS grp, {_AVG_QTY} AS avg_rating
+{_SUPPLIED} GROUP BY 1, 2, 3 ORDER BY 1, 3
+""")
+def q_item_by_group_long_titled(spark, d):
+    """N17 with titles and a numeric sort of the text item id: users = supplier, items = part."""
+    return R.item_by_group_long(_supplied(spark, d), _suppliers(spark, d), _titles(spark, d), item_key="item_id", group="grp")
+
+
+@register("q_item_by_bin_long_titled", f"""
+SELECT l_partkey AS item_id, p_name AS title,
+       CASE WHEN s_acctbal < 0 THEN '<0' WHEN s_acctbal < 2000 THEN '0-2000' WHEN s_acctbal < 4000 THEN '2000-4000'
+            WHEN s_acctbal < 6000 THEN '4000-6000' WHEN s_acctbal < 8000 THEN '6000-8000'
+            WHEN s_acctbal IS NOT NULL THEN '8000+' ELSE 'Unknown' END AS acct_group, {_AVG_QTY} AS avg_rating
+{_SUPPLIED} GROUP BY 1, 2, 3 ORDER BY 1, 3
+""")
+def q_item_by_bin_long_titled(spark, d):
+    """N18 with titles and a numeric sort of the text item id."""
+    return R.item_by_bin_long(_supplied(spark, d), _suppliers(spark, d), _titles(spark, d), item_key="item_id", value="s_acctbal",
+                              value_type="double", edges=ACCT_EDGES_LEFT, labels=ACCT_LABELS_LEFT, group_out="acct_group")
+
+
+# Lines of lineitem of which some are cut short, some have an empty or unparsable rating (chosen by the order key).
+def _spoilt_lines(spark, d):
+    kind = F.pmod("l_orderkey", F.lit(11))
+    rating = F.when(kind == 1, "").when(kind == 2, "n/a").when(kind == 3, " ").otherwise(F.col("l_quantity").cast("string"))
+    whole = _line(", ", "l_orderkey", "l_partkey", rating, epoch_seconds_text("l_shipdate"))
+    return table(spark, d, "lineitem").select(F.when(kind == 4, _line(", ", "l_orderkey", "l_partkey")).when(kind == 5, F.lit(",,"))
+                                              .otherwise(whole).alias("value"))
+
+
+@register("q_item_stats_spoilt_lines", f"""
+WITH good AS (SELECT l_partkey, l_quantity FROM lineitem WHERE l_orderkey % 11 NOT IN (1, 2, 3, 4, 5) AND l_quantity IS NOT NULL)
+SELECT p_name AS title, {_AVG_QTY} AS avg_rating, COUNT(l_quantity) AS n_ratings
+FROM good JOIN part ON l_partkey = p_partkey GROUP BY p_name
+""")
+def q_item_stats_spoilt_lines(spark, d):
+    """N1 on Java-rule lines of which five kinds in eleven are bad: empty, blank or unparsable ratings,
+    short lines, lines of separators only (F1, F2)."""
+    ratings = parse_ratings(_spoilt_lines(spark, d), JAVA, fields=("movie_id", "rating"))
+    return R.item_rating_stats(ratings, parse_movies(_movie_lines(spark, d, ", "), JAVA))
+
+
+@register("q_year_stats_spoilt_times", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS avg_rating,
+       COUNT(*) AS n_ratings
+FROM orders WHERE o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL AND o_orderkey % 7 NOT IN (1, 2) GROUP BY 1 ORDER BY 1
+""")
+def q_year_stats_spoilt_times(spark, d):
+    """N20 on Python-rule lines, two kinds in seven with an empty or unparsable timestamp."""
+    kind = F.pmod("o_orderkey", F.lit(7))
+    ts = F.when(kind == 1, "").when(kind == 2, "soon").otherwise(epoch_seconds_text("o_orderdate"))
+    lines = table(spark, d, "orders").where(F.col("o_totalprice").isNotNull()).select(_line(",", "o_custkey", "o_orderkey", "o_totalprice", ts))
+    return R.year_stats(parse_ratings(lines, PYTHON, fields=("rating", "ts")))
+
+
+def _review_lines(spark, d):
+    """documents as ';' review lines; separators and line breaks in a text become spaces."""
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), "[;\r\n]", " ")
+    return _texts(spark, d, "doc_id", "text", "lang", "source").select(_line(";", "doc_id", text, "lang", "source"))
+
+
+@register("q_frequent_words_lines", f"""
+WITH t AS (SELECT {_TOKENS.replace('text', "regexp_replace(coalesce(text, ''), '[;\r\n]', ' ', 'g')")} AS word FROM documents)
+SELECT word, COUNT(*) AS word_count FROM t WHERE NOT EXISTS (SELECT 1 FROM (SELECT lower(n_name) AS stopword FROM nation) s
+                                                             WHERE s.stopword = t.word)
+GROUP BY word HAVING COUNT(*) > {FREQUENT_THRESHOLD}
+""")
+def q_frequent_words_lines(spark, d):
+    """N6 and N7 on declared-schema ';' lines, with a stop list read as lines (the nations' names)."""
+    stop = table(spark, d, "nation").select(F.lower("n_name").alias("stopword"))
+    reviews = parse_delimited(_review_lines(spark, d))
+    return V.frequent_words(V.clean_tokens(reviews, stop), FREQUENT_THRESHOLD)
+
+
+@register("q_orders_by_year_month_text", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, COUNT(o_orderkey) AS total_orders
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2 ORDER BY year ASC, month DESC
+""")
+def q_orders_by_year_month_text(spark, d):
+    """N24 on text timestamps, with and without seconds by turns."""
+    o = table(spark, d, "orders").where(F.col("o_orderdate").isNotNull())
+    text = F.when(F.pmod("o_orderkey", F.lit(2)) == 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm")) \
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    return C.orders_by_year_month(o.select(F.col("o_orderkey").alias("Order_ID"), text.alias("Order_Purchase_Timestamp")))

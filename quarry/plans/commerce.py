@@ -12,11 +12,11 @@ task: it is collapsed by map-side partial aggregation before any shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.numeric import ratio, round_half_up
+from quarry.functions.numeric import lossless, round_half_up, round_ratio, total
 from quarry.functions.parsing import parsed_once, to_timestamp_any
 from quarry.operators.aggregates import distinct_count, distinct_totals
 from quarry.operators.ranking import global_rank
@@ -34,15 +34,13 @@ LATE = "Late"
 ON_TIME = "On Time / Early"
 
 
-def money(df: DataFrame, name: str, scale: int = 2):
-    """An exact decimal money column (kept as is when already decimal)."""
-    if isinstance(df.schema[name].dataType, T.DecimalType):
-        return F.col(name)
-    return F.col(name).cast(f"decimal(18,{scale})")
-
-
-def revenue(items: DataFrame, price: str = "Price", freight: str = "Freight_Value"):
-    return money(items, price) + money(items, freight)
+def revenue(items: DataFrame, price: str = "Price", freight: str = "Freight_Value") -> tuple[Column, Column]:
+    """(exact, rest) of price + freight; both null when one of the two is missing."""
+    (pe, pr), (fe, fr) = (lossless(c, items.schema[c].dataType) for c in (price, freight))
+    both = F.col(price).isNotNull() & F.col(freight).isNotNull()
+    exact = F.when(pe.isNotNull() & fe.isNotNull(), pe + fe).otherwise(F.coalesce(pe, fe))
+    rest = F.when(pr.isNotNull() & fr.isNotNull(), pr + fr).otherwise(F.coalesce(pr, fr))
+    return F.when(both, exact), F.when(both, rest)
 
 
 def entity_totals(orders: DataFrame, customers: DataFrame, items: DataFrame, order_id: str = "Order_ID",
@@ -50,7 +48,7 @@ def entity_totals(orders: DataFrame, customers: DataFrame, items: DataFrame, ord
                   approx_distinct: bool = False) -> DataFrame:
     """One row (total_orders, total_customers, total_sellers); each a
     distinct count in which null counts as one value (``approx_distinct``:
-    one sketch per entity instead of shuffling every key)."""
+    inexact, one sketch per entity instead of shuffling every key)."""
     return distinct_totals([("total_orders", orders, order_id), ("total_customers", customers, customer_id),
                             ("total_sellers", items, seller_id)], approx=approx_distinct)
 
@@ -85,7 +83,7 @@ def clean_scores(reviews: DataFrame, score: str = "Review_Score", out: str = "sc
 def review_average(reviews: DataFrame, score: str = "Review_Score") -> DataFrame:
     """One row, average_score rounded to 2 places (HALF_UP)."""
     c = clean_scores(reviews.select(score), score)
-    return c.agg(round_half_up(ratio(F.sum("score"), F.count("score"))).alias("average_score"))
+    return c.agg(round_ratio(F.sum("score").cast("decimal(20,0)"), None, F.count("score")).alias("average_score"))
 
 
 def review_distribution(reviews: DataFrame, score: str = "Review_Score") -> DataFrame:
@@ -121,14 +119,15 @@ def revenue_by_category(items: DataFrame, orders: DataFrame, products: DataFrame
     Items meet the year's raw order rows (a plain equi-join: broadcast when
     the year is small, otherwise a sort-merge join that AQE splits when one
     order is hot), are reduced to one row per product, and only then meet the
-    product categories."""
+    raw product rows; a product listed twice counts twice, as at row level."""
     year_orders = orders.where(_year_filter(orders, ts, year)).select(order_id)
-    item_rev = items.select(order_id, product_id, revenue(items).alias("_rev"))
-    per_product = item_rev.join(year_orders, order_id).groupBy(product_id).agg(F.sum("_rev").alias("_rev"))
-    cats = products.groupBy(product_id, category).agg(F.count(F.lit(1)).alias("_np"))
-    return (per_product.join(cats, product_id)
+    exact, rest = revenue(items)
+    item_rev = items.select(order_id, product_id, exact.alias("_rev"), rest.alias("_rest"))
+    per_product = (item_rev.join(year_orders, order_id).groupBy(product_id)
+                           .agg(F.sum("_rev").alias("_rev"), F.sum("_rest").alias("_rest")))
+    return (per_product.join(products.select(product_id, category), product_id)
                        .groupBy(F.col(category).alias("category"))
-                       .agg(F.sum(F.col("_rev") * F.col("_np")).cast("double").alias("total_revenue"))
+                       .agg(total(F.sum("_rev"), F.sum("_rest")).alias("total_revenue"))
                        .orderBy(F.col("total_revenue").desc(), F.col("category").asc()))
 
 
@@ -156,7 +155,7 @@ def category_sales_and_score(items: DataFrame, products: DataFrame, reviews: Dat
         F.sum(F.col("_rows") * F.coalesce(F.col("_s"), F.lit(0))).alias("_s"),
         F.sum(F.col("_rows") * F.coalesce(F.col("_c"), F.lit(0))).alias("_c"))
     return (out.select("category", F.col("total_orders").cast("bigint").alias("total_orders"),
-                       round_half_up(ratio("_s", "_c")).alias("average_review_score"))
+                       round_ratio(F.col("_s").cast("decimal(20,0)"), None, "_c").alias("average_review_score"))
                .orderBy(F.col("total_orders").desc(), F.col("category").asc()))
 
 
@@ -192,17 +191,19 @@ def customer_segments(orders: DataFrame, items: DataFrame, order_id: str = "Orde
     *item* value (price + freight, 2 places) and customer_group.
     ``per_order=True`` averages order totals instead (items summed per order
     first)."""
-    order_totals = (items.select(order_id, revenue(items).alias("_v")).groupBy(order_id)
-                         .agg(F.sum("_v").alias("_s"), F.count("_v").alias("_c")))
+    exact, rest = revenue(items)
+    valued = F.count(F.coalesce(F.col("_v").cast("double"), F.col("_r")))
+    order_totals = (items.select(order_id, exact.alias("_v"), rest.alias("_r")).groupBy(order_id)
+                         .agg(F.sum("_v").alias("_s"), F.sum("_r").alias("_r"), valued.alias("_c")))
     if per_order:
-        order_totals = order_totals.select(order_id, F.col("_s"),
+        order_totals = order_totals.select(order_id, "_s", "_r",
                                            F.when(F.col("_c") > 0, F.lit(1)).otherwise(F.lit(0)).alias("_c"))
     joined = orders.select(order_id, customer_id).join(order_totals, order_id)
     stats = (joined.groupBy(customer_id)
                    .agg(F.count_distinct(order_id).alias("total_orders"), F.sum("_s").alias("_s"),
-                        F.sum("_c").alias("_c"))
+                        F.sum("_r").alias("_r"), F.sum("_c").alias("_c"))
                    .select(F.col(customer_id).alias("customer_id"), "total_orders",
-                           round_half_up(ratio("_s", "_c")).alias("avg_order_value")))
+                           round_ratio("_s", "_r", "_c").alias("avg_order_value")))
     group = (F.when((F.col("total_orders") >= vip_min_orders) & (F.col("avg_order_value") >= vip_min_avg), VIP)
               .when(F.col("total_orders") >= frequent_min_orders, FREQUENT)
               .otherwise(REGULAR))
@@ -214,8 +215,9 @@ def seller_ranking(items: DataFrame, seller_id: str = "Seller_ID", order_id: str
     """Per seller: total_revenue (2 places) and total_orders (distinct),
     by revenue then orders, both descending.  ``with_rank`` adds a ``rank``
     column (ties share a rank), computed without a single-partition window."""
-    out = (items.select(seller_id, order_id, revenue(items).alias("_v")).groupBy(seller_id)
-                .agg(F.round(F.sum("_v"), 2).cast("double").alias("total_revenue"),
+    exact, rest = revenue(items)
+    out = (items.select(seller_id, order_id, exact.alias("_v"), rest.alias("_r")).groupBy(seller_id)
+                .agg(round_half_up(total(F.sum("_v"), F.sum("_r"))).alias("total_revenue"),
                      distinct_count(order_id, approx_distinct).cast("bigint").alias("total_orders")))
     out = out.select(F.col(seller_id).alias("seller_id"), "total_revenue", "total_orders")
     order = [F.col("total_revenue").desc(), F.col("total_orders").desc()]

@@ -2,8 +2,8 @@
 
 Numbers are formatted at this edge only; the analytics return raw doubles.
 Two rounding rules exist: the key/value outputs use Java ``%.2f`` (HALF_UP,
-``format_string``), the formatted reports use Python ``.2f`` whose ties on
-exactly representable values go to even (``bround`` first).
+``format_string``), the formatted reports use Python ``.2f``, which rounds the
+exact binary value (``round_python`` first).
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.numeric import round_python
 from quarry.sinks.text import report_lines
 
 # Line formats of the outputs.
@@ -47,8 +48,10 @@ def left(c, width: int, cut: int | None = None) -> Column:
 
 
 def py2(c) -> Column:
-    """Python ``format(x, '.2f')`` for the values these reports print."""
-    return F.coalesce(F.format_string("%.2f", F.bround(F.col(c) if isinstance(c, str) else c, 2)), F.lit("None"))
+    """Python ``format(x, '.2f')``; a missing value is None."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    text = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf")
+    return F.when(x.isNull(), "None").otherwise(F.coalesce(text, F.format_string("%.2f", round_python(x))))
 
 
 def java2(c) -> Column:

@@ -1,9 +1,8 @@
 """Materialising an intermediate shared by several outputs.
 
 On a cluster the checkpoint goes to the shared folder the cluster names in
-``spark.checkpoint.dir`` (read from the session; a local temp folder is
-created only when none is set, as in tests).  A reliable checkpoint survives
-executor loss and cuts the lineage, unlike a cache.
+``spark.checkpoint.dir`` (an error if none is set).  A reliable checkpoint
+survives executor loss and cuts the lineage, unlike a cache.
 """
 
 from quarry.session import materialize

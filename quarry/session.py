@@ -2,14 +2,13 @@
 
 Library code never changes session settings behind the caller's back; these
 helpers are for scripts, tests and the benchmark.  ``checkpoint_dir`` reads the
-cluster's ``spark.checkpoint.dir`` and only sets one when none is configured
-(local runs), so lineage cuts land in shared storage on a cluster.
+cluster's ``spark.checkpoint.dir``, so lineage cuts land in shared storage; it
+never makes a folder of its own.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -28,24 +27,11 @@ BASE_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, executor_cores: int = 1000 * 4) -> dict[str, str]:
-    """Shuffle sizing for a large input: ~200 MB per initial shuffle partition,
-    at least two waves of tasks, AQE coalesces from there."""
-    target = 200 * 1024 * 1024
-    parts = max(2 * executor_cores, input_bytes // target)
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.files.maxPartitionBytes": "256m",
-    }
-
-
-def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "quarry", extra: dict[str, str] | None = None) -> SparkSession:
-    """Session with ``BASE_CONF``.  ``master=None`` keeps the master the
-    launcher configured (``spark-submit --master ...``) and falls back to
-    ``local[*]`` only when none is set; ``shuffle_partitions=None`` keeps the
-    configured value as well."""
+    """Session with ``BASE_CONF``.  By default the master and the shuffle sizing
+    are those the launcher configured (``spark-submit --master ...``);
+    ``local[*]`` is used only when no launcher set a master."""
     builder = SparkSession.builder.appName(app)
     if master is None and "PYSPARK_GATEWAY_PORT" not in os.environ:
         # not started by a launcher (spark-submit, pyspark shell) that already
@@ -64,22 +50,21 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder named by the cluster; a fresh temp folder
-    only when the session has none (local tests)."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder named in ``spark.checkpoint.dir`` (or set on the
+    context), which driver and executors share.  Raises if there is none: a
+    folder invented here would be another one on every machine."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote session: the server's setting applies
-        return configured
-    current = sc.getCheckpointDir() or configured
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+        sc = None
+    current = (sc.getCheckpointDir() if sc is not None else None) or configured
+    if not current:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def materialize(df):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -43,8 +43,9 @@ def report_lines(df: DataFrame, keys: Sequence[Column], line: Column, header: st
 
     One data line per row of ``df``, ordered by the ``keys`` expressions
     (ascending; negate a number for descending).  With ``separator``, one
-    separator line precedes each new value of the first key (one extra row per
-    distinct value, ranked before that section's data lines).  ``header`` is
+    separator line precedes each new value of the first key: the first row of a
+    section (a window over that key, whose rows are few next to the data they
+    summarise) carries it, so ``df`` is computed once.  ``header`` is
     the first line; ``footer`` expressions, evaluated on ``footer_df`` (one row,
     e.g. a best-item result), become the last lines in the given order.
     No driver collect and no global window: ``write_lines`` restores the order
@@ -52,12 +53,16 @@ def report_lines(df: DataFrame, keys: Sequence[Column], line: Column, header: st
     """
     names = [f"_k{i}" for i in range(len(keys))]
     keyed = df.select(*[k.alias(n) for k, n in zip(keys, names)], line.alias("line"))
-    data = keyed.select(F.lit(1).alias("_part"), *names, F.lit(1).alias("_rank"), "line")
-    parts = [data]
     if separator is not None:
-        firsts = keyed.groupBy(names[0]).agg(*[F.min(n).alias(n) for n in names[1:]])
-        parts.append(firsts.select(F.lit(1).alias("_part"), *names, F.lit(0).alias("_rank"),
-                                   F.lit(separator).alias("line")))
+        section = Window.partitionBy(names[0]).orderBy(*names[1:]) if names[1:] else Window.partitionBy(names[0]).orderBy(names[0])
+        ruled = keyed.withColumn("_first", F.row_number().over(section) == 1)
+        lines = F.when(F.col("_first"), F.array(F.struct(F.lit(0).alias("_rank"), F.lit(separator).alias("line")),
+                                                F.struct(F.lit(1).alias("_rank"), F.col("line").alias("line")))
+                       ).otherwise(F.array(F.struct(F.lit(1).alias("_rank"), F.col("line").alias("line"))))
+        data = ruled.select(F.lit(1).alias("_part"), *names, F.inline(lines))
+    else:
+        data = keyed.select(F.lit(1).alias("_part"), *names, F.lit(1).alias("_rank"), "line")
+    parts = [data]
     nulls = [F.lit(None).cast(keyed.schema[n].dataType).alias(n) for n in names]
     if header is not None:
         parts.append(df.sparkSession.range(1).select(F.lit(0).alias("_part"), *nulls, F.lit(0).alias("_rank"),

@@ -7,7 +7,8 @@ Two dialects, matching the two families of jobs:
            skipped; the title is field 1 only (a comma cuts it).
 ``PYTHON`` fields split with Python rules, not trimmed (the timestamp is);
            the title is everything between the first and the last field;
-           an unparsable rating fails the job.
+           an unparsable rating, or a line without a field that a job
+           names, fails the job.
 
 Every reader accepts one path, a directory or a list (read as UNION ALL).
 """
@@ -25,59 +26,51 @@ from quarry.functions.parsing import (
     middle_join,
     parsed_once,
     split_fields,
+    strict_field,
     strict_number,
     try_number,
 )
+from quarry.operators.joins import ORDER
 
 JAVA = "java"
 PYTHON = "python"
 
 
-def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def _lines(spark: SparkSession, paths: str | Sequence[str], ordered: bool = False) -> DataFrame:
+    """The lines (``value``); ``ordered`` adds their place: file, then position."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.text(paths)
+    lines = spark.read.text(paths)
+    if not ordered:
+        return lines
+    return lines.select("value", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                                          F.monotonically_increasing_id().alias("line")).alias(ORDER))
 
 
 def _split(lines: DataFrame, dialect: str) -> DataFrame:
-    return lines.select(split_fields("value", ",", drop_trailing_empty=dialect == JAVA).alias("p"))
+    return lines.select(split_fields("value", ",", drop_trailing_empty=dialect == JAVA).alias("p"), *_place(lines))
 
 
-# Java-dialect rating files are read by the CSV source: one native parse per
-# line, fields trimmed of characters up to U+0020, short rows padded with nulls,
-# extra fields dropped, empty fields null -- the skip rules of the original
-# (fewer than 3 fields, or a rating that is not a number) become one filter on
-# the parsed rating.
-RATING_FIELDS = "f0 string, f1 string, f2 string, f3 string"
-
-
-def java_csv_options(reader):
-    """Options shared by batch and streaming readers of Java-dialect lines."""
-    return (reader.schema(RATING_FIELDS).option("sep", ",").option("quote", "\u0000")
-            .option("escape", "\u0000").option("header", "false").option("mode", "PERMISSIVE")
-            .option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true"))
-
-
-def java_ratings_from_fields(fields: DataFrame) -> DataFrame:
-    out = fields.select(F.col("f0").alias("user_id"), F.col("f1").alias("movie_id"),
-                        try_number("f2").alias("rating"), F.col("f3").alias("ts"))
-    return out.where(F.col("rating").isNotNull())
+def _place(lines: DataFrame) -> list[Column]:
+    return [F.col(ORDER)] if ORDER in lines.columns else []
 
 
 def _records(df: DataFrame, *fields: Column) -> DataFrame:
     # One parsed record per line; later filters on its fields (skip rules,
     # join keys not null) do not re-run the split and the trims.
-    return parsed_once(df, *fields)
+    return parsed_once(df, *fields, *_place(df))
 
 
 RATING_COLUMNS = ("user_id", "movie_id", "rating", "ts")
+USER_COLUMNS = ("user_id", "gender", "age", "occupation_id", "zip")
 
 
-def parse_ratings(lines: DataFrame, dialect: str = JAVA, fields: Sequence[str] = RATING_COLUMNS) -> DataFrame:
+def parse_ratings(lines: DataFrame, dialect: str = JAVA, fields: Sequence[str] | None = None) -> DataFrame:
     """Rating lines (a ``value`` column, batch or streaming) -> user_id,
     movie_id, rating (double), ts (string).  ``fields`` names the columns the
     caller needs (the rating is always parsed: the skip / fail rules depend on
-    it); the parsed record is emitted once, so unnamed fields cost nothing."""
-    wanted = [c for c in RATING_COLUMNS if c in fields or c == "rating"]
+    it); the parsed record is emitted once, so unnamed fields cost nothing.  In
+    the Python dialect a line without a named field fails the job."""
+    wanted = [c for c in RATING_COLUMNS if fields is None or c in fields or c == "rating"]
     if dialect == JAVA:
         # A line with fewer than 3 fields (trailing empty fields dropped) has
         # no non-empty third field, so the rating test alone applies both skip
@@ -89,17 +82,14 @@ def parse_ratings(lines: DataFrame, dialect: str = JAVA, fields: Sequence[str] =
         out = _records(df, *[exprs[c].alias(c) for c in wanted])
         return out.where(F.col("rating").isNotNull())
     df = _split(lines, dialect)
+    ts = field("p", 3) if fields is None else strict_field("p", 3, "timestamp")
     exprs = {"user_id": field("p", 0), "movie_id": field("p", 1),
-             "rating": strict_number(field("p", 2), what="rating"), "ts": F.trim(field("p", 3))}
+             "rating": strict_number(field("p", 2), what="rating"), "ts": F.trim(ts)}
     return _records(df, *[exprs[c].alias(c) for c in wanted])
 
 
-def read_ratings(spark: SparkSession, paths, dialect: str = JAVA, fields: Sequence[str] = RATING_COLUMNS) -> DataFrame:
+def read_ratings(spark: SparkSession, paths, dialect: str = JAVA, fields: Sequence[str] | None = None) -> DataFrame:
     """user_id, movie_id, rating (double), ts (string) -- or the named ``fields``."""
-    if dialect == JAVA:
-        paths = [paths] if isinstance(paths, str) else list(paths)
-        out = java_ratings_from_fields(java_csv_options(spark.read).csv(paths))
-        return out.select(*[c for c in RATING_COLUMNS if c in fields or c == "rating"])
     return parse_ratings(_lines(spark, paths), dialect, fields)
 
 
@@ -115,31 +105,35 @@ def parse_movies(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
 
 
 def read_movies(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
-    """movie_id, title, genres (raw text of the last field)."""
-    return parse_movies(_lines(spark, paths), dialect)
+    """movie_id, title, genres (raw text of the last field); in the Java dialect
+    also the line's place, so that lookups let the last line of an id win."""
+    return parse_movies(_lines(spark, paths, ordered=dialect == JAVA), dialect)
 
 
-def parse_users(lines: DataFrame, dialect: str = JAVA) -> DataFrame:
-    """User lines -> user_id, gender, age (text), occupation_id, zip."""
+def parse_users(lines: DataFrame, dialect: str = JAVA, fields: Sequence[str] | None = None) -> DataFrame:
+    """User lines -> user_id, gender, age (text), occupation_id, zip -- or the
+    named ``fields``; in the Python dialect a line without one fails the job."""
     df = _split(lines, dialect)
     t = dialect == JAVA
     if t:
         df = df.where(F.size("p") >= 2)
-    return _records(df, field("p", 0, t).alias("user_id"), field("p", 1, t).alias("gender"),
-                    field("p", 2, t).alias("age"), field("p", 3, t).alias("occupation_id"),
-                    field("p", 4, t).alias("zip"))
+    wanted = [c for c in USER_COLUMNS if fields is None or c in fields]
+    strict = fields is not None and not t
+    return _records(df, *[(strict_field("p", i, c) if strict else field("p", i, t)).alias(c)
+                          for i, c in enumerate(USER_COLUMNS) if c in wanted])
 
 
-def read_users(spark: SparkSession, paths, dialect: str = JAVA) -> DataFrame:
-    """user_id, gender, age (text), occupation_id, zip."""
-    return parse_users(_lines(spark, paths), dialect)
+def read_users(spark: SparkSession, paths, dialect: str = JAVA, fields: Sequence[str] | None = None) -> DataFrame:
+    """user_id, gender, age (text), occupation_id, zip, and the line's place."""
+    return parse_users(_lines(spark, paths, ordered=True), dialect, fields)
 
 
 def parse_occupations(lines: DataFrame) -> DataFrame:
-    """Occupation lines (Python rules) -> occupation_id, occupation."""
+    """Occupation lines (Python rules; a short line fails the job) -> occupation_id, occupation."""
     df = _split(lines, PYTHON)
-    return df.select(field("p", 0).alias("occupation_id"), field("p", 1).alias("occupation"))
+    return df.select(field("p", 0).alias("occupation_id"), strict_field("p", 1, "occupation").alias("occupation"),
+                     *_place(df))
 
 
 def read_occupations(spark: SparkSession, paths) -> DataFrame:
-    return parse_occupations(_lines(spark, paths))
+    return parse_occupations(_lines(spark, paths, ordered=True))

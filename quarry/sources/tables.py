@@ -4,24 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One DataFrame per table and Spark application: a DataFrame is an immutable,
-# lazy plan, so handing out the same one is safe, and the file listing and
-# footer reads behind ``spark.read.parquet`` (costly on a directory of many
-# files) happen once instead of once per query.
-_OPENED: dict[tuple[str, str], DataFrame] = {}
-
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; projections and filters applied later reach the scan
-    (column pruning, PushedFilters), so callers select only what they use."""
-    path = f"{data_dir.rstrip('/')}/{name}.parquet"
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a remote session)
-        app = str(id(spark))
-    key = (app, path)
-    df = _OPENED.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _OPENED[key] = df
-    return df
+    """Lazy parquet scan of the files there now; projections and filters applied
+    later reach the scan (column pruning, PushedFilters), so callers select only
+    what they use."""
+    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")

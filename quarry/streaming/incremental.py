@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quarry.functions.numeric import exact, ratio
+from quarry.functions.numeric import lossless, ratio, total
 from quarry.functions.text import PIG_DELIMITERS, explode_tokens
-from quarry.operators.joins import anti_join_words
-from quarry.session import checkpoint_dir
-from quarry.sources.ratings_text import JAVA, java_csv_options, java_ratings_from_fields, parse_ratings
+from quarry.operators.joins import ORDER, anti_join_words, unique_dimension
+from quarry.session import checkpoint_dir, materialize
+from quarry.sources.ratings_text import JAVA, parse_ratings
 
 
 def rating_lines_stream(spark: SparkSession, directory: str, dialect: str = JAVA,
@@ -19,8 +19,6 @@ def rating_lines_stream(spark: SparkSession, directory: str, dialect: str = JAVA
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if dialect == JAVA:
-        return java_ratings_from_fields(java_csv_options(reader).csv(directory))
     return parse_ratings(reader.format("text").load(directory), dialect)
 
 
@@ -41,9 +39,12 @@ def running_item_stats(ratings: DataFrame, items: DataFrame, item_key: str = "mo
                        title: str = "title", rating: str = "rating", scale: int = 2) -> DataFrame:
     """Streaming N1: per title avg_rating and n_ratings, maintained as new
     ratings arrive (stream-static inner join, single aggregation)."""
+    if ORDER in items.columns:  # the last row of an id wins; fixed once, before the stream starts
+        items = materialize(unique_dimension(items, item_key, [title]))
     joined = ratings.where(F.col(rating).isNotNull()).join(items.select(item_key, title), item_key)
-    agg = joined.groupBy(title).agg(F.sum(exact(rating, scale)).alias("_sum"), F.count(rating).alias("n_ratings"))
-    return agg.select(title, ratio("_sum", "n_ratings").alias("avg_rating"), "n_ratings")
+    exact, rest = lossless(rating, joined.schema[rating].dataType, scale)
+    agg = joined.groupBy(title).agg(F.sum(exact).alias("_sum"), F.sum(rest).alias("_rest"), F.count(rating).alias("n_ratings"))
+    return agg.select(title, ratio(total("_sum", "_rest"), "n_ratings").alias("avg_rating"), "n_ratings")
 
 
 def running_word_counts(reviews: DataFrame, stop: DataFrame, id_col: str = "id", text_col: str = "comment",

@@ -16,7 +16,8 @@ def spark():
     from quarry.session import build_session
     warehouse = tempfile.mkdtemp(prefix="quarry-warehouse-")
     s = build_session(master="local[*]", shuffle_partitions=8, app="quarry-tests",
-                      extra={"spark.sql.warehouse.dir": warehouse})
+                      extra={"spark.sql.warehouse.dir": warehouse,
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="quarry-checkpoints-")})
     yield s
     s.stop()
 

@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from quarry.operators import broadcast_if_small, dedup_last, lookup_inner, tagged_union
-from quarry.operators.joins import estimated_size
+import pytest
+
+from quarry.operators import ORDER, dedup_last, lookup_inner, tagged_union, unique_dimension
 
 
 def test_dedup_last_keeps_latest_row(spark):
@@ -23,20 +24,6 @@ def test_tagged_union_marks_the_source(spark):
     assert got == [("HOTEL", 2, "positive"), ("ROOMS", 2, "negative")]
 
 
-def test_broadcast_only_under_the_size_check(spark):
-    small = spark.range(10).select(F.col("id").alias("k"))
-    assert estimated_size(small) is not None
-    fact = spark.range(100).select(F.col("id").alias("k"))
-
-    def plan(df):
-        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
-        return df._jdf.queryExecution().explainString(mode)
-    hinted = fact.join(broadcast_if_small(small, limit_bytes=1 << 20), "k")
-    assert "BroadcastHashJoin" in plan(hinted)
-    not_hinted = broadcast_if_small(small, limit_bytes=1)
-    assert not_hinted is small  # estimate above the limit: left to Spark's planner
-
-
 def test_approx_distinct_is_opt_in(spark):
     from quarry.plans import reviews as V
     rows = [(str(i % 997), "c" if i % 2 else "d") for i in range(20000)]
@@ -55,3 +42,37 @@ def test_spread_only_narrow_inputs(spark):
     spread_df = spread(narrow, "id", min_partitions=8)
     assert spread_df.rdd.getNumPartitions() == 8
     assert sorted(r.id for r in spread_df.collect()) == list(range(1000))
+
+
+def test_unique_dimension_rules(spark):
+    dim = spark.createDataFrame([("1", "Old", 1), ("1", "New", 3), ("2", "Only", 1)], f"id string, title string, {ORDER} int")
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(unique_dimension(dim, "id", ["title"])) == [("1", "New"), ("2", "Only")]
+    assert len(rows(unique_dimension(dim, "id", ["title"], "none"))) == 3
+    assert rows(unique_dimension(dim.where("title <> 'Old'"), "id", ["title"], "assert")) == [("1", "New"), ("2", "Only")]
+    with pytest.raises(Exception, match="repeated id: 1"):
+        unique_dimension(dim, "id", ["title"], "assert").collect()
+
+
+def test_checkpoint_folder_must_be_named(spark):
+    from quarry.session import checkpoint_dir
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
+def test_tables_see_rows_added_between_calls(spark, scratch):
+    from quarry.sources.tables import table
+    path = f"{scratch}/t.parquet"
+    spark.range(10).write.parquet(path)
+    assert table(spark, scratch, "t").count() == 10
+    spark.range(5).write.mode("append").parquet(path)
+    assert table(spark, scratch, "t").count() == 15

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from quarry.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -36,12 +37,12 @@ def key(row):
 
 def test_every_query_has_sql():
     assert set(E.oracle_sql()) <= set(E.queries())
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalog.QUERIES) - set(E.oracle_sql())
     assert missing == set(), missing
 
 
 def test_columns_are_unique_and_named(spark):
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         cols = fn(spark, SF).columns
         assert len(cols) == len(set(cols)), (name, cols)
         assert all(c and not c.startswith("_") and "(" not in c for c in cols), (name, cols)
@@ -52,7 +53,7 @@ def test_entry_runs(spark):
     assert df.columns == ["title", "avg_rating", "n_ratings"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_sql(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     res = duck.execute(E.oracle_sql()[name])

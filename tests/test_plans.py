@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from quarry.plans import catalog
 
 SF = "/root/testdata/sf0.01"
 
@@ -15,7 +16,7 @@ def plan(spark, name):
     return df._jdf.queryExecution().explainString(mode)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_cross_or_python(spark, name):
     p = plan(spark, name)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
