@@ -44,10 +44,10 @@ def global_rank(df: DataFrame, keys: Sequence[str], ascending: bool | Sequence[b
     of one key value into one task.
 
     The rows are range-sorted by (keys, a unique tiebreak), so even a key value
-    held by a third of all rows spreads over several partitions; the sorted
-    rows and their partition ids are checkpointed once (range bounds come from
-    a sample, so the assignment must not be recomputed).  Inside a partition
-    rows are ranked locally.  A small summary with one row per partition
+    held by a third of all rows spreads over several partitions, and ranked
+    inside their partition; these rows are checkpointed once (range bounds come
+    from a sample, so the assignment must not be recomputed, and both the
+    summary and the result read it).  A small summary with one row per partition
     (row or key counts, first and last key) gives each partition its offset and,
     for a key group that started in an earlier partition, the rank that group
     started with; window functions over that summary resolve both.
@@ -56,12 +56,12 @@ def global_rank(df: DataFrame, keys: Sequence[str], ascending: bool | Sequence[b
     asc = [ascending] * len(keys) if isinstance(ascending, bool) else list(ascending)
     order = [F.col(k).asc() if a else F.col(k).desc() for k, a in zip(keys, asc)]
     key = F.struct(*[F.col(k) for k in keys])
-    sorted_df = materialize(df.withColumn("_tb", F.monotonically_increasing_id())
-                              .orderBy(*order, F.col("_tb").asc())
-                              .withColumn("_pid", F.spark_partition_id()))
     in_part = Window.partitionBy("_pid").orderBy(*order)
-    local = (sorted_df.withColumn("_lr", (F.dense_rank() if dense else F.rank()).over(in_part))
-                      .withColumn("_rn", F.row_number().over(in_part.orderBy(*order, F.col("_tb")))))
+    local = materialize(df.withColumn("_tb", F.monotonically_increasing_id())
+                          .orderBy(*order, F.col("_tb").asc())
+                          .withColumn("_pid", F.spark_partition_id())
+                          .withColumn("_lr", (F.dense_rank() if dense else F.rank()).over(in_part))
+                          .withColumn("_rn", F.row_number().over(in_part.orderBy(*order, F.col("_tb")))))
     parts = local.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_rows"), F.max("_lr").alias("_keys"),
         F.min_by(key, F.col("_rn")).alias("_first"), F.max_by(key, F.col("_rn")).alias("_last"),
@@ -76,7 +76,7 @@ def global_rank(df: DataFrame, keys: Sequence[str], ascending: bool | Sequence[b
         summary = summary.withColumn("_off", F.coalesce(F.sum(
             F.col("_keys") - F.col("_overlap").cast("long")).over(before), F.lit(0)))
         summary = summary.select("_pid", "_off", F.col("_overlap").cast("long").alias("_ov"))
-        ranked = local.join(F.broadcast(summary), "_pid")
+        ranked = local.join(summary, "_pid")
         value = F.col("_off") + F.col("_lr") - F.col("_ov")
         return ranked.withColumn(out, value.cast("bigint")).drop("_tb", "_pid", "_lr", "_rn", "_off", "_ov")
     summary = summary.withColumn("_off", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
@@ -88,7 +88,7 @@ def global_rank(df: DataFrame, keys: Sequence[str], ascending: bool | Sequence[b
                                  .over(by_pid.rowsBetween(Window.unboundedPreceding, 0)))
     summary = summary.withColumn("_carry", F.when(F.col("_overlap"), F.lag("_start").over(by_pid)))
     summary = summary.select("_pid", "_off", "_first", "_carry")
-    ranked = local.join(F.broadcast(summary), "_pid")
+    ranked = local.join(summary, "_pid")
     continues = F.col("_carry").isNotNull() & key.eqNullSafe(F.col("_first"))
     value = F.when(continues, F.col("_carry")).otherwise(F.col("_off") + F.col("_lr"))
     return ranked.withColumn(out, value.cast("bigint")).drop("_tb", "_pid", "_lr", "_rn", "_off", "_first", "_carry")

@@ -214,7 +214,8 @@ def seller_ranking(items: DataFrame, seller_id: str = "Seller_ID", order_id: str
                    with_rank: bool = False, approx_distinct: bool = False) -> DataFrame:
     """Per seller: total_revenue (2 places) and total_orders (distinct),
     by revenue then orders, both descending.  ``with_rank`` adds a ``rank``
-    column (ties share a rank), computed without a single-partition window."""
+    column (ties share a rank), computed without a single-partition window;
+    the rows are then not sorted again."""
     exact, rest = revenue(items)
     out = (items.select(seller_id, order_id, exact.alias("_v"), rest.alias("_r")).groupBy(seller_id)
                 .agg(round_half_up(total(F.sum("_v"), F.sum("_r"))).alias("total_revenue"),
@@ -222,5 +223,5 @@ def seller_ranking(items: DataFrame, seller_id: str = "Seller_ID", order_id: str
     out = out.select(F.col(seller_id).alias("seller_id"), "total_revenue", "total_orders")
     order = [F.col("total_revenue").desc(), F.col("total_orders").desc()]
     if with_rank:
-        out = global_rank(out, ["total_revenue", "total_orders"], ascending=False)
+        return global_rank(out, ["total_revenue", "total_orders"], ascending=False)
     return out.orderBy(*order, F.col("seller_id").asc())

@@ -52,3 +52,24 @@ def test_fact_aggregated_before_dimension_join(spark):
 
 def test_stop_list_broadcast(spark):
     assert "BroadcastHashJoin LeftAnti" in plan(spark, "q_frequent_words")
+
+
+def test_report_reads_its_facts_and_sorts_once(spark):
+    for name, table in (("q_group_report_lines", "events"), ("q_year_report_lines", "orders")):
+        tree = plan(spark, name).split("\n\n")[0]
+        assert tree.count("Scan parquet") - tree.count("customer") <= 2, name
+        text = plan(spark, name)
+        assert len(re.findall(rf"Location: [^\n]*/{table}\.parquet", text)) == 1, name
+        assert text.count("rangepartitioning") == 1, name
+
+
+def test_titles_join_the_summed_groups(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = plan(spark, "q_item_by_group_long_titled").split("\n\n")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one full shuffle of the ratings (for the user join); the rest carries (item, group) sums
+    assert len(re.findall(r"Join", tree)) == 2
+    below = tree[tree.rindex("Join"):]
+    assert "HashAggregate" not in below

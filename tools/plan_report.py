@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import re
 import sys
+import tempfile
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__ as E  # noqa: E402
+from quarry.plans import catalog  # noqa: E402
 from quarry.session import build_session  # noqa: E402
 
 
@@ -34,22 +35,18 @@ def summarize(txt: str) -> dict:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session(extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
+    spark = build_session(shuffle_partitions=8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
+                                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="quarry-checkpoints-"),
                                  "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
-    import quarry.operators.joins as J
-    # size-checked hints only for tables that stay tiny at any scale (nation, region: a few KB);
-    # everything that grows with the data is far above this at 100 TB
-    J.DEFAULT_BROADCAST_LIMIT = 8 * 1024
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     print("# PLANS\n")
     print("Physical plans of the registered queries with automatic broadcast joins switched off, i.e.")
     print("the shape a large input gets (generated by `tools/plan_report.py`). Broadcasts that remain")
-    print("are sides whose size is bounded: a word list fixed in code, and dimensions whose size estimate")
-    print("passes the size check at any scale (`nation`, 25 rows).")
+    print("are sides whose size is bounded: a word list fixed in code.")
     print("`HashAggregate` counts include the map-side partial aggregations.\n")
     print("| query | shuffles | broadcasts | joins | hash aggregates | top-k limit before shuffle | scans (columns read, pushed filters) |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         txt = fn(spark, sf)._jdf.queryExecution().explainString(mode)
         s = summarize(txt)
         print(f"| `{name}` | {s['shuffles']} | {s['broadcasts']} | {s['joins']} | {s['partial_aggs']} | "
@@ -63,12 +60,12 @@ NOTES = """
 
 * Every fact table is reduced by a map-side partial aggregation before its first shuffle; the
   hash-aggregate count includes those partial steps.
-* Report queries (`q_title_stats_lines`, `q_group_report_lines`, `q_year_report_lines`) use their
-  statistics twice (data lines and separators or the best line); the two branches are identical
-  plans, so Spark reuses the shuffle output at run time (`ReusedExchange`), and the last shuffle is
-  the range-partitioned sort that puts the lines in order.
-* `q_seller_rank` shows the plan after its range-sorted rows were checkpointed (the sort ran once
-  in the checkpoint job); the remaining broadcast is the per-partition offset table.
+* `q_group_report_lines` and `q_year_report_lines` compute their statistics once: the first row of a
+  section carries its separator (a window over the few summary rows), and the only range-partitioned
+  sort is the one that puts the lines in order.  `q_title_stats_lines` uses its statistics twice (the
+  lines and the best title).
+* `q_seller_rank` shows the plan after its rows were sorted, ranked inside their range partition and
+  checkpointed (one job); what remains joins the per-partition summary.
 * Text queries add a hash repartition of the document scan only when the scan has fewer splits
   than the cluster has cores (true for the single-row-group test files, not for a large input).
 * Sort-merge joins listed here are the ones AQE can split at run time when a key is hot: both sides

@@ -36,6 +36,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     logdir = tempfile.mkdtemp(prefix="quarry-eventlog-")
     spark = build_session(master="local[8]", shuffle_partitions=16, app="quarry-skew", extra={
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="quarry-checkpoints-"),
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": logdir, "spark.eventLog.compress": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
