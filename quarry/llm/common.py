@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 #: words of the two tokenising rules, as patterns for SQL and tests
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: the second rule before lower-casing
+RAW_ALNUM_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: byte table of the second rule: A-Z lower-cased, other ASCII but letters and digits to space
 ALNUM_BYTES = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 32
                for c in range(256))

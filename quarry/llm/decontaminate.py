@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import ALNUM_WORD, alnum_words, fresh, ship, small_batches, texts_of
+from quarry.llm.common import RAW_ALNUM_WORD, alnum_words, fresh, ship, small_batches, texts_of
 
 WINDOW = 10
 #: words in one automaton (about two states a word)
@@ -150,9 +150,8 @@ _NONE = _Missing()
 
 def _automata(benchmark: DataFrame, window: int, block_words: int) -> Iterator[Automaton]:
     """One automaton for each block of items; a block is collected on its own."""
-    pattern = F.regexp_replace("text", ALNUM_WORD, "x")
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")) \
-        .filter(F.col("text").isNotNull()).withColumn("n", F.length(F.regexp_replace(pattern, "[^x]", "")))
+        .filter(F.col("text").isNotNull()).withColumn("n", F.regexp_count("text", F.lit(RAW_ALNUM_WORD)))
     total = items.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(total / block_words))
     for block in range(blocks):
@@ -230,7 +229,7 @@ def remove_spans(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the words of these spans (and what stands between them)."""
     if not spans:
         return text
-    places = [m.span() for m in re.finditer(ALNUM_WORD, text)]
+    places = [m.span() for m in re.finditer(RAW_ALNUM_WORD, text)]
     out, at = [], 0
     for first, end in spans:
         out.append(text[at:places[first][0]])

@@ -85,7 +85,7 @@ class Model:
                 p = smooth(table, np.broadcast_to(lower, table.shape))
                 below = p if below is None else np.concatenate([below, p])
             cost[:] = -np.log2(below) + rest
-        self.costs = self.costs.reshape(len(languages), -1)
+        self.costs = self.costs.reshape(len(languages), int(first[-1]) * CLASSES)
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length in bits of each text (rows) in each language (columns)."""
