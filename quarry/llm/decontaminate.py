@@ -251,25 +251,27 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
     name = fresh(docs.columns, "cleaned")
     columns = docs.columns
     for automaton in _automata(benchmark, window, block_words):
-        shared = spark.sparkContext.broadcast(automaton)
-
-        @F.pandas_udf("struct<text: string, kept: boolean>")
-        def cut(texts, shared=shared):
-            import pandas as pd
-
-            out, kept = [], []
-            for t in texts:
-                words = alnum_words(t) if isinstance(t, str) else []
-                spans, _ = shared.value.find(words)
-                kept.append(sum(e - a for a, e in spans) <= max_coverage * len(words))
-                out.append(remove_spans(t, spans) if spans and kept[-1] else t)
-            return pd.DataFrame({"text": out, "kept": kept})
-
-        docs = docs.withColumn(name, cut("text")).filter(F.col(f"{name}.kept")) \
-            .withColumn("text", F.col(f"{name}.text")).select(columns)
+        judged = _judge(spark.sparkContext.broadcast(automaton), max_coverage)("text")
+        docs = docs.withColumn(name, judged).filter(F.col(f"{name}.kept")) \
+            .withColumn("text", F.coalesce(F.col(f"{name}.cut"), "text")).select(columns)
     return docs
 
 
+def _judge(shared, max_coverage: float):
+    @F.arrow_udf("struct<kept: boolean, cut: string>")
+    def judge(texts: pa.Array) -> pa.Array:
+        """Whether a row stays, and its text where that changes."""
+        kept, out = [], []
+        for t in texts:
+            words = alnum_words(t.as_py())
+            spans, _ = shared.value.find(words)
+            kept.append(sum(e - a for a, e in spans) <= max_coverage * len(words))
+            out.append(remove_spans(t.as_py(), spans) if spans and kept[-1] else None)
+        return pa.StructArray.from_arrays([pa.array(kept, pa.bool_()), pa.array(out, pa.string())], ["kept", "cut"])
+
+    return judge
+
+
 def item_digest(items: list[str]) -> str:
     """The checksum column for a list of item ids."""
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

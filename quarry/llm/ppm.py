@@ -231,13 +231,13 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def kept(texts):
-        out, rows = [], [t.encode() if isinstance(t, str) else None for t in texts]
-        for i in range(0, len(rows), 256):
-            langs, _, rates = shared.value.judge(rows[i:i + 256])
+    @F.arrow_udf("boolean")
+    def kept(texts: pa.Array) -> pa.Array:
+        out = []
+        for i in range(0, len(texts), 128):
+            langs, _, rates = shared.value.judge(texts[i:i + 128].cast(pa.binary()).to_pylist())
             out += [lang != UNKNOWN and rate < 8 for lang, rate in zip(langs, rates)]
-        return texts.__class__(out, index=texts.index, dtype=bool)
+        return pa.array(out, pa.bool_())
 
     name = fresh(docs.columns, "kept")
     return docs.withColumn(name, kept("text")).filter(name).drop(name)

@@ -280,8 +280,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, limit: int = MAX_BITS) -> DataFr
 
 
 def _fingerprint_column(shingle: int):
-    @F.pandas_udf("string")
-    def column(text):
-        return text.map(lambda t: f"{int(fingerprints([t.encode() if isinstance(t, str) else None], shingle)[0]):016x}")
+    @F.arrow_udf("string")
+    def column(texts: pa.Array) -> pa.Array:
+        return pa.array([f"{int(fingerprints([t.as_py().encode() if t.is_valid else None], shingle)[0]):016x}" for t in texts], pa.string())
 
     return column

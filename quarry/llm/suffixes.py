@@ -357,9 +357,10 @@ def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:
     Rows without an id keep their text."""
     cuts = found.filter(F.col("doc_id").isNotNull() & (F.size("later") > 0)).select("doc_id", "later").dropDuplicates(["doc_id"])
 
-    @F.pandas_udf("string")
-    def cut(texts, later):
-        return texts.combine(later, lambda t, x: t if x is None else remove_spans(t, [(s["first"], s["end"]) for s in x]))
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, later: pa.Array) -> pa.Array:
+        return pa.array([remove_spans(t, [(s["first"], s["end"]) for s in x]) if t and x else t
+                         for t, x in zip(texts.to_pylist(), later.to_pylist())], pa.string())
 
     return docs.select("doc_id", "text").join(cuts, "doc_id", "left") \
         .select("doc_id", F.when(F.col("later").isNull(), F.col("text")).otherwise(cut("text", "later")).alias("text"))
