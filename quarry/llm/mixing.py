@@ -26,6 +26,7 @@ from quarry.llm.common import fresh
 BLOCK_DOCS, FRAME = 8, 2_000
 #: hash buckets a source's documents are ranked in, so that a large source is spread
 BUCKETS = 4_096
+_TURN = ("slot", "place", "block", "epoch")
 
 
 def shares(weights: list[float], frame: int) -> list[int]:
@@ -71,7 +72,7 @@ def schedule(docs: DataFrame, weights: dict | None = None, exponent: float = 0.7
     four names are replaced.
     """
     spark = docs.sparkSession
-    docs = docs.drop("slot", "place", "block", "epoch")
+    docs = docs.drop(*_TURN)
     sizes = sorted(((r[0], r[1]) for r in docs.groupBy(source).count().collect()), key=lambda r: (r[0] is not None, str(r[0])))
     given = {s: n ** exponent for s, n in sizes} if weights is None else {s: weights.get(s, 0) for s, _ in sizes}
     if any(w <= 0 for w in given.values()):
@@ -110,6 +111,9 @@ def schedule(docs: DataFrame, weights: dict | None = None, exponent: float = 0.7
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` in mixed order (range-partitioned and sorted by turn), with its own columns."""
-    ordered = schedule(docs, **options)
-    return ordered.repartitionByRange("slot").sortWithinPartitions("slot", "place").select(docs.columns)
+    """``docs`` in mixed order (range-partitioned and sorted by turn), with its own
+    columns, also those that are named like the schedule's."""
+    clash = {c: fresh([*docs.columns, *_TURN], c) for c in docs.columns if c.lower() in _TURN}
+    ordered = schedule(docs.withColumnsRenamed(clash), **options)
+    ordered = ordered.repartitionByRange("slot").sortWithinPartitions("slot", "place")
+    return ordered.select(*[F.col(clash.get(c, c)).alias(c) for c in docs.columns])

@@ -67,8 +67,9 @@ def test_odd_documents(odd_documents, no_documents):
     want = sorted((tuple(r) for r in odd_documents.drop("slot").collect()), key=str)
     assert sorted(map(tuple, once.collect()), key=str) == want
     assert mixing.schedule(no_documents).count() == 0
-    out = mixing.mixed(odd_documents.drop("slot"))
-    assert out.columns == odd_documents.drop("slot").columns
+    out = mixing.mixed(odd_documents)  # a column named like the schedule's stays
+    assert out.columns == odd_documents.columns
+    assert sorted(map(tuple, out.distinct().collect()), key=str) == sorted(map(tuple, odd_documents.distinct().collect()), key=str)
 
 
 def test_query(spark):
