@@ -62,9 +62,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = (sc.getCheckpointDir() if sc is not None else None) or configured
     if not current:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if sc is not None and not sc.getCheckpointDir():
+    if sc is None:
+        return current
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
-    return current
+    return sc.getCheckpointDir()  # resolved against the cluster's file system
 
 
 def materialize(df):
