@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import checkpoint_dir
+
 #: words of the two tokenising rules, as patterns for SQL and tests
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -50,10 +52,10 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder name below ``spark.checkpoint.dir`` (shared by driver and
     executors), as a URI.  Raises if the session names no such folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if "://" not in base and not base.startswith("file:"):
+    base = checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = "file://" + base.removeprefix("file:").removeprefix("//")
+    elif "://" not in base:  # as in a session whose context has not resolved it
         base = "file://" + os.path.abspath(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
