@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import RAW_ALNUM_WORD, alnum_words, fresh, ship, small_batches, texts_of
+from quarry.llm.common import RAW_ALNUM_WORD, alnum_words, ship, small_batches, texts_of
 
 WINDOW = 10
 #: words in one automaton (about two states a word)
@@ -248,28 +248,24 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
     """
     ship(docs.sparkSession)
     spark = docs.sparkSession
-    name = fresh(docs.columns, "cleaned")
-    columns = docs.columns
     for automaton in _automata(benchmark, window, block_words):
-        judged = _judge(spark.sparkContext.broadcast(automaton), max_coverage)("text")
-        docs = docs.withColumn(name, judged).filter(F.col(f"{name}.kept")) \
-            .withColumn("text", F.coalesce(F.col(f"{name}.cut"), "text")).select(columns)
+        docs = docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(automaton), max_coverage), docs.schema)
     return docs
 
 
-def _judge(shared, max_coverage: float):
-    @F.arrow_udf("struct<kept: boolean, cut: string>")
-    def judge(texts: pa.Array) -> pa.Array:
-        """Whether a row stays, and its text where that changes."""
-        kept, out = [], []
-        for t in texts:
-            words = alnum_words(t.as_py())
-            spans, _ = shared.value.find(words)
-            kept.append(sum(e - a for a, e in spans) <= max_coverage * len(words))
-            out.append(remove_spans(t.as_py(), spans) if spans and kept[-1] else None)
-        return pa.StructArray.from_arrays([pa.array(kept, pa.bool_()), pa.array(out, pa.string())], ["kept", "cut"])
-
-    return judge
+def _cleaner(shared, max_coverage: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, "text", 1 << 20):
+            texts, kept, at = b.column("text").to_pylist(), [], b.schema.get_field_index("text")
+            for i, t in enumerate(texts):
+                words = alnum_words(t)
+                spans, _ = shared.value.find(words)
+                kept.append(sum(e - a for a, e in spans) <= max_coverage * len(words))
+                if spans and kept[-1]:
+                    texts[i] = remove_spans(t, spans)
+            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).filter(pa.array(kept, pa.bool_()))
+
+    return run
 
 
 def item_digest(items: list[str]) -> str:

@@ -17,6 +17,8 @@ from __future__ import annotations
 import heapq
 import math
 
+import pyarrow as pa
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -85,11 +87,13 @@ def schedule(docs: DataFrame, weights: dict | None = None, exponent: float = 0.7
     name = {x: fresh(docs.columns, f"_{x}") for x in ("source", "key", "turns", "need", "got", "slots", "hash", "bucket",
                                                       "before", "rank")}
     # both small tables are bounded by the frame: at most so many sources, and one number a slot
-    kind = docs.schema[source].dataType.simpleString()
-    keys = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(sizes)], f"{name['source']} {kind}, {name['key']} int")
-    plan = spark.createDataFrame(list(zip(range(len(sizes)), turns, need, given_blocks, slots)),
-                                 f"{name['key']} int, {name['turns']} long, {name['need']} long, {name['got']} long, "
-                                 f"{name['slots']} array<int>")
+    keys = spark.createDataFrame(pa.table({"s": [s for s, _ in sizes] or pa.nulls(0, pa.string()),
+                                           "i": pa.array(range(len(sizes)), pa.int32())}))
+    keys = keys.select(F.col("s").cast(docs.schema[source].dataType).alias(name["source"]), F.col("i").alias(name["key"]))
+    plan = spark.createDataFrame(pa.table({
+        name["key"]: pa.array(range(len(sizes)), pa.int32()), name["turns"]: pa.array(turns, pa.int64()),
+        name["need"]: pa.array(need, pa.int64()), name["got"]: pa.array(given_blocks, pa.int64()),
+        name["slots"]: pa.array(slots, pa.list_(pa.int32()))}))
     spot = [name["key"], name["bucket"]]
     rows = docs.join(F.broadcast(keys), F.col(source).eqNullSafe(F.col(name["source"]))).drop(name["source"]) \
         .withColumn(name["hash"], F.xxhash64(*docs.columns)).withColumn(name["bucket"], F.pmod(name["hash"], F.lit(BUCKETS)))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import crc_mod, fresh, ship, small_batches, texts_of
+from quarry.llm.common import crc_mod, ship, small_batches, texts_of
 
 ORDER = 3
 #: byte classes: the 127 most frequent bytes, and one for all others
@@ -231,13 +231,9 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("boolean")
-    def kept(texts: pa.Array) -> pa.Array:
-        out = []
-        for i in range(0, len(texts), 128):
-            langs, _, rates = shared.value.judge(texts[i:i + 128].cast(pa.binary()).to_pylist())
-            out += [lang != UNKNOWN and rate < 8 for lang, rate in zip(langs, rates)]
-        return pa.array(out, pa.bool_())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, "text", 1 << 20):
+            langs, _, rates = shared.value.judge(texts_of(b, "text"))
+            yield b.filter(pa.array([lang != UNKNOWN and rate < 8 for lang, rate in zip(langs, rates)], pa.bool_()))
 
-    name = fresh(docs.columns, "kept")
-    return docs.withColumn(name, kept("text")).filter(name).drop(name)
+    return docs.mapInArrow(run, docs.schema)

@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quarry.llm.common import fresh, ship, small_batches, space_words, stored, texts_of
 from quarry.llm.components import components
@@ -274,14 +275,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, limit: int = MAX_BITS) -> DataFr
     # rows without an id are matched by their fingerprint
     fp = fresh(docs.columns, "fp")
     lone = found.filter("component_id is null").groupBy("root").agg(F.min("fingerprint").alias(fp)).select(fp)
-    unknown = docs.filter("doc_id is null").withColumn(fp, _fingerprint_column(shingle)("text"))
-    unknown = unknown.join(lone, fp, "left_semi").dropDuplicates([fp]).select(docs.columns)
-    return known.unionByName(unknown)
-
 
-def _fingerprint_column(shingle: int):
-    @F.arrow_udf("string")
-    def column(texts: pa.Array) -> pa.Array:
-        return pa.array([f"{int(fingerprints([t.as_py().encode() if t.is_valid else None], shingle)[0]):016x}" for t in texts], pa.string())
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, "text", 1 << 20):
+            found = pa.array([f"{int(x):016x}" for x in fingerprints(texts_of(b, "text"), shingle)], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, fp])
 
-    return column
+    unknown = docs.filter("doc_id is null").mapInArrow(add, StructType([*docs.schema.fields, StructField(fp, StringType())]))
+    unknown = unknown.join(lone, fp, "left_semi").dropDuplicates([fp]).select(docs.columns)
+    return known.unionByName(unknown)

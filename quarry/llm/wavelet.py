@@ -199,7 +199,7 @@ class Encoder:
 
     _made: dict[str, Encoder] = {}
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 450_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -228,7 +228,8 @@ class Encoder:
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        split = [(t or b"").split() for t in texts]
+        # the tokenizer folds case itself, except in the special tokens, which all hold "<|"
+        split = [(t or b"").split() if b"<|" in (t or b"") else (t or b"").lower().split() for t in texts]
         young, old = self.young, self.old
         missing = set().union(*split).difference(young)
         again = {c: old[c] for c in missing if c in old}
@@ -241,7 +242,7 @@ class Encoder:
         return out
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, shard_tokens: int = 1 << 21,
+def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, shard_tokens: int = 1 << 20,
                      doc_id: str = "doc_id", text: str = "text") -> tuple[str, dict[int, int]]:
     """Write the shards of ``docs`` to the shared folder.
 
@@ -272,7 +273,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: i
             fs.move(private, name + SUFFIX)
             return pa.RecordBatch.from_pydict({"part": [part], "n_tokens": [len(tokens)]})
 
-        for batch in small_batches(batches, "text", 4 << 20):
+        for batch in small_batches(batches, "text", 1 << 20):
             for i, data in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch, "text"))):
                 ids.append(i)
                 pieces.append(data + end)
@@ -318,6 +319,6 @@ def read_documents(spark: SparkSession, folder: str, before: dict[int, int]) ->
     return files.select("path", "content").mapInArrow(read, schema)
 
 
-def token_shards(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, shard_tokens: int = 1 << 21) -> DataFrame:
+def token_shards(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, shard_tokens: int = 1 << 20) -> DataFrame:
     """Write ``docs`` as wavelet shards and return their documents as read back."""
     return read_documents(docs.sparkSession, *encode_documents(docs, tokenizer, end_id, vocabulary, shard_tokens))
