@@ -119,7 +119,7 @@ def _bounds(places: np.ndarray, first: np.ndarray, least: int, gram: int) -> tup
 def _suffixes(docs: DataFrame, least: int, gram: int) -> DataFrame:
     """uid, doc_id, gram, context, pos of every kept suffix; and a row for each document, with gram null and pos its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, "text", 4 << 20):
+        for b in small_batches(batches, "text", 1 << 20):
             h, first = word_hashes(texts_of(b, "text"))
             places, grams = minimisers(h, first, least, gram)
             rows = np.arange(b.num_rows)
@@ -142,7 +142,7 @@ def _suffixes(docs: DataFrame, least: int, gram: int) -> DataFrame:
 def _contexts(docs: DataFrame, wanted: DataFrame, least: int, gram: int) -> DataFrame:
     """The words around the wanted suffixes: ``before`` (nearest first) and ``after`` as 32-bit hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, "text", 4 << 20):
+        for b in small_batches(batches, "text", 1 << 20):
             h, first = word_hashes(texts_of(b, "text"))
             short = (h >> np.uint64(32)).astype("<u4")
             marks = b.column("marks")
@@ -301,10 +301,12 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, gram: int = GRAM, cro
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("uid", F.xxhash64("doc_id", "text"))
     every = stored(_suffixes(rows, least, gram), "suffixes")
     kept = every.filter("gram is not null")
-    place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "uid", "pos")
-    contexts = stored(kept.groupBy("gram", "context").agg(F.min(place).alias("low"), F.max(place).alias("high")), "contexts")
+    low = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "uid", "pos")).alias("low")
+    place = F.xxhash64("uid", "pos")
+    contexts = kept.groupBy("gram", "context").agg(low, (F.min(place) != F.max(place)).alias("many"))
+    contexts = stored(contexts, "contexts")
     # contexts that stand elsewhere as a whole
-    many = contexts.filter("low <> high").select("gram", "context", F.col("low.doc_id").alias("partner"))
+    many = contexts.filter("many").select("gram", "context", F.col("low.doc_id").alias("partner"))
     whole = kept.join(many, ["gram", "context"]).select("uid", (F.col("pos") - (least - gram)).alias("first"),
                                                         (F.col("pos") + least).alias("end"), "partner")
     # one suffix for each context of the grams that have several
@@ -357,10 +359,11 @@ def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:
     Rows without an id keep their text."""
     cuts = found.filter(F.col("doc_id").isNotNull() & (F.size("later") > 0)).select("doc_id", "later").dropDuplicates(["doc_id"])
 
-    @F.arrow_udf("string")
-    def cut(texts: pa.Array, later: pa.Array) -> pa.Array:
-        return pa.array([remove_spans(t, [(s["first"], s["end"]) for s in x]) if t and x else t
-                         for t, x in zip(texts.to_pylist(), later.to_pylist())], pa.string())
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, "text", 1 << 20):
+            texts = [remove_spans(t, [(s["first"], s["end"]) for s in x]) if t and x else t
+                     for t, x in zip(b.column("text").to_pylist(), b.column("later").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return docs.select("doc_id", "text").join(cuts, "doc_id", "left") \
-        .select("doc_id", F.when(F.col("later").isNull(), F.col("text")).otherwise(cut("text", "later")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(cuts, "doc_id", "left")
+    return rows.select("doc_id", "text", "later").mapInArrow(cut, "doc_id long, text string")
