@@ -63,7 +63,8 @@ def word_hashes(texts: list[bytes | None], table: bytes = ALNUM_BYTES, with_ends
     if not len(starts):
         h = np.zeros(0, np.uint64)
         return (h, first, h) if with_ends else (h, first)
-    values = np.where(letter, data, 0).astype(np.uint64) * _powers(_R, len(data))
+    # one more than the byte, as a zero byte must count too
+    values = (data.astype(np.uint64) + letter) * letter * _powers(_R, len(data))
     h = _mix(np.add.reduceat(values, starts) * _powers(pow(_R, -1, 1 << 64), len(data))[starts])
     if not with_ends:
         return h, first

@@ -199,7 +199,7 @@ class Encoder:
 
     _made: dict[str, Encoder] = {}
 
-    def __init__(self, path: str, keep: int = 450_000):
+    def __init__(self, path: str, keep: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -270,10 +270,13 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: i
             private = f"{name}.{uuid.uuid4().hex}"
             with fs.open_output_stream(private) as f:
                 f.write(write_shard(tokens, ends, ids, first, bits))
-            fs.move(private, name + SUFFIX)
+            if fs.get_file_info(name + SUFFIX).type == pafs.FileType.NotFound:
+                fs.move(private, name + SUFFIX)
+            else:  # an earlier attempt of this task has put the same bytes there
+                fs.delete_file(private)
             return pa.RecordBatch.from_pydict({"part": [part], "n_tokens": [len(tokens)]})
 
-        for batch in small_batches(batches, "text", 1 << 20):
+        for batch in small_batches(batches, "text", 2 << 20):
             for i, data in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch, "text"))):
                 ids.append(i)
                 pieces.append(data + end)

@@ -62,6 +62,13 @@ def test_query(spark):
     assert shown(queries.op5_suffixes(spark, sf)) == plain(rows, 50)
 
 
+def test_word_hashes_differ():
+    words = [b"a", b"a\x00", b"\x00a", b"\x00", b"aa", b"ab", b"ba", b"a\xc3\xa9"]
+    table = bytes(range(256))
+    h, first = suffixes.word_hashes([b" ".join(words), b"a"], table)
+    assert len(set(h.tolist())) == len(words) and first.tolist() == [0, len(words), len(words) + 1] and h[-1] == h[0]
+
+
 def test_every_window_has_a_minimiser():
     rng = np.random.default_rng(1)
     texts = [" ".join(f"v{x}" for x in rng.integers(0, 30, n)).encode() for n in (0, 11, 12, 13, 200, 500)]
