@@ -58,6 +58,12 @@ def main() -> None:
     ev_hot = ev.select(hot("user_id", 0).alias("user_id"), F.col("event_type").alias("item_id"),
                        F.col("value").alias("rating"))
     users = cust.select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    supplied_user = li.select(hot("l_suppkey", 1).alias("user_id"), F.col("l_partkey").alias("item_id"),
+                              F.col("l_quantity").alias("rating"))
+    supplied_item = li.select(F.col("l_suppkey").alias("user_id"), hot("l_partkey", 1).alias("item_id"),
+                              F.col("l_quantity").alias("rating"))
+    suppliers = load("supplier").select(F.col("s_suppkey").alias("user_id"), "s_acctbal",
+                                        F.pmod("s_nationkey", F.lit(4)).cast("string").alias("grp"))
     ec_items = li.select(hot("l_orderkey", 1).alias("Order_ID"), F.col("l_linenumber").alias("Order_Item_ID"),
                          F.col("l_partkey").alias("Product_ID"), F.col("l_suppkey").alias("Seller_ID"),
                          F.col("l_extendedprice").alias("Price"), F.col("l_tax").alias("Freight_Value"))
@@ -91,6 +97,14 @@ def main() -> None:
         "item_by_two_groups (hot user)": lambda: R.item_by_two_groups(
             ev_hot, users, None, item_key="item_id", group="c_mktsegment", groups=("BUILDING", "MACHINERY"),
             names=("a", "b")),
+        "item_by_two_groups titled (hot user)": lambda: R.item_by_two_groups(
+            supplied_user, suppliers, items, item_key="item_id", group="grp", groups=("1", "3"), names=("a", "b")),
+        "item_by_two_groups titled (hot item)": lambda: R.item_by_two_groups(
+            supplied_item, suppliers, items, item_key="item_id", group="grp", groups=("1", "3"), names=("a", "b")),
+        "item_by_group_long titled (hot user)": lambda: R.item_by_group_long(
+            supplied_user, suppliers, items, item_key="item_id", group="grp", numeric_item=False),
+        "item_by_bin_long titled (hot item)": lambda: R.item_by_bin_long(
+            supplied_item, suppliers, items, item_key="item_id", value="s_acctbal", value_type="double", numeric_item=False),
         "customer_segments (hot order)": lambda: C.customer_segments(ec_orders, ec_items),
         "category_sales (hot order, hot review)": lambda: C.category_sales_and_score(ec_items, products, reviews),
         "seller_ranking (hot order)": lambda: C.seller_ranking(ec_items),
