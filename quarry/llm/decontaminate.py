@@ -13,7 +13,6 @@ passes are merged by document.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -266,8 +265,3 @@ def _cleaner(shared, max_coverage: float):
             yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).filter(pa.array(kept, pa.bool_()))
 
     return run
-
-
-def item_digest(items: list[str]) -> str:
-    """The checksum column for a list of item ids."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

@@ -69,13 +69,13 @@ def schedule(docs: DataFrame, weights: dict | None = None, exponent: float = 0.7
     default a source's number of rows to the power ``exponent``.  A row comes
     once for each epoch that reaches it, always at least once.  Defined cases:
     null is a source of its own; a source without a weight, or with a weight
-    that is not positive, raises; rows alike in all columns are ranked one
+    that is not positive, and more sources than a frame has slots raise; rows alike in all columns are ranked one
     after the other; an empty table gives no rows; columns that clash with the
     four names are replaced.
     """
     spark = docs.sparkSession
     docs = docs.drop(*_TURN)
-    sizes = sorted(((r[0], r[1]) for r in docs.groupBy(source).count().collect()), key=lambda r: (r[0] is not None, str(r[0])))
+    sizes = sorted(((r[0], r[1]) for r in docs.groupBy(source).count().limit(frame + 1).collect()), key=lambda r: (r[0] is not None, str(r[0])))
     given = {s: n ** exponent for s, n in sizes} if weights is None else {s: weights.get(s, 0) for s, _ in sizes}
     if any(w <= 0 for w in given.values()):
         raise ValueError("every source needs a positive weight")

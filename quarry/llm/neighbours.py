@@ -44,8 +44,10 @@ class Hashes:
         """Projections in units of a bin (rows, TABLES, HASHES), the middle bin around zero."""
         size = np.linalg.norm(x, axis=1)
         # a query's order of candidates does not depend on its length
-        x = x / (size if query else self.norm)[:, None] if query else x / self.norm
-        rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, 1 - (size / self.norm) ** 2))
+        if query:
+            x, rest = x / size[:, None], np.zeros(len(x))
+        else:
+            x, rest = x / self.norm, np.sqrt(np.maximum(0, 1 - (size / self.norm) ** 2))
         at = np.column_stack([x, rest]) @ self.directions / WIDTH + self.shift + (BINS - 1) / 2
         return at.reshape(len(x), TABLES, HASHES)
 
