@@ -1,3 +1,4 @@
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -87,3 +88,33 @@ def test_mixed_rows_are_in_turn_order(spark, rows):
     turn = {r.doc_id: (r.slot, r.place) for r in mixing.schedule(df).filter("epoch = 0").collect()}
     out = [r.doc_id for r in mixing.mixed(df, exponent=1.0).collect()]
     assert sorted(out) == sorted(turn) and out == sorted(out, key=turn.get)
+
+
+def far(turns, weights):
+    """Largest distance of any source from its exact share, in blocks, over all slots."""
+    total, had, worst = sum(weights), [0] * len(weights), 0
+    for t, i in enumerate(turns, 1):
+        had[i] += 1
+        worst = max(worst, *(abs(n * total - t * w) for n, w in zip(had, weights)))
+    return worst / total
+
+
+def test_distance_stays_under_one_block_however_long_the_schedule():
+    rng = random.Random(1)
+    for n in (2, 20, 50):
+        weights = mixing.whole([rng.random() ** 3 + 1e-4 for _ in range(n)])
+        turns = itertools.islice(mixing.deal(weights, [10 ** 9] * n), 20_000)
+        assert far(turns, weights) < 1
+
+
+def test_schedule_of_many_frames_follows_the_exact_weights(rows):
+    """A source with a third of the rows and one of 8 rows, over many frames: the bound does not grow with the slot."""
+    data = [(i, "hot") for i in range(6_000)] + [(i, f"s{i % 18}") for i in range(6_000, 17_992)] + [(i, "tiny") for i in range(17_992, 18_000)]
+    sizes = Counter(s for _, s in data)
+    names = sorted(sizes)
+    weights = mixing.whole([sizes[s] ** 0.7 for s in names])
+    found = by_slot(mixing.schedule(rows(data, "doc_id long, source string"), frame=100))
+    assert sorted(found) == list(range(len(found))) and len(found) > 2_000
+    turns = [names.index(found[t][0].source) for t in range(len(found))]
+    assert far(turns, weights) < 1
+    check(found, sizes, mixing.BLOCK_DOCS, {s: n ** 0.7 for s, n in sizes.items()}, 10 ** 9)
