@@ -118,3 +118,10 @@ def test_schedule_of_many_frames_follows_the_exact_weights(rows):
     turns = [names.index(found[t][0].source) for t in range(len(found))]
     assert far(turns, weights) < 1
     check(found, sizes, mixing.BLOCK_DOCS, {s: n ** 0.7 for s, n in sizes.items()}, 10 ** 9)
+
+
+def test_more_sources_than_a_frame_has_turns(rows):
+    data = [(i, f"site{i % 2_500}") for i in range(5_003)]
+    found = by_slot(mixing.schedule(rows(data, "doc_id long, source string")))
+    assert {r.doc_id for x in found.values() for r in x} == {i for i, _ in data}
+    assert sorted(found) == list(range(len(found)))
