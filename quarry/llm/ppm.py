@@ -9,7 +9,9 @@ length of every (context, byte) is put into one table and a text's code length
 is a sum of table entries; the language with the shortest code wins.
 
 Learning reads a bounded, hash-chosen sample of labelled rows; counting runs in
-the cluster and only the bounded context statistics reach the driver.
+the cluster and only the bounded context statistics reach the driver.  Every
+language is learned: more than a model holds are dealt to several models, which
+are learned and applied one after the other; the shortest code of all wins.
 """
 
 from __future__ import annotations
@@ -18,11 +20,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import crc_mod, ship, small_batches, texts_of
+from quarry.llm.common import crc_mod, fresh, ship, small_batches, stored, texts_of
 
 ORDER = 3
 #: byte classes: the 127 most frequent bytes, and one for all others
@@ -107,17 +109,23 @@ class Model:
 
     def judge(self, texts: list[bytes | None]) -> tuple[list[str], list[float], list[float]]:
         """Language, its posterior probability at equal priors, and bits per byte, of each text."""
-        usable = [i for i, t in enumerate(texts) if t and has_letter(t)] if self.languages else []
         langs, scores, rates = [UNKNOWN] * len(texts), [0.0] * len(texts), [8.0] * len(texts)
-        if usable:
-            bits = self.lengths([texts[i] for i in usable])
-            best = bits.argmin(axis=1)
-            low = bits[np.arange(len(best)), best]
-            share = 1 / np.exp2(np.minimum(low[:, None] - bits, 0)).sum(axis=1)
-            for i, b, s, x in zip(usable, best.tolist(), share.tolist(), low.tolist()):
-                langs[i], scores[i], rates[i] = self.languages[b], s, x / len(texts[i])
+        for i, lang, low, mass in zip(*self.shortest(texts)):
+            langs[i], scores[i], rates[i] = lang, 1 / mass, low / len(texts[i])
         return langs, scores, rates
 
+    def shortest(self, texts: list[bytes | None]) -> tuple[list[int], list[str], list[float], list[float]]:
+        """Of the texts with a letter: place, language of the shortest code, its bits, and the probability of all
+        languages in units of that one's."""
+        usable = [i for i, t in enumerate(texts) if t and has_letter(t)] if self.languages else []
+        if not usable:
+            return [], [], [], []
+        bits = self.lengths([texts[i] for i in usable])
+        best = bits.argmin(axis=1)
+        low = bits[np.arange(len(best)), best]
+        mass = np.exp2(np.minimum(low[:, None] - bits, 0)).sum(axis=1)
+        return usable, [self.languages[b] for b in best.tolist()], low.tolist(), mass.tolist()
+
 
 def _find(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which of ``wanted`` are in the sorted ``values``, and where."""
@@ -142,29 +150,53 @@ def has_letter(text: bytes) -> bool:
     return any(map(str.isalpha, text.decode(errors="replace")))
 
 
-def learn(docs: DataFrame, sample: int = 2_000, max_languages: int = 64, max_contexts: int = 24_000) -> Model:
-    """A model from the labelled rows whose crc32(doc_id) mod 4 is not 2.
+class Models:
+    """The models of more languages than one model holds, each learned when it is its turn."""
+
+    def __init__(self, rows: DataFrame, groups: list[list[Row]], sample: int, max_contexts: int):
+        self.rows, self.groups, self.sample, self.max_contexts = rows, groups, sample, max_contexts
+        self.languages = sorted(r["label"] for group in groups for r in group)
+
+    def __iter__(self) -> Iterator[Model]:
+        for group in self.groups:
+            yield Model(*_gram_counts(self.rows, "doc_id", self.sample, group, self.max_contexts), self.max_contexts)
+
+
+def learn(docs: DataFrame, sample: int = 2_000, max_languages: int = 64, max_contexts: int = 24_000) -> Model | Models:
+    """A model of all languages, or models of groups of them, from the labelled rows whose crc32(doc_id) mod 4 is not 2.
 
     ``sample``: about so many rows of each language are read, chosen by a hash
-    of the id; ``max_languages``: the most frequent ones; ``max_contexts``: the
-    most frequent contexts of three bytes that the trees keep.  These bound what
-    the driver gathers and broadcasts.
+    of the id; ``max_languages``: languages of a model, the most frequent ones
+    in the first; ``max_contexts``: the most frequent contexts of three bytes
+    that a model's trees keep.  These bound what the driver gathers and
+    broadcasts at a time.
     """
     ship(docs.sparkSession)
     usable = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_mod(F.col("doc_id"), 4) != 2))
-    languages, grams = gram_counts(usable.select("doc_id", F.col("lang").alias("label"), "text"), "doc_id", sample,
-                                   max_languages, max_contexts)
-    return Model(languages, grams, max_contexts)
+    rows = usable.select("doc_id", F.col("lang").alias("label"), "text")
+    sizes = _by_size(rows).collect()  # a row for each language
+    groups = [sizes[i:i + max_languages] for i in range(0, len(sizes), max_languages)]
+    if len(groups) > 1:
+        return Models(rows, groups, sample, max_contexts)
+    return Model(*_gram_counts(rows, "doc_id", sample, sizes, max_contexts), max_contexts)
 
 
 def gram_counts(rows: DataFrame, key: str, sample: int, max_labels: int, max_contexts: int) \
         -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
-    """Labels, and for each the four-byte sequences of its texts with their counts.
+    """Labels (the most frequent), and for each the four-byte sequences of its texts with their counts.
 
     About ``sample`` rows of a label are read, chosen by a hash of ``key``; so
     the sequences kept (the most frequent, 12 for a context) are bounded.
     """
-    sizes = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect()
+    return _gram_counts(rows, key, sample, _by_size(rows).limit(max_labels).collect(), max_contexts)
+
+
+def _by_size(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("label").count().orderBy(F.desc("count"), "label")
+
+
+def _gram_counts(rows: DataFrame, key: str, sample: int, sizes: list[Row], max_contexts: int) \
+        -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
     if not sizes:
         return [], []
     share = F.create_map(*[x for r in sizes for x in (F.lit(r["label"]), F.lit(min(1.0, sample / r["count"])))])
@@ -201,7 +233,41 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(crc_mod(F.col(doc_id), 4) == 2, F.lit(True))
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
+def _in_turn(docs: DataFrame, models: Models) -> tuple[DataFrame, DataFrame, str]:
+    """``docs`` with a row number; lang, score and rate (bits per byte) by row number; and its name.
+
+    Each model is learned, applied to the stored rows and dropped before the
+    next; what a text costs in it is stored by row number.  Texts without a
+    letter have no row among the costs.
+    """
+    spark, row = docs.sparkSession, fresh(docs.columns, "_row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    costs = None
+    for model in models:
+        shared = spark.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for b in small_batches(batches, "text", 1 << 20):
+                texts = texts_of(b, "text")
+                at, langs, low, mass = shared.value.shortest(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(row).take(pa.array(at, pa.int64())), pa.array(langs, pa.string()), pa.array(low, pa.float64()),
+                     pa.array(mass, pa.float64()), pa.array([len(texts[i]) for i in at], pa.int64())],
+                    [row, "lang", "bits", "mass", "size"])
+
+        part = rows.select(row, "text").mapInArrow(run, f"{row} long, lang string, bits double, mass double, size long")
+        part = stored(part, "codes")
+        shared.destroy()
+        costs = part if costs is None else costs.unionAll(part)
+    # equal lengths go to the first language by name; a list holds one entry for each model
+    best = costs.groupBy(row).agg(F.min(F.struct("bits", "lang")).alias("best"), F.max("size").alias("size"),
+                                  F.collect_list(F.struct("bits", "mass")).alias("all"))
+    mass = F.aggregate("all", F.lit(0.0), lambda x, y: x + y["mass"] * F.pow(F.lit(2.0), F.col("best.bits") - y["bits"]))
+    return rows, best.select(row, F.col("best.lang").alias("lang"), (1 / mass).alias("score"),
+                             (F.col("best.bits") / F.col("size")).alias("rate")), row
+
+
+def identify(docs: DataFrame, model: Model | Models) -> DataFrame:
     """doc_id, held_out, lang_pred, score and bits_per_byte of every row.
 
     Only the text is looked at.  Defined cases: a null text, or one without a
@@ -211,6 +277,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
+    if isinstance(model, Models):
+        rows, found, row = _in_turn(docs, model)
+        return rows.select("doc_id", "held_out", row).join(found, row, "left").select(
+            "doc_id", "held_out", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang_pred"),
+            F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("rate", F.lit(8.0)).alias("bits_per_byte"))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,15 +292,18 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                                               pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
                                              ["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text") \
-        .mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double")
+    return docs.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double")
 
 
-def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model | Models) -> DataFrame:
     """The rows whose text is in one of the model's languages: it has a letter,
     and the best language's code is shorter than the text itself (8 bits a byte)."""
     spark = docs.sparkSession
     ship(spark)
+    if isinstance(model, Models):
+        rows, found, row = _in_turn(docs, model)
+        kept = found.filter((F.col("lang") != UNKNOWN) & (F.col("rate") < 8))
+        return rows.join(kept, row, "left_semi").select(*docs.columns)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
