@@ -15,15 +15,16 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import RAW_ALNUM_WORD, alnum_words, ship, small_batches, texts_of
+from quarry.llm.common import RAW_ALNUM_WORD, alnum_words, fresh, ship, small_batches, texts_of
 
 WINDOW = 10
 #: words in one automaton (about two states a word)
@@ -171,13 +172,7 @@ def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
     passes = [_scan(rows, automaton) for automaton in _automata(benchmark, window, block_words)]
     if len(passes) == 1:
         return passes[0].drop("text_hash")
-    # rows alike in id and text have the same findings, so these name a row
-    some = reduce(DataFrame.unionByName, [p.filter(F.size("spans") > 0) for p in passes])
-    some = some.distinct().groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    merged = F.aggregate("spans", F.expr("cast(array() as array<struct<first: int, end: int>>)"), _join_spans)
-    some = some.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), merged.alias("spans"), "items")
+    some = _merge(passes)
     every = passes[0].select("doc_id", "n_words", "text_hash")
     none = F.expr("cast(array() as array<struct<first: int, end: int>>)")
     return every.join(some, every.doc_id.eqNullSafe(some.id) & (every.text_hash == some.hash), "left").select(
@@ -185,6 +180,17 @@ def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
         F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"))
 
 
+def _merge(passes: list[DataFrame]) -> DataFrame:
+    """id, hash, spans and items of the rows with a hit, the spans of all passes merged.
+    Rows alike in id and text have the same findings, so these name a row."""
+    some = reduce(DataFrame.unionByName, [p.filter(F.size("spans") > 0) for p in passes])
+    some = some.distinct().groupBy("doc_id", "text_hash").agg(
+        F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    merged = F.aggregate("spans", F.expr("cast(array() as array<struct<first: int, end: int>>)"), _join_spans)
+    return some.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), merged.alias("spans"), "items")
+
+
 def _join_spans(done, span):
     """Add a span that starts no earlier than those before it."""
     last = F.element_at(done, -1)
@@ -247,21 +253,44 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
     """
     ship(docs.sparkSession)
     spark = docs.sparkSession
-    for automaton in _automata(benchmark, window, block_words):
-        docs = docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(automaton), max_coverage), docs.schema)
-    return docs
+    automata = list(islice(blocks := _automata(benchmark, window, block_words), 2))
+    if len(automata) == 1:
+        return docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(automata[0]), max_coverage), docs.schema)
+    # a row is judged and cut once, by the merged spans of all automata
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.alias("doc_id"), "text")
+    spans = fresh(docs.columns, "_spans")
+    found = _merge([_scan(rows, automaton) for automaton in chain(automata, blocks)]).drop("items")
+    id_, hash_ = fresh(docs.columns, "_id"), fresh(docs.columns, "_hash")
+    found = found.withColumnsRenamed({"id": id_, "hash": hash_, "spans": spans})
+    joined = docs.join(found, doc_id.eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_)), "left")
+    return joined.select(*docs.columns, spans).mapInArrow(_cutter(spans, max_coverage), docs.schema)
 
 
 def _cleaner(shared, max_coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text", 1 << 20):
-            texts, kept, at = b.column("text").to_pylist(), [], b.schema.get_field_index("text")
-            for i, t in enumerate(texts):
-                words = alnum_words(t)
-                spans, _ = shared.value.find(words)
-                kept.append(sum(e - a for a, e in spans) <= max_coverage * len(words))
-                if spans and kept[-1]:
-                    texts[i] = remove_spans(t, spans)
-            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).filter(pa.array(kept, pa.bool_()))
+            yield _cut(b, lambda i, words: shared.value.find(words)[0], max_coverage)
+
+    return run
+
+
+def _cutter(column: str, max_coverage: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, "text", 1 << 20):
+            found = [[(s["first"], s["end"]) for s in x or []] for x in b.column(column).to_pylist()]
+            yield _cut(b.drop_columns([column]), lambda i, words, found=found: found[i], max_coverage)
 
     return run
+
+
+def _cut(b: pa.RecordBatch, spans_of: Callable, max_coverage: float) -> pa.RecordBatch:
+    """The batch without the spans of its texts and without the rows whose coverage is over the limit."""
+    texts, kept, at = b.column("text").to_pylist(), [], b.schema.get_field_index("text")
+    for i, t in enumerate(texts):
+        words = alnum_words(t)
+        spans = spans_of(i, words)
+        kept.append(sum(e - a for a, e in spans) <= max_coverage * len(words))
+        if spans and kept[-1]:
+            texts[i] = remove_spans(t, spans)
+    return b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).filter(pa.array(kept, pa.bool_()))

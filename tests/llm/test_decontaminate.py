@@ -80,3 +80,20 @@ def test_query_against_sql_and_plain(spark):
     got = sorted(map(tuple, queries.op10_automaton(spark, sf).collect()))
     assert got == sorted(con.execute(queries.ORACLE_SQL["op10_automaton"]).fetchall())
     assert any(r[-1] for r in got)
+
+
+def test_several_automata_clean_as_one(spark):
+    """Coverage and cuts are those of all items together, however the benchmark is cut into blocks."""
+    word = lambda a, z: " ".join(f"v{i}" for i in range(a, z))
+    items = spark.createDataFrame([(1, word(0, 15)), (2, word(8, 20)), (3, word(40, 55)), (4, word(70, 82)), (5, word(200, 230))],
+                                  "item_id long, text string")
+    data = [(1, f"start {word(0, 20)} end"), (2, word(0, 15) + " between " + word(40, 55) + " " + word(300, 320)),
+            (3, word(70, 82) + " " + word(300, 400)), (4, f"v0 {word(200, 230)} v1 v2"), (4, "other text"), (None, word(30, 60)),
+            (5, None), (6, word(0, 8) + " " + word(40, 55) + " " + word(8, 20))]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    for coverage in (0.0, 0.5, 1.0):
+        want = sorted(map(tuple, decontaminate.clean(docs, items, max_coverage=coverage).collect()), key=str)
+        for block in (1, 20, 40):
+            got = decontaminate.clean(docs, items, max_coverage=coverage, block_words=block)
+            assert got.columns == docs.columns
+            assert sorted(map(tuple, got.collect()), key=str) == want
