@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from quarry.llm.common import fresh, ship, small_batches, space_words, stored, texts_of
 from quarry.llm.components import components
@@ -265,22 +266,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, limit: int = MAX_BITS) ->
 def keep_one(docs: DataFrame, shingle: int = 3, limit: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` with one row of each component: its smallest doc_id.
 
-    Of rows that repeat a doc_id one stays.  A component whose rows all have a
-    null doc_id keeps one of them.
+    A row is named by its doc_id and fingerprint, so of rows that repeat a
+    doc_id in other components one stays in each that has no smaller one.  Of
+    rows alike in both one stays, the same at each run.  A component whose rows
+    all have a null doc_id keeps one of them.
     """
     found = stored(near_duplicates(docs, shingle, limit), "near-duplicates")
-    keepers = found.filter("doc_id = component_id").select("doc_id").distinct() \
-        .withColumnRenamed("doc_id", fresh(docs.columns, "keeper"))
-    known = docs.join(keepers, F.col("doc_id") == F.col(keepers.columns[0]), "left_semi").dropDuplicates(["doc_id"])
-    # rows without an id are matched by their fingerprint
-    fp = fresh(docs.columns, "fp")
-    lone = found.filter("component_id is null").groupBy("root").agg(F.min("fingerprint").alias(fp)).select(fp)
-
+    low = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fingerprint")).alias("low")
+    keeper, fp, place = (fresh(docs.columns, x) for x in ("keeper", "fp", "place"))
+    keepers = found.groupBy("root").agg(low).select(F.col("low.doc_id").alias(keeper), F.col("low.fingerprint").alias(fp))
+    several = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(keeper))
+    several = stored(several, "repeated-ids")
+    known = docs.join(keepers.join(several, keeper, "left_anti"), F.col("doc_id") == F.col(keeper), "left_semi")
+
+    # rows with a repeated id, or without one, are matched by their fingerprint too
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text", 1 << 20):
             found = pa.array([f"{int(x):016x}" for x in fingerprints(texts_of(b, "text"), shingle)], pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, fp])
 
-    unknown = docs.filter("doc_id is null").mapInArrow(add, StructType([*docs.schema.fields, StructField(fp, StringType())]))
-    unknown = unknown.join(lone, fp, "left_semi").dropDuplicates([fp]).select(docs.columns)
-    return known.unionByName(unknown)
+    rest = docs.join(several, F.col("doc_id") == F.col(keeper), "left_semi").unionAll(docs.filter("doc_id is null"))
+    rest = rest.mapInArrow(add, StructType([*docs.schema.fields, StructField(fp, StringType())]))
+    rest = rest.join(keepers.withColumnRenamed(fp, fp + "_"), F.col("doc_id").eqNullSafe(F.col(keeper)) & (F.col(fp) == F.col(fp + "_")),
+                     "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id", fp).orderBy(F.xxhash64(*docs.columns)))
+    return known.unionByName(rest.withColumn(place, first).filter(F.col(place) == 1).select(docs.columns))

@@ -125,3 +125,13 @@ def test_one_row_of_each_component_stays(odd_documents, no_documents):
 def test_limit_is_what_the_blocks_cover(rows):
     with pytest.raises(ValueError):
         simhash.links(rows([(1,)], "fp long"), limit=4)
+
+
+def test_repeated_ids_lose_no_component(rows):
+    """Ids that stand for different texts: one row stays of each component, and the same at each run."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    data = [(1, a), (1, b), (2, b), (3, c), (1, c), (3, c), (4, "lone text of its own words"), (None, a), (None, "no id at all here now")]
+    docs = rows(data, "doc_id long, text string")
+    kept = [tuple(r) for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (1, c), data[6], data[8]], key=str)
+    assert sorted(map(tuple, simhash.keep_one(docs.repartition(5)).collect()), key=str) == sorted(kept, key=str)
