@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, licenses, maxent, mixing, neighbours, ppm, simhash, suffixes, urls, wavelet
+from quarry.llm import decontaminate, licenses, maxent, mixing, neighbours, ppm, sharding, simhash, suffixes, urls, wavelet
 from quarry.llm.common import table
 
 #: fixed values: the tokenizer file's vocabulary size and the id that ends a document
@@ -59,7 +59,12 @@ def op10_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet, op2_multiprobe, op3_maxent, op4_simhash, op5_suffixes, op6_licenses, op7_url_ratio, op8_pfair, op9_ppm, op10_automaton)}
+def op13_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), 8)
+
+
+QUERIES = {f.__name__: f for f in (op1_wavelet, op2_multiprobe, op3_maxent, op4_simhash, op5_suffixes, op6_licenses, op7_url_ratio, op8_pfair, op9_ppm, op10_automaton,
+                                  op13_kd_shards)}
 
 #: words of the second tokenising rule in DuckDB (A-Z lower-cased; bytes above 0x7F are letters)
 _WORDS_SQL = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
