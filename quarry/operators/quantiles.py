@@ -21,6 +21,26 @@ from quarry.session import materialize
 BINS, FINISH = 4096, 1 << 16
 
 
+def narrowed(inside: DataFrame, by: Sequence[str], bins: int, last: bool) -> DataFrame:
+    """One round: ``by``, need, _lo, _hi, _n, _below of the bin that holds each rank.  ``inside`` has the values ``_k``
+    between the bounds ``_lo`` and ``_hi`` with their weights ``_w``, ``need``, and the weight ``_below`` the lower bound;
+    in the last round every value is a bin of its own."""
+    low, high = F.col("_lo").cast("double"), F.col("_hi").cast("double")
+    if dict(inside.dtypes)["_k"] in ("double", "float"):  # halves, so that the difference stays finite
+        # bounds next to each other have no number between them
+        share = F.when(high / 2 == low / 2, (F.col("_k") > low).cast("double")) \
+            .otherwise((F.col("_k") / 2 - low / 2) / F.nullif(high / 2 - low / 2, F.lit(0.0)))
+    else:
+        share = (F.col("_k") - F.col("_lo")).cast("double") / F.nullif((F.col("_hi") - F.col("_lo")).cast("double"), F.lit(0.0))
+    cell = F.col("_k") if last else F.least(F.floor(F.coalesce(share, F.lit(0.0)) * bins), F.lit(bins - 1))
+    cells = inside.groupBy(*by, "need", "_below", cell.alias("_cell")).agg(
+        F.sum("_w").alias("_w"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*by, "need").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.withColumn("_upto", F.col("_below") + F.sum("_w").over(upto))
+    return cells.where((F.col("_upto") >= F.col("need")) & (F.col("_upto") - F.col("_w") < F.col("need"))) \
+        .withColumn("_below", F.col("_upto") - F.col("_w"))
+
+
 def locate(rows: DataFrame, by: Sequence[str], key: str, weight: Column | None, wanted: DataFrame,
            bins: int = BINS, finish: int = FINISH) -> DataFrame:
     """For each row of ``wanted`` (``by`` columns and ``need``): ``value``, the
@@ -44,20 +64,7 @@ def locate(rows: DataFrame, by: Sequence[str], key: str, weight: Column | None,
     state = materialize(wanted.join(spans, same).withColumn("_below", F.lit(0).cast("long")).select(columns))
     while (most := state.where("_lo < _hi").agg(F.max("_n")).first()[0]) is not None:
         inside = rows.join(state.where("_lo < _hi"), same & F.col("_k").between(F.col("_lo"), F.col("_hi")))
-        low, high = F.col("_lo").cast("double"), F.col("_hi").cast("double")
-        if dict(rows.dtypes)["_k"] in ("double", "float"):  # halves, so that the difference stays finite
-            # bounds next to each other have no number between them
-            share = F.when(high / 2 == low / 2, (F.col("_k") > low).cast("double")) \
-                .otherwise((F.col("_k") / 2 - low / 2) / F.nullif(high / 2 - low / 2, F.lit(0.0)))
-        else:
-            share = (F.col("_k") - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo")).cast("double")
-        cell = F.col("_k") if most <= finish else F.least(F.floor(share * bins), F.lit(bins - 1))
-        cells = inside.groupBy(*mine, "_same", "need", "_below", cell.alias("_cell")).agg(
-            F.sum("_w").alias("_w"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-        upto = Window.partitionBy(*mine, "need").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-        cells = cells.withColumn("_upto", F.col("_below") + F.sum("_w").over(upto))
-        found = cells.where((F.col("_upto") >= F.col("need")) & (F.col("_upto") - F.col("_w") < F.col("need"))) \
-            .withColumn("_below", F.col("_upto") - F.col("_w"))
+        found = narrowed(inside, [*mine, "_same"], bins, most <= finish)
         state = materialize(state.where("_lo = _hi").select(columns).unionByName(found.select(columns)))
     return state.select(*[F.col(m).alias(c) for m, c in zip(mine, names)], "need", F.col("_lo").alias("value"),
                         F.col("_below").alias("below"))

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -6,11 +7,11 @@ import pytest
 from quarry.llm import queries, sharding
 
 
-def plain(nodes, shards, spans, first=0):
-    """The same tree over (place of each dimension, tie, bytes, name) by sorting: name -> shard."""
+def plain(nodes, shards, first=0):
+    """The same tree by sorting: name -> shard.  Nodes have a place along each dimension, tie, bytes and name."""
     if shards == 1 or not nodes:
         return {n["name"]: first for n in nodes}
-    width = {d: (max(n[d] for n in nodes) - min(n[d] for n in nodes)) / (spans[d] or 1) for d in sharding.DIMENSIONS}
+    width = {d: max(n[d] for n in nodes) - min(n[d] for n in nodes) for d in sharding.DIMENSIONS}
     along = max(sharding.DIMENSIONS, key=lambda d: width[d])
     nodes = sorted(nodes, key=lambda n: (n[along], n["tie"]))
     goal, total, half = max(1, -(-sum(n["bytes"] for n in nodes) * (shards // 2) // shards)), 0, shards // 2
@@ -18,7 +19,9 @@ def plain(nodes, shards, spans, first=0):
         total += n["bytes"]
         if total >= goal:
             break
-    return plain(nodes[:i + 1], half, spans, first) | plain(nodes[i + 1:], shards - half, spans, first + half)
+    if i and goal - (total - n["bytes"]) < total - goal:
+        i -= 1
+    return plain(nodes[:i + 1], half, first) | plain(nodes[i + 1:], shards - half, first + half)
 
 
 def check(got, texts, shards):
@@ -32,17 +35,22 @@ def check(got, texts, shards):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(shards))
 
 
-@pytest.mark.parametrize("shards", [1, 3, 8])
-def test_tree_against_sorting(spark, shards):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    rows = sharding._documents(docs).withColumn("row", sharding.F.monotonically_increasing_id())
-    nodes = sharding.units(rows, 1 << 40).groupBy("unit", "size", "part").agg(
-        sharding.F.sum("size").alias("bytes"), sharding.F.min("source").alias("source"), sharding.F.min("lang").alias("lang"),
-        sharding.F.min("doc_id").alias("id")).withColumn("tie", sharding.F.shiftright(sharding.F.xxhash64("unit", "size", "part"), 3))
-    data = [r.asDict() | {"name": (r.unit, r.size)} for r in nodes.collect()]
-    spans = {d: max(n[d] for n in data) - min(n[d] for n in data) for d in sharding.DIMENSIONS}
-    got = {(r.unit, r.size): r.shard for r in sharding.cut(nodes, shards).collect()}
-    assert got == plain(data, shards, spans)
+@pytest.mark.parametrize("shards,bins,finish", [(3, 2, 1), (8, 4096, 1 << 16)])
+def test_tree_against_sorting(spark, monkeypatch, shards, bins, finish):
+    monkeypatch.setattr(sharding, "BINS", bins)
+    monkeypatch.setattr(sharding, "FINISH", finish)
+    rng = random.Random(shards)
+    data = [(i, rng.choice([1, 5, 100, 3000]), rng.randint(0, 2**31 - 1), rng.choice([3, 3, 9, 11]), 7, rng.randint(1, 10**6), i)
+            for i in range(150)]
+    nodes = spark.createDataFrame(data, "unit long, bytes long, tie long, in_source long, in_lang long, in_size long, in_id long")
+    names = ["name", "bytes", "tie", *sharding.DIMENSIONS]
+    want = [dict(zip(names, r)) for r in data]
+    for d in sharding.DIMENSIONS:
+        low, high = min(n[d] for n in want), max(n[d] for n in want)
+        for n in want:
+            n[d] = int((n[d] - low) / max(high - low, 1) * (sharding.STEPS - 1))
+    got = {r.unit: r.shard for r in sharding.cut(nodes, shards).collect()}
+    assert got == plain(want, shards)
 
 
 def test_query(spark):
@@ -71,7 +79,7 @@ def test_hot_unit_is_cut(rows):
     total = defaultdict(int)
     for r in got:
         total[r.shard] += r.size
-    assert max(total.values()) < 1.1 * min(total.values())
+    assert max(total.values()) < 1.05 * min(total.values())
 
 
 def test_odd_documents(odd_documents, no_documents, rows):
