@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, licenses, maxent, mixing, neighbours, ppm, sharding, simhash, suffixes, urls, wavelet
+from quarry.llm import (conversations, decontaminate, licenses, maxent, mixing, negatives, neighbours, ppm, sharding, simhash, suffixes,
+                        urls, wavelet)
 from quarry.llm.common import table
 
 #: fixed values: the tokenizer file's vocabulary size and the id that ends a document
@@ -59,12 +61,21 @@ def op10_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op11_gnat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 50 == 0)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 8)
 
 
 QUERIES = {f.__name__: f for f in (op1_wavelet, op2_multiprobe, op3_maxent, op4_simhash, op5_suffixes, op6_licenses, op7_url_ratio, op8_pfair, op9_ppm, op10_automaton,
-                                  op13_kd_shards)}
+                                  op11_gnat, op12_prefix_trie, op13_kd_shards)}
 
 #: words of the second tokenising rule in DuckDB (A-Z lower-cased; bytes above 0x7F are letters)
 _WORDS_SQL = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -87,4 +98,5 @@ SELECT d.doc_id, cast(len(d.w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hi
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op6_licenses": licenses.oracle(_WORDS_SQL), "op10_automaton": _OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_licenses": licenses.oracle(_WORDS_SQL), "op10_automaton": _OP10_SQL, "op11_gnat": negatives.ORACLE,
+                              "op12_prefix_trie": conversations.ORACLE}
