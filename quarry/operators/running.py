@@ -40,16 +40,17 @@ def _keyed(df: DataFrame, by: Sequence[str], order: Sequence[Column], block: int
 
 
 def running(df: DataFrame, by: Sequence[str], order: Sequence[Column], sums: Mapping[str, Column] | None = None,
-            lasts: Mapping[str, Column] | None = None, block: int = BLOCK) -> DataFrame:
+            lasts: Mapping[str, Column] | None = None, block: int = BLOCK, at: str | None = None) -> DataFrame:
     """``df`` with, per entry of ``sums``, the sum of that column over the rows of
     the same ``by`` up to and with this one, and, per entry of ``lasts``, its last
     value that is not null.  ``by`` may be empty (the whole input); null keys are a
     key.  Rows alike in ``order`` come in an order of their own, each with its own
-    total.
+    total.  ``at``: a column that already numbers the rows by (``by``, order) from 0,
+    as ``numbered`` gives it; then nothing is sorted.
     """
     sums, lasts = dict(sums or {}), dict(lasts or {})
     df = df.select("*", *[c.alias(f"_v_{n}") for n, c in {**sums, **lasts}.items()])
-    rows = _keyed(df, by, order, block)
+    rows = _keyed(df, by, order, block) if at is None else df.withColumns({"_at": F.col(at), "_block": F.floor(F.col(at) / block)})
     upto = Window.partitionBy("_block", *by).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select("*", *[F.sum(f"_v_{n}").over(upto).alias(f"_r_{n}") for n in sums],
                         *[F.last(f"_v_{n}", ignorenulls=True).over(upto).alias(f"_r_{n}") for n in lasts])
