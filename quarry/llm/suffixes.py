@@ -8,12 +8,15 @@ with and sorted by the words that follow; neighbours are compared, and matches
 are extended to the left and to the right until every window of ``least`` words
 that contains the gram and stands elsewhere too is found.
 
-Most suffixes need no sort.  One whose whole context (the words of all those
-windows) stands elsewhere too is extended to both ends at once; this is found by
-counting contexts, with partial counts before the shuffle, so copies in any
-number cost no more.  Only suffixes that share a gram but not the context are
-sorted, one for each context.  A gram with very many contexts is not sorted in
-one task: there, each window's hash is counted.
+Most suffixes need no sort.  Those with equal contexts (the words of all those
+windows) are counted first, with partial counts before the shuffle, so copies in
+any number cost no more than one; a context that stands at several places is
+matched as a whole.  Only suffixes that share a gram but not the context are
+sorted, one for each context, and what is found for it holds for all its copies.  A
+gram with very many contexts is not sorted in one task: there, each window's hash
+is counted.  All ways give the same spans: for each partner (the first document of
+a set of equal windows) the windows shared with it, which all contain the gram and
+so form one stretch.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from quarry.llm.common import ALNUM_BYTES, ship, small_batches, stored, texts_of
 from quarry.llm.decontaminate import remove_spans
 
 LEAST, GRAM = 50, 10
-CROWD = 1 << 14
+CROWD = 1 << 12
 _R = 0x9E3779B97F4A7C15
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -96,11 +99,13 @@ def _slide(x: np.ndarray, width: int, least: bool) -> np.ndarray:
     return best
 
 
-def minimisers(h: np.ndarray, first: np.ndarray, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Places (in all words) of the kept suffixes, and the hash of the gram at each."""
+def minimisers(h: np.ndarray, first: np.ndarray, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Places (in all words) of the kept suffixes, the hash of the gram at each, and how many words before and from
+    there on belong to windows that chose it.  (Other windows with the gram have it only by chance: an equal window
+    elsewhere may not keep it.)"""
     n, width = len(h), least - gram + 1
     if n < least:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     grams = _sums(h, gram, _R) | np.uint64(1)
     low = _slide(grams, width, True)[:n - least + 1]
     # windows that cross from one text to the next do not count
@@ -108,23 +113,20 @@ def minimisers(h: np.ndarray, first: np.ndarray, least: int = LEAST, gram: int =
     low = np.where(text[:n - least + 1] == text[least - 1:], low, np.uint64(0))
     padded = np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)])
     chosen = np.flatnonzero(_slide(padded, width, False)[:n - gram + 1] == grams[:n - gram + 1])
-    return chosen, grams[chosen]
-
-
-def _bounds(places: np.ndarray, first: np.ndarray, least: int, gram: int) -> tuple[np.ndarray, ...]:
-    """The text of each place, and where the windows around it begin and end."""
-    text = np.searchsorted(first, places, side="right") - 1
-    return text, np.maximum(places - (least - gram), first[text]), np.minimum(places + least, first[text + 1])
+    # windows that start 0 .. width - 1 words before it and have no smaller gram; they follow one another
+    own = np.lib.stride_tricks.sliding_window_view(padded, width)[chosen] == grams[chosen, None]
+    before, least_before = width - 1 - own.argmax(axis=1), own[:, ::-1].argmax(axis=1)
+    return chosen, grams[chosen], before, least - least_before
 
 
 def _suffixes(docs: DataFrame, least: int, gram: int) -> DataFrame:
-    """uid, doc_id, gram, context, pos of every kept suffix; and a row for each document, with gram null and pos its words."""
+    """uid, doc_id, row, gram, context, pos, before, after of every kept suffix; and a row for each document, with gram null and pos its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text", 1 << 20):
             h, first = word_hashes(texts_of(b, "text"))
-            places, grams = minimisers(h, first, least, gram)
-            rows = np.arange(b.num_rows)
-            text, low, high = _bounds(places, first, least, gram)
+            places, grams, before, after = minimisers(h, first, least, gram)
+            rows, text = np.arange(b.num_rows), np.searchsorted(first, places, side="right") - 1
+            low, high = places - before, places + after
             sums = _running(h, _R)
             inverse = _powers(pow(_R, -1, 1 << 64), len(h) + 1)
             # the place of the gram in its context is part of the context
@@ -132,12 +134,13 @@ def _suffixes(docs: DataFrame, least: int, gram: int) -> DataFrame:
             who = pa.array(np.concatenate([rows, text]))
             none = pa.nulls(len(rows), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column("uid").take(who), b.column("doc_id").take(who),
+                [b.column("uid").take(who), b.column("doc_id").take(who), b.column("row").take(who),
                  pa.concat_arrays([none, pa.array(grams.view(np.int64))]), pa.concat_arrays([none, pa.array(context.view(np.int64))]),
-                 pa.array(np.concatenate([np.diff(first), places - first[text]]).astype(np.int64))],
-                ["uid", "doc_id", "gram", "context", "pos"])
+                 pa.array(np.concatenate([np.diff(first), places - first[text]]).astype(np.int64)),
+                 *(pa.array(np.concatenate([np.zeros(len(rows)), x]).astype(np.int16)) for x in (before, after))],
+                ["uid", "doc_id", "row", "gram", "context", "pos", "before", "after"])
 
-    return docs.mapInArrow(run, "uid long, doc_id long, gram long, context long, pos long")
+    return docs.mapInArrow(run, "uid long, doc_id long, row long, gram long, context long, pos long, before short, after short")
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, least: int, gram: int) -> DataFrame:
@@ -150,18 +153,18 @@ def _contexts(docs: DataFrame, wanted: DataFrame, least: int, gram: int) -> Data
             who = np.repeat(np.arange(b.num_rows), np.diff(np.asarray(marks.offsets)))
             flat = marks.flatten()
             places = np.asarray(flat.field("pos")) + first[who]
-            _, low, high = _bounds(places, first, least, gram)
+            low, high = places - np.asarray(flat.field("before")), places + np.asarray(flat.field("after"))
             before = [short[a:p][::-1].tobytes() for a, p in zip(low.tolist(), places.tolist())]
             after = [short[p:z].tobytes() for p, z in zip(places.tolist(), high.tolist())]
             take = pa.array(who)
             yield pa.RecordBatch.from_arrays(
                 [b.column("uid").take(take), b.column("doc_id").take(take), flat.field("gram"), flat.field("context"),
-                 flat.field("pos"), flat.field("crowd"), pa.array(before, pa.binary()), pa.array(after, pa.binary())],
-                ["uid", "doc_id", "gram", "context", "pos", "crowd", "before", "after"])
+                 flat.field("pos"), flat.field("crowd"), flat.field("many"), pa.array(before, pa.binary()), pa.array(after, pa.binary())],
+                ["uid", "doc_id", "gram", "context", "pos", "crowd", "many", "before", "after"])
 
-    marks = wanted.groupBy("uid").agg(F.collect_list(F.struct("gram", "context", "pos", "crowd")).alias("marks"))
+    marks = wanted.groupBy("uid").agg(F.collect_list(F.struct("gram", "context", "pos", "before", "after", "crowd", "many")).alias("marks"))
     return docs.join(marks, "uid").select("uid", "doc_id", "text", "marks").mapInArrow(
-        run, "uid long, doc_id long, gram long, context long, pos long, crowd boolean, before binary, after binary")
+        run, "uid long, doc_id long, gram long, context long, pos long, crowd boolean, many boolean, before binary, after binary")
 
 
 def _padded(values: list[bytes], width: int) -> np.ndarray:
@@ -174,60 +177,61 @@ def _padded(values: list[bytes], width: int) -> np.ndarray:
     return out
 
 
-def matches(group: np.ndarray, before: list[bytes], after: list[bytes], doc: np.ndarray, least: int = LEAST, gram: int = GRAM) \
-        -> tuple[np.ndarray, ...]:
-    """For suffixes under their grams (``group``): the longest left and right reach of a
-    match (-1: none), and the smallest ``doc`` among all matches.
+def matches(group: np.ndarray, before: list[bytes], after: list[bytes], doc: np.ndarray, many: np.ndarray, least: int = LEAST,
+            gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(suffix, first, end, partner), places from the suffix's own: for each partner the stretch of its shared windows.
 
-    Suffixes are sorted by the words after them; neighbours that agree in the
-    first least - o words form runs, and within a run the o words before decide.
+    Suffixes under their grams (``group``) are sorted by the words after them;
+    neighbours that agree in the first least - o words form runs, and within a run
+    the o words before decide.  A window's partner is the smallest ``doc`` that has
+    it.  ``many``: the suffix's whole context stands elsewhere too.
     """
     m, reach = len(group), least - gram
     right, left = _padded(after, least), _padded(before, reach)
     order = np.lexsort([right[:, c] for c in range(least - 1, -1, -1)] + [group])
-    group, right, left, doc = group[order], right[order], left[order], doc[order]
+    group, right, left, doc, many = group[order], right[order], left[order], doc[order], many[order]
     differs = right[1:] != right[:-1]
     shared = np.where(differs.any(axis=1), differs.argmax(axis=1), least)
     shared = np.where(group[1:] == group[:-1], shared, -1)
-    widest, narrowest = np.full(m, -1), np.full(m, -1)
-    partner = np.full(m, np.iinfo(np.int64).max)
     lefts = np.zeros(m, np.uint64)
+    seen: list[np.ndarray] = []
     for o in range(reach + 1):
         run = np.concatenate([[0], np.cumsum(shared < least - o)])
         # the window must exist: enough words before and after
         whole = (left[:, o - 1] < 1 << 40 if o else np.ones(m, bool)) & (right[:, least - o - 1] < 1 << 40)
         key = _mix(lefts ^ _mix(run.astype(np.uint64) + np.uint64(_R)))
-        _, where, count = np.unique(key, return_inverse=True, return_counts=True)
-        found = whole & (count[where] > 1)
-        if found.any():
-            least_doc = np.full(len(count), np.iinfo(np.int64).max)
-            np.minimum.at(least_doc, where[found], doc[found])
-            widest[found] = o
-            narrowest[found & (narrowest < 0)] = o
-            partner[found] = np.minimum(partner[found], least_doc[where[found]])
+        rows = np.flatnonzero(whole)
+        _, where, count = np.unique(key[rows], return_inverse=True, return_counts=True)
+        found = many[rows] | (count[where] > 1)
+        least_doc = np.full(len(count), np.iinfo(np.int64).max)
+        np.minimum.at(least_doc, where, doc[rows])
+        rows, where = rows[found], where[found]
+        seen.append(np.stack([order[rows], least_doc[where], np.full(len(rows), o)]))
         if o < reach:
             lefts = _mix(lefts * np.uint64(_R) + left[:, o])
-    back = np.empty(m, np.int64)
-    back[order] = np.arange(m)
-    return widest[back], narrowest[back], partner[back]
+    row, partner, o = np.concatenate(seen, axis=1)
+    by = np.lexsort((o, partner, row))
+    row, partner, o = row[by], partner[by], o[by]
+    new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (partner[1:] != partner[:-1])])) if len(row) else np.zeros(0, np.int64)
+    last = np.append(new[1:], len(row)) - 1 if len(row) else new
+    return row[new], -o[last], least - o[new], partner[new]
 
 
 def _sorted_matches(found: DataFrame, least: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_grams(batches, 1 << 14):
             doc = np.asarray(t.column("doc_id").fill_null(np.iinfo(np.int64).max))
-            wide, narrow, partner = matches(np.asarray(t.column("gram")), t.column("before").to_pylist(),
-                                            t.column("after").to_pylist(), doc, least, gram)
-            pos, hit = np.asarray(t.column("pos")), wide >= 0
-            which = pa.array(np.flatnonzero(hit))
-            yield pa.RecordBatch.from_arrays(
-                [t.column("uid").take(which), pa.array((pos - wide)[hit]), pa.array((pos - narrow + least)[hit]),
-                 pa.array(partner[hit])], ["uid", "first", "end", "partner"])
+            many = np.asarray(t.column("many").cast(pa.int8())).astype(bool)
+            row, first, end, partner = matches(np.asarray(t.column("gram")), t.column("before").to_pylist(),
+                                               t.column("after").to_pylist(), doc, many, least, gram)
+            which = pa.array(row)
+            yield pa.RecordBatch.from_arrays([t.column("gram").take(which), t.column("context").take(which), pa.array(first),
+                                              pa.array(end), pa.array(partner)], ["gram", "context", "first", "end", "partner"])
 
     return found.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, _SPAN)
 
 
-_SPAN = "uid long, first long, end long, partner long"
+_SPAN = "gram long, context long, first long, end long, partner long"
 
 
 def _whole_grams(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -257,72 +261,77 @@ def _counted_matches(found: DataFrame, least: int, gram: int) -> DataFrame:
             for at in range(0, whole.num_rows, 4096):
                 b = whole.slice(at, 4096)
                 starts, hashes, rows = [], [], []
-                for i, (pos, before, after) in enumerate(zip(b.column("pos").to_pylist(), b.column("before").to_pylist(),
-                                                             b.column("after").to_pylist())):
+                for i, (before, after) in enumerate(zip(b.column("before").to_pylist(), b.column("after").to_pylist())):
                     words = np.concatenate([np.frombuffer(before, "<u4")[::-1], np.frombuffer(after, "<u4")]).astype(np.uint64)
                     n = len(words) - least + 1
                     sums = _sums(words + np.uint64(1), least, _R)[:n]
-                    starts.append(pos - len(before) // 4 + np.arange(n))
+                    starts.append(np.arange(n) - len(before) // 4)
                     hashes.append(sums.view(np.int64))
                     rows.append(np.full(n, i))
                 if rows:
                     who = pa.array(np.concatenate(rows))
                     yield pa.RecordBatch.from_arrays(
-                        [b.column("uid").take(who), b.column("doc_id").take(who), b.column("gram").take(who),
+                        [*(b.column(c).take(who) for c in ("doc_id", "gram", "context", "many")),
                          pa.array(np.concatenate(hashes)), pa.array(np.concatenate(starts))],
-                        ["uid", "doc_id", "gram", "window", "first"])
+                        ["doc_id", "gram", "context", "many", "window", "first"])
 
-    windows = found.mapInArrow(run, "uid long, doc_id long, gram long, window long, first long")
+    windows = found.mapInArrow(run, "doc_id long, gram long, context long, many boolean, window long, first long")
     windows = stored(windows, "windows")
-    place = F.struct("uid", "first")  # one place may be seen from several suffixes
-    many = windows.groupBy("gram", "window").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.min("doc_id").alias("partner")) \
-        .filter("low <> high")
-    return windows.join(many, ["gram", "window"]).select(
-        "uid", "first", (F.col("first") + least).alias("end"), F.coalesce("partner", F.lit(2**63 - 1)).alias("partner"))
+    # a window stands at another place, or in a context that does; a gram may stand in it twice, so its place counts
+    shared = windows.groupBy("gram", "first", "window").agg(F.count(F.lit(1)).alias("n"), F.max("many").alias("many_"), F.min("doc_id").alias("partner")) \
+        .where("n > 1 or many_").select("gram", "first", "window", F.coalesce("partner", F.lit(2**63 - 1)).alias("partner"))
+    return windows.join(shared, ["gram", "first", "window"]).groupBy("gram", "context", "partner").agg(
+        F.min("first").alias("first"), (F.max("first") + least).alias("end")).select("gram", "context", "first", "end", "partner")
 
 
 def repeated_passages(docs: DataFrame, least: int = LEAST, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
-    """doc_id, n_words, n_repeated, n_later, spans, later, first_docs of every row.
+    """doc_id, n_words, n_repeated, n_later, spans, later, first_docs, text_key of every row.
 
     A word is repeated if a passage of at least ``least`` words around it stands
     at another place, in the same or another document.  spans: the repeated
     stretches [first, end) in words, ascending.  first_docs: the smallest doc_id
-    of each set of equal passages, ascending; later, n_later: stretches and words
-    of passages that a document with a smaller doc_id has too (of passages that
-    stand in copies of one context, the first copy carries the link to others).
+    that has it of each repeated passage of ``least`` words, ascending; later,
+    n_later: stretches and words of passages that a document with a smaller doc_id
+    has too.  text_key: a hash of doc_id and text, which names the row.  ``crowd``:
+    contexts beyond which a gram's windows are counted, without effect on the result.
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z
     lower-cased.  Defined cases: a null text has no words; rows alike in doc_id
-    and text are one document (the result is repeated); a null doc_id is larger
-    than any other and is not listed; an empty table gives no rows; other
-    columns are not read.
+    and text are one document (the result is repeated), but rows without doc_id
+    are each their own; a null doc_id is larger than any other and is not listed; an
+    empty table gives no rows; other columns are not read.
     """
     if least <= gram:
         raise ValueError("a passage must be longer than a gram")
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("uid", F.xxhash64("doc_id", "text"))
-    every = stored(_suffixes(rows, least, gram), "suffixes")
+    # a number only tells rows without id apart, and is stored with the suffixes
+    every = stored(_suffixes(rows.withColumn("row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))),
+                             least, gram), "suffixes")
     kept = every.filter("gram is not null")
-    low = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "uid", "pos")).alias("low")
-    place = F.xxhash64("uid", "pos")
+    low = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc_id"), "uid", "pos", "before", "after")).alias("low")
+    place = F.xxhash64("uid", "pos", "row")
     contexts = kept.groupBy("gram", "context").agg(low, (F.min(place) != F.max(place)).alias("many"))
     contexts = stored(contexts, "contexts")
-    # contexts that stand elsewhere as a whole
-    many = contexts.filter("many").select("gram", "context", F.col("low.doc_id").alias("partner"))
-    whole = kept.join(many, ["gram", "context"]).select("uid", (F.col("pos") - (least - gram)).alias("first"),
-                                                        (F.col("pos") + least).alias("end"), "partner")
     # one suffix for each context of the grams that have several
-    grams = contexts.groupBy("gram").agg(F.count("*").alias("contexts")).filter("contexts > 1")
-    wanted = contexts.join(grams, "gram").select(F.col("low.uid").alias("uid"), F.col("low.pos").alias("pos"), "gram", "context",
+    grams = contexts.groupBy("gram").agg(F.count("*").alias("contexts"))
+    known = contexts.join(grams, "gram")
+    wanted = known.filter("contexts > 1").select(F.col("low.uid").alias("uid"), F.col("low.pos").alias("pos"), "gram", "context", "many",
+                                                 F.col("low.before").alias("before"), F.col("low.after").alias("after"),
                                                  (F.col("contexts") > crowd).alias("crowd"))
     around = stored(_contexts(rows, wanted, least, gram).dropDuplicates(["gram", "context"]), "around")
     part = _sorted_matches(around.filter("not crowd"), least, gram).unionByName(
         _counted_matches(around.filter("crowd"), least, gram))
+    # the only context of its gram, at several places: all its windows are shared
+    alone = known.filter("contexts = 1 and many").select("gram", "context", (-F.col("low.before")).cast("long").alias("first"),
+                                                         F.col("low.after").cast("long").alias("end"), F.col("low.doc_id").alias("partner"))
     sizes = every.filter("gram is null").select("uid", "doc_id", F.col("pos").alias("n_words"))
-    spans = whole.unionByName(part).groupBy("uid").agg(F.collect_set(F.struct("first", "end", "partner")).alias("found"))
+    own = kept.select("uid", "pos", "gram", "context").join(part.unionByName(alone), ["gram", "context"]).select(
+        "uid", (F.col("pos") + F.col("first")).alias("first"), (F.col("pos") + F.col("end")).alias("end"), "partner")
+    spans = own.groupBy("uid").agg(F.collect_set(F.struct("first", "end", "partner")).alias("found"))
     joined = sizes.join(spans, "uid", "left")
     return joined.mapInArrow(_summed, "doc_id long, n_words long, n_repeated long, n_later long, "
                                       "spans array<struct<first: long, end: long>>, later array<struct<first: long, end: long>>, "
-                                      "first_docs array<long>")
+                                      "first_docs array<long>, text_key long")
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +351,8 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("n_words"), pa.array(out["n_repeated"], pa.int64()), pa.array(out["n_later"], pa.int64()),
-             pa.array(out["spans"], span), pa.array(out["later"], span), pa.array(out["first_docs"], pa.list_(pa.int64()))], ["doc_id", "n_words", *out])
+             pa.array(out["spans"], span), pa.array(out["later"], span), pa.array(out["first_docs"], pa.list_(pa.int64())),
+             b.column("uid")], ["doc_id", "n_words", *out, "text_key"])
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -357,8 +367,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id and text, without the passages (``later``) that a document with a smaller doc_id has too.
-    Rows without an id keep their text."""
-    cuts = found.filter(F.col("doc_id").isNotNull() & (F.size("later") > 0)).select("doc_id", "later").dropDuplicates(["doc_id"])
+    Rows without an id keep their text; of rows that repeat an id each is cut by its own spans."""
+    cuts = found.filter(F.col("doc_id").isNotNull() & (F.size("later") > 0)).select("text_key", "later").dropDuplicates(["text_key"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text", 1 << 20):
@@ -366,5 +376,5 @@ def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:
                      for t, x in zip(b.column("text").to_pylist(), b.column("later").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(cuts, "doc_id", "left")
-    return rows.select("doc_id", "text", "later").mapInArrow(cut, "doc_id long, text string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_key", F.xxhash64("doc_id", "text"))
+    return rows.join(cuts, "text_key", "left").select("doc_id", "text", "later").mapInArrow(cut, "doc_id long, text string")

@@ -1,11 +1,12 @@
 """Token-ID output: one wavelet matrix file per shard.
 
 ``encode_documents`` tokenises whole texts, orders documents by id, and writes
-shards.  A shard file is one zstd-compressed wavelet matrix: bit plane 0 holds
-the highest bit of every token in document order, each further plane the next
-bit after a stable partition by the planes before it.  Rank and select on the
-planes give token access, counting and occurrence lookup without decoding the
-rest.  ``read_documents`` reads the files back.
+shards.  A shard file is one wavelet matrix: bit plane 0 holds the highest bit of
+every token in document order, each further plane the next bit after a stable
+partition by the planes before it.  Planes are compressed in blocks; a directory
+in the file holds the ones before each block and where it lies, so rank and select
+(token access, counting, occurrence lookup) read a block or two a plane and nothing
+else.  ``read_documents`` reads the files back.
 
 Defined cases: a null or empty text has only the end id; null ids sort first
 and stay null; repeated rows are all written, ties of an id in text order; an
@@ -18,30 +19,94 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import shared_dir, ship, small_batches, texts_of
+from quarry.llm.common import shared_dir, ship, small_batches
 
-_MAGIC = b"QWM1"
+_MAGIC = b"QWM2"
+#: words of a block, which is compressed on its own
+BLOCK = 1 << 12
 _HEAD = struct.Struct("<4sIQQQQ")  # magic, planes, tokens, documents, first token in its partition, bytes of the table
 SUFFIX = ".wm"
 
 
+class Plane:
+    """A bit plane in blocks of ``BLOCK`` words (64 bits each, lowest bit first), with the ones before each block.
+
+    ``load`` gives a block's words; blocks are read when asked for, and the last few stay in memory."""
+
+    def __init__(self, n: int, ranks: np.ndarray, load: Callable[[int], np.ndarray], keep: int = 4):
+        self.n, self.ranks, self.load, self.keep = n, ranks, load, keep
+        self.held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    @property
+    def zeros(self) -> int:
+        return self.n - int(self.ranks[-1])
+
+    def _block(self, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """A block's words, and the ones before each of them in the block."""
+        if j not in self.held:
+            words = self.load(j)
+            while len(self.held) >= self.keep:
+                self.held.pop(next(iter(self.held)))
+            self.held[j] = words, np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])
+        return self.held[j]
+
+    def bits(self) -> np.ndarray:
+        words = [self.load(j) for j in range(len(self.ranks) - 1)]
+        return _unpack(np.concatenate(words) if words else np.zeros(0, "<u8"), self.n)
+
+    def ones(self, i: np.ndarray) -> np.ndarray:
+        """Ones before each position."""
+        block, rest = i // (BLOCK * 64), i % (BLOCK * 64)
+        out = self.ranks[np.minimum(block, len(self.ranks) - 1)].copy()
+        for j in np.unique(block[rest > 0]).tolist():
+            some = np.flatnonzero((block == j) & (rest > 0))
+            words, before = self._block(j)
+            word, bit = rest[some] >> 6, (rest[some] & 63).astype(np.uint64)
+            last = np.append(words, np.uint64(0))[word] & ((np.uint64(1) << bit) - np.uint64(1))
+            out[some] += before[word] + np.bitwise_count(last)
+        return out
+
+    def select(self, bit: int, k: np.ndarray) -> np.ndarray:
+        """Positions of the k-th (from 0) ones or zeros: the block from the stored ranks, then the word, then the bit."""
+        size = np.minimum(np.arange(len(self.ranks)) * BLOCK * 64, self.n)
+        counts = self.ranks if bit else size - self.ranks
+        block, out = np.searchsorted(counts, k, side="right") - 1, np.empty(len(k), np.int64)
+        for j in np.unique(block).tolist():
+            some = np.flatnonzero(block == j)
+            words, before = self._block(j)
+            inner = before if bit else np.arange(len(before), dtype=np.int64) * 64 - before
+            rest = k[some] - counts[j]
+            word = np.searchsorted(inner, rest, side="right") - 1
+            rest = (rest - inner[word]).astype(np.int64)
+            value = words[word] if bit else ~words[word]
+            # binary search for the rest-th set bit of each word
+            low, high = np.zeros(len(some), np.int64), np.full(len(some), 63, np.int64)
+            for _ in range(6):
+                mid = (low + high) >> 1
+                upto = np.bitwise_count(value & (~np.uint64(0) >> (np.uint64(63) - mid.astype(np.uint64))))
+                found = upto > rest
+                low, high = np.where(found, low, mid + 1), np.where(found, mid, high)
+            out[some] = (j * BLOCK + word) * 64 + low
+        return out
+
+
 class WaveletMatrix:
-    """Bit planes (packed 64 to a word, lowest bit first) with rank counts per word."""
+    """Bit planes, the highest bit's first."""
 
-    def __init__(self, n: int, planes: list[np.ndarray]):
+    def __init__(self, n: int, planes: list[Plane]):
         self.n, self.planes = n, planes
         self.bits = len(planes)
-        self._ranks: list[np.ndarray] | None = None
 
     @classmethod
     def build(cls, tokens: np.ndarray, bits: int) -> WaveletMatrix:
@@ -51,7 +116,10 @@ class WaveletMatrix:
         planes = []
         for b in range(bits - 1, -1, -1):
             ones = (seq & seq.dtype.type(1 << b)) != 0
-            planes.append(_pack(ones))
+            words = _pack(ones)
+            starts = np.arange(0, len(words), BLOCK)
+            counts = np.add.reduceat(np.bitwise_count(words), starts, dtype=np.int64) if len(words) else np.zeros(0, np.int64)
+            planes.append(Plane(len(seq), np.concatenate([[0], np.cumsum(counts)]), lambda j, w=words: w[j * BLOCK:(j + 1) * BLOCK]))
             seq = np.concatenate([np.compress(~ones, seq), np.compress(ones, seq)])
         return cls(len(seq), planes)
 
@@ -60,7 +128,7 @@ class WaveletMatrix:
         """All tokens, planes undone from the last to the first."""
         seq = np.zeros(self.n, dtype=np.uint16 if self.bits <= 16 else np.uint32)
         for level in range(self.bits - 1, -1, -1):
-            ones = _unpack(self.planes[level], self.n)
+            ones = self.planes[level].bits()
             out = np.empty_like(seq)
             ones, zeros = np.flatnonzero(ones), np.flatnonzero(~ones)
             out[zeros] = seq[:len(zeros)]
@@ -69,32 +137,17 @@ class WaveletMatrix:
         return seq
 
     # rank and select ------------------------------------------------------
-    def _directory(self) -> list[np.ndarray]:
-        if self._ranks is None:
-            self._ranks = [np.concatenate([[0], np.cumsum(np.bitwise_count(p), dtype=np.int64)]) for p in self.planes]
-        return self._ranks
-
-    def _ones(self, level: int, i: np.ndarray) -> np.ndarray:
-        """Ones of a plane before each position."""
-        words = np.append(self.planes[level], np.uint64(0))
-        word, bit = i >> 6, (i & 63).astype(np.uint64)
-        below = words[word] & ((np.uint64(1) << bit) - np.uint64(1))
-        return self._directory()[level][word] + np.bitwise_count(below)
-
-    def _zeros(self, level: int) -> int:
-        return self.n - int(self._directory()[level][-1])
-
     def access(self, i) -> np.ndarray:
         """Tokens at the positions ``i``."""
         at = np.atleast_1d(np.asarray(i, dtype=np.int64))
         if at.size and (at.min() < 0 or at.max() >= self.n):
             raise IndexError("position outside the shard")
         token = np.zeros(len(at), dtype=np.int64)
-        for level in range(self.bits):
-            before = self._ones(level, at)
-            bit = self._ones(level, at + 1) - before
+        for plane in self.planes:
+            before = plane.ones(at)
+            bit = plane.ones(at + 1) - before
             token = (token << 1) | bit
-            at = np.where(bit == 1, self._zeros(level) + before, at - before)
+            at = np.where(bit == 1, plane.zeros + before, at - before)
         return token
 
     def _range(self, token: int, lo: int, hi: int) -> tuple[int, int]:
@@ -102,9 +155,9 @@ class WaveletMatrix:
         if token < 0 or token >> self.bits:
             return 0, 0
         ends = np.array([max(lo, 0), min(hi, self.n)], dtype=np.int64)
-        for level in range(self.bits):
-            before = self._ones(level, ends)
-            ends = self._zeros(level) + before if (token >> (self.bits - 1 - level)) & 1 else ends - before
+        for level, plane in enumerate(self.planes):
+            before = plane.ones(ends)
+            ends = plane.zeros + before if (token >> (self.bits - 1 - level)) & 1 else ends - before
         return int(ends[0]), max(int(ends[0]), int(ends[1]))
 
     def count(self, token: int, lo: int = 0, hi: int | None = None) -> int:
@@ -112,41 +165,22 @@ class WaveletMatrix:
         a, b = self._range(token, lo, self.n if hi is None else hi)
         return b - a
 
-    def occurrences(self, token: int, lo: int = 0, hi: int | None = None) -> np.ndarray:
-        """Positions of a token in [lo, hi), ascending: select through the planes from the last to the first."""
-        a, b = self._range(token, lo, self.n if hi is None else hi)
-        at = np.arange(a, b, dtype=np.int64)
+    def _positions(self, token: int, at: np.ndarray) -> np.ndarray:
+        """From places after the last plane back through all planes."""
         for level in range(self.bits - 1, -1, -1):
-            at = self._select(level, (token >> (self.bits - 1 - level)) & 1, at)
+            bit, plane = (token >> (self.bits - 1 - level)) & 1, self.planes[level]
+            at = plane.select(bit, at - plane.zeros if bit else at)
         return at
 
+    def occurrences(self, token: int, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """Positions of a token in [lo, hi), ascending."""
+        a, b = self._range(token, lo, self.n if hi is None else hi)
+        return self._positions(token, np.arange(a, b, dtype=np.int64))
+
     def select(self, token: int, k: int) -> int:
         """Position of the k-th (from 0) occurrence of a token; -1 if there are fewer."""
         a, b = self._range(token, 0, self.n)
-        if not 0 <= k < b - a:
-            return -1
-        at = np.array([a + k], dtype=np.int64)
-        for level in range(self.bits - 1, -1, -1):
-            at = self._select(level, (token >> (self.bits - 1 - level)) & 1, at)
-        return int(at[0])
-
-    def _select(self, level: int, bit: int, at: np.ndarray) -> np.ndarray:
-        ones = self._directory()[level]
-        k = at - self._zeros(level) if bit else at
-        counts = ones if bit else np.arange(len(ones), dtype=np.int64) * 64 - ones
-        word = np.searchsorted(counts, k, side="right") - 1
-        rest = (k - counts[word]).astype(np.int64)
-        value = self.planes[level][word] if len(word) else np.zeros(0, np.uint64)
-        if not bit:
-            value = ~value
-        # binary search for the rest-th set bit of each word
-        low, high = np.zeros(len(at), np.int64), np.full(len(at), 63, np.int64)
-        for _ in range(6):
-            mid = (low + high) >> 1
-            upto = np.bitwise_count(value & (~np.uint64(0) >> (np.uint64(63) - mid.astype(np.uint64))))
-            found = upto > rest
-            low, high = np.where(found, low, mid + 1), np.where(found, mid, high)
-        return word * 64 + low
+        return int(self._positions(token, np.array([a + k], dtype=np.int64))[0]) if 0 <= k < b - a else -1
 
 
 def _pack(ones: np.ndarray) -> np.ndarray:
@@ -159,42 +193,55 @@ def _unpack(plane: np.ndarray, n: int) -> np.ndarray:
 
 
 def write_shard(tokens: np.ndarray, ends: np.ndarray, ids: list[int | None], first: int, bits: int) -> bytes:
-    """One shard file: header, document table, then the planes, each zstd-compressed."""
+    """One shard file: header, document table, directory of the blocks (ones before and compressed bytes before each), blocks."""
     matrix = WaveletMatrix.build(tokens, bits)
     squeeze = zstandard.ZstdCompressor(level=1).compress
     known = np.array([i is not None for i in ids], dtype=np.uint8)
     table = squeeze(np.array([i or 0 for i in ids], dtype="<i8").tobytes() + np.asarray(ends, dtype="<i8").tobytes()
                     + known.tobytes())
-    planes = [squeeze(p.tobytes()) for p in matrix.planes]
-    return b"".join([_HEAD.pack(_MAGIC, bits, matrix.n, len(ids), first, len(table)), table,
-                     np.array([len(p) for p in planes], dtype="<i8").tobytes(), *planes])
+    blocks = [squeeze(p.load(j).tobytes()) for p in matrix.planes for j in range(len(p.ranks) - 1)]
+    ranks = np.concatenate([p.ranks for p in matrix.planes]).astype("<i8")
+    places = np.concatenate([[0], np.cumsum([len(x) for x in blocks], dtype=np.int64)]).astype("<i8")
+    return b"".join([_HEAD.pack(_MAGIC, bits, matrix.n, len(ids), first, len(table)), table, ranks.tobytes(), places.tobytes(), *blocks])
 
 
-def read_shard(data: bytes) -> tuple[WaveletMatrix, np.ndarray, list[int | None], int]:
-    """The matrix, each document's end, the ids, and the first token's place in the partition."""
-    magic, bits, n, n_docs, first, size = _HEAD.unpack_from(data)
+def open_shard(read: Callable[[int, int], bytes]) -> tuple[WaveletMatrix, np.ndarray, list[int | None], int]:
+    """The matrix, each document's end, the ids, and the first token's place in the partition, from a file of which
+    ``read(offset, size)`` gives a part.  Blocks are read when asked for."""
+    magic, bits, n, n_docs, first, size = _HEAD.unpack(read(0, _HEAD.size))
     if magic != _MAGIC:
         raise ValueError("not a wavelet matrix shard")
-    expand, at = zstandard.ZstdDecompressor().decompress, _HEAD.size
-    table = expand(data[at:at + size])
+    expand = zstandard.ZstdDecompressor().decompress
+    table = expand(read(_HEAD.size, size))
     ids, ends = np.frombuffer(table, "<i8", n_docs), np.frombuffer(table, "<i8", n_docs, 8 * n_docs)
     known = np.frombuffer(table, np.uint8, n_docs, 16 * n_docs)
-    at += size
-    sizes = np.frombuffer(data, "<i8", bits, at)
-    at += 8 * bits
-    planes = []
-    for s in sizes:
-        planes.append(np.frombuffer(expand(data[at:at + s]), "<u8"))
-        at += s
+    count = -(-n // (64 * BLOCK))
+    at, cells = _HEAD.size + size, bits * (count + 1)
+    directory = read(at, 8 * (cells + bits * count + 1))
+    ranks = np.frombuffer(directory, "<i8", cells).reshape(bits, count + 1)
+    places = np.frombuffer(directory, "<i8", bits * count + 1, 8 * cells) + at + len(directory)
+
+    def load(j: int) -> np.ndarray:
+        return np.frombuffer(expand(read(int(places[j]), int(places[j + 1] - places[j]))), "<u8")
+
+    planes = [Plane(n, ranks[level], lambda j, level=level: load(level * count + j)) for level in range(bits)]
     return WaveletMatrix(n, planes), ends, [i if k else None for i, k in zip(ids.tolist(), known.tolist())], first
 
 
+def read_shard(data: bytes) -> tuple[WaveletMatrix, np.ndarray, list[int | None], int]:
+    """``open_shard`` of a file in memory."""
+    return open_shard(lambda at, size: data[at:at + size])
+
+
 class Encoder:
     """A ``tokenizers`` file applied to whole texts.
 
     Its pre-tokenizer never joins text across ASCII white space, so a text's ids
-    are those of its white-space chunks in a row; each distinct chunk is encoded
-    once and remembered (two generations of at most ``keep`` chunks).
+    are those of its white-space chunks in a row.  Arrow splits a batch and finds
+    its distinct chunks; of these, the ones not met before are encoded, many to a
+    call, with one of the tokenizer's own special tokens between them, which it
+    never joins to its neighbours; numpy puts the ids in the texts' order.  At most
+    ``keep`` chunks are remembered.
     """
 
     _made: dict[str, Encoder] = {}
@@ -203,7 +250,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.keep, self.young, self.old = keep, {}, {}
+        self.keep = keep
+        whole = [(i, t.content) for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items())
+                 if t.special and not (t.lstrip or t.rstrip or t.single_word)]
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marker = whole[-1] if whole else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.start = np.zeros(1 << 16, np.int64)  # first id of each remembered chunk, and of the next
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -211,40 +268,64 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        """Ids (uint32, little-endian) of new chunks, encoded many to a call."""
-        out, step = {}, 200
-        groups = [[c.decode() for c in chunks[i:i + step]] for i in range(0, len(chunks), step)]
-        found = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
-        for i, (g, e) in enumerate(zip(groups, found)):
-            starts = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
-            ends = np.cumsum(np.fromiter(map(len, g), np.int64, len(g)) + 1)
-            cuts = (4 * np.searchsorted(starts, ends)).tolist()
-            data, at = np.array(e.ids, dtype="<u4").tobytes(), 0
-            for chunk, cut in zip(chunks[i * step:], cuts):
-                out[chunk] = data[at:cut]
-                at = cut
+    def _found(self, chunks: list[str]) -> list[np.ndarray]:
+        """The ids of each chunk."""
+        step, plain = 200, self.marker is not None
+        odd = {i for i, c in enumerate(chunks) if not plain or any(t in c for t in self.added)}
+        rest = [c for i, c in enumerate(chunks) if i not in odd] if odd else chunks
+        out: list[np.ndarray] = []
+        if rest:
+            number, text = self.marker
+            groups = [text.join(rest[i:i + step]) for i in range(0, len(rest), step)]
+            for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False):
+                ids = np.array(e.ids, dtype=np.uint32)
+                cuts = np.flatnonzero(ids == number)
+                out += [ids[a:z] for a, z in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])]
+        if odd:
+            single = self.tokenizer.encode_batch_fast([chunks[i] for i in sorted(odd)], add_special_tokens=False)
+            known, alone = iter(out), iter(np.array(e.ids, dtype=np.uint32) for e in single)
+            out = [next(alone) if i in odd else next(known) for i in range(len(chunks))]
         return out
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
+    def _slots(self, chunks: list[str]) -> np.ndarray:
+        """Numbers of remembered chunks; new ones are learned."""
+        if len(self.slot) > self.keep:
+            self._forget()
+        get = self.slot.get
+        missing = [c for c in chunks if get(c) is None]
+        if missing:
+            found, first = self._found(missing), len(self.slot)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            more = int(sizes.sum())
+            while self.used + more > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            while first + len(found) >= len(self.start):
+                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.ids[self.used:self.used + more] = np.concatenate(found)
+            self.start[first + 1:first + 1 + len(found)] = self.used + np.cumsum(sizes)
+            self.used += more
+            self.slot.update(zip(missing, range(first, first + len(found))))
+        return np.fromiter(map(get, chunks), np.int64, len(chunks))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and the number of each text's ids."""
+        # a copy without an offset: some of Arrow's text functions do not respect that of a slice
+        texts = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))), "")
         # the tokenizer folds case itself, except in the special tokens, which all hold "<|"
-        split = [(t or b"").split() if b"<|" in (t or b"") else (t or b"").lower().split() for t in texts]
-        young, old = self.young, self.old
-        missing = set().union(*split).difference(young)
-        again = {c: old[c] for c in missing if c in old}
-        young.update(again)
-        missing.difference_update(again)
-        young.update(self._learn(list(missing)))
-        out = [b"".join([young[c] for c in chunks]) for chunks in split]
-        if len(young) > self.keep:
-            self.young, self.old = {}, young
-        return out
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        slots = self._slots(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
+        begin, size = self.start[slots], self.start[slots + 1] - self.start[slots]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.repeat(begin - upto[:-1], size) + np.arange(upto[-1])]
+        offsets = np.asarray(split.offsets)
+        return ids, np.diff(upto[offsets])
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, shard_tokens: int = 1 << 20,
-                     doc_id: str = "doc_id", text: str = "text") -> tuple[str, dict[int, int]]:
-    """Write the shards of ``docs`` to the shared folder.
+                     doc_id: str = "doc_id", text: str = "text", order: Sequence[Column] | None = None) -> tuple[str, dict[int, int]]:
+    """Write the shards of ``docs`` to the shared folder, in the order of the ids or in that of the ``order`` columns.
 
     Returns the folder and, by partition, the tokens before it (one number per
     shuffle partition).  A shard is written under a private name and then moved
@@ -260,12 +341,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: i
         fs, path = pafs.FileSystem.from_uri(folder)
         fs.create_dir(path, recursive=True)
         part, encoder = TaskContext.get().partitionId(), Encoder.of(tokenizer)
-        end = np.array([end_id], dtype="<u4").tobytes()
         ids, pieces, held, first, shard = [], [], 0, 0, 0
 
         def flush():
-            tokens = np.frombuffer(b"".join(pieces), dtype="<u4")
-            ends = np.cumsum([len(p) // 4 for p in pieces])
+            tokens, ends = np.concatenate(pieces), np.cumsum([len(p) for p in pieces])
             name = f"{path}/{part:06d}-{shard:06d}"
             private = f"{name}.{uuid.uuid4().hex}"
             with fs.open_output_stream(private) as f:
@@ -277,10 +356,16 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: i
             return pa.RecordBatch.from_pydict({"part": [part], "n_tokens": [len(tokens)]})
 
         for batch in small_batches(batches, "text", 2 << 20):
-            for i, data in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch, "text"))):
+            found, sizes = encoder.encode(batch.column("text"))
+            ends = np.cumsum(sizes + 1)
+            tokens = np.full(len(found) + len(sizes), end_id, np.uint32)
+            keep = np.ones(len(tokens), bool)
+            keep[ends - 1] = False
+            tokens[keep] = found
+            for i, a, z in zip(batch.column("doc_id").to_pylist(), (ends - sizes - 1).tolist(), ends.tolist()):
                 ids.append(i)
-                pieces.append(data + end)
-                held += len(data) // 4 + 1
+                pieces.append(tokens[a:z])
+                held += z - a
                 if held >= shard_tokens:
                     yield flush()
                     first, shard = first + held, shard + 1
@@ -288,8 +373,13 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: i
         if ids:
             yield flush()
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    keys = [c.alias(f"at{i}") for i, c in enumerate(order or [])]
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *keys)
+    if order:
+        names = [f"at{i}" for i in range(len(keys))]
+        rows = rows.repartitionByRange(*names).sortWithinPartitions(*names, "doc_id", "text").drop(*names)
+    else:
+        rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
     sums = rows.mapInArrow(write, "part long, n_tokens long").groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before, at = {}, 0
     for r in sorted(sums.collect()):  # a row for each shuffle partition
@@ -322,6 +412,32 @@ def read_documents(spark: SparkSession, folder: str, before: dict[int, int]) ->
     return files.select("path", "content").mapInArrow(read, schema)
 
 
-def token_shards(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, shard_tokens: int = 1 << 20) -> DataFrame:
+def token_shards(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, shard_tokens: int = 1 << 20,
+                 order: Sequence[Column] | None = None) -> DataFrame:
     """Write ``docs`` as wavelet shards and return their documents as read back."""
-    return read_documents(docs.sparkSession, *encode_documents(docs, tokenizer, end_id, vocabulary, shard_tokens))
+    return read_documents(docs.sparkSession, *encode_documents(docs, tokenizer, end_id, vocabulary, shard_tokens, order=order))
+
+
+def token_places(spark: SparkSession, folder: str, before: dict[int, int], tokens: Sequence[int]) -> DataFrame:
+    """token, place (in the whole corpus) of every occurrence of the given tokens, read from the shards' blocks
+    that hold them: files are opened, not loaded."""
+    schema = "token long, place long, shard string"
+    if not before:
+        return spark.createDataFrame([], schema)
+    ship(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, _ = pafs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                name = path.rsplit("/", 1)[-1]
+                with fs.open_input_file(pafs.FileSystem.from_uri(f"{folder}/{name}")[1]) as f:
+                    matrix, *_, first = open_shard(lambda at, size: f.read_at(size, at))
+                    for t in tokens:
+                        found = matrix.occurrences(t) + before[int(name.split("-")[0])] + first
+                        for a in range(0, len(found), 1 << 16):
+                            part = found[a:a + (1 << 16)]
+                            yield pa.RecordBatch.from_pydict({"token": np.full(len(part), t, np.int64), "place": part, "shard": [name] * len(part)})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*" + SUFFIX).load(folder)
+    return files.select("path").mapInArrow(run, schema)

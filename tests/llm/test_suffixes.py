@@ -9,40 +9,84 @@ from quarry.llm.common import alnum_words
 
 
 def plain(rows, least):
-    """doc_id, words, and words in windows that stand at two places or more."""
-    places = defaultdict(set)
+    """Of every row by all windows: doc_id, n_words, n_repeated, n_later, spans, later, first_docs."""
+    places, first = defaultdict(set), {}
     split = [alnum_words(t) for _, t in rows]
-    for (d, t), w in zip(rows, split):
+    for n, ((d, t), w) in enumerate(zip(rows, split)):
         for j in range(len(w) - least + 1):
-            places[tuple(w[j:j + least])].add((d, t, j))
+            k = tuple(w[j:j + least])
+            places[k].add((d, t if d is not None else n, j))
+            first[k] = min(first.get(k, 2**63), 2**63 if d is None else d)
     out = []
     for (d, _), w in zip(rows, split):
-        cover = {x for j in range(len(w) - least + 1) if len(places[tuple(w[j:j + least])]) > 1 for x in range(j, j + least)}
-        out.append((d, len(w), len(cover)))
+        shared = [j for j in range(len(w) - least + 1) if len(places[tuple(w[j:j + least])]) > 1]
+        before = [j for j in shared if first[tuple(w[j:j + least])] < (2**63 if d is None else d)]
+        stretches = []
+        for js in (shared, before):
+            cover, spans = sorted({x for j in js for x in range(j, j + least)}), []
+            for x in cover:
+                if spans and spans[-1][1] == x:
+                    spans[-1][1] = x + 1
+                else:
+                    spans.append([x, x + 1])
+            stretches.append((len(cover), tuple(map(tuple, spans))))
+        docs = tuple(sorted({first[tuple(w[j:j + least])] for j in shared} - {2**63}))
+        out.append((d, len(w), stretches[0][0], stretches[1][0], stretches[0][1], stretches[1][1], docs))
     return sorted(out, key=str)
 
 
 def shown(df):
-    return sorted(((r.doc_id, r.n_words, r.n_repeated) for r in df.collect()), key=str)
+    span = lambda x: tuple((s["first"], s["end"]) for s in x)
+    return sorted(((r.doc_id, r.n_words, r.n_repeated, r.n_later, span(r.spans), span(r.later), tuple(r.first_docs)) for r in df.collect()),
+                  key=str)
 
 
-@pytest.mark.parametrize("crowd", [1 << 14, 1])
-def test_against_all_windows(rows, crowd):
-    """Also where every shared gram counts as crowded (``crowd`` = 1)."""
-    rng = random.Random(5)
+def made(n, seed):
+    rng = random.Random(seed)
     letters = ["a", "b", "c"]
     pool = [[rng.choice(letters) for _ in range(rng.randint(5, 30))] for _ in range(6)]
     data = []
-    for d in range(60):
+    for d in range(n):
         w = []
         for _ in range(rng.randint(0, 5)):
             w += rng.choice(pool) if rng.random() < 0.6 else [rng.choice(letters) for _ in range(rng.randint(0, 8))]
         data.append((d, " ".join(w)))
-    data += [(99, None), (3, data[3][1]), (98, ""), (None, data[5][1])]
+    return data + [(99, None), (3, data[3][1]), (98, ""), (None, data[5][1]), (None, data[5][1]), (4, data[6][1])]
+
+
+@pytest.mark.parametrize("crowd", [suffixes.CROWD, 1])
+def test_against_all_windows(rows, crowd):
+    """Also where every shared gram counts as crowded (``crowd`` = 1)."""
+    data = made(60, 5)
     found = suffixes.repeated_passages(rows(data, "doc_id long, text string"), 12, 4, crowd)
     assert shown(found) == plain(data, 12)
 
 
+def test_cuts_take_only_what_stands_earlier(rows):
+    """Rows that repeat an id are cut by their own spans, and every word that goes is in a passage of an earlier document."""
+    data = [(i, t) for i, t in made(60, 8) if i is not None] + [(3, "a b"), (3, None)]
+    docs = rows(data, "doc_id long, text string")
+    kept = sorted(((r.doc_id, len(alnum_words(r.text))) for r in suffixes.without_repeats(docs, suffixes.repeated_passages(docs, 12, 4)).collect()))
+    assert kept == sorted((d, n - later) for d, n, _, later, *_ in plain(data, 12))
+
+
+@pytest.mark.parametrize("crowd", [suffixes.CROWD, 1])
+def test_only_what_an_earlier_document_has_is_later(rows, crowd):
+    words = lambda a, z: " ".join(f"a{i}" for i in range(a, z))
+    docs = rows([(1, words(40, 90)), (5, words(0, 90)), (9, words(0, 90))], "doc_id long, text string")
+    found = suffixes.repeated_passages(docs, crowd=crowd)
+    by = {r.doc_id: r for r in found.collect()}
+    assert (by[5].n_later, by[9].n_later, by[1].n_later) == (50, 90, 0) and by[9].first_docs == [1, 5]
+    kept = {r.doc_id: r.text.split() for r in suffixes.without_repeats(docs, found).collect()}
+    assert kept[5] == words(0, 40).split() and kept[9] == []
+
+
+def test_rows_without_id_are_their_own(rows):
+    text = " ".join(f"w{i}" for i in range(80))
+    found = suffixes.repeated_passages(rows([(None, text), (None, text)], "doc_id long, text string")).collect()
+    assert [(r.n_repeated, r.n_later, r.first_docs) for r in found] == [(80, 0, [])] * 2
+
+
 def test_odd_documents(odd_documents, no_documents):
     rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
     found = suffixes.repeated_passages(odd_documents)
@@ -73,7 +117,7 @@ def test_every_window_has_a_minimiser():
     rng = np.random.default_rng(1)
     texts = [" ".join(f"v{x}" for x in rng.integers(0, 30, n)).encode() for n in (0, 11, 12, 13, 200, 500)]
     h, first = suffixes.word_hashes(texts)
-    places, grams = suffixes.minimisers(h, first, 12, 4)
+    places, grams, before, after = suffixes.minimisers(h, first, 12, 4)
     assert len(set(h.tolist())) == 30
     for a, z in zip(first[:-1].tolist(), first[1:].tolist()):
         for s in range(a, z - 11):
