@@ -22,6 +22,7 @@ from quarry.plans import commerce as C
 from quarry.plans import ratings as R
 from quarry.plans import reports as P
 from quarry.plans import reviews as V
+from quarry.session import materialize
 from quarry.sinks.text import nested_bag_text, ordered
 from quarry.sources.delimited import parse_delimited
 from quarry.sources.ratings_text import JAVA, PYTHON, parse_movies, parse_occupations, parse_ratings, parse_users
@@ -393,9 +394,10 @@ SELECT lang, word, cnt FROM r WHERE rn <= {TOP_K}"""
 
 
 def _labelled(spark, d, sentiment):
-    """Texts with their label: a hash table of the (small) labels is built, so texts are neither sorted nor spilled."""
+    """Texts with their label.  The planner and the measured sizes choose: labels are broadcast while they are small, else both
+    sides are sorted (which spills), after a filter of the labelled ids has reached the scan of the texts."""
     docs = _texts(spark, d, "doc_id", "text", "lang")
-    return docs.join(_label_counts(spark, d, sentiment).hint("shuffle_hash"), "doc_id")
+    return docs.join(_label_counts(spark, d, sentiment), "doc_id")
 
 
 @register("q_top_words_positive", _top_words_sql("WHERE l.quality = 1", "JOIN labels l ON d.doc_id = l.doc_id"))
@@ -715,7 +717,8 @@ SELECT * FROM (SELECT chr(10) || title || chr(9) || 'is the highest rated movie
 """)
 def q_title_stats_lines(spark, d):
     """N1+N2 in the key<TAB>value text form (sorted lines, best title last)."""
-    stats = q_item_rating_stats(spark, d)
+    # a few rows for each title, used twice: the facts are joined once
+    stats = materialize(q_item_rating_stats(spark, d))
     return ordered(P.title_stats_lines(stats, R.best_item(stats, min_count=5)))
 
 
@@ -1072,3 +1075,7 @@ def q_orders_by_year_month_text(spark, d):
     text = F.when(F.pmod("o_orderkey", F.lit(2)) == 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm")) \
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     return C.orders_by_year_month(o.select(F.col("o_orderkey").alias("Order_ID"), text.alias("Order_Purchase_Timestamp")))
+
+
+# the queries of the other catalogue modules register themselves here
+from quarry.plans import catalog_time  # noqa: E402, F401
