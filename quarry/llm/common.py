@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +69,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_order(df: DataFrame) -> list[Column]:
+    """The order in which the rows of a Parquet folder written by Spark were written: the number of the file, then the
+    place in it.  For rows that come from elsewhere, that of the partitions."""
+    try:
+        place = [F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1), F.col("_metadata.row_index")]
+        df.select(*place)
+    except AnalysisException:
+        return [F.monotonically_increasing_id()]
+    # a name without a number, as other writers give them, orders by itself
+    return [F.coalesce(place[0].try_cast("long"), F.lit(-1).cast("long")),
+            F.col("_metadata.file_path"), place[1]]
+
+
 def fresh(columns: Iterable[str], name: str) -> str:
     """A column name that does not clash with ``columns`` (case-insensitive)."""
     taken = {c.lower() for c in columns}

@@ -82,7 +82,8 @@ def _summed(turns: DataFrame, attempt: int) -> DataFrame:
     """conv_id, pos, e1, e2, words, at of every original turn, and for each lane v (its term) and s (the sum with it)."""
     words = F.regexp_count("text", F.lit(SPACE_WORD)).cast("long").alias("words")
     narrow = turns.select("conv_id", "turn", *_reference(attempt), words, "role", F.substring("text", 1, TIE).alias("front"))
-    rows = numbered(narrow, [F.col("conv_id"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("front"), F.col("e1"), F.col("e2")],
+    # written first: sorting by ranges reads its input twice, and whole texts are hashed once
+    rows = numbered(stored(narrow, "references"), [F.col("conv_id"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("front"), F.col("e1"), F.col("e2")],
                     "at").drop("turn", "role", "front")
 
     fields = bases(attempt)

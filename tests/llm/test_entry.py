@@ -1,14 +1,16 @@
-import importlib
+import shutil
 import subprocess
 import sys
 
+import pytest
+
 import __spark_entry__ as E
 from quarry.llm import common, queries
 
 
 def test_every_operator_is_registered():
     names = E.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names and set(queries.ORACLE_SQL) <= set(names)
     assert set(queries.ORACLE_SQL) <= set(E.oracle_sql())
@@ -20,13 +22,19 @@ def test_library_does_not_import_the_subpackage():
     assert out.stdout.strip() == "[]"
 
 
-def test_entry_without_the_subpackage(monkeypatch):
-    find = importlib.util.find_spec
-    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name in ("quarry.llm", "corpus_pipeline") else find(name, *a))
-    spec = find("__spark_entry__")
-    module = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(module)
-    assert not any(q.startswith("op") or q == "pipeline" for q in module.queries()) and module.queries()
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_a_copy_without_the_subpackage(tmp_path, pipeline):
+    """With both folders deleted (and the pipeline there or not) the entry imports and the other tests are collected."""
+    skip = shutil.ignore_patterns("llm", ".git", "__pycache__", *([] if pipeline else ["corpus_pipeline.py"]))
+    shutil.copytree(E._ROOT, tmp_path / "copy", ignore=skip)
+    (tmp_path / "copy" / "quarry" / "llm" / "__pycache__").mkdir(parents=True)  # as a deletion of the sources may leave it
+    code = "import __spark_entry__ as E; q = E.queries(); print(len(q), sum(n.startswith('op') or n == 'pipeline' for n in q), len(E.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, check=True)
+    n, own, sql = map(int, out.stdout.split())
+    assert n > 50 and own == 0 and sql > 50
+    found = subprocess.run([sys.executable, "-m", "pytest", "tests", "--collect-only", "-q", "-p", "no:cacheprovider"], cwd=tmp_path / "copy",
+                           capture_output=True, text=True)
+    assert found.returncode == 0, found.stdout[-2000:]
 
 
 def test_words_follow_the_rules():

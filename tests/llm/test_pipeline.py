@@ -1,3 +1,4 @@
+import itertools
 import zlib
 
 import numpy as np
@@ -29,15 +30,21 @@ def test_run_equals_the_stages_in_plain_python(spark):
     docs = [d for d in docs if low[d["doc_id"]] == d["doc_id"]]
     automaton = decontaminate.Automaton([(str(i), decontaminate.alnum_words(t)) for i, t in enumerate(bench)], 10)
     docs = [d for d in docs if not automaton.find(decontaminate.alnum_words(d["text"]))[0]]
-    copies = [r.doc_id for r in mixing.schedule(frame(docs)).collect()]
+    turns = sorted((r.slot, r.place, r.doc_id) for r in mixing.schedule(frame(docs)).collect())
     tokenizer, text = Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER)), {d["doc_id"]: d["text"] for d in docs}
     want, start = [], 0
-    for i in sorted(copies):
+    for *_, i in turns:
         ids = tokenizer.encode(text[i], add_special_tokens=False).ids + [queries.END_ID]
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
-    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in corpus_pipeline.run(spark, SF).collect())
-    assert got == sorted(want) and len(got) > 100
+    got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in corpus_pipeline.run(spark, SF).collect()]
+    assert sorted(got) == sorted(want) and len(got) > 100
+    # the shards are in the order of the turns: sources alternate
+    order = [i for i, *_ in sorted(got, key=lambda r: r[1])]
+    assert order == [i for *_, i in turns] != sorted(order)
+    source = {d["doc_id"]: d["source"] for d in docs}
+    runs = [len(list(g)) for _, g in itertools.groupby(order, source.get)]
+    assert max(runs) <= 2 * mixing.BLOCK_DOCS and len(set(source.values())) > 10
 
 
 def test_stages_keep_columns_and_meet_odd_rows(spark, odd_documents, no_documents):
