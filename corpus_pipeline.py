@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import decontaminate, mixing, ppm, queries, simhash, wavelet
-from quarry.llm.common import stored, table
+from quarry.llm.common import stored, stored_order, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,13 +31,16 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows in mixed order; small sources come again in further epochs, no row is dropped."""
+    """Rows in mixed order; small sources come again in further epochs, no row is dropped.  Written as Parquet, the rows keep
+    their turns: files are numbered in the order of the partitions, and rows stand in a file as they came."""
     return mixing.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The wavelet shards' documents as read back."""
-    return wavelet.token_shards(docs, public_tokenizers.path(queries.TOKENIZER), queries.END_ID, queries.VOCABULARY)
+    """The wavelet shards' documents as read back; tokens are written in the order of the stored rows, so ``start`` follows the
+    turns of the mixing stage."""
+    return wavelet.token_shards(docs, public_tokenizers.path(queries.TOKENIZER), queries.END_ID, queries.VOCABULARY,
+                                order=stored_order(docs))
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mix", mix),

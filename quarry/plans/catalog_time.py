@@ -3,7 +3,7 @@ running totals, row frames and exact quantiles, with their SQL twins."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.asof import as_of_join
@@ -42,7 +42,10 @@ def q_price_as_of_order(spark: SparkSession, d: str) -> DataFrame:
     return as_of_join(asked, prices, ["l_partkey"], "o_orderdate", "l_shipdate", ["price"], out_time="priced_at")
 
 
-_CENTS = F.round(F.col("l_extendedprice") * 100).cast("long")
+def _cents(price: str) -> Column:
+    return F.round(F.col(price) * 100).cast("long").alias("cents")
+
+
 _CENTS_SQL = "cast(round(l_extendedprice * 100) AS bigint)"
 
 
@@ -53,7 +56,7 @@ SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, cents, place, cast(sum(c
 """)
 def q_running_revenue(spark: SparkSession, d: str) -> DataFrame:
     """Revenue up to and with each line, over the whole table in the order of shipment."""
-    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", _CENTS.alias("cents"))
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", _cents("l_extendedprice"))
     order = [F.col("l_shipdate").asc_nulls_first(), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey"), F.col("cents")]
     return running(lines, [], order, {"place": F.lit(1), "revenue": F.col("cents")})
 
@@ -67,7 +70,7 @@ FROM o WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderke
 """)
 def q_priority_running_totals(spark: SparkSession, d: str) -> DataFrame:
     """Per priority (five large groups): running revenue and count, and the last large order so far."""
-    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", _cents("o_totalprice"))
     out = running(orders, ["o_orderpriority"], [F.col("o_orderdate"), F.col("o_orderkey")], {"revenue": F.col("cents"), "n": F.lit(1)},
                   {"last_large": F.when(F.col("cents") > 20_000_000, F.col("o_orderkey"))})
     return out.drop("cents")
@@ -82,7 +85,7 @@ FROM o WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
 """)
 def q_order_neighbours(spark: SparkSession, d: str) -> DataFrame:
     """Per customer: the day of the order before, the next order, and the sum of the last three."""
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", _cents("o_totalprice"))
     out = row_frames(orders, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")],
                      {"previous_date": (F.max("o_orderdate"), -1, -1), "next_order": (F.max("o_orderkey"), 1, 1),
                       "last_three": (F.sum("cents"), -2, 0)})
@@ -124,7 +127,7 @@ def q_deliveries_in_promotions(spark: SparkSession, d: str) -> DataFrame:
     offset = F.col("p_partkey") % 2000
     promo = part.select(F.col("p_partkey").alias("promo_id"), F.col("p_brand").alias("brand"), (first + day(offset)).alias("starts"),
                         (first + day(offset + F.col("p_size"))).alias("ends"))
-    lines = table(spark, d, "lineitem").select("l_partkey", "l_shipdate", "l_linenumber", _CENTS.alias("cents")).join(
+    lines = table(spark, d, "lineitem").select("l_partkey", "l_shipdate", "l_linenumber", _cents("l_extendedprice")).join(
         part.select("p_partkey", F.col("p_brand").alias("brand")), F.col("l_partkey") == F.col("p_partkey"))
     lines = lines.select("brand", F.col("l_shipdate").cast("timestamp_ntz").alias("starts"),
                          (F.col("l_shipdate").cast("timestamp_ntz") + day(F.col("l_linenumber"))).alias("ends"), "cents")
