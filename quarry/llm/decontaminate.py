@@ -7,24 +7,26 @@ words, or ends a whole shorter item, the matched words are hit, and the state
 names the items that hold the window.
 
 A benchmark of any size is processed: items are dealt into automata of a bounded
-number of words, of which one at a time is broadcast, and the findings of the
-passes are merged by document.
+number of words (an item longer than that in overlapping pieces, so that each of
+its windows lies in one), which are built one at a time and written to the shared
+folder.  Texts are read and split into words once; a task then has one automaton
+after the other in memory and merges what they find in a text.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
-from collections.abc import Callable, Iterator
-from functools import reduce
-from itertools import chain, islice
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import RAW_ALNUM_WORD, alnum_words, fresh, ship, small_batches, texts_of
+from quarry.llm.common import RAW_ALNUM_WORD, alnum_words, shared_dir, ship, small_batches, stored, texts_of
 
 WINDOW = 10
 #: words in one automaton (about two states a word)
@@ -148,15 +150,78 @@ class _Missing:
 _NONE = _Missing()
 
 
-def _automata(benchmark: DataFrame, window: int, block_words: int) -> Iterator[Automaton]:
-    """One automaton for each block of items; a block is collected on its own."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")) \
-        .filter(F.col("text").isNotNull()).withColumn("n", F.regexp_count("text", F.lit(RAW_ALNUM_WORD)))
+def _items(benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
+    """item, text and n (words) of all items; long ones as pieces of ``block_words`` words that overlap by a window."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, "text", 1 << 20):
+            for item, text in zip(b.column("item").to_pylist(), texts_of(b, "text")):
+                words = alnum_words(text)
+                starts = range(0, max(1, len(words) - window + 1), block_words)
+                parts = [words[i:i + block_words + window - 1] for i in starts] if len(words) > block_words else [words]
+                yield pa.RecordBatch.from_pydict({
+                    "item": pa.array([item] * len(parts), pa.string()), "text": [b" ".join(p).decode() for p in parts],
+                    "n": pa.array(map(len, parts), pa.int64())})
+
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    return rows.filter(F.col("text").isNotNull()).mapInArrow(run, "item string, text string, n long")
+
+
+def _automata(benchmark: DataFrame, window: int, block_words: int) -> list[str]:
+    """The files of the automata in the shared folder, one for each block of items; a block is collected on its own."""
+    spark = benchmark.sparkSession
+    items = stored(_items(benchmark, window, block_words), "items")
     total = items.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(total / block_words))
+    folder = shared_dir(spark, "automata")
+    fs, path = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(path, recursive=True)
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        yield Automaton([(r.item, alnum_words(r.text)) for r in own.select("item", "text").collect()], window)
+        automaton = Automaton([(r.item, alnum_words(r.text)) for r in own.select("item", "text").collect()], window)
+        with fs.open_output_stream(f"{path}/{block}") as f:
+            f.write(pickle.dumps(automaton, protocol=5))
+    return [f"{folder}/{block}" for block in range(blocks)]
+
+
+_LOADED: dict[str, Automaton] = {}
+
+
+def _loaded(file: str) -> Automaton:
+    """An automaton from its file; a worker keeps the last one."""
+    if file not in _LOADED:
+        _LOADED.clear()
+        fs, path = pafs.FileSystem.from_uri(file)
+        with fs.open_input_stream(path) as f:
+            _LOADED[file] = pickle.loads(f.read())
+    return _LOADED[file]
+
+
+def _find(files: list[str], texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[str | None]]]:
+    """Merged hit spans and items of each text's words, by all automata."""
+    out: list[tuple[list[tuple[int, int]], set[str | None]]] = [([], set()) for _ in texts]
+    # from the one in memory on, so that each is loaded once a batch at most
+    for file in sorted(files, key=lambda f: f not in _LOADED):
+        automaton = _loaded(file)
+        for i, words in enumerate(texts):
+            spans, names = automaton.find(words)
+            if spans:
+                out[i] = _merged(out[i][0] + spans) if out[i][0] else spans, out[i][1] | names
+    return out
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, z in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], z)
+        else:
+            out.append((a, z))
+    return out
+
+
+def _size(files: list[str]) -> int:
+    """Bytes of text held at a time: more if automata have to be loaded for them."""
+    return (4 if len(files) == 1 else 16) << 20
 
 
 def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -168,59 +233,23 @@ def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
     not read.
     """
     ship(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    passes = [_scan(rows, automaton) for automaton in _automata(benchmark, window, block_words)]
-    if len(passes) == 1:
-        return passes[0].drop("text_hash")
-    some = _merge(passes)
-    every = passes[0].select("doc_id", "n_words", "text_hash")
-    none = F.expr("cast(array() as array<struct<first: int, end: int>>)")
-    return every.join(some, every.doc_id.eqNullSafe(some.id) & (every.text_hash == some.hash), "left").select(
-        "doc_id", "n_words", F.coalesce("spans", none).alias("spans"),
-        F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"))
-
-
-def _merge(passes: list[DataFrame]) -> DataFrame:
-    """id, hash, spans and items of the rows with a hit, the spans of all passes merged.
-    Rows alike in id and text have the same findings, so these name a row."""
-    some = reduce(DataFrame.unionByName, [p.filter(F.size("spans") > 0) for p in passes])
-    some = some.distinct().groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    merged = F.aggregate("spans", F.expr("cast(array() as array<struct<first: int, end: int>>)"), _join_spans)
-    return some.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), merged.alias("spans"), "items")
-
-
-def _join_spans(done, span):
-    """Add a span that starts no earlier than those before it."""
-    last = F.element_at(done, -1)
-    touches = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= span["first"])
-    grown = F.struct(last["first"].alias("first"), F.greatest(last["end"], span["end"]).alias("end"))
-    return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown))) \
-        .otherwise(F.concat(done, F.array(span)))
-
-
-_FOUND = "doc_id long, text_hash long, n_words long, spans array<struct<first: int, end: int>>, items array<string>"
-_SPAN = pa.struct([("first", pa.int32()), ("end", pa.int32())])
-
-
-def _scan(rows: DataFrame, automaton: Automaton) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(automaton)
+    files = _automata(benchmark, window, block_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, "text", 4 << 20):
-            sizes, spans, items = [], [], []
-            for text in texts_of(b, "text"):
-                words = alnum_words(text)
-                found, names = shared.value.find(words)
-                sizes.append(len(words))
-                spans.append([{"first": a, "end": e} for a, e in found])
-                items.append(sorted(n for n in names if n is not None))
+        for b in small_batches(batches, "text", _size(files)):
+            texts = [alnum_words(t) for t in texts_of(b, "text")]
+            found = _find(files, texts)
+            spans = [[{"first": a, "end": e} for a, e in s] for s, _ in found]
+            items = [sorted(n for n in names if n is not None) for _, names in found]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(_SPAN)),
-                 pa.array(items, pa.list_(pa.string()))], ["doc_id", "text_hash", "n_words", "spans", "items"])
+                [b.column("doc_id"), pa.array(map(len, texts), pa.int64()), pa.array(spans, pa.list_(_SPAN)),
+                 pa.array(items, pa.list_(pa.string()))], ["doc_id", "n_words", "spans", "items"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, n_words long, spans array<struct<first: int, end: int>>, items array<string>")
 
-    return rows.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, _FOUND)
+
+_SPAN = pa.struct([("first", pa.int32()), ("end", pa.int32())])
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -252,45 +281,17 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cover
     with a match goes.  Rows without a match keep their text as it is.
     """
     ship(docs.sparkSession)
-    spark = docs.sparkSession
-    automata = list(islice(blocks := _automata(benchmark, window, block_words), 2))
-    if len(automata) == 1:
-        return docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(automata[0]), max_coverage), docs.schema)
-    # a row is judged and cut once, by the merged spans of all automata
-    doc_id = F.col("doc_id").cast("long")
-    rows = docs.select(doc_id.alias("doc_id"), "text")
-    spans = fresh(docs.columns, "_spans")
-    found = _merge([_scan(rows, automaton) for automaton in chain(automata, blocks)]).drop("items")
-    id_, hash_ = fresh(docs.columns, "_id"), fresh(docs.columns, "_hash")
-    found = found.withColumnsRenamed({"id": id_, "hash": hash_, "spans": spans})
-    joined = docs.join(found, doc_id.eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_)), "left")
-    return joined.select(*docs.columns, spans).mapInArrow(_cutter(spans, max_coverage), docs.schema)
-
-
-def _cleaner(shared, max_coverage: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, "text", 1 << 20):
-            yield _cut(b, lambda i, words: shared.value.find(words)[0], max_coverage)
+    files = _automata(benchmark, window, block_words)
 
-    return run
-
-
-def _cutter(column: str, max_coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, "text", 1 << 20):
-            found = [[(s["first"], s["end"]) for s in x or []] for x in b.column(column).to_pylist()]
-            yield _cut(b.drop_columns([column]), lambda i, words, found=found: found[i], max_coverage)
-
-    return run
-
-
-def _cut(b: pa.RecordBatch, spans_of: Callable, max_coverage: float) -> pa.RecordBatch:
-    """The batch without the spans of its texts and without the rows whose coverage is over the limit."""
-    texts, kept, at = b.column("text").to_pylist(), [], b.schema.get_field_index("text")
-    for i, t in enumerate(texts):
-        words = alnum_words(t)
-        spans = spans_of(i, words)
-        kept.append(sum(e - a for a, e in spans) <= max_coverage * len(words))
-        if spans and kept[-1]:
-            texts[i] = remove_spans(t, spans)
-    return b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).filter(pa.array(kept, pa.bool_()))
+        for b in small_batches(batches, "text", _size(files) // 4):
+            texts, kept, at = b.column("text").to_pylist(), [], b.schema.get_field_index("text")
+            words = [alnum_words(t) for t in texts]
+            for i, (spans, _) in enumerate(_find(files, words)):
+                kept.append(sum(e - a for a, e in spans) <= max_coverage * len(words[i]))
+                if spans and kept[-1]:
+                    texts[i] = remove_spans(texts[i], spans)
+            column = pa.array(texts, b.schema.field(at).type)
+            yield b.set_column(at, b.schema.field(at), column).filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -36,18 +36,6 @@ BUCKETS = 4_096
 _TURN = ("slot", "place", "block", "epoch")
 
 
-def shares(weights: list[float], frame: int) -> list[int]:
-    """Whole slots of a frame for each weight: largest remainders, one slot at least."""
-    if len(weights) > frame:
-        raise ValueError(f"{len(weights)} sources need a frame of as many slots")
-    total, spare = math.fsum(weights), frame - len(weights)
-    exact = [spare * w / total for w in weights]
-    out = [int(x) for x in exact]
-    for i in sorted(range(len(out)), key=lambda i: (out[i] - exact[i], i))[:spare - sum(out)]:
-        out[i] += 1
-    return [x + 1 for x in out]
-
-
 def whole(weights: list[float]) -> list[int]:
     """Whole numbers in exactly the proportions of the weights."""
     exact = [Fraction(w) for w in weights]
@@ -74,14 +62,6 @@ def deal(weights: list[int], need: list[int]) -> Iterator[int]:
         t += 1
 
 
-def frame_slots(slots: list[int]) -> list[list[int]]:
-    """For each source, the slots of its blocks in a frame of ``sum(slots)`` slots."""
-    out: list[list[int]] = [[] for _ in slots]
-    for t, i in enumerate(deal(slots, slots)):
-        out[i].append(t)
-    return out
-
-
 def schedule(docs: DataFrame, weights: dict | None = None, exponent: float = 0.7, block_docs: int = BLOCK_DOCS,
              frame: int = FRAME, source: str = "source") -> DataFrame:
     """The rows of ``docs`` with slot, place, block and epoch (long).

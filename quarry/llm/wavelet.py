@@ -16,10 +16,12 @@ input are not read.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -249,6 +251,7 @@ class Encoder:
     def __init__(self, path: str, keep: int = 600_000):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; waiting threads would take others'
         self.tokenizer = Tokenizer.from_file(path)
         self.keep = keep
         whole = [(i, t.content) for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items())
@@ -258,9 +261,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start = np.zeros(1 << 16, np.int64)  # first id of each remembered chunk, and of the next
+        self.known = pa.array([], pa.string())
+        self.ids, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # and where each chunk's ids begin
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -268,54 +270,49 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def _found(self, chunks: list[str]) -> list[np.ndarray]:
-        """The ids of each chunk."""
-        step, plain = 200, self.marker is not None
-        odd = {i for i, c in enumerate(chunks) if not plain or any(t in c for t in self.added)}
-        rest = [c for i, c in enumerate(chunks) if i not in odd] if odd else chunks
-        out: list[np.ndarray] = []
-        if rest:
-            number, text = self.marker
-            groups = [text.join(rest[i:i + step]) for i in range(0, len(rest), step)]
-            for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False):
-                ids = np.array(e.ids, dtype=np.uint32)
-                cuts = np.flatnonzero(ids == number)
-                out += [ids[a:z] for a, z in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])]
-        if odd:
-            single = self.tokenizer.encode_batch_fast([chunks[i] for i in sorted(odd)], add_special_tokens=False)
-            known, alone = iter(out), iter(np.array(e.ids, dtype=np.uint32) for e in single)
-            out = [next(alone) if i in odd else next(known) for i in range(len(chunks))]
-        return out
-
-    def _slots(self, chunks: list[str]) -> np.ndarray:
+    def _found(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks in a row, and how many each has."""
+        encode = self.tokenizer.encode_batch_fast
+        if self.marker is None:
+            found = [e.ids for e in encode(chunks, add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+        number, text = self.marker
+        groups = [text.join(chunks[i:i + 200]) + text for i in range(0, len(chunks), 200)]
+        every = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in encode(groups, add_special_tokens=False))])
+        marks = np.flatnonzero(every == number)
+        return every[every != number], np.diff(np.concatenate([[-1], marks])) - 1
+
+    def _slots(self, chunks: pa.Array) -> np.ndarray:
         """Numbers of remembered chunks; new ones are learned."""
-        if len(self.slot) > self.keep:
+        if len(self.known) > self.keep:
             self._forget()
-        get = self.slot.get
-        missing = [c for c in chunks if get(c) is None]
-        if missing:
-            found, first = self._found(missing), len(self.slot)
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            more = int(sizes.sum())
-            while self.used + more > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            while first + len(found) >= len(self.start):
-                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.ids[self.used:self.used + more] = np.concatenate(found)
-            self.start[first + 1:first + 1 + len(found)] = self.used + np.cumsum(sizes)
-            self.used += more
-            self.slot.update(zip(missing, range(first, first + len(found))))
-        return np.fromiter(map(get, chunks), np.int64, len(chunks))
+        slots = pc.index_in(chunks, value_set=self.known)
+        if not slots.null_count:
+            return np.asarray(slots)
+        new = chunks.filter(pc.is_null(slots))
+        # chunks that hold one of the tokenizer's added tokens are encoded on their own
+        odd = reduce(pc.or_, [pc.match_substring(new, t) for t in self.added], pa.array(np.zeros(len(new), bool)))
+        new = pa.concat_arrays([new.filter(pc.invert(odd)), new.filter(odd)])
+        plain = len(new) - pc.sum(odd).as_py()
+        ids, sizes = self._found(new.slice(0, plain).to_pylist())
+        if plain < len(new):
+            single = [e.ids for e in self.tokenizer.encode_batch_fast(new.slice(plain).to_pylist(), add_special_tokens=False)]
+            ids = np.concatenate([ids, np.array([i for x in single for i in x], np.uint32)])
+            sizes = np.concatenate([sizes, [len(x) for x in single]])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.known = pa.concat_arrays([self.known, new])
+        return np.asarray(pc.index_in(chunks, value_set=self.known))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the number of each text's ids."""
         # a copy without an offset: some of Arrow's text functions do not respect that of a slice
-        texts = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))), "")
+        texts = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))), "").cast(pa.string())
         # the tokenizer folds case itself, except in the special tokens, which all hold "<|"
         texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        slots = self._slots(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
+        slots = self._slots(coded.dictionary)[np.asarray(coded.indices)]
         begin, size = self.start[slots], self.start[slots + 1] - self.start[slots]
         upto = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(begin - upto[:-1], size) + np.arange(upto[-1])]

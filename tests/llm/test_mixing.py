@@ -7,23 +7,16 @@ import pytest
 from quarry.llm import mixing, queries
 
 
-def test_less_than_one_block_from_every_weight():
+def test_releases_deadlines_and_distance():
     rng = random.Random(0)
     for _ in range(200):
-        n = rng.randint(1, 12)
-        frame = rng.randint(n, 200)
-        slots = mixing.shares([rng.random() ** 3 + 1e-4 for _ in range(n)], frame)
-        assert sum(slots) == frame and min(slots) >= 1
-        at = mixing.frame_slots(slots)
-        owner = {t: i for i, a in enumerate(at) for t in a}
-        assert sorted(owner) == list(range(frame))
-        for g, a in zip(slots, at):
-            for j, t in enumerate(a):
-                assert j * frame // g <= t < -(-(j + 1) * frame // g)  # release and deadline
-        had = Counter()
-        for t in range(frame):
-            had[owner[t]] += 1
-            assert all(abs(had[i] * frame - slots[i] * (t + 1)) < frame for i in range(n))
+        weights = mixing.whole([rng.random() ** 3 + 1e-4 for _ in range(rng.randint(1, 12))])
+        total, had = sum(weights), [0] * len(weights)
+        for t, i in enumerate(itertools.islice(mixing.deal(weights, [10 ** 9] * len(weights)), 200)):
+            j, w = had[i], weights[i]
+            assert j * total // w <= t < -(-(j + 1) * total // w)  # release and deadline of its j-th block
+            had[i] += 1
+            assert all(abs(n * total - w * (t + 1)) < total for n, w in zip(had, weights))
 
 
 def by_slot(df):
@@ -33,8 +26,8 @@ def by_slot(df):
     return out
 
 
-def check(rows, sizes, block, weights, frame):
-    """Whole schedule: each slot is one block of one source, every document comes, shares hold at each slot."""
+def check(rows, sizes, block, weights):
+    """Whole schedule: each slot is one block of one source, every document comes, no source is a block away from its share."""
     total = sum(weights.values())
     assert sorted(rows) == list(range(len(rows)))
     had = Counter()
@@ -43,7 +36,7 @@ def check(rows, sizes, block, weights, frame):
         assert sorted(r.place for r in rows[t]) == list(range(len(rows[t]))) and len(rows[t]) <= block
         had[rows[t][0].source] += 1
         for s, w in weights.items():
-            assert abs(had[s] - (t + 1) * w / total) < 1 + len(weights) * (t + 1) / frame
+            assert abs(had[s] - (t + 1) * w / total) < 1 + 1e-9
     blocks = {s: -(-n // block) for s, n in sizes.items()}
     assert all(had[s] >= blocks[s] for s in sizes) and any(had[s] == blocks[s] for s in sizes)
 
@@ -54,7 +47,7 @@ def test_small_schedule(rows, frame):
     data = [(i, "big") for i in range(400)] + [(i, "mid") for i in range(400, 460)] + [(i, None) for i in range(460, 467)]
     weights = {"big": 0.5, "mid": 0.3, None: 0.2}
     df = mixing.schedule(rows(data, "doc_id long, source string"), weights, block_docs=4, frame=frame)
-    check(by_slot(df), Counter(s for _, s in data), 4, weights, frame)
+    check(by_slot(df), Counter(s for _, s in data), 4, weights)
     per_doc = Counter(r.doc_id for r in df.collect())
     assert set(per_doc) == {i for i, _ in data} and set(Counter(per_doc[i] for i, s in data if s == "big")) == {1}
     with pytest.raises(ValueError):
@@ -78,7 +71,7 @@ def test_query(spark):
     docs = {r.doc_id: r.source for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source").collect()}
     found = by_slot(queries.op8_pfair(spark, sf))
     sizes = Counter(docs.values())
-    check(found, sizes, mixing.BLOCK_DOCS, {s: n ** 0.7 for s, n in sizes.items()}, mixing.FRAME)
+    check(found, sizes, mixing.BLOCK_DOCS, {s: n ** 0.7 for s, n in sizes.items()})
     assert {r.doc_id for rows in found.values() for r in rows} == set(docs)
 
 
@@ -117,7 +110,7 @@ def test_schedule_of_many_frames_follows_the_exact_weights(rows):
     assert sorted(found) == list(range(len(found))) and len(found) > 2_000
     turns = [names.index(found[t][0].source) for t in range(len(found))]
     assert far(turns, weights) < 1
-    check(found, sizes, mixing.BLOCK_DOCS, {s: n ** 0.7 for s, n in sizes.items()}, 10 ** 9)
+    check(found, sizes, mixing.BLOCK_DOCS, {s: n ** 0.7 for s, n in sizes.items()})
 
 
 def test_more_sources_than_a_frame_has_turns(rows):
