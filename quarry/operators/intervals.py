@@ -20,6 +20,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import grid_join
+from quarry.session import materialize
+
 #: rows of one side of a bin beyond which it is split
 DENSE = 200_000
 
@@ -71,26 +74,14 @@ def overlap_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str],
     kinds = {str(df.schema[c].dataType) for df, span in ((left, left_span), (right, right_span)) for c in span}
     if len(kinds) > 1 and not all("Long" in k or "Int" in k or "Short" in k or "Byte" in k for k in kinds):
         raise TypeError(f"bounds of different kinds: {sorted(kinds)}")
-    a, b = _placed(left, left_span, on, "l"), _placed(right, right_span, on, "r")
+    # written once, as widths, bins and the join read them; a number tells equal rows apart when a bin is split
+    a, b = (materialize(_placed(df, span, on, side).withColumn(f"_n{side}", F.monotonically_increasing_id()))
+            for df, span, side in ((left, left_span, "l"), (right, right_span, "r")))
     # the widths in use, 32 a side at most
     used = {side: sorted(r[0] for r in rows.select(f"_w{side}").distinct().collect()) for side, rows in (("l", a), ("r", b))}
     a, b = _copied(a, "l", used["r"]), _copied(b, "r", used["l"])
     spot = [*[f"_k{i}" for i in range(len(on))], "_w", "_bin"]
-    sizes = a.groupBy(*spot).agg(F.count(F.lit(1)).alias("_nl"), F.lit(0).cast("long").alias("_nr")).unionByName(
-        b.groupBy(*spot).agg(F.lit(0).cast("long").alias("_nl"), F.count(F.lit(1)).alias("_nr")))
-    crowded = sizes.groupBy(*spot).agg(F.max("_nl").alias("_nl"), F.max("_nr").alias("_nr")).where(
-        (F.greatest("_nl", "_nr") > dense) & (F.least("_nl", "_nr") > 0))
-    grid = crowded.select(*spot, *[F.greatest(F.ceil(F.col(n) / dense), F.lit(1)).cast("int").alias(c)
-                                   for n, c in (("_nl", "_cl"), ("_nr", "_cr"))])
-
-    def dealt(rows: DataFrame, side: str, own: str, other: str) -> DataFrame:
-        """The row's own chunk, and all chunks of the other side."""
-        chunks = rows.join(grid, spot, "left")
-        mine = F.pmod(F.xxhash64(f"_s{side}", f"_e{side}", f"_{side}", F.monotonically_increasing_id()), F.coalesce(f"_c{own}", F.lit(1)))
-        others = F.explode(F.sequence(F.lit(0), F.coalesce(f"_c{other}", F.lit(1)) - 1))
-        return chunks.withColumn(f"_i{own}", mine.cast("int")).withColumn(f"_i{other}", others).drop("_cl", "_cr")
-
-    pairs = dealt(a, "l", "l", "r").join(dealt(b, "r", "r", "l"), [*spot, "_il", "_ir"])
+    pairs = grid_join(a, b, spot, dense)
     here = (F.greatest("_wl", "_wr") == F.col("_w")) & (F.expr("shiftright(greatest(_sl, _sr), _w)") == F.col("_bin"))
     return pairs.where(here & (F.col("_sl") < F.col("_er")) & (F.col("_sr") < F.col("_el"))).select(
         F.col("_l").alias("left"), F.col("_r").alias("right"))

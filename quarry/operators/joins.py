@@ -70,3 +70,32 @@ def anti_join_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
     word never matches, so it is kept (left-outer-join + IS NULL semantics)."""
     side = stop.select(F.col(stop_col).alias("_stop"))
     return words.join(side, words[word_col] == side["_stop"], "left_anti")
+
+
+def grid_join(left: DataFrame, right: DataFrame, on: Sequence[str], dense: int) -> DataFrame:
+    """Inner equi-join whose crowded keys are split: where a side has more than
+    ``dense`` rows of a key, both sides' rows are dealt into chunks and each pair of
+    chunks is joined on its own, so no task gets all rows of a key.  Rows are copied
+    for crowded keys only; each pair still comes once.  Null keys match nothing.
+    Rows alike in all columns fall into one chunk: where there may be very many,
+    give each a stored number.
+    """
+    known = " and ".join(f"`{c}` is not null" for c in on)
+    left, right = left.where(known), right.where(known)
+    sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_nl"), F.lit(0).cast("long").alias("_nr")).unionByName(
+        right.groupBy(*on).agg(F.lit(0).cast("long").alias("_nl"), F.count(F.lit(1)).alias("_nr")))
+    crowded = sizes.groupBy(*on).agg(F.max("_nl").alias("_nl"), F.max("_nr").alias("_nr")).where(
+        (F.greatest("_nl", "_nr") > dense) & (F.least("_nl", "_nr") > 0))
+    grid = crowded.select(*on, *[F.greatest(F.ceil(F.col(n) / dense), F.lit(1)).cast("int").alias(c)
+                                 for n, c in (("_nl", "_cl"), ("_nr", "_cr"))])
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """The row's own chunk, and all chunks of the other side."""
+        # chunks follow from the row's values alone, so a task that runs again deals alike
+        mine = F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)).cast("int")
+        chunks = rows.withColumn("_deal", mine).join(grid, list(on), "left")
+        others = F.explode(F.sequence(F.lit(0), F.coalesce(f"_c{other}", F.lit(1)) - 1))
+        return chunks.withColumn(f"_i{own}", F.pmod("_deal", F.coalesce(f"_c{own}", F.lit(1)))).withColumn(f"_i{other}", others) \
+            .drop("_cl", "_cr", "_deal")
+
+    return dealt(left, "l", "r").join(dealt(right, "r", "l"), [*on, "_il", "_ir"]).drop("_il", "_ir")

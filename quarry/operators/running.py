@@ -25,7 +25,8 @@ def numbered(df: DataFrame, order: Sequence[Column], out: str = "_at") -> DataFr
     """``df`` with the place of each row (from 0) under ``order``.  Rows alike in
     ``order`` are spread over partitions too; their order among each other is fixed
     by the result, which is checkpointed (range bounds come from a sample)."""
-    rows = df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order, "_tie").drop("_tie")
+    # the tie number is stored first: a task that runs again must not give a row another one, and so another range
+    rows = materialize(df.withColumn("_tie", F.monotonically_increasing_id())).orderBy(*order, "_tie").drop("_tie")
     rows = materialize(rows.withColumn("_m", F.monotonically_increasing_id()))
     parts = rows.groupBy(F.shiftright("_m", 33).alias("_part")).count()
     # one row per partition

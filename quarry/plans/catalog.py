@@ -1078,4 +1078,4 @@ def q_orders_by_year_month_text(spark, d):
 
 
 # the queries of the other catalogue modules register themselves here
-from quarry.plans import catalog_time  # noqa: E402, F401
+from quarry.plans import catalog_files, catalog_time  # noqa: E402, F401

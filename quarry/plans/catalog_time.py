@@ -1,16 +1,23 @@
-"""Registered queries of the time and order operators: as-of and interval joins,
-running totals, row frames and exact quantiles, with their SQL twins."""
+"""Registered queries of the operators for time, order and summaries: as-of and interval
+joins, running totals, row frames, exact quantiles, cubes and kept statistics, with their
+SQL twins."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators import summaries
 from quarry.operators.asof import as_of_join
+from quarry.operators.cube import cube_sets, grouped_sets, rollup_sets
 from quarry.operators.intervals import overlap_join
 from quarry.operators.quantiles import exact_quantiles
 from quarry.operators.running import row_frames, running
+from quarry.operators.similar import similar_strings
 from quarry.plans.catalog import register
+from quarry.session import checkpoint_dir
 from quarry.sources.tables import table
 
 
@@ -134,3 +141,57 @@ def q_deliveries_in_promotions(spark: SparkSession, d: str) -> DataFrame:
     pairs = overlap_join(promo, lines, ("starts", "ends"), ("starts", "ends"), ["brand"])
     return pairs.groupBy(F.col("left.promo_id").alias("promo_id"), F.col("left.brand").alias("brand")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("right.cents").alias("cents"))
+
+
+@register("q_sales_cube", f"""
+WITH l AS (SELECT l_returnflag, l_linestatus, year(l_shipdate) AS year, l_suppkey, {_CENTS_SQL} AS cents FROM lineitem)
+SELECT l_returnflag, l_linestatus, cast(year AS integer) AS year, cast(grouping_id(l_returnflag, l_linestatus, year) AS integer) AS grouping_id,
+       cast(sum(cents) AS bigint) AS cents, count(*) AS n_lines, count(DISTINCT l_suppkey) AS n_suppliers
+FROM l GROUP BY CUBE (l_returnflag, l_linestatus, year)
+""")
+def q_sales_cube(spark: SparkSession, d: str) -> DataFrame:
+    """Revenue, lines and distinct suppliers for every combination of return flag, status and year of shipment."""
+    lines = table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", F.year("l_shipdate").alias("year"), "l_suppkey",
+                                               _cents("l_extendedprice"))
+    dims = ["l_returnflag", "l_linestatus", "year"]
+    return grouped_sets(lines, dims, cube_sets(dims), {"cents": F.col("cents"), "n_lines": F.lit(1)}, "l_suppkey", "n_suppliers")
+
+
+@register("q_order_rollup", """
+SELECT year(o_orderdate)::integer AS year, month(o_orderdate)::integer AS month, o_orderpriority,
+       cast(grouping_id(year(o_orderdate), month(o_orderdate), o_orderpriority) AS integer) AS grouping_id,
+       count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers
+FROM orders GROUP BY ROLLUP (year(o_orderdate), month(o_orderdate), o_orderpriority)
+""")
+def q_order_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Orders and distinct customers by year, month and priority, with all subtotals."""
+    orders = table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_orderpriority", "o_custkey")
+    dims = ["year", "month", "o_orderpriority"]
+    return grouped_sets(orders, dims, rollup_sets(dims), {"n_orders": F.lit(1)}, "o_custkey", "n_customers")
+
+
+@register("q_event_stats_by_week", """
+WITH e AS (SELECT date_trunc('week', ts)::date AS week, event_type, cast(value AS decimal(18,2)) AS v FROM events),
+s AS (SELECT week, event_type, count(v) AS n, sum(v) AS total, cast(sum(v) AS double) AS t, cast(sum(v * v) AS double) AS q, min(v) AS low, max(v) AS high
+      FROM e GROUP BY 1, 2)
+SELECT week, event_type, n, cast(total AS decimal(38,2)) AS total, t / n AS mean,
+       CASE WHEN n > 1 THEN sqrt(greatest((q - t * t / n) / (n - 1), 0)) END AS stddev, low, high FROM s
+""")
+def q_event_stats_by_week(spark: SparkSession, d: str) -> DataFrame:
+    """Weekly statistics merged from daily states that were stored before."""
+    store = f"{checkpoint_dir(spark).rstrip('/')}/event-states-{uuid.uuid4().hex}"
+    summaries.refresh(spark, f"{d}/events.parquet", store,
+                      lambda e: summaries.summarise(e.select(F.to_date("ts").alias("day"), "event_type", "value", "user_id"), ["day", "event_type"],
+                                                    "value", "user_id"), ["day", "event_type"])
+    weekly = summaries.merge(summaries.states(spark, store), [F.to_date(F.date_trunc("week", "day")).alias("week"), "event_type"])
+    return summaries.finished(weekly).drop("approx_distinct")
+
+
+@register("q_similar_names", """
+WITH n AS (SELECT DISTINCT c_name AS s FROM customer WHERE c_name IS NOT NULL)
+SELECT a.s AS "left", b.s AS "right", levenshtein(a.s, b.s)::integer AS distance FROM n a JOIN n b ON levenshtein(a.s, b.s) <= 1
+""")
+def q_similar_names(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of customer names that differ by one edit at most."""
+    names = table(spark, d, "customer").select("c_name")
+    return similar_strings(names, names, "c_name", "c_name", 1)

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import PIG_DELIMITERS, explode_tokens
+from quarry.functions.text import PIG_DELIMITERS, explode_tokens, tokenize
 from quarry.operators.aggregates import distinct_count
 from quarry.operators.joins import anti_join_words
 from quarry.operators.ranking import nested_top_k, top_k_per_group
@@ -150,3 +150,29 @@ def top_words_all(reviews: DataFrame, stop: DataFrame, category_col: str = "dim3
         counts = materialize(counts)
     return {name: top_words(reviews, stop, category_col, s, k, counts=counts)
             for name, s in ((POSITIVE, POSITIVE), (NEGATIVE, NEGATIVE), ("all", None))}
+
+
+#: the outputs of ``review_outputs``
+WORDS, CATEGORY, ASPECT = "frequent_words", "per_category", "per_aspect"
+
+
+def review_outputs(reviews: DataFrame, stop: DataFrame, threshold: int = 500, id_col: str = "id", text_col: str = "comment",
+                   category_col: str = "dim4", aspect_col: str = "dim3", stop_col: str = "stopword",
+                   delimiters: str = PIG_DELIMITERS) -> DataFrame:
+    """N7, N8 and N9 from one scan: rows (output, value, total) of three outputs.
+
+    Each review gives a row for each token and one for each of its two labels,
+    marked with the output they are for.  Tokens are counted and comments made
+    distinct by one pre-aggregation (output, value, id), which collapses most
+    tokens before the shuffle; a second one adds up.  A null label is a value of
+    its own; null ids are not counted.
+    """
+    text = F.transform(tokenize(text_col, delimiters), lambda w: F.struct(F.lit(WORDS).alias("output"), w.alias("value")))
+    labels = [F.struct(F.lit(o).alias("output"), F.col(c).cast("string").alias("value")) for o, c in ((CATEGORY, category_col), (ASPECT, aspect_col))]
+    empty = F.array().cast("array<struct<output: string, value: string>>")
+    marked = reviews.select(F.col(id_col).alias("_id"), F.inline(F.concat(F.coalesce(text, empty), F.array(*labels))))
+    is_word = F.col("output") == WORDS
+    kept = marked.join(stop.select(F.lit(WORDS).alias("output"), F.col(stop_col).alias("value")).distinct(), ["output", "value"], "left_anti")
+    once = kept.groupBy("output", "value", F.when(~is_word, F.col("_id")).alias("_id")).agg(F.count("_id").alias("_n"))
+    total = F.sum(F.when(is_word, F.col("_n")).otherwise(F.least("_n", F.lit(1)))).cast("bigint")
+    return once.groupBy("output", "value").agg(total.alias("total")).where(~is_word | (F.col("total") > threshold))

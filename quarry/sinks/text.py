@@ -86,3 +86,12 @@ def ordered(report: DataFrame) -> DataFrame:
 def write_lines(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write ``report_lines`` output in order (part files in key order)."""
     ordered(report).write.mode(mode).text(path)
+
+
+def write_outputs(df: DataFrame, path: str, output_col: str = "output", sep: str = ",", mode: str = "errorifexists") -> None:
+    """Several outputs by one job: the rows of each value of ``output_col`` in a folder ``<output_col>=<value>`` of its own,
+    as delimited lines.  The rows are dealt by output and value first, so that an output has few files but no single writer."""
+    rest = [F.col(c) for c in df.columns if c != output_col]
+    dealt = df.repartition(F.col(output_col), F.pmod(F.xxhash64(*rest), F.lit(8)))
+    (dealt.write.mode(mode).partitionBy(output_col).option("sep", sep).option("quote", "\u0000").option("escape", "\u0000")
+          .option("nullValue", "").option("emptyValue", "").option("header", "false").csv(path))
