@@ -39,11 +39,11 @@ def grouped_sets(df: DataFrame, dimensions: Sequence[str], sets: Sequence[Sequen
     unknown = {c for s in sets for c in s} - set(dimensions)
     if unknown:
         raise ValueError(f"not among the dimensions: {sorted(unknown)}")
-    fine = df.groupBy(*dimensions, F.col(distinct).alias("_value")).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    fine = df.groupBy(*dimensions, F.col(distinct).alias("_value")).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(n) for n, c in sums.items()])
     number = {s: sum(1 << i for i, c in enumerate(reversed(dimensions)) if c not in s) for s in map(frozenset, sets)}
     copies = F.array(*[F.struct(F.lit(n).alias(level), *[(F.col(c) if c in s else F.lit(None).cast(df.schema[c].dataType)).alias(c)
                                                        for c in dimensions]) for s, n in number.items()])
     wide = fine.select(F.inline(copies), "_value", *sums)
-    once = wide.groupBy(level, *dimensions, "_value").agg(*[F.sum(n).alias(n) for n in sums])
-    return once.groupBy(level, *dimensions).agg(*[F.sum(n).alias(n) for n in sums], F.count("_value").alias(out)) \
+    once = wide.groupBy(level, *dimensions, "_value").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(n).alias(n) for n in sums])
+    return once.groupBy(level, *dimensions).agg(F.count("_value").alias(out), *[F.sum(n).alias(n) for n in sums]) \
         .select(*dimensions, level, *sums, out)

@@ -2,8 +2,9 @@
 
 Two strings within k edits of each other differ in at most k q of their q-grams.
 So if each has more than k q, and all grams are ordered by how rare they are, the
-first k q + 1 grams of both share one: only these are joined, together with the
-length (which may differ by k), and the places of the shared gram may differ by k.
+first k q + 1 grams of both share one (the second "an" of a string counts as
+another gram than its first): only these are joined, together with the length, which
+may differ by k.
 Shorter strings, which have too few grams, are joined on what is left after up to
 k deletions.  All candidates are checked by their exact distance.
 
@@ -23,7 +24,7 @@ DENSE = 50_000
 
 
 def _grams(strings: DataFrame, q: int) -> DataFrame:
-    """s, n, at, gram, nth: the gram's number among equal grams of the string tells them apart."""
+    """s, n, gram, nth: the gram's number among equal grams of the string tells them apart."""
     at = F.explode(F.sequence(F.lit(1), F.col("n") - (q - 1)))
     rows = strings.select("s", "n", at.alias("at")).withColumn("gram", F.expr(f"substring(s, at, {q})"))
     return rows.withColumn("nth", F.row_number().over(Window.partitionBy("s", "gram").orderBy("at")))
@@ -33,7 +34,7 @@ def _prefixes(grams: DataFrame, counts: DataFrame, size: int) -> DataFrame:
     """Each string's ``size`` rarest grams."""
     ranked = grams.join(counts, ["gram", "nth"]).withColumn(
         "_r", F.row_number().over(Window.partitionBy("s").orderBy("count", "gram", "nth")))
-    return ranked.where(F.col("_r") <= size).select("s", "n", "at", "gram", "nth")
+    return ranked.where(F.col("_r") <= size).select("s", "n", "gram", "nth")
 
 
 def _less(distance: int) -> Column:
@@ -54,8 +55,8 @@ def candidates(left: DataFrame, right: DataFrame, distance: int, q: int = 2, den
     grams = [_grams(df.where(F.col("n") >= few + q), q) for df in sides]
     counts = grams[0].select("gram", "nth").unionAll(grams[1].select("gram", "nth")).groupBy("gram", "nth").count()
     a, b = (_prefixes(g, counts, few + 1) for g in grams)
-    b = b.select(F.col("s").alias("t"), F.col("at").alias("bt"), "gram", "nth", F.explode(F.sequence(F.col("n") - distance, F.col("n") + distance)).alias("n"))
-    long = grid_join(a, b, ["gram", "nth", "n"], dense).where(F.abs(F.col("at") - F.col("bt")) <= distance).select("s", "t")
+    b = b.select(F.col("s").alias("t"), "gram", "nth", F.explode(F.sequence(F.col("n") - distance, F.col("n") + distance)).alias("n"))
+    long = grid_join(a, b, ["gram", "nth", "n"], dense).select("s", "t")
     # at least one of the two is short, the other no more than ``distance`` longer
     short = [df.where(F.col("n") < few + q + distance).withColumn("less", F.explode(_less(distance))) for df in sides]
     brief = grid_join(short[0].select("s", "less", F.col("n").alias("m")), short[1].select(F.col("s").alias("t"), "less", "n"), ["less"], dense)
