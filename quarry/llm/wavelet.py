@@ -16,12 +16,13 @@ input are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -235,20 +236,39 @@ def read_shard(data: bytes) -> tuple[WaveletMatrix, np.ndarray, list[int | None]
     return open_shard(lambda at, size: data[at:at + size])
 
 
+#: fixed value: a pre-tokenizer's pattern, as tokenizer files hold it
+RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: 1: ASCII letters; 2: other ASCII characters but white space, control characters and the apostrophe
+_KIND = np.array([1 if chr(c).isalpha() else 2 if 32 < c < 127 and c != 39 else 0 for c in range(128)] + [0] * 128, np.uint8)
+
+
+def _apart(texts: pa.Array) -> pa.Array:
+    """Texts (no nulls, no offset) with a space between ASCII letters and other ASCII characters next to them."""
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[:len(texts) + 1]
+    data = np.frombuffer(data or b"", np.uint8)[:offsets[-1]]
+    kind = _KIND[data]
+    cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
+    offsets = (offsets + np.searchsorted(cuts, offsets)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(np.insert(data, cuts, 32)))
+
+
 class Encoder:
     """A ``tokenizers`` file applied to whole texts.
 
     Its pre-tokenizer never joins text across ASCII white space, so a text's ids
-    are those of its white-space chunks in a row.  Arrow splits a batch and finds
-    its distinct chunks; of these, the ones not met before are encoded, many to a
-    call, with one of the tokenizer's own special tokens between them, which it
-    never joins to its neighbours; numpy puts the ids in the texts' order.  At most
-    ``keep`` chunks are remembered.
+    are those of its white-space chunks in a row; with the pattern ``RUNS`` it does
+    not join ASCII letters to other ASCII characters either (apostrophes aside), and
+    chunks end there too.  Arrow splits a batch and finds its distinct chunks; of
+    these, the ones not met before are encoded, many to a call, with one of the
+    tokenizer's own special tokens between them, which it never joins to its
+    neighbours; numpy puts the ids in the texts' order.  At most ``keep`` chunks are
+    remembered.
     """
 
     _made: dict[str, Encoder] = {}
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 700_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; waiting threads would take others'
@@ -258,10 +278,13 @@ class Encoder:
                  if t.special and not (t.lstrip or t.rstrip or t.single_word)]
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marker = whole[-1] if whole else None
+        before = json.loads(self.tokenizer.to_str()).get("pre_tokenizer") or {}
+        first = (before.get("pretokenizers") or [before])[0]
+        self.runs = first.get("type") == "Split" and first["pattern"].get("Regex") == RUNS and first["invert"]
         self._forget()
 
     def _forget(self) -> None:
-        self.known = pa.array([], pa.string())
+        self.known: dict[str, int] = {}
         self.ids, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # and where each chunk's ids begin
 
     @classmethod
@@ -282,37 +305,42 @@ class Encoder:
         marks = np.flatnonzero(every == number)
         return every[every != number], np.diff(np.concatenate([[-1], marks])) - 1
 
-    def _slots(self, chunks: pa.Array) -> np.ndarray:
+    def _slots(self, chunks: list[str]) -> np.ndarray:
         """Numbers of remembered chunks; new ones are learned."""
         if len(self.known) > self.keep:
             self._forget()
-        slots = pc.index_in(chunks, value_set=self.known)
-        if not slots.null_count:
-            return np.asarray(slots)
-        new = chunks.filter(pc.is_null(slots))
+        slots = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        places = np.flatnonzero(slots < 0)
+        if not len(places):
+            return slots
         # chunks that hold one of the tokenizer's added tokens are encoded on their own
-        odd = reduce(pc.or_, [pc.match_substring(new, t) for t in self.added], pa.array(np.zeros(len(new), bool)))
-        new = pa.concat_arrays([new.filter(pc.invert(odd)), new.filter(odd)])
-        plain = len(new) - pc.sum(odd).as_py()
-        ids, sizes = self._found(new.slice(0, plain).to_pylist())
+        new = [chunks[i] for i in places.tolist()]
+        odd = np.fromiter((any(t in c for t in self.added) for c in new), bool, len(new)) if any(t in "".join(new) for t in self.added) \
+            else np.zeros(len(new), bool)
+        places = np.concatenate([places[~odd], places[odd]])
+        new = [chunks[i] for i in places.tolist()]
+        plain = len(new) - int(odd.sum())
+        ids, sizes = self._found(new[:plain])
         if plain < len(new):
-            single = [e.ids for e in self.tokenizer.encode_batch_fast(new.slice(plain).to_pylist(), add_special_tokens=False)]
+            single = [e.ids for e in self.tokenizer.encode_batch_fast(new[plain:], add_special_tokens=False)]
             ids = np.concatenate([ids, np.array([i for x in single for i in x], np.uint32)])
             sizes = np.concatenate([sizes, [len(x) for x in single]])
+        slots[places] = np.arange(len(self.known), len(self.known) + len(new))
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
         self.ids = np.concatenate([self.ids, ids])
-        self.known = pa.concat_arrays([self.known, new])
-        return np.asarray(pc.index_in(chunks, value_set=self.known))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        return slots
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the number of each text's ids."""
         # a copy without an offset: some of Arrow's text functions do not respect that of a slice
         texts = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))), "").cast(pa.string())
         # the tokenizer folds case itself, except in the special tokens, which all hold "<|"
-        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        plain = pc.ascii_lower(_apart(texts) if self.runs else texts)
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, plain)
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        slots = self._slots(coded.dictionary)[np.asarray(coded.indices)]
+        slots = self._slots(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
         begin, size = self.start[slots], self.start[slots + 1] - self.start[slots]
         upto = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(begin - upto[:-1], size) + np.arange(upto[-1])]
@@ -352,7 +380,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: i
                 fs.delete_file(private)
             return pa.RecordBatch.from_pydict({"part": [part], "n_tokens": [len(tokens)]})
 
-        for batch in small_batches(batches, "text", 2 << 20):
+        for batch in small_batches(batches, "text", 4 << 20):
             found, sizes = encoder.encode(batch.column("text"))
             ends = np.cumsum(sizes + 1)
             tokens = np.full(len(found) + len(sizes), end_id, np.uint32)

@@ -63,7 +63,7 @@ def test_lookups_read_the_blocks_they_need(monkeypatch):
 
 
 def test_encoder_equals_whole_texts():
-    texts = ["a\x1cb \x0bc\x0cd\re\nf", "x<|ENDOFTEXT|>y <|endoftext|", "Z" * 5000, "It's  the\tend. Now then", "<|endoftext|> a <|startoftext|>b", "é ́x ÅÅ", "1,234.5 -- ...",
+    texts = ["it's 'twas !'s a.'s x'll. don't, can't' ''b 3rd a1b2 e\u0301. .e\u0301 a…!b !é.é x.\u0301y I'LL 'RE", "a\x00b\x7fc~d_e", "a\x1cb \x0bc\x0cd\re\nf", "x<|ENDOFTEXT|>y <|endoftext|", "Z" * 5000, "It's  the\tend. Now then", "<|endoftext|> a <|startoftext|>b", "é ́x ÅÅ", "1,234.5 -- ...",
              "ΑΣ ΣΑΣ", "", "  ", "日本語 テキスト", "\x1ca\x85b"]
     t, e = Tokenizer.from_file(PATH), wavelet.Encoder(PATH, keep=5)
     for _ in range(3):  # with a cold, a warm and a turned-over memory
