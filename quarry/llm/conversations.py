@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from quarry.llm.common import SPACE_WORD, ship, stored
-from quarry.operators.running import numbered, running
+from quarry.operators.running import block_size, numbered, running
 
 #: the largest prime below 2^31: products of two residues fit in a long
 PRIME = (1 << 31) - 1
@@ -94,9 +94,10 @@ def _summed(turns: DataFrame, attempt: int) -> DataFrame:
             lanes = [pa.array((v * power(base, at) % np.uint64(PRIME)).astype(np.int64)) for v, base in zip(values, fields)]
             yield pa.RecordBatch.from_arrays([*b.columns, *lanes], [*b.schema.names, *[f"v{i}" for i in LANES]])
 
+    block = block_size(rows)
     kinds = ", ".join(f"{c} long" for c in (*rows.columns, *[f"v{i}" for i in LANES]))
     rows = rows.mapInArrow(terms, kinds)
-    sums = running(rows, ["conv_id"], [], {**{f"s{i}": F.col(f"v{i}") for i in LANES}, "pos": F.lit(1)}, at="at")
+    sums = running(rows, ["conv_id"], [], {**{f"s{i}": F.col(f"v{i}") for i in LANES}, "pos": F.lit(1)}, block=block, at="at")
     return sums.withColumns({"pos": F.col("pos") - 1, **{f"s{i}": F.col(f"s{i}") % PRIME for i in LANES}})
 
 

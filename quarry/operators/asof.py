@@ -13,11 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.running import BLOCK, running
+from quarry.operators.running import running
 
 
 def as_of_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, values: Sequence[str],
-               strict: bool = False, tolerance: Column | None = None, out_time: str | None = None, block: int = BLOCK) -> DataFrame:
+               strict: bool = False, tolerance: Column | None = None, out_time: str | None = None, block: int | None = None) -> DataFrame:
     """All rows of ``left`` with the ``values`` of the matching right row (null
     without one), and its time as ``out_time`` if that is given.
 

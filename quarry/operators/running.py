@@ -2,7 +2,8 @@
 input, without a window that puts all rows (or all rows of a key) into one task.
 
 Rows are range-sorted once and numbered through; numbers are cut into blocks of
-``block`` rows.  Inside a block Spark's windows do the work.  What reaches over a
+equal size (by default one for each shuffle partition, of at least 2^14 and at most
+2^20 rows).  Inside a block Spark's windows do the work.  What reaches over a
 block's border is small: the value reached at the end of each earlier block (one
 row per block), or, for frames and neighbours, copies of the few rows next to the
 border.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.session import materialize
 
-BLOCK = 1 << 20
+LEAST, MOST = 1 << 14, 1 << 20
 _PLACE = (1 << 33) - 1  # rows of a partition in monotonically_increasing_id
 
 
@@ -36,12 +37,24 @@ def numbered(df: DataFrame, order: Sequence[Column], out: str = "_at") -> DataFr
         .withColumn(out, F.col("_start") + F.col("_m").bitwiseAND(F.lit(_PLACE))).drop("_part", "_start", "_m")
 
 
-def _keyed(df: DataFrame, by: Sequence[str], order: Sequence[Column], block: int) -> DataFrame:
-    return numbered(df, [*[F.col(c).asc_nulls_first() for c in by], *order]).withColumn("_block", F.floor(F.col("_at") / block))
+def block_size(rows: DataFrame) -> int:
+    """Rows of a block: one for each shuffle partition, within the bounds.  Counts ``rows``, which should be stored."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(-(-rows.count() // tasks), LEAST), MOST)
+
+
+def _blocked(rows: DataFrame, block: int | None, least: int = 1) -> tuple[DataFrame, int]:
+    """The rows with the block of their place ``_at``, and the size of a block."""
+    block = max(block_size(rows) if block is None else block, least)
+    return rows.withColumn("_block", F.floor(F.col("_at") / block)), block
+
+
+def _keyed(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    return numbered(df, [*[F.col(c).asc_nulls_first() for c in by], *order])
 
 
 def running(df: DataFrame, by: Sequence[str], order: Sequence[Column], sums: Mapping[str, Column] | None = None,
-            lasts: Mapping[str, Column] | None = None, block: int = BLOCK, at: str | None = None) -> DataFrame:
+            lasts: Mapping[str, Column] | None = None, block: int | None = None, at: str | None = None) -> DataFrame:
     """``df`` with, per entry of ``sums``, the sum of that column over the rows of
     the same ``by`` up to and with this one, and, per entry of ``lasts``, its last
     value that is not null.  ``by`` may be empty (the whole input); null keys are a
@@ -51,7 +64,7 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[Column], sums: Map
     """
     sums, lasts = dict(sums or {}), dict(lasts or {})
     df = df.select("*", *[c.alias(f"_v_{n}") for n, c in {**sums, **lasts}.items()])
-    rows = _keyed(df, by, order, block) if at is None else df.withColumns({"_at": F.col(at), "_block": F.floor(F.col(at) / block)})
+    rows, _ = _blocked(_keyed(df, by, order) if at is None else df.withColumn("_at", F.col(at)), block)
     upto = Window.partitionBy("_block", *by).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select("*", *[F.sum(f"_v_{n}").over(upto).alias(f"_r_{n}") for n in sums],
                         *[F.last(f"_v_{n}", ignorenulls=True).over(upto).alias(f"_r_{n}") for n in lasts])
@@ -77,7 +90,7 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[Column], sums: Map
 
 
 def row_frames(df: DataFrame, by: Sequence[str], order: Sequence[Column], frames: Mapping[str, tuple[Column, int, int]],
-               block: int = BLOCK) -> DataFrame:
+               block: int | None = None) -> DataFrame:
     """``df`` with, per entry ``name: (aggregate, first, last)``, the aggregate over
     the rows of the same ``by`` from ``first`` to ``last`` places away (negative:
     before; (-1, -1) with ``F.max`` is ``lag``, (1, 1) is ``lead``).
@@ -85,8 +98,7 @@ def row_frames(df: DataFrame, by: Sequence[str], order: Sequence[Column], frames
     The rows that a neighbouring block's frames reach are copied there.
     """
     reach = max([0, *(abs(x) for _, a, z in frames.values() for x in (a, z))])
-    block = max(block, reach, 1)
-    rows = _keyed(df, by, order, block)
+    rows, block = _blocked(_keyed(df, by, order), block, max(reach, 1))
     place = F.pmod(F.col("_at"), F.lit(block))
     before = max([0, *(-a for _, a, _ in frames.values())])  # how far frames look back and ahead
     after = max([0, *(z for _, _, z in frames.values())])

@@ -4,7 +4,7 @@ one hot key), runs the analytics with broadcast joins disabled (the plans a
 cluster-sized input gets), and reads Spark's event log: for every shuffle-
 reading stage, the largest task's share of the records read.
 
-Usage: python tools/skew_check.py [sf_dir]
+Usage: python tools/skew_check.py [sf_dir] [part of a name]   (checkpoints and log: temp folders of this local session)
 """
 
 from __future__ import annotations
@@ -21,7 +21,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from pyspark.sql import functions as F  # noqa: E402
 
 from quarry.plans import commerce as C  # noqa: E402
+from quarry.operators.asof import as_of_join  # noqa: E402
+from quarry.operators.cube import cube_sets, grouped_sets  # noqa: E402
+from quarry.operators.intervals import overlap_join  # noqa: E402
+from quarry.operators.quantiles import exact_quantiles  # noqa: E402
 from quarry.operators.ranking import global_rank  # noqa: E402
+from quarry.operators.running import row_frames, running  # noqa: E402
 from quarry.plans import reviews as V  # noqa: E402
 from quarry.plans import ratings as R  # noqa: E402
 from quarry.session import build_session  # noqa: E402
@@ -112,8 +117,26 @@ def main() -> None:
         "category_sales (hot product)": lambda: C.category_sales_and_score(ec_items_hot_product, products, reviews),
         "delivery join (hot order, SMJ)": lambda: ec_orders.join(ec_items, "Order_ID").select("Order_ID", "Product_ID"),
     }
+    span = lambda df, start, days: df.withColumn("starts", F.col(start)).withColumn("ends", F.col(start) + F.make_dt_interval(days))
+    shipped = li.select(hot("l_partkey", 1).alias("k"), F.col("l_shipdate").alias("seen"), F.col("l_extendedprice").alias("price"))
+    asked = li.select(hot("l_partkey", 1).alias("k"), F.col("l_shipdate").alias("t"), "l_orderkey")
+    jobs |= {
+        "as_of_join (hot key on both sides)": lambda: as_of_join(asked, shipped, ["k"], "t", "seen", ["price"]),
+        "running (hot key)": lambda: running(asked, ["k"], [F.col("t")], {"n": F.lit(1)}),
+        "row_frames (hot key)": lambda: row_frames(asked, ["k"], [F.col("t")], {"before": (F.max("l_orderkey"), -1, -1)}),
+        "exact_quantiles (hot group)": lambda: exact_quantiles(shipped, ["k"], "price", {"median": 0.5}),
+        "overlap_join (hot key)": lambda: overlap_join(
+            span(li.select(hot("l_partkey", 1).alias("k"), "l_shipdate"), "l_shipdate", F.lit(1)),
+            span(orders.limit(3_000).select(F.lit(1).cast("long").alias("k"), "o_orderdate"), "o_orderdate", F.lit(2)),
+            ("starts", "ends"), ("starts", "ends"), ["k"], dense=2_000),
+        "grouped_sets (hot group and value)": lambda: grouped_sets(
+            li.select(hot("l_partkey", 1).alias("a"), "l_returnflag", hot("l_suppkey", 1).alias("v")), ["a", "l_returnflag"],
+            cube_sets(["a", "l_returnflag"]), {"n": F.lit(1)}, "v"),
+    }
     marks = {}
     for name, fn in jobs.items():
+        if len(sys.argv) > 2 and sys.argv[2] not in name:
+            continue
         spark.sparkContext.setJobGroup(name, name)
         fn().write.format("noop").mode("overwrite").save()
         marks[name] = True
