@@ -174,8 +174,8 @@ def q_order_rollup(spark: SparkSession, d: str) -> DataFrame:
 WITH e AS (SELECT date_trunc('week', ts)::date AS week, event_type, cast(value AS decimal(18,2)) AS v FROM events),
 s AS (SELECT week, event_type, count(v) AS n, sum(v) AS total, cast(sum(v) AS double) AS t, cast(sum(v * v) AS double) AS q, min(v) AS low, max(v) AS high
       FROM e GROUP BY 1, 2)
-SELECT week, event_type, n, cast(total AS decimal(38,2)) AS total, t / n AS mean,
-       CASE WHEN n > 1 THEN sqrt(greatest((q - t * t / n) / (n - 1), 0)) END AS stddev, low, high FROM s
+SELECT week, event_type, n, t AS total, t / n AS mean,
+       CASE WHEN n > 1 THEN sqrt(greatest((q - t * t / n) / (n - 1), 0)) END AS stddev, cast(low AS double) AS low, cast(high AS double) AS high FROM s
 """)
 def q_event_stats_by_week(spark: SparkSession, d: str) -> DataFrame:
     """Weekly statistics merged from daily states that were stored before."""
@@ -184,7 +184,8 @@ def q_event_stats_by_week(spark: SparkSession, d: str) -> DataFrame:
                       lambda e: summaries.summarise(e.select(F.to_date("ts").alias("day"), "event_type", "value", "user_id"), ["day", "event_type"],
                                                     "value", "user_id"), ["day", "event_type"])
     weekly = summaries.merge(summaries.states(spark, store), [F.to_date(F.date_trunc("week", "day")).alias("week"), "event_type"])
-    return summaries.finished(weekly).drop("approx_distinct")
+    out = summaries.finished(weekly).drop("approx_distinct")
+    return out.withColumns({c: F.col(c).cast("double") for c in ("total", "low", "high")})
 
 
 @register("q_similar_names", """
