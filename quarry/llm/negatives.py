@@ -44,16 +44,24 @@ class Space:
     def __init__(self, kind: str, dimension: int, norm2: float):
         self.kind, self.dimension, self.norm2 = kind, dimension, norm2
         self.slack = 1e-6 * max(norm2, 1.0) ** 0.5
-        self.exact = norm2 < 2**52  # sums of products stay exact in doubles
 
     def unpack(self, column: pa.Array) -> np.ndarray:
         values = column.to_pylist()
         return np.frombuffer(b"".join(values), self.kind).reshape(len(values), self.dimension).astype(np.float64)
 
     def products(self, a: np.ndarray, x: np.ndarray) -> np.ndarray:
-        if self.exact:
-            return a @ x.T
-        return np.array([[int(sum(int(p) * int(q) for p, q in zip(r, s))) for s in x] for r in a], dtype=object).reshape(len(a), len(x))
+        """Exact inner products.  Doubles hold them up to 2^53, and no partial sum is beyond the product of the lengths;
+        pairs of longer vectors are worked out in whole numbers."""
+        out = a @ x.T
+        if self.norm2 < 2**52:
+            return out
+        lengths = np.outer(np.linalg.norm(a, axis=1), np.linalg.norm(x, axis=1))
+        if not (lengths >= 2**52).any():
+            return out
+        out = out.astype(object)
+        for i, j in zip(*np.nonzero(lengths >= 2**52)):
+            out[i, j] = sum(int(p) * int(q) for p, q in zip(a[i].tolist(), x[j].tolist()))
+        return out
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         return np.hstack([x, np.sqrt(np.maximum(self.norm2 - (x * x).sum(axis=1), 0.0))[:, None]])
@@ -178,11 +186,13 @@ class Leaf:
         """Inner products of anchors with the rows of all groups that may matter to them; elsewhere minus infinity."""
         flat = np.hstack([a, np.zeros((len(a), 1))])
         keep = alive(distances(flat, self.points), inner, outer, self.low, self.high, self.space.slack)
-        out = np.full((len(a), len(self.x)), -np.inf, dtype=np.float64 if self.space.exact else object)
+        out = np.full((len(a), len(self.x)), -np.inf)
         for j, group in enumerate(self.groups):
             some = np.flatnonzero(keep[:, j])
             if len(some) and len(group):
-                out[np.ix_(some, group)] = self.space.products(a[some], self.x[group])
+                found = self.space.products(a[some], self.x[group])
+                out = out.astype(found.dtype) if found.dtype == object else out
+                out[np.ix_(some, group)] = found
         return out
 
     def positives(self, uid: np.ndarray, label: np.ndarray, a: np.ndarray, outer: np.ndarray, k: int) -> list[np.ndarray]:
@@ -200,8 +210,9 @@ class Leaf:
         width = max(map(len, windows))
         own2 = (a * a).sum(axis=1)
         # 100 s between low p and high p; missing windows are empty
-        floor = np.array([[-(-low * p // 100) for p in w] + [1] * (width - len(w)) for w in windows], dtype=np.float64)
-        ceil = np.array([[high * p // 100 for p in w] + [0] * (width - len(w)) for w in windows], dtype=np.float64)
+        kind = object if any(abs(p) >= 2**46 for w in windows for p in w) else np.float64
+        floor = np.array([[-(-low * p // 100) for p in w] + [1] * (width - len(w)) for w in windows], dtype=kind)
+        ceil = np.array([[high * p // 100 for p in w] + [0] * (width - len(w)) for w in windows], dtype=kind)
         some = floor <= ceil
         top, least = np.where(some, ceil, -np.inf).max(axis=1), np.where(some, floor, np.inf).min(axis=1)
         live = some.any(axis=1)
@@ -219,7 +230,9 @@ class Leaf:
 
 # on Spark -----------------------------------------------------------------
 def _usable(embeddings: DataFrame, label: Column, scale: int) -> DataFrame:
-    parts = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    # a double of 2^52 or more is whole
+    whole = lambda y: F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y)
+    parts = F.transform("embedding", lambda x: whole(x.cast("double") * scale))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     return embeddings.where(F.col("embedding").isNotNull() & F.coalesce(fine, F.lit(False))).select(
         F.col("vec_id").cast("long").alias("vec_id"), label.cast("long").alias("label"), parts.alias("x")).where("label is not null")
@@ -316,7 +329,8 @@ def _ids(values: np.ndarray) -> pa.Array:
 
 
 def _longs(values: np.ndarray) -> pa.Array:
-    return pa.array([int(v) for v in values], pa.int64())
+    """Scores; beyond 64 bits the nearest long."""
+    return pa.array([max(-LAST, min(LAST, int(v))) for v in values] if values.dtype == object else values.astype(np.int64), pa.int64())
 
 
 def _search(rows: DataFrame, visits: DataFrame, leaves: int, blocks: int, run, schema: str) -> DataFrame:
@@ -345,7 +359,7 @@ def mine(embeddings: DataFrame, label: Column | None = None, anchors: Column | N
     no part; a shorter vector counts as filled up with zeros; a null vec_id comes
     last among ties; rows that repeat a vec_id are rows of their own (an anchor
     leaves out itself only); an empty table gives no rows; other columns are not
-    read.  Scores beyond 64 bits raise an error.
+    read.  A score beyond 64 bits counts as the nearest long.
     """
     spark = embeddings.sparkSession
     ship(spark)

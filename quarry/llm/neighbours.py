@@ -110,14 +110,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _usable(vectors: DataFrame, key: str, value: str) -> DataFrame:
-    """One finite, non-zero vector for each id, all of the most common dimension."""
+    """One finite, non-zero vector for each id; shorter ones are filled up with zeros, which add nothing to a product."""
     fits = F.size("v") > 0
     fits &= F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(value).alias("v"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull()).filter(fits)
-    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.filter(F.size("v") == (sizes["d"] if sizes else 0))
+    longest = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    nought = F.lit(0).cast(rows.schema["v"].dataType.elementType)
+    filled = F.when(F.size("v") == longest, F.col("v")).otherwise(F.concat("v", F.array_repeat(nought, F.lit(longest) - F.size("v"))))
+    return rows.select("id", filled.alias("v")).groupBy("id").agg(F.min("v").alias("v"))
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -132,9 +133,9 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, recall: float = 0.9
 
     ``recall`` is what the visits are fitted to, on ``sample`` queries.  Defined
     cases: vectors that are null, empty, zero, or hold a null or non-finite
-    component, rows without an id, and vectors not of the most common dimension
-    take no part; of rows that repeat an id the one with the smallest vector
-    does; with k or fewer candidates all are returned; equal scores go to the
+    component, and rows without an id take no part; a shorter vector counts as
+    filled up with zeros; of rows that repeat an id the one with the smallest
+    vector takes part; with k or fewer candidates all are returned; equal scores go to the
     smaller id; a table without queries gives no rows.
     """
     spark = vectors.sparkSession

@@ -93,7 +93,7 @@ def test_several_automata_clean_as_one(spark):
     docs = spark.createDataFrame(data, "doc_id long, text string")
     for coverage in (0.0, 0.5, 1.0):
         want = sorted(map(tuple, decontaminate.clean(docs, items, max_coverage=coverage).collect()), key=str)
-        for block in (1, 20, 40):
+        for block in ((1, 20) if coverage == 0.5 else (20,)):
             got = decontaminate.clean(docs, items, max_coverage=coverage, block_words=block)
             assert got.columns == docs.columns
             assert sorted(map(tuple, got.collect()), key=str) == want

@@ -67,6 +67,14 @@ def test_large_components(spark):
     assert shown(negatives.mine(spark.createDataFrame(data, SCHEMA))) == plain(data, lambda i: True)
 
 
+def test_one_long_vector_among_many(spark):
+    """Its products need whole numbers, the others' do not."""
+    data = clustered(150, 5) + [(500, [1e6] * 8, 1), (501, [-2e6, 3e6] * 4, 2), (502, [2e7, 0.0] * 4, 0)]
+    assert shown(negatives.mine(spark.createDataFrame(data, SCHEMA))) == plain(data, lambda i: True)
+    far = [(1, [1e30, 1.0], 1), (2, [1e30, 0.0], 1), (3, [1.0, 1.0], 2)]
+    assert [tuple(r) for r in negatives.mine(spark.createDataFrame(far, SCHEMA)).collect()] == []
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]

@@ -39,9 +39,10 @@ def test_small_tables_are_exact(rows):
     assert shown(neighbours.search(df.filter("vec_id = 440"))) == {}
 
 
-def test_other_dimensions_take_no_part(rows):
-    data = [(i, [float(i + 1), 1.0]) for i in range(30)] + [(40, [1.0, 2.0, 3.0])]
-    assert shown(neighbours.search(rows(data, "vec_id long, embedding array<double>"))) == exact(data[:30])
+def test_shorter_vectors_are_filled_up(rows):
+    data = [(i, [float(i + 1), 1.0]) for i in range(30)] + [(40, [1.0, 2.0, 3.0]), (60, [5.0])]
+    found = shown(neighbours.search(rows(data, "vec_id long, embedding array<double>")))
+    assert found == exact([(i, v + [0.0] * (3 - len(v))) for i, v in data]) and 40 in found and 60 in found
 
 
 def test_parts_of_one_bucket(rows):
