@@ -30,7 +30,7 @@ def made(n, seed):
     return out + ["", "a", "ab", None]
 
 
-@pytest.mark.parametrize("distance,q,dense", [(0, 2, 10**6), (1, 2, 2), (2, 2, 10**6), (2, 3, 5)])
+@pytest.mark.parametrize("distance,q,dense", [(0, 2, 10**6), (1, 2, 2), (2, 3, 5)])
 def test_against_all_pairs(spark, distance, q, dense):
     a, b = made(60, 1), made(60, 2) + made(60, 1)[:10]
     df = lambda x: spark.createDataFrame([(s,) for s in x], "name string")
@@ -47,7 +47,7 @@ def test_few_candidates_and_empty(spark):
         similar_strings(names, names, "s", "s", -1)
 
 
-@pytest.mark.parametrize("dense", [1, 7, 10**6])
+@pytest.mark.parametrize("dense", [1, 7])
 def test_grid_join(spark, dense):
     rng = random.Random(3)
     a = [(rng.choice(["hot", "hot", "x", None]), i % 5) for i in range(40)]
