@@ -2,8 +2,8 @@
 input, without a window that puts all rows (or all rows of a key) into one task.
 
 Rows are range-sorted once and numbered through; numbers are cut into blocks of
-equal size (by default one for each shuffle partition, of at least 2^14 and at most
-2^20 rows).  Inside a block Spark's windows do the work.  What reaches over a
+equal size (by default 32 for each shuffle partition, of at least 2^10 and at most
+2^20 rows, so that tasks get about equally many).  Inside a block Spark's windows do the work.  What reaches over a
 block's border is small: the value reached at the end of each earlier block (one
 row per block), or, for frames and neighbours, copies of the few rows next to the
 border.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.session import materialize
 
-LEAST, MOST = 1 << 14, 1 << 20
+LEAST, MOST = 1 << 10, 1 << 20
 _PLACE = (1 << 33) - 1  # rows of a partition in monotonically_increasing_id
 
 
@@ -38,9 +38,9 @@ def numbered(df: DataFrame, order: Sequence[Column], out: str = "_at") -> DataFr
 
 
 def block_size(rows: DataFrame) -> int:
-    """Rows of a block: one for each shuffle partition, within the bounds.  Counts ``rows``, which should be stored."""
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(-(-rows.count() // tasks), LEAST), MOST)
+    """Rows of a block: 32 blocks for each shuffle partition, within the bounds.  Counts ``rows``, which should be stored."""
+    blocks = 32 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(-(-rows.count() // blocks), LEAST), MOST)
 
 
 def _blocked(rows: DataFrame, block: int | None, least: int = 1) -> tuple[DataFrame, int]:
