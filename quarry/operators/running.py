@@ -33,7 +33,8 @@ def numbered(df: DataFrame, order: Sequence[Column], out: str = "_at") -> DataFr
     # one row per partition
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    return rows.withColumn("_part", F.shiftright("_m", 33)).join(starts, "_part") \
+    # so this broadcast is bounded by the number of partitions
+    return rows.withColumn("_part", F.shiftright("_m", 33)).join(F.broadcast(starts), "_part") \
         .withColumn(out, F.col("_start") + F.col("_m").bitwiseAND(F.lit(_PLACE))).drop("_part", "_start", "_m")
 
 
