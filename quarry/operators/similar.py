@@ -8,6 +8,11 @@ may differ by k.
 Shorter strings, which have too few grams, are joined on what is left after up to
 k deletions.  All candidates are checked by their exact distance.
 
+For a single edit, strings of less than ``PLAIN`` characters need no grams, which
+are all frequent in numbered names: strings with one character replaced agree in
+its place and in all that stands before and after it, and one with a character
+more is the other after one deletion.  So there are no candidates but the pairs.
+
 Equal strings are one row, however often they stand.  Crowded grams are split
 (``joins.grid_join``).
 """
@@ -21,6 +26,8 @@ from quarry.operators.joins import grid_join
 
 #: rows of a gram and length beyond which they are split
 DENSE = 50_000
+#: characters from which grams are used for a single edit, too
+PLAIN = 64
 
 
 def _grams(strings: DataFrame, q: int) -> DataFrame:
@@ -48,15 +55,51 @@ def _less(distance: int) -> Column:
     return left
 
 
-def candidates(left: DataFrame, right: DataFrame, distance: int, q: int = 2, dense: int = DENSE) -> DataFrame:
-    """Distinct pairs (s, t) of strings that may be within ``distance``; ``left`` and ``right`` have distinct strings ``s``."""
+def _around(string: str) -> list[Column]:
+    """What stands before and after the place ``at``."""
+    return [F.expr(f"substring({string}, 1, at - 1)"), F.expr(f"substring({string}, at + 1)")]
+
+
+def _one_edit(left: DataFrame, right: DataFrame, least: int) -> DataFrame:
+    """Pairs (s, t) within one edit, the shorter below ``least`` characters.  Each is found in one way only."""
+    small = [df.where(F.col("n") < least) for df in (left, right)]
+    same = small[0].select("s").join(small[1].select("s", F.col("s").alias("t")), "s")
+    # a string of n characters has n places; the hash only brings rows together.  The rows are small when written and
+    # many when joined, so their partitions are not made fewer
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = (df.where("n > 0").withColumn("at", F.explode(F.sequence(F.lit(1), F.col("n"))))
+            .select("s", "n", "at", F.xxhash64(*_around("s")).alias("rest")).repartition(parts, "n", "at", "rest") for df in small)
+    replaced = a.join(b.withColumnRenamed("s", "t"), ["n", "at", "rest"]).where(F.col("s") != F.col("t"))
+    for x, y in zip(_around("s"), _around("t")):
+        replaced = replaced.where(x == y)
+
+    def longer(more: DataFrame, less: DataFrame) -> DataFrame:
+        """(more, s): strings with one character more than ``s``."""
+        # lengths for which there is a shorter one, ``least`` at most
+        lengths = F.broadcast(less.select((F.col("n") + 1).alias("n")).distinct())
+        gone = F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.concat(
+            F.substring("s", F.lit(1), i - 1), F.substring("s", i + 1, F.col("n")))))
+        rows = more.where(F.col("n").between(1, least)).join(lengths, "n", "left_semi")
+        return rows.select(F.col("s").alias("more"), F.explode(gone).alias("s")).join(less.select("s"), "s")
+
+    return same.unionByName(replaced.select("s", "t")).unionByName(
+        longer(left, small[1]).select(F.col("more").alias("s"), F.col("s").alias("t"))).unionByName(
+        longer(right, small[0]).select("s", F.col("more").alias("t")))
+
+
+def candidates(left: DataFrame, right: DataFrame, distance: int, q: int = 2, dense: int = DENSE, plain: int = PLAIN) -> DataFrame:
+    """Distinct pairs (s, t) of strings that may be within ``distance``; ``left`` and ``right`` have distinct strings ``s``.
+    ``plain``: characters from which grams are used for a single edit, without effect on the result."""
     few = distance * q  # grams that the edits may destroy
     sides = [df.select("s", F.length("s").alias("n")) for df in (left, right)]
-    grams = [_grams(df.where(F.col("n") >= few + q), q) for df in sides]
+    least = max(few + q, plain) if distance == 1 else few + q  # characters from which grams are used
+    grams = [_grams(df.where(F.col("n") >= least), q) for df in sides]
     counts = grams[0].select("gram", "nth").unionAll(grams[1].select("gram", "nth")).groupBy("gram", "nth").count()
     a, b = (_prefixes(g, counts, few + 1) for g in grams)
     b = b.select(F.col("s").alias("t"), "gram", "nth", F.explode(F.sequence(F.col("n") - distance, F.col("n") + distance)).alias("n"))
     long = grid_join(a, b, ["gram", "nth", "n"], dense).select("s", "t")
+    if distance == 1:
+        return long.distinct().unionAll(_one_edit(*sides, least))
     # at least one of the two is short, the other no more than ``distance`` longer
     short = [df.where(F.col("n") < few + q + distance).withColumn("less", F.explode(_less(distance))) for df in sides]
     brief = grid_join(short[0].select("s", "less", F.col("n").alias("m")), short[1].select(F.col("s").alias("t"), "less", "n"), ["less"], dense)
@@ -65,7 +108,7 @@ def candidates(left: DataFrame, right: DataFrame, distance: int, q: int = 2, den
 
 
 def similar_strings(left: DataFrame, right: DataFrame, left_col: str, right_col: str, distance: int = 1, q: int = 2,
-                    dense: int = DENSE) -> DataFrame:
+                    dense: int = DENSE, plain: int = PLAIN) -> DataFrame:
     """left, right, distance: all pairs of distinct strings of the two columns within
     ``distance`` edits (equal ones too, at distance 0).
 
@@ -76,5 +119,5 @@ def similar_strings(left: DataFrame, right: DataFrame, left_col: str, right_col:
         raise ValueError("distance is not negative and q at least one")
     a = left.select(F.col(left_col).alias("s")).where("s is not null").distinct()
     b = right.select(F.col(right_col).alias("s")).where("s is not null").distinct()
-    pairs = candidates(a, b, distance, q, dense).withColumn("distance", F.levenshtein("s", "t", distance))
+    pairs = candidates(a, b, distance, q, dense, plain).withColumn("distance", F.levenshtein("s", "t", distance))
     return pairs.where("distance >= 0").select(F.col("s").alias("left"), F.col("t").alias("right"), "distance")

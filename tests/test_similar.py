@@ -47,6 +47,23 @@ def test_few_candidates_and_empty(spark):
         similar_strings(names, names, "s", "s", -1)
 
 
+def test_one_edit_finds_pairs_only(spark):
+    # names whose grams are all frequent: 100 with 9 replacements at each of two places
+    names = spark.range(100).select(F.format_string("Customer#%09d", "id").alias("s"))
+    assert candidates(names, names, 1).count() == 100 * (1 + 2 * 9)
+
+
+@pytest.mark.parametrize("plain", [0, 9, 64])
+def test_one_edit_with_and_without_grams(spark, plain):
+    rng = random.Random(5)
+    long = ["".join(rng.choice("ab") for _ in range(n)) for n in (61, 62, 63, 64, 65, 66)]
+    long += [s[:i] + c + s[i + 1:] for s in long for i in (0, 30, len(s) - 1) for c in ("", "a", "bé")]
+    a, b = long + made(40, 3), long[::2] + made(40, 4) + made(40, 3)[:10]
+    df = lambda x: spark.createDataFrame([(s,) for s in x], "name string")
+    got = sorted(map(tuple, similar_strings(df(a), df(b), "name", "name", 1, plain=plain).collect()))
+    assert got == sorted((s, t, edits(s, t)) for s in set(a) - {None} for t in set(b) - {None} if edits(s, t) <= 1)
+
+
 @pytest.mark.parametrize("dense", [1, 7])
 def test_grid_join(spark, dense):
     rng = random.Random(3)
