@@ -127,7 +127,12 @@ SELECT promo_id, promo.brand, count(*) AS n_lines, cast(sum(cents) AS bigint) AS
 FROM promo JOIN line ON promo.brand = line.brand AND line.starts < promo.ends AND promo.starts < line.ends GROUP BY 1, 2
 """)
 def q_deliveries_in_promotions(spark: SparkSession, d: str) -> DataFrame:
-    """Deliveries (some days from shipment on) against promotion periods of the same brand (one per part, as long as its size)."""
+    """Deliveries (some days from shipment on) against promotion periods of the same brand (one per part, as long as its size).
+
+    Promotions start and end at midnight, so a delivery meets those that the whole days it touches meet.  Deliveries on
+    the same days are summed before the join: a promotion meets no more of them than its days allow, however many lines
+    there are.
+    """
     part = table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
     first = F.lit("1995-01-01").cast("timestamp_ntz")
     day = lambda c: F.make_dt_interval(c.cast("int"))
@@ -138,9 +143,14 @@ def q_deliveries_in_promotions(spark: SparkSession, d: str) -> DataFrame:
         part.select("p_partkey", F.col("p_brand").alias("brand")), F.col("l_partkey") == F.col("p_partkey"))
     lines = lines.select("brand", F.col("l_shipdate").cast("timestamp_ntz").alias("starts"),
                          (F.col("l_shipdate").cast("timestamp_ntz") + day(F.col("l_linenumber"))).alias("ends"), "cents")
-    pairs = overlap_join(promo, lines, ("starts", "ends"), ("starts", "ends"), ["brand"])
+    midnight = lambda c: F.col(c).cast("date").cast("timestamp_ntz")
+    # an empty period meets nothing, and must not become a day
+    days = lines.where("starts < ends").groupBy("brand", midnight("starts").alias("starts"), F.when(
+        F.col("ends") == midnight("ends"), F.col("ends")).otherwise(midnight("ends") + day(F.lit(1))).alias("ends")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"))
+    pairs = overlap_join(promo, days, ("starts", "ends"), ("starts", "ends"), ["brand"])
     return pairs.groupBy(F.col("left.promo_id").alias("promo_id"), F.col("left.brand").alias("brand")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum("right.cents").alias("cents"))
+        F.sum("right.n").alias("n_lines"), F.sum("right.cents").alias("cents"))
 
 
 @register("q_sales_cube", f"""

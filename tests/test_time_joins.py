@@ -76,3 +76,34 @@ def test_overlap_of_dates_and_times(spark):
         overlap_join(left, cast(right, "date"), ("s", "e"), ("s", "e"))
     with pytest.raises(TypeError):
         overlap_join(cast(left, "string"), cast(right, "string"), ("s", "e"), ("s", "e"))
+
+
+def test_deliveries_are_summed_by_day_before_the_join(spark, scratch, monkeypatch):
+    from quarry.plans import catalog_time
+
+    start = dt.datetime(1995, 1, 1)
+    parts = [(i, ["A", "B", None][i % 3], [1, 3, 0, None, 9][i % 5]) for i in range(30)]
+    rng = random.Random(7)
+    lines = [(rng.randrange(32), rng.choice([0, 1, 2, 5]), rng.choice([None, 0.5, 12.25, 3.0]),
+              rng.choice([None, start + dt.timedelta(days=rng.randint(-3, 40), hours=rng.choice([0, 0, 5, 23]))])) for _ in range(3000)]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_size int").write.parquet(f"{scratch}/part.parquet")
+    spark.createDataFrame(lines, "l_partkey long, l_linenumber int, l_extendedprice double, l_shipdate timestamp_ntz").write.parquet(
+        f"{scratch}/lineitem.parquet")
+    joined = []
+
+    def seen(left, right, *rest):
+        joined.append(right.count())
+        return overlap_join(left, right, *rest)
+
+    monkeypatch.setattr(catalog_time, "overlap_join", seen)
+    got = {r.promo_id: (r.brand, r.n_lines, r.cents) for r in catalog_time.q_deliveries_in_promotions(spark, scratch).collect()}
+    want = {}
+    for i, brand, size in parts:
+        fit = [] if brand is None or not size else [
+            c for p, n, c, at in lines if n and at and p < 30 and parts[p][1] == brand
+            and at < start + dt.timedelta(days=i + size) and start + dt.timedelta(days=i) < at + dt.timedelta(days=n)]
+        if fit:
+            known = [round(c * 100) for c in fit if c is not None]
+            want[i] = (brand, len(fit), sum(known) if known else None)
+    assert got == want and want
+    assert joined[0] <= 2 * 44 * 6  # brands, days of shipment and whole days up to the delivery, not lines
