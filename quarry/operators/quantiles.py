@@ -4,8 +4,10 @@ A wanted rank is narrowed from round to round: the values between the bounds
 found so far are counted in equal bins (partial counts before the shuffle, at
 most ``bins`` rows per wanted rank after it), and the smallest and largest
 value of the bin that holds the rank are the next bounds.  Once no rank has more
-than ``finish`` rows left, its few values are summed one by one.  So a group that
-holds most of the rows is never sorted, shuffled or gathered in one task.
+than ``finish`` rows left, its few values are summed one by one.  The bounds of
+groups with more than ``finish`` rows, of which there are few, are sent to the rows;
+only smaller groups are joined by their keys.  So a group that holds most of the
+rows is never sorted, shuffled or gathered in one task.
 """
 
 from __future__ import annotations
@@ -62,10 +64,18 @@ def locate(rows: DataFrame, by: Sequence[str], key: str, weight: Column | None,
                            F.col("need").cast("long").alias("need")).distinct()
     columns = [*mine, "_same", "need", "_lo", "_hi", "_n", "_below"]
     state = materialize(wanted.join(spans, same).withColumn("_below", F.lit(0).cast("long")).select(columns))
-    while (most := state.where("_lo < _hi").agg(F.max("_n")).first()[0]) is not None:
-        inside = rows.join(state.where("_lo < _hi"), same & F.col("_k").between(F.col("_lo"), F.col("_hi")))
-        found = narrowed(inside, [*mine, "_same"], bins, most <= finish)
-        state = materialize(state.where("_lo = _hi").select(columns).unionByName(found.select(columns)))
+
+    def settled(rows: DataFrame, state: DataFrame, send: bool) -> DataFrame:
+        while (most := state.where("_lo < _hi").agg(F.max("_n")).first()[0]) is not None:
+            bounds = state.where("_lo < _hi")
+            inside = rows.join(F.broadcast(bounds) if send else bounds, same & F.col("_k").between(F.col("_lo"), F.col("_hi")))
+            found = narrowed(inside, [*mine, "_same"], bins, most <= finish)
+            state = materialize(state.where("_lo = _hi").select(columns).unionByName(found.select(columns)))
+        return state
+
+    large = state.where(F.col("_n") > finish)  # of n rows, n / finish groups at most
+    others = rows.join(F.broadcast(large.select(*mine, "_same").distinct()), same, "left_anti")
+    state = settled(rows, large, True).unionByName(settled(others, state.where(F.col("_n") <= finish), False))
     return state.select(*[F.col(m).alias(c) for m, c in zip(mine, names)], "need", F.col("_lo").alias("value"),
                         F.col("_below").alias("below"))
 

@@ -57,6 +57,20 @@ def test_row_frames(spark, block):
             assert row.far == len(rows[max(0, j - 6):max(0, j - 3)])
 
 
+def test_large_groups_are_not_shuffled_by_their_keys(spark, monkeypatch):
+    from quarry.operators import quantiles
+
+    plans, store = [], quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or store(df))
+    data = [(k, v) for k in "abc" for v in range(90)] + [("few", 3), ("few", 1)]
+    got = exact_quantiles(spark.createDataFrame(data, "k string, v long"), ["k"], "v", {"m": 0.5, "top": 1.0}, 5, 20).collect()
+    assert sorted(map(tuple, got)) == [("a", 44, 89), ("b", 44, 89), ("c", 44, 89), ("few", 1, 3)]
+    rounds = [p for p in plans if "_cell" in p]
+    joined = ["SortMergeJoin" in p for p in rounds]
+    assert joined == [False] * (len(rounds) - 1) + [True]  # the last one is that of the small group
+    assert len(rounds) == 3
+
+
 @pytest.mark.parametrize("bins,finish", [(2, 1), (5, 4), (4096, 1 << 16)])
 def test_quantiles(spark, bins, finish):
     rng = random.Random(4)
