@@ -13,8 +13,9 @@ windows) are counted first, with partial counts before the shuffle, so copies in
 any number cost no more than one; a context that stands at several places is
 matched as a whole.  Only suffixes that share a gram but not the context are
 sorted, one for each context, and what is found for it holds for all its copies.  A
-gram with very many contexts is not sorted in one task: there, each window's hash
-is counted.  All ways give the same spans: for each partner (the first document of
+gram with very many contexts is not sorted in one task: its contexts are sorted in
+several tasks, cut to the words that a neighbour has too, and those that are then equal
+count as one; if very many are left, each window's hash is counted.  All ways give the same spans: for each partner (the first document of
 a set of equal windows) the windows shared with it, which all contain the gram and
 so form one stretch.
 """
@@ -255,7 +256,7 @@ def _whole_grams(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Re
 
 
 def _counted_matches(found: DataFrame, least: int, gram: int) -> DataFrame:
-    """The same for grams with very many contexts: every window's hash is counted."""
+    """The same for grams with very many contexts, equal ones counted as one: every window's hash is counted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
@@ -284,6 +285,70 @@ def _counted_matches(found: DataFrame, least: int, gram: int) -> DataFrame:
         F.min("first").alias("first"), (F.max("first") + least).alias("end")).select("gram", "context", "first", "end", "partner")
 
 
+def _trimmed(found: DataFrame, side: str, least: int) -> DataFrame:
+    """``found`` with the words of one side (``before`` or ``after``) cut to those that another context of the gram has too.
+
+    Contexts are sorted by these words, in as many tasks as the table needs; the
+    longest common start is that with a neighbour.  At the ends of a task's rows, where
+    one neighbour is not known, nothing is cut; words too many do no harm.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, known = None, least
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                b = whole.slice(at, 4096)
+                t = b if held is None else pa.concat_batches([held, b])
+                words = _padded(t.column(side).to_pylist(), least)
+                differs = words[1:] != words[:-1]
+                shared = np.where(differs.any(axis=1), differs.argmax(axis=1), least)
+                group = np.asarray(t.column("gram"))
+                shared = np.concatenate([[known], np.where(group[1:] == group[:-1], shared, 0)])
+                yield cut(t.slice(0, t.num_rows - 1), np.maximum(shared[:-1], shared[1:]))
+                held, known = t.slice(t.num_rows - 1), shared[-1]
+        if held is not None:
+            yield held
+
+    def cut(t: pa.RecordBatch, size: np.ndarray) -> pa.RecordBatch:
+        kept = [v[:4 * n] for v, n in zip(t.column(side).to_pylist(), size.tolist())]
+        return t.set_column(t.schema.get_field_index(side), side, pa.array(kept, pa.binary()))
+
+    order = ["gram", side, "context"]
+    return found.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, found.schema)
+
+
+def _crowded_matches(found: DataFrame, least: int, gram: int, crowd: int) -> DataFrame:
+    """The same for grams with very many contexts, which no task holds as a whole.
+
+    Windows that other contexts have too lie within the words that another context
+    shares on either side.  Contexts that are equal in these words have the same
+    partners and count as one, so what differs around a common passage does not
+    multiply its windows.  If a gram still has more than ``crowd``, windows are counted.
+    """
+    size = lambda name: (F.octet_length(name) / 4).cast("long")
+    rows = found.select("doc_id", "gram", "context", "many", "before", "after",
+                        size("before").alias("low"), size("after").alias("high"))
+    rows = _trimmed(_trimmed(rows, "after", least), "before", least).withColumn("words", F.xxhash64("before", "after"))
+    rows = stored(rows, "trimmed")
+    shared = rows.filter(size("before") + size("after") >= least)
+    alike = shared.groupBy("gram", "words").agg(F.min("doc_id").alias("doc_id"), (F.max("many") | (F.count(F.lit(1)) > 1)).alias("many"),
+                                                F.min("before").alias("before"), F.min("after").alias("after"))
+    alike = stored(alike.withColumnRenamed("words", "context"), "alike")
+    crowded = alike.groupBy("gram").agg((F.count(F.lit(1)) > crowd).alias("crowd"))
+    alike = alike.join(F.broadcast(crowded), "gram")
+    spans = _sorted_matches(alike.filter("not crowd").drop("crowd"), least, gram).unionByName(
+        _counted_matches(alike.filter("crowd").drop("crowd"), least, gram))
+    spans = shared.select("gram", "context", "words").join(spans.withColumnRenamed("context", "words"), ["gram", "words"]).drop("words")
+    # windows of a context at several places that no other context has; if no window is shared, all of them
+    own = F.coalesce("doc_id", F.lit(2**63 - 1)).alias("partner")
+    several, some = rows.filter("many"), size("before") + size("after") >= least
+    right = several.filter(some & (F.col("high") > size("after"))).select(
+        "gram", "context", (size("after") + 1 - least).alias("first"), F.col("high").alias("end"), own)
+    left = several.filter(some & (F.col("low") > size("before"))).select(
+        "gram", "context", (-F.col("low")).alias("first"), (least - 1 - size("before")).alias("end"), own)
+    none = several.filter(~some).select("gram", "context", (-F.col("low")).alias("first"), F.col("high").alias("end"), own)
+    return spans.unionByName(right).unionByName(left).unionByName(none)
+
+
 def repeated_passages(docs: DataFrame, least: int = LEAST, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_words, n_repeated, n_later, spans, later, first_docs, text_key of every row.
 
@@ -293,7 +358,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, gram: int = GRAM, cro
     that has it of each repeated passage of ``least`` words, ascending; later,
     n_later: stretches and words of passages that a document with a smaller doc_id
     has too.  text_key: a hash of doc_id and text, which names the row.  ``crowd``:
-    contexts beyond which a gram's windows are counted, without effect on the result.
+    contexts beyond which a gram is not sorted in one task, without effect on the result.
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z
     lower-cased.  Defined cases: a null text has no words; rows alike in doc_id
     and text are one document (the result is repeated), but rows without doc_id
@@ -320,7 +385,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, gram: int = GRAM, cro
                                                  (F.col("contexts") > crowd).alias("crowd"))
     around = stored(_contexts(rows, wanted, least, gram).dropDuplicates(["gram", "context"]), "around")
     part = _sorted_matches(around.filter("not crowd"), least, gram).unionByName(
-        _counted_matches(around.filter("crowd"), least, gram))
+        _crowded_matches(around.filter("crowd"), least, gram, crowd))
     # the only context of its gram, at several places: all its windows are shared
     alone = known.filter("contexts = 1 and many").select("gram", "context", (-F.col("low.before")).cast("long").alias("first"),
                                                          F.col("low.after").cast("long").alias("end"), F.col("low.doc_id").alias("partner"))

@@ -87,6 +87,36 @@ def test_rows_without_id_are_their_own(rows):
     assert [(r.n_repeated, r.n_later, r.first_docs) for r in found] == [(80, 0, [])] * 2
 
 
+def test_a_common_passage_counts_once(rows, monkeypatch):
+    """Five times the documents around a common passage do not make five times its windows."""
+    made_rows, store = [], suffixes.stored
+    def counted(df, name):
+        out = store(df, name)
+        made_rows.extend([out.count()] if name == "windows" else [])
+        return out
+
+    monkeypatch.setattr(suffixes, "stored", counted)
+    for n in (24, 120):
+        words = lambda name, i: " ".join(f"{name}{i}x{j}" for j in range(45))
+        data = [(i, f"{words('a', i)} {' '.join(f'p{j}' for j in range(70))} {words('z', i)}") for i in range(n)]
+        found = suffixes.repeated_passages(rows(data, "doc_id long, text string"), crowd=1)
+        assert shown(found) == plain(data, 50)
+    assert 0 < made_rows[1] < 2 * made_rows[0]
+
+
+def test_crowded_grams_over_several_batches(rows, spark):
+    """A neighbour in another batch counts too; what only the context's own copies have stays."""
+    data = made(60, 11)
+    data += [(200 + i, data[i][1]) for i in range(0, 60, 3)]
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "2")
+    try:
+        assert shown(suffixes.repeated_passages(rows(data, "doc_id long, text string"), 12, 4, 1)) == plain(data, 12)
+    finally:
+        spark.conf.set(batch, before)
+
+
 def test_odd_documents(odd_documents, no_documents):
     rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
     found = suffixes.repeated_passages(odd_documents)
