@@ -41,12 +41,15 @@ a AS (SELECT l_orderkey, l_linenumber, l_partkey, o_orderdate FROM lineitem JOIN
 SELECT a.*, q.price, q.l_shipdate AS priced_at FROM a ASOF LEFT JOIN q ON a.l_partkey = q.l_partkey AND a.o_orderdate >= q.l_shipdate
 """)
 def q_price_as_of_order(spark: SparkSession, d: str) -> DataFrame:
-    """Each order line with the unit price at which its part was last shipped up to the day of the order."""
+    """Each order line with the unit price at which its part was last shipped up to the day of the order.
+
+    Of several prices of a part on a day, the as-of join takes the largest.
+    """
     lines = table(spark, d, "lineitem")
-    prices = lines.groupBy("l_partkey", "l_shipdate").agg(F.max(F.try_divide("l_extendedprice", "l_quantity")).alias("price"))
+    prices = lines.select("l_partkey", "l_shipdate", F.try_divide("l_extendedprice", "l_quantity").alias("price"))
     asked = lines.select("l_orderkey", "l_linenumber", "l_partkey").join(
         table(spark, d, "orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
-    return as_of_join(asked, prices, ["l_partkey"], "o_orderdate", "l_shipdate", ["price"], out_time="priced_at")
+    return as_of_join(asked, prices, ["l_partkey"], "o_orderdate", "l_shipdate", ["price"], out_time="priced_at", sizes=lines)
 
 
 def _cents(price: str) -> Column:

@@ -107,3 +107,73 @@ def test_deliveries_are_summed_by_day_before_the_join(spark, scratch, monkeypatc
             want[i] = (brand, len(fit), sum(known) if known else None)
     assert got == want and want
     assert joined[0] <= 2 * 44 * 6  # brands, days of shipment and whole days up to the delivery, not lines
+
+
+@pytest.mark.parametrize("strict,block", [(False, 1), (True, 1), (False, 20), (True, 20), (False, None)])
+def test_as_of_cuts_keys_by_time(spark, strict, block):
+    """Keys and moments with most rows of both sides, null values, times of other types and a second key."""
+    rng = random.Random(3)
+    nan = float("nan")
+    time = lambda: rng.choice([None, 7, 7, 7, 7, *range(20)])
+    asked = [(i, *rng.choice([("hot", 1), ("hot", 1), ("hot", 2), ("b", None), (None, 1)]), time()) for i in range(150)]
+    known = [(*rng.choice([("hot", 1), ("hot", 1), ("hot", 2), ("b", None)]), time(), rng.choice([None, 1.5, 2.5, nan]), rng.randint(0, 3)) for _ in range(120)]
+    left = spark.createDataFrame(asked, "id int, k string, n int, t long")
+    right = spark.createDataFrame(known, "k string, n long, rt int, v double, w int")
+    out = as_of_join(left, right, ["k", "n"], "t", "rt", ["v", "w"], strict=strict, out_time="seen", block=block)
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema] == [("id", "int"), ("k", "string"), ("n", "int"), ("t", "bigint"), ("v", "double"),
+                                                                          ("w", "int"), ("seen", "int")]
+    got = {r.id: r for r in out.collect()}
+    rank = lambda v: (v is not None, v is not None and v != v, v if v is not None and v == v else 0)
+    for i, k, n, t in asked:
+        fit = [(rt, rank(v), w, v) for rk, rn, rt, v, w in known if None not in (k, n, t, rt) and (rk, rn) == (k, n) and (rt < t if strict else rt <= t)]
+        at, _, w, v = max(fit, key=lambda f: f[:3]) if fit else (None, None, None, None)
+        assert str(tuple(got[i])) == str((i, k, n, t, v, w, at))
+    assert len(got) == len(asked)
+
+
+def test_as_of_without_keys(spark):
+    left, right = spark.range(9).selectExpr("id", "id * 10 as t"), spark.range(20).selectExpr("id * 5 as rt", "id as v")
+    for block in (1, None):
+        got = as_of_join(left, right, [], "t", "rt", ["v"], strict=True, block=block).collect()
+        assert sorted(map(tuple, got)) == [(i, 10 * i, 2 * i - 1 if i else None) for i in range(9)]
+
+
+def test_large_keys_are_cut_into_cells_of_about_a_block(spark):
+    from quarry.operators import asof
+
+    rows = spark.range(4000).selectExpr("if(id < 3000, 'hot', concat('k', id % 100)) as _on0", "if(id % 3 = 0, 50, id) as _time")
+    cuts = asof._cuts(rows, rows, ["_on0"], 100)
+    assert [r._on0 for r in cuts.collect()] == ["hot"]
+    counts = {(r._on0, r._cell): r["count"] for r in asof._celled(rows, cuts, ["_on0"], 100).groupBy("_on0", "_cell").count().collect()}
+    assert counts.pop(("hot", 2 * cuts.first()._cuts.index(50) + 1)) >= 1000  # a cell of one moment, whose rows are spread
+    assert max(n for (k, _), n in counts.items() if k == "hot") <= 300 and sum(n for (k, _), n in counts.items() if k == "hot") <= 2000
+    assert asof._cuts(rows, rows, ["_on0"], 5000) is None
+
+
+def test_price_as_of_order_stores_no_rows(spark, scratch, monkeypatch):
+    from quarry.operators import asof, running
+    from quarry.plans import catalog_time
+
+    rng = random.Random(5)
+    day = lambda: rng.choice([None, *(dt.datetime(1995, 1, 1) + dt.timedelta(days=d) for d in range(30))])
+    lines = [(rng.choice([None, *range(80)]), i % 7, rng.choice([None, *range(12)]), rng.choice([None, 0.0, 1.0, 4.0]),
+              rng.choice([None, 8.0, 10.0, 20.0]), day()) for i in range(400)]
+    orders = [(rng.choice([None, *range(90)]), day()) for _ in range(100)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, "
+                          "l_shipdate timestamp_ntz").write.parquet(f"{scratch}/lineitem.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate timestamp_ntz").write.parquet(f"{scratch}/orders.parquet")
+    stored = []
+    for module in (asof, running):
+        monkeypatch.setattr(module, "materialize", lambda df: stored.append(df) or df, raising=False)
+    out = catalog_time.q_price_as_of_order(spark, scratch)
+    assert not stored  # no key has over a block of rows
+    got = sorted(map(str, map(tuple, out.collect())))
+    want = []
+    for o, number, p, *_ in lines:
+        for date in (d for k, d in orders if k == o and k is not None):
+            seen = [s for _, _, q, _, _, s in lines if None not in (p, q, s, date) and q == p and s <= date]
+            prices = [e / n for _, _, q, n, e, s in lines if seen and q == p and s == max(seen) and e is not None and n]
+            want.append(str((o, number, p, date, max(prices, default=None), max(seen, default=None))))
+    assert got == sorted(want) and len(got) > 300
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 3 and plan.count("Exchange") <= 1  # each side is dealt out by its key once, beside the join
