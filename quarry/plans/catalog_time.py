@@ -43,7 +43,8 @@ SELECT a.*, q.price, q.l_shipdate AS priced_at FROM a ASOF LEFT JOIN q ON a.l_pa
 def q_price_as_of_order(spark: SparkSession, d: str) -> DataFrame:
     """Each order line with the unit price at which its part was last shipped up to the day of the order.
 
-    Of several prices of a part on a day, the as-of join takes the largest.
+    Of several prices of a part on a day, the as-of join takes the largest.  Parts with many lines are found in the lines,
+    without joining them twice; many rows of one order are not seen there, and would only slow down its parts.
     """
     lines = table(spark, d, "lineitem")
     prices = lines.select("l_partkey", "l_shipdate", F.try_divide("l_extendedprice", "l_quantity").alias("price"))
